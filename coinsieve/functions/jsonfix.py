@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from coinsieve.functions.text import strip
+from coinsieve.functions.text import let, strip
 
 
 def strip_fences(text: Column) -> Column:
@@ -15,42 +17,63 @@ def strip_fences(text: Column) -> Column:
 def slice_json(text: Column) -> Column:
     """The text itself when it starts as JSON, else the outermost object, else
     the outermost array, else unchanged."""
-    bare = strip_fences(text)
-    obj = F.regexp_extract(bare, r"(?s)\{.*\}", 0)
-    arr = F.regexp_extract(bare, r"(?s)\[.*\]", 0)
-    return (
-        F.when(bare.rlike(r"^[{\[]"), bare)
-        .when(obj != "", obj)
-        .when(arr != "", arr)
-        .otherwise(bare)
-    )
+
+    def cut(bare: Column) -> Column:
+        obj = F.regexp_extract(bare, r"(?s)\{.*\}", 0)
+        arr = F.regexp_extract(bare, r"(?s)\[.*\]", 0)
+        return F.when(bare.rlike(r"^[{\[]"), bare).otherwise(
+            F.coalesce(F.nullif(obj, F.lit("")), F.nullif(arr, F.lit("")), bare)
+        )
+
+    return let(strip_fences(text), cut)
+
+
+def _parse_whole(t: Column) -> Column:
+    """VARIANT of a text that is one JSON value and nothing else.
+
+    The parser stops after the first value, so the text is put inside an array
+    and inside an object: what follows a first value breaks one of them.
+    """
+    in_array = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))), "$", "array<variant>")
+    in_object = F.try_parse_json(F.concat(F.lit('{"a":'), t, F.lit("}")))
+    return F.when(in_object.isNotNull(), let(in_array, lambda v: F.when(F.size(v) == 1, F.get(v, F.lit(0)))))
 
 
 def parse_json(text: Column) -> Column:
     """VARIANT of the JSON in a text; NULL when it is not valid."""
-    return F.try_parse_json(strip(slice_json(text)))
+    return let(strip(slice_json(text)), _parse_whole)
+
+
+def _wrap_loose(t: Column) -> Column:
+    loose = ~F.startswith(t, F.lit("[")) & F.contains(t, F.lit("{")) & F.contains(t, F.lit("},"))
+    return F.when(loose, F.concat(F.lit("["), t, F.lit("]"))).otherwise(t)
+
+
+def _undouble(t: Column) -> Column:
+    doubled = F.startswith(t, F.lit("[[")) & F.endswith(t, F.lit("]]"))
+    return F.when(doubled, F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(t)
+
+
+def _close_array(t: Column) -> Column:
+    unclosed = F.startswith(t, F.lit("[")) & ~F.endswith(t, F.lit("]"))
+    return F.when(unclosed, F.concat(t, F.lit("]"))).otherwise(t)
+
+
+def _close_cut_off(t: Column) -> Column:
+    """Balance a text that ends inside a confidence value."""
+
+    def missing(opening: str, closing: str) -> Column:
+        count = F.regexp_count(t, F.lit(rf"\{opening}")) - F.regexp_count(t, F.lit(rf"\{closing}"))
+        return F.repeat(F.lit(closing), F.greatest(count, F.lit(0)))
+
+    cut_off = F.contains(t, F.lit("confidence")) & F.endswith(t, F.lit("0"))
+    return F.when(cut_off, F.concat(t, missing("{", "}"), missing("[", "]"))).otherwise(t)
 
 
 def repair_array(text: Column) -> Column:
     """Wrap loose objects, unwrap doubled brackets, close what was cut off."""
-    bare = strip(text)
-    loose = ~F.startswith(bare, F.lit("[")) & F.contains(bare, F.lit("{")) & F.contains(bare, F.lit("},"))
-    wrapped = F.when(loose, F.concat(F.lit("["), bare, F.lit("]"))).otherwise(bare)
-    doubled = F.startswith(wrapped, F.lit("[[")) & F.endswith(wrapped, F.lit("]]"))
-    single = F.when(doubled, F.substring(wrapped, 2, F.length(wrapped) - 2)).otherwise(wrapped)
-    unclosed = F.startswith(single, F.lit("[")) & ~F.endswith(single, F.lit("]"))
-    closed = F.when(unclosed, F.concat(single, F.lit("]"))).otherwise(single)
-    braces = F.regexp_count(closed, F.lit(r"\{")) - F.regexp_count(closed, F.lit(r"\}"))
-    brackets = F.regexp_count(closed, F.lit(r"\[")) - F.regexp_count(closed, F.lit(r"\]"))
-    cut_off = F.contains(closed, F.lit("confidence")) & F.endswith(closed, F.lit("0"))
-    return F.when(
-        cut_off,
-        F.concat(
-            closed,
-            F.repeat(F.lit("}"), F.greatest(braces, F.lit(0))),
-            F.repeat(F.lit("]"), F.greatest(brackets, F.lit(0))),
-        ),
-    ).otherwise(closed)
+    steps = [_wrap_loose, _undouble, _close_array, _close_cut_off]
+    return reduce(let, steps, strip(text))
 
 
 def salvage_objects(text: Column) -> Column:
@@ -61,7 +84,12 @@ def salvage_objects(text: Column) -> Column:
 
 def parse_suggestions(text: Column) -> Column:
     """array<variant> of a reply that should hold an array of objects."""
-    whole = parse_json(repair_array(text))
-    listed = F.try_variant_get(whole, "$", "array<variant>")
-    several = F.when(listed.isNotNull(), listed).when(whole.isNotNull(), F.array(whole))
-    return F.when(F.size(several) > 0, several).otherwise(salvage_objects(text))
+
+    def listed(whole: Column) -> Column:
+        several = F.try_variant_get(whole, "$", "array<variant>")
+        return F.coalesce(several, F.when(whole.isNotNull(), F.array(whole)))
+
+    def filled(items: Column) -> Column:
+        return F.when(F.size(items) > 0, items).otherwise(salvage_objects(text))
+
+    return let(let(parse_json(repair_array(text)), listed), filled)

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from coinsieve.functions.text import contains_any, strip
+from coinsieve.functions.text import contains_any, let, strip
 from coinsieve.schema import CATEGORIES, UNCATEGORIZED
 
 # Words that decide an answer's intent, tested in this order.
@@ -34,14 +32,17 @@ def answer_text(col: Column) -> Column:
 
 def intent(answer: Column) -> Column:
     """quit > change > skip > accept > unknown, by containment."""
-    text = answer_text(answer)
-    return (
-        F.when(contains_any(text, QUIT), "quit")
-        .when(contains_any(text, CHANGE), "change")
-        .when(contains_any(text, SKIP), "skip")
-        .when(contains_any(text, ACCEPT), "accept")
-        .otherwise("unknown")
-    )
+
+    def decide(text: Column) -> Column:
+        return (
+            F.when(contains_any(text, QUIT), "quit")
+            .when(contains_any(text, CHANGE), "change")
+            .when(contains_any(text, SKIP), "skip")
+            .when(contains_any(text, ACCEPT), "accept")
+            .otherwise("unknown")
+        )
+
+    return let(answer_text(answer), decide)
 
 
 def affirmative(answer: Column) -> Column:
@@ -60,12 +61,15 @@ def first_category_in(text: Column, categories: list[str]) -> Column:
 
 def named_category(entry: Column, categories: list[str]) -> Column:
     """A list number or an exact name in any case, else the default label."""
-    text = strip(entry)
-    number = F.when(text.rlike("^[0-9]+$"), text.try_cast("int"))
     names = F.array(*[F.lit(c) for c in categories])
-    by_number = F.when(number.between(1, len(categories)), F.get(names, number - 1))
-    by_name = F.coalesce(*[F.when(F.lower(text) == c.lower(), F.lit(c)) for c in categories])
-    return F.coalesce(by_number, by_name, F.lit(UNCATEGORIZED))
+    lowered = F.array(*[F.lit(c.lower()) for c in categories])
+
+    def pick(text: Column) -> Column:
+        number = F.when(text.rlike("^[0-9]+$"), text.try_cast("int"))
+        place = F.coalesce(number, F.nullif(F.array_position(lowered, F.lower(text)), F.lit(0)).cast("int"))
+        return F.when(place.between(1, len(categories)), F.get(names, place - 1))
+
+    return F.coalesce(let(strip(entry), pick), F.lit(UNCATEGORIZED))
 
 
 def mentioned_category(
@@ -73,12 +77,16 @@ def mentioned_category(
 ) -> Column:
     """Category after a trigger phrase, else anywhere, else from the entry."""
     labels = category_list(categories)
-    text = answer_text(answer)
-    after = [
-        first_category_in(F.get(F.split(text, phrase), F.lit(1)), labels) for phrase in TRIGGERS
-    ]
-    asked = named_category(entry if entry is not None else F.lit(None).cast("string"), labels)
-    return reduce(lambda a, b: F.coalesce(a, b), [*after, first_category_in(text, labels), asked])
+    entered = named_category(entry, labels) if entry is not None else F.lit(UNCATEGORIZED)
+
+    def named(text: Column) -> Column:
+        return first_category_in(text, labels)
+
+    def search(text: Column) -> Column:
+        after = [let(F.get(F.split(text, phrase), F.lit(1)), named) for phrase in TRIGGERS]
+        return F.coalesce(*after, named(text))
+
+    return F.coalesce(let(answer_text(answer), search), entered)
 
 
 def suggested_category(reasoning: Column) -> Column:

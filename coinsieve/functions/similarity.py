@@ -20,6 +20,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coinsieve.functions.text import let
+
 MATCHERS = ("edit", "ratio")
 THRESHOLD = 80
 SHORT_RULE = 2
@@ -65,11 +67,6 @@ def required_score(rule: Column, threshold: int) -> Column:
     ).otherwise(F.lit(threshold))
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and hand it to ``body``, also inside lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def partial_edit_score(a: Column, b: Column) -> Column:
     """Best window score in integer arithmetic; 0 when either text is empty."""
     a_first = F.length(a) <= F.length(b)

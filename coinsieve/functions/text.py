@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -14,6 +15,11 @@ SPACE = r"[\s\p{Z}\x1c-\x1f\x85]"
 NOISE = ["ach debit", "ach credit", "online", "payment", "*"]
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and hand it to ``body``, also inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(col: Column) -> Column:
     """Remove leading and trailing whitespace, Unicode spaces included."""
     return F.regexp_replace(col, f"^{SPACE}+|{SPACE}+$", "")

@@ -102,6 +102,6 @@ def usage_report(call_log: DataFrame) -> DataFrame:
             F.sum("prompt_chars").alias("prompt_chars"),
             F.sum("response_chars").alias("response_chars"),
             F.round(F.sum("tokens"), 2).alias("tokens"),
-            F.round(F.sum("cost"), 4).alias("cost"),
+            F.round(F.sum("cost"), 8).alias("cost"),
         )
     )

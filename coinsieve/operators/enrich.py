@@ -145,7 +145,7 @@ def empty_cache(spark, schema: str = NORMALIZE_CACHE) -> DataFrame:
 
 def parse_result(df: DataFrame, prefix: str = "") -> DataFrame:
     """Category, confidence and reasoning out of ``reply`` and ``error``."""
-    v = parse_json(F.col("reply"))
+    v = F.col("_json")
     part = {
         "category": F.try_variant_get(v, "$.category", "string"),
         "confidence": F.try_variant_get(v, "$.confidence", "double"),
@@ -157,14 +157,14 @@ def parse_result(df: DataFrame, prefix: str = "") -> DataFrame:
         .when(v.isNull(), F.concat(F.lit("Failed to parse LLM response: "), F.coalesce(F.substring("reply", 1, 100), F.lit(""))))
         .otherwise(F.lit("Failed to categorize due to error: incomplete reply"))
     )
-    return df.withColumns(
+    return df.withColumn("_json", parse_json(F.col("reply"))).withColumns(
         {
             f"{prefix}category": F.when(complete, part["category"]).otherwise(F.lit(UNCATEGORIZED)),
             f"{prefix}confidence": F.when(complete, part["confidence"]).otherwise(F.lit(0.0)),
             f"{prefix}reasoning": F.when(complete, part["reasoning"]).otherwise(failure),
             f"{prefix}parsed": complete,
         }
-    ).drop("reply", "error")
+    ).drop("reply", "error", "_json")
 
 
 def classify(
@@ -245,8 +245,8 @@ def adjudicate(groups: DataFrame, fn: RowReply, **calls) -> DataFrame:
         ),
     )
     asked = groups.select(*KEY_PARTS, "part", F.to_json(shown).alias("records"))
-    v = parse_json(F.col("reply"))
-    judged = ask_rows(asked, fn, **calls).select(
+    v = F.col("_json")
+    judged = ask_rows(asked, fn, **calls).withColumn("_json", parse_json(F.col("reply"))).select(
         *KEY_PARTS, "part",
         F.when(v.isNull(), F.lit(True))
         .otherwise(F.coalesce(F.try_variant_get(v, "$.is_duplicate", "boolean"), F.lit(False)))

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from coinsieve.functions.similarity import (
-    THRESHOLD, fuzzy_match, let, partial_score, pieces, pieces_col, ratio_matches, required_score,
+    THRESHOLD, fuzzy_match, partial_score, pieces, pieces_col, ratio_matches, required_score,
 )
-from coinsieve.functions.text import strip
+from coinsieve.functions.text import let, strip
 from coinsieve.operators.skew import skew_join
 
 # Tables up to this many rows are inlined as constants.
@@ -394,7 +394,7 @@ def similar_pairs(
     around = skew_join(
         text_cuts, _with_grams(words, "word", cut_texts), "gram", ["text_key", "text"], "inner"
     ).filter(F.length("word") > F.length("text"))
-    candidates = inside.unionByName(around).drop("gram").dropDuplicates(["text_key", "whole", entry_id])
+    candidates = inside.unionByName(around).drop("gram").dropDuplicates(["text_key", "whole", entry_id, "word"])
     checked = candidates.withColumn("exact", F.contains(F.col("whole"), F.col("raw")))
     if exact_only:
         return checked.filter("exact")

@@ -22,8 +22,7 @@ def statement_stream(
 ) -> DataFrame:
     """Stream of the statement files that appear below a path.
 
-    ``columns`` is the files' header; the layout picks from it by name. Rows
-    have a txn_id from file, text, date and amount, stable over restarts.
+    ``columns`` is the files' header; the layout picks from it by name.
     """
     known = LAYOUTS[layout] if isinstance(layout, str) else layout
     schema = ", ".join(f"`{c}` string" for c in columns)
@@ -64,7 +63,9 @@ def upsert_batch(
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        rows = batch if categorize is None else categorize(batch)
+        # The same files give the same places when a batch is replayed.
+        placed = batch if "seq" in batch.columns else batch.withColumn("seq", F.monotonically_increasing_id())
+        rows = placed if categorize is None else categorize(placed)
         kept = dedupe_exact(rows)
         known = stored_keys(batch.sparkSession, store, epoch)
         if known is not None:
