@@ -56,43 +56,39 @@ def few_shot(
 ) -> DataFrame:
     """(category, rank, example): corrections first, then the fixed examples.
 
-    ``static``: category, pos, example. ``corrections``: new_category, seq,
+    ``static``: category, rank, example. ``corrections``: new_category, seq,
     description, amount. The pool of a category holds its fixed examples and as
     many corrections as still fit; k of it are used.
     """
-    usable = corrections.filter(
+    told = corrections.filter(
         "description IS NOT NULL AND description <> '' AND amount IS NOT NULL AND amount <> 0"
+    ).select(
+        F.col("new_category").alias("category"), F.col("seq").alias("at"),
+        F.format_string("%s $%.2f", "description", "amount").alias("example"),
     )
-    by_seq = Window.partitionBy("category").orderBy("pos")
-    told = (
-        usable.join(static.select(F.col("category").alias("new_category")).distinct(), "new_category", "left_semi")
-        .select(
-            F.col("new_category").alias("category"), F.col("seq").alias("pos"),
-            F.format_string("%s $%.2f", "description", "amount").alias("example"),
-        )
-        .withColumn("rank", F.row_number().over(by_seq))
-        .filter(F.col("rank") <= pool)
+    room = static.groupBy("category").agg((F.lit(pool) - F.count(F.lit(1))).alias("room"))
+    # Spark keeps the first rows of each category before the shuffle.
+    by_order = Window.partitionBy("category").orderBy("at")
+    first = told.withColumn("n", F.row_number().over(by_order)).filter(F.col("n") <= pool)
+    fitting = first.join(room, "category").filter(F.col("n") <= F.col("room"))
+    both = fitting.select("category", "example", F.lit(0).alias("tier"), "at").unionByName(
+        static.select("category", "example", F.lit(1).alias("tier"), F.col("rank").cast("bigint").alias("at"))
     )
-    fixed = static.withColumn("rank", F.row_number().over(by_seq)).filter(F.col("rank") <= pool)
-    room = fixed.groupBy("category").agg((F.lit(pool) - F.count(F.lit(1))).alias("room"))
-    told = told.join(room, "category").filter(F.col("rank") <= F.col("room")).drop("room")
-    both = told.withColumn("tier", F.lit(0)).unionByName(fixed.withColumn("tier", F.lit(1)))
-    w = Window.partitionBy("category").orderBy("tier", "rank")
+    w = Window.partitionBy("category").orderBy("tier", "at")
     return (
-        both.select("category", "example", "tier", "rank")
-        .withColumn("place", F.row_number().over(w))
-        .filter(F.col("place") <= k)
-        .select("category", F.col("place").alias("rank"), "example")
+        both.withColumn("rank", F.row_number().over(w))
+        .filter(F.col("rank") <= k)
+        .select("category", "rank", "example")
     )
 
 
 def static_examples(spark, examples: dict[str, list[str]] | None = None) -> DataFrame:
     rows = [
-        (category, pos, text)
+        (category, rank, text)
         for category, texts in (examples or STATIC_EXAMPLES).items()
-        for pos, text in enumerate(texts)
+        for rank, text in enumerate(texts, 1)
     ]
-    return spark.createDataFrame(rows, "category string, pos bigint, example string")
+    return spark.createDataFrame(rows, "category string, rank bigint, example string")
 
 
 def new_rules_only(suggestions: DataFrame, rules: DataFrame) -> DataFrame:

@@ -6,10 +6,9 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from coinsieve.functions.parsing import net_amount, parse_amount, parse_date, strip_currency
-from coinsieve.functions.text import file_stem, strip
+from coinsieve.functions.text import file_stem, let, strip
 from coinsieve.operators.skew import skew_join
 from coinsieve.sources.layouts import (
     AMOUNT_MARKS, DATE_MARKS, LAYOUTS, TEXT_MARKS, UNKNOWN, Layout,
@@ -24,7 +23,7 @@ ROW_ID = ["file", "block", "line_no"]
 def with_provenance(df: DataFrame, source: Column | str | None = None) -> DataFrame:
     """Source and File of rows read from files."""
     path = F.col("_metadata.file_path")
-    named = identify_source(file_stem(path)) if source is None else source
+    named = identify_source(statement_name(path)) if source is None else source
     return df.select("*", (F.lit(named) if isinstance(named, str) else named).alias("source"),
                      path.alias("file"))
 
@@ -67,10 +66,20 @@ def read_inferred(spark: SparkSession, path: str) -> DataFrame:
 
 def _cells(line: Column) -> Column:
     """Cells of one CSV line, NULL when it has more than MAX_CELLS."""
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(MAX_CELLS + 1)])
-    parsed = F.from_csv(line, schema.simpleString()[7:-1].replace(":", " "), {"mode": "PERMISSIVE"})
-    cells = F.array(*[parsed[f"c{i}"] for i in range(MAX_CELLS)])
-    return F.when(parsed[f"c{MAX_CELLS}"].isNull(), cells)
+    schema = ", ".join(f"c{i} string" for i in range(MAX_CELLS + 1))
+
+    def listed(parsed: Column) -> Column:
+        cells = F.array(*[parsed[f"c{i}"] for i in range(MAX_CELLS)])
+        return F.when(parsed[f"c{MAX_CELLS}"].isNull(), cells)
+
+    return let(F.from_csv(line, schema, {"escape": '"'}), listed)
+
+
+def statement_name(path: Column) -> Column:
+    """Name a file goes by: its own, or its folder's when Spark wrote it."""
+    parts = F.split(path, "/")
+    own = F.element_at(parts, -1)
+    return file_stem(F.when(F.startswith(own, F.lit("part-")), F.element_at(parts, -2)).otherwise(own))
 
 
 def csv_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -96,7 +105,7 @@ def file_headers(lines: DataFrame) -> DataFrame:
     names = first.select(
         "file", "at",
         F.transform(F.coalesce(_cells(F.col("header")), F.array()), strip).alias("names"),
-        identify_source(file_stem(F.col("file"))).alias("source"),
+        identify_source(statement_name(F.col("file"))).alias("source"),
     )
 
     def first_named(marks: list[str]) -> Column:

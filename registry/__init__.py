@@ -1,4 +1,6 @@
 """Every registered query, with its check in SQL where SQL can express it."""
 
-from registry import caching, cleaning, duplicates, learning, matching, reports  # noqa: F401
+from registry import (  # noqa: F401
+    caching, cleaning, duplicates, enrichment, learning, matching, reports, sources, streams,
+)
 from registry.core import ORACLES, QUERIES  # noqa: F401
