@@ -93,6 +93,38 @@ def partial_edit_score(a: Column, b: Column) -> Column:
     return F.coalesce(let(pair, scored), F.lit(0))
 
 
+def within_edits(a: Column, b: Column, need: Column) -> Column:
+    """``partial_edit_score(a, b) >= need`` for two non-empty texts.
+
+    The score turns into a limit on the distance, so most windows are given up
+    early and the first good one ends the search.
+    """
+    a_first = F.length(a) <= F.length(b)
+    pair = F.struct(
+        F.when(a_first, a).otherwise(b).alias("short"),
+        F.when(a_first, b).otherwise(a).alias("long"),
+        F.least(F.length(a), F.length(b)).alias("size"),
+        F.greatest(F.length(a), F.length(b)).alias("room"),
+        (201 - 2 * need).alias("slack"),
+    )
+
+    def found(p: Column, width: Column) -> Column:
+        limit = F.floor(F.greatest(p["size"], width) * p["slack"] / 200).cast("int")
+        starts = F.sequence(F.lit(1), p["room"] - width + 1)
+        near = let(
+            limit,
+            lambda most: F.exists(
+                starts,
+                lambda i: F.call_function(
+                    "levenshtein", p["short"], F.substring(p["long"], i, width), most
+                ) >= 0,
+            ),
+        )
+        return (width >= 1) & (p["room"] >= width) & near
+
+    return let(pair, lambda p: found(p, p["size"]) | found(p, p["size"] + 1) | found(p, p["size"] - 1))
+
+
 def block_ratio(a: str, b: str) -> int:
     """Matching-block partial ratio of two texts, 0 to 100."""
     if not a or not b:

@@ -8,8 +8,13 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace as Python's str.strip/split see it, for Java regexes.
+# Whitespace as Python's str.strip/split see it: for regexes, and as characters.
 SPACE = r"[\s\p{Z}\x1c-\x1f\x85]"
+SPACES = "".join(
+    chr(c)
+    for c in [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+              0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+)
 
 # Literals deleted from descriptions, in this order.
 NOISE = ["ach debit", "ach credit", "online", "payment", "*"]
@@ -22,7 +27,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip(col: Column) -> Column:
     """Remove leading and trailing whitespace, Unicode spaces included."""
-    return F.regexp_replace(col, f"^{SPACE}+|{SPACE}+$", "")
+    return F.trim(col, F.lit(SPACES))
 
 
 def collapse_spaces(col: Column) -> Column:

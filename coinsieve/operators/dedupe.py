@@ -42,9 +42,10 @@ def key_counts(df: DataFrame) -> DataFrame:
 
 def flag_duplicates(df: DataFrame, **spread) -> DataFrame:
     """Add ``is_duplicate``: more than one row has this row's key."""
-    repeated = key_counts(df).filter("n > 1").select(*KEY_PARTS, F.lit(True).alias("_dup"))
+    counts = key_counts(df)
+    repeated = counts.filter("n > 1").select(*KEY_PARTS, F.lit(True).alias("_dup"))
     joined = skew_join(
-        with_dedupe_key(df), repeated, KEY_PARTS, "seq", "left", null_safe=True, **spread
+        with_dedupe_key(df), repeated, KEY_PARTS, "seq", "left", null_safe=True, counts=counts, **spread
     )
     return joined.withColumn("is_duplicate", F.coalesce("_dup", F.lit(False))).drop("_dup", *KEY_PARTS)
 
@@ -78,8 +79,11 @@ def duplicate_groups(df: DataFrame, members_per_part: int = MEMBERS_PER_PART, **
     one is cut by a hash of ``seq``, so no task gathers a whole hot group.
     Rows without a key are not grouped.
     """
-    repeated = key_counts(df).filter(F.col("n") > 1).filter(~_unknown_key())
-    rows = skew_join(with_dedupe_key(df), repeated, KEY_PARTS, "seq", "inner", **spread)
+    counts = key_counts(df)
+    repeated = counts.filter(F.col("n") > 1).filter(~_unknown_key())
+    rows = skew_join(
+        with_dedupe_key(df), repeated, KEY_PARTS, "seq", "inner", counts=counts, **spread
+    )
     parts = F.ceil(F.col("n") / members_per_part).cast("int")
     part = F.when(parts == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64("seq"), parts).cast("int"))
     member = F.struct("seq", "txn_id", "date", "description", "amount", "source")
@@ -112,15 +116,15 @@ def dedupe_adjudicated(df: DataFrame, verdicts: DataFrame, keep_dropped: bool =
     Rows without a key are flagged when there are several, and never dropped.
     With ``keep_dropped`` the rows stay, marked in ``dropped``.
     """
-    groups = key_counts(df).filter("n > 1")
-    info = groups.join(
+    counts = key_counts(df)
+    info = counts.filter("n > 1").join(
         verdicts.withColumnsRenamed(
             {"is_duplicate": "v_dup", "reasoning": "v_reason", "failed": "v_failed"}
         ).withColumn("judged", F.lit(True)),
         KEY_PARTS, "left",
     )
     rows = skew_join(
-        with_dedupe_key(df), info, KEY_PARTS, "seq", "left", null_safe=True, **spread
+        with_dedupe_key(df), info, KEY_PARTS, "seq", "left", null_safe=True, counts=counts, **spread
     )
     grouped, unknown = F.col("n").isNotNull(), _unknown_key()
     failed = F.coalesce("v_failed", F.lit(False))

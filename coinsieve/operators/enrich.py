@@ -47,9 +47,15 @@ def _with_retries(call, attempts: int, wait: tuple[float, float]):
     return None, error
 
 
+def _spread(df: DataFrame, key: list[str], tasks: int | None) -> DataFrame:
+    """Rows over a fixed number of tasks. Calls are slow while their rows are
+    few, so the tasks must not be merged by size; one per core by default."""
+    return df.repartition(tasks or df.sparkSession.sparkContext.defaultParallelism, *key)
+
+
 def ask_rows(
-    df: DataFrame, fn: RowReply, batch_size: int = BATCH_SIZE,
-    attempts: int = ATTEMPTS, wait: tuple[float, float] = WAIT_SECONDS,
+    df: DataFrame, fn: RowReply, key: list[str], batch_size: int = BATCH_SIZE,
+    attempts: int = ATTEMPTS, wait: tuple[float, float] = WAIT_SECONDS, tasks: int | None = None,
 ) -> DataFrame:
     """Add ``reply`` and ``error``; a failed batch has no replies."""
 
@@ -68,12 +74,12 @@ def ask_rows(
                 yield part.assign(reply=replies if replies is not None else None, error=error)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInPandas(run, f"{fields}, reply string, error string")
+    return _spread(df, key, tasks).mapInPandas(run, f"{fields}, reply string, error string")
 
 
 def ask_batches(
     df: DataFrame, column: str, fn: BatchReply, batch_size: int = BATCH_SIZE,
-    attempts: int = ATTEMPTS, wait: tuple[float, float] = WAIT_SECONDS,
+    attempts: int = ATTEMPTS, wait: tuple[float, float] = WAIT_SECONDS, tasks: int | None = None,
 ) -> DataFrame:
     """(items, reply, error): one text reply per batch of up to n values."""
 
@@ -85,7 +91,7 @@ def ask_batches(
                 reply, error = _with_retries(lambda rows=items: fn(rows), attempts, wait)
                 yield pd.DataFrame({"items": [items], "reply": [reply], "error": [error]})
 
-    return df.select(column).mapInPandas(run, "items array<string>, reply string, error string")
+    return _spread(df.select(column), [column], tasks).mapInPandas(run, "items array<string>, reply string, error string")
 
 
 def reply_lines(reply: Column) -> Column:
@@ -108,8 +114,7 @@ def align_replies(batches: DataFrame, fallback: Callable[[Column], Column] = nor
 
 
 def enrich(
-    df: DataFrame, fn: BatchReply, cache: DataFrame, batch_size: int = BATCH_SIZE,
-    attempts: int = ATTEMPTS, wait: tuple[float, float] = WAIT_SECONDS,
+    df: DataFrame, fn: BatchReply, cache: DataFrame, **calls
 ) -> tuple[DataFrame, DataFrame]:
     """Normalize descriptions by a batch function, through a cache.
 
@@ -119,7 +124,7 @@ def enrich(
     """
     keyed = df.withColumn("_key", description_key(F.col("description")))
     wanted = cache_misses(keyed.filter("description IS NOT NULL"), cache, "_key", "description")
-    aligned = align_replies(ask_batches(wanted, "description", fn, batch_size, attempts, wait))
+    aligned = align_replies(ask_batches(wanted, "description", fn, **calls))
     new = materialize(
         aligned.select(
             description_key(F.col("original")).alias("key"), "original", "result",
@@ -175,13 +180,13 @@ def classify(
 
     ``df`` has one row per key. Both stages are checkpointed.
     """
-    first = materialize(parse_result(ask_rows(df, primary, **calls)))
+    first = materialize(parse_result(ask_rows(df, primary, [key], **calls)))
     if escalate is None:
         return first.drop("parsed")
     unsure = first.filter(
         (F.col("confidence") < ESCALATE_BELOW) & (F.col("category") == UNCATEGORIZED) & F.col("parsed")
     ).select(*df.columns)
-    second = materialize(parse_result(ask_rows(unsure, escalate, **calls), "e_"))
+    second = materialize(parse_result(ask_rows(unsure, escalate, [key], **calls), "e_"))
     both = first.join(second.select(key, "e_category", "e_confidence", "e_reasoning", "e_parsed"), key, "left")
     better = F.coalesce(F.col("e_parsed") & (F.col("e_confidence") > F.col("confidence")), F.lit(False))
     return both.select(
@@ -246,7 +251,7 @@ def adjudicate(groups: DataFrame, fn: RowReply, **calls) -> DataFrame:
     )
     asked = groups.select(*KEY_PARTS, "part", F.to_json(shown).alias("records"))
     v = F.col("_json")
-    judged = ask_rows(asked, fn, **calls).withColumn("_json", parse_json(F.col("reply"))).select(
+    judged = ask_rows(asked, fn, [*KEY_PARTS, "part"], **calls).withColumn("_json", parse_json(F.col("reply"))).select(
         *KEY_PARTS, "part",
         F.when(v.isNull(), F.lit(True))
         .otherwise(F.coalesce(F.try_variant_get(v, "$.is_duplicate", "boolean"), F.lit(False)))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from coinsieve.functions.similarity import (
-    THRESHOLD, fuzzy_match, partial_score, pieces, pieces_col, ratio_matches, required_score,
+    THRESHOLD, fuzzy_match, pieces, pieces_col, ratio_matches, required_score, within_edits,
 )
 from coinsieve.functions.text import let, strip
 from coinsieve.operators.skew import skew_join
@@ -71,19 +71,28 @@ def _keyword_entries(rows: list[Row], threshold: int, matcher: str) -> list[dict
     ]
 
 
-def _texts(threshold: int, matcher: str) -> Column:
-    """Both texts of a row, as tested: lower-cased, and stripped for similarity."""
+def _texts(entries: list[dict] | None = None, threshold: int = THRESHOLD, matcher: str = "edit") -> Column:
+    """Both texts of a row, as tested: lower-cased, and stripped for similarity.
+
+    Pieces of a text matter only next to longer entries.
+    """
+    longest = max((len(e["word"]) for e in entries or []), default=0)
     norm = F.lower(F.coalesce(F.col("normalized_desc"), F.lit("")))
     orig = F.lower(F.coalesce(F.col("description"), F.lit("")))
     plain = F.struct(
         norm.alias("norm"), orig.alias("orig"), strip(norm).alias("n"), strip(orig).alias("o")
     )
+    if not longest:
+        return plain
+
+    def cuts(text: Column) -> Column:
+        return F.when(F.length(text) < longest, pieces_col(text, threshold, matcher))
+
     return let(
         plain,
         lambda t: F.struct(
-            t["norm"].alias("norm"), t["orig"].alias("orig"), t["n"].alias("n"), t["o"].alias("o"),
-            pieces_col(t["n"], threshold, matcher).alias("n_cuts"),
-            pieces_col(t["o"], threshold, matcher).alias("o_cuts"),
+            *[t[c].alias(c) for c in ("norm", "orig", "n", "o")],
+            cuts(t["n"]).alias("n_cuts"), cuts(t["o"]).alias("o_cuts"),
         ),
     )
 
@@ -110,7 +119,7 @@ def _similar(entry: Column, t: Column, threshold: int) -> Column:
     def near(text: Column, cuts: Column) -> Column:
         return _shares_piece(entry, text, cuts) & (
             F.contains(text, entry["word"])
-            | (partial_score(entry["word"], text, "edit") >= need)
+            | within_edits(entry["word"], text, need)
         )
 
     return near(t["n"], t["n_cuts"]) | near(t["o"], t["o_cuts"])
@@ -182,20 +191,22 @@ def match_rules(
     when the rule text occurs with its own capitals."""
     rows = bounded_rows(rules, max_inline)
     if rows is not None and matcher == "edit":
-        table = _constant(_rule_entries(rows, threshold, matcher))
+        entries = _rule_entries(rows, threshold, matcher)
+        table = _constant(entries)
 
         def pick(t: Column) -> Column:
             first = F.get(F.filter(table, lambda r: _applies(r) & _similar(r, t, threshold)), F.lit(0))
             return let(first, lambda r: _rule_result(r, t, raw_label))
 
-        return txns.withColumn("rule_match", let(_texts(threshold, matcher), pick))
+        return txns.withColumn("rule_match", let(_texts(entries, threshold, matcher), pick))
 
     keyed = _with_text_key(txns)
     texts = _distinct_texts(keyed)
     if rows is not None:
-        table = _constant(_rule_entries(rows, threshold, matcher))
+        listed = _rule_entries(rows, threshold, matcher)
+        table = _constant(listed)
         found = (
-            texts.withColumn("t", _texts(threshold, matcher))
+            texts.withColumn("t", _texts(listed, threshold, matcher))
             .withColumn("possible", F.filter(table, lambda r: _possible(r, F.col("t"))))
             .filter(F.size("possible") > 0)
             .withColumn(
@@ -227,7 +238,7 @@ def match_rules(
         return let(first, lambda r: _rule_result(r, t, raw_label))
 
     joined = skew_join(keyed, found, "text_key", "txn_id", "left")
-    return joined.withColumn("rule_match", let(_texts(threshold, matcher), pick_hit)).drop(
+    return joined.withColumn("rule_match", let(_texts(), pick_hit)).drop(
         "text_key", "hits"
     )
 
@@ -249,7 +260,7 @@ def match_keywords_exact(
         first = F.get(F.filter(table, lambda k: _contained(k["raw"], t)), F.lit(0))
         return let(first, lambda k: _keyword_result(k, F.lit(True)))
 
-    return txns.withColumn("keyword_match", let(_texts(THRESHOLD, "edit"), pick))
+    return txns.withColumn("keyword_match", let(_texts(), pick))
 
 
 def match_keywords(
@@ -265,7 +276,8 @@ def match_keywords(
     rows = bounded_rows(keywords, max_inline)
     if rows is None:
         return _match_many_keywords(txns, keywords, threshold, matcher)
-    table = _constant(_keyword_entries(rows, threshold, matcher))
+    entries = _keyword_entries(rows, threshold, matcher)
+    table = _constant(entries)
 
     def exact_hit(t: Column) -> Column:
         return F.get(F.filter(table, lambda k: _contained(k["raw"], t)), F.lit(0))
@@ -286,12 +298,12 @@ def match_keywords(
 
             return let(exact_hit(t), with_exact)
 
-        return txns.withColumn("keyword_match", let(_texts(threshold, matcher), pick))
+        return txns.withColumn("keyword_match", let(_texts(entries, threshold, matcher), pick))
 
     keyed = _with_text_key(txns)
     found = (
         _distinct_texts(keyed)
-        .withColumn("t", _texts(threshold, matcher))
+        .withColumn("t", _texts(entries, threshold, matcher))
         .withColumn("exact", exact_hit(F.col("t")))
         .withColumn(
             "possible",

@@ -15,15 +15,28 @@ ROWS_PER_TASK = 2_000_000
 MAX_HOT_KEYS = 100_000
 
 
-def hot_keys(left: DataFrame, keys: list[str], rows_per_task: int) -> DataFrame:
-    """(_jk, _js): hash and task count of every key with too many rows."""
-    freq = left.groupBy(F.xxhash64(*keys).alias("_jk")).agg(F.count(F.lit(1)).alias("_jn"))
+# A table below this many bytes of JSON is broadcast by ``attach``.
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def hot_keys(
+    left: DataFrame, keys: list[str], rows_per_task: int, counts: DataFrame | None = None
+) -> DataFrame:
+    """(_jk, _js): hash and task count of every key with too many rows.
+
+    ``counts`` (keys, n) saves counting again where the caller has done so.
+    """
+    if counts is None:
+        freq = left.groupBy(F.xxhash64(*keys).alias("_jk")).agg(F.count(F.lit(1)).alias("_jn"))
+    else:
+        freq = counts.select(F.xxhash64(*keys).alias("_jk"), F.col("n").alias("_jn"))
     total = freq.agg(F.sum("_jn").alias("n")).scalar()
     grain = F.greatest(F.lit(rows_per_task), F.ceil(total / MAX_HOT_KEYS))
     return (
         freq.withColumn("_jg", grain)
         .filter(F.col("_jn") > F.col("_jg"))
-        .select("_jk", F.ceil(F.col("_jn") / F.col("_jg")).cast("int").alias("_js"))
+        .groupBy("_jk")
+        .agg(F.ceil(F.max(F.col("_jn") / F.col("_jg"))).cast("int").alias("_js"))
     )
 
 
@@ -35,6 +48,7 @@ def skew_join(
     how: str = "left",
     rows_per_task: int = ROWS_PER_TASK,
     null_safe: bool = False,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join that splits the hot keys of ``left`` over many tasks.
 
@@ -47,7 +61,7 @@ def skew_join(
     ids = [row_id] if isinstance(row_id, str) else list(row_id)
     types = {f.name: f.dataType for f in left.schema.fields}
     right = right.withColumns({k: F.col(k).cast(types[k]) for k in keys})
-    hot = F.broadcast(hot_keys(left, keys, rows_per_task))
+    hot = F.broadcast(hot_keys(left, keys, rows_per_task, counts))
 
     salted = (
         left.withColumn("_jk", F.xxhash64(*keys))
@@ -83,6 +97,17 @@ def skew_join(
     return salted.join(renamed, condition, how).drop("_salt", *[f"_r_{k}" for k in [*keys, "_salt"]])
 
 
+def attach(
+    left: DataFrame, right: DataFrame, on: str | list[str], row_id: str | list[str], how: str = "left"
+) -> DataFrame:
+    """Join with a table that is already written: broadcast it when its measured
+    size is small, so ``left`` is not shuffled at all, else ``skew_join``."""
+    size = right.agg(F.sum(F.octet_length(F.to_json(F.struct(*right.columns)))).alias("b")).first().b
+    if (size or 0) <= MAX_BROADCAST_BYTES:
+        return left.join(F.broadcast(right), on, how)
+    return skew_join(left, right, on, row_id, how)
+
+
 def with_row_number(df: DataFrame, order: list[Column], name: str = "row_number") -> DataFrame:
     """Global 1, 2, 3, … in the given order without a one-task window.
 

@@ -15,7 +15,7 @@ from coinsieve.operators.match import match_keywords, match_rules
 from coinsieve.operators.rows import (
     REVIEW_BELOW, confidence_gate, ensure_columns, is_uncategorized, pending, reset_uncategorized,
 )
-from coinsieve.operators.skew import skew_join
+from coinsieve.operators.skew import attach
 from coinsieve.schema import ENRICHMENT, UNCATEGORIZED
 from coinsieve.session import materialize
 
@@ -96,16 +96,16 @@ def categorize(
 
 
 def _ask_rest(df: DataFrame, model: Model) -> DataFrame:
-    """Ask the model once per distinct undecided transaction."""
+    """Ask the model once per distinct undecided transaction.
+
+    Only the undecided rows are checkpointed and joined with the answers; rows
+    that a rule decided pass through.
+    """
     parts = ["date", "description", "normalized_desc", "amount", "source"]
-    keyed = materialize(
-        df.withColumn("ask_key", F.when(F.col("_r").isNull(), F.md5(F.to_json(F.struct(*parts)))))
-    )
-    asked = (
-        keyed.filter("ask_key IS NOT NULL")
-        .groupBy("ask_key")
-        .agg(*[F.min(p).alias(p) for p in parts])
+    rest = materialize(
+        df.filter("_r IS NULL").withColumn("ask_key", F.md5(F.to_json(F.struct(*parts))))
     )
+    asked = rest.groupBy("ask_key").agg(*[F.min(p).alias(p) for p in parts])
     answers = classify(
         build_prompt(asked, model.examples), model.primary, model.escalate, "ask_key", **model.calls
     ).select(
@@ -114,8 +114,11 @@ def _ask_rest(df: DataFrame, model: Model) -> DataFrame:
             "category", "confidence", "reasoning", F.lit("model").alias("match_type")
         ).alias("_answer"),
     )
-    joined = skew_join(keyed, answers, "ask_key", "txn_id", "left")
-    return joined.withColumn("_r", F.coalesce("_r", "_answer")).drop("ask_key", "_answer")
+    answered = attach(rest.drop("_r"), answers, "ask_key", "txn_id")
+    decided = df.filter("_r IS NOT NULL")
+    return decided.unionByName(
+        answered.withColumnRenamed("_answer", "_r").drop("ask_key"), allowMissingColumns=True
+    )
 
 
 def cache_entries(categorized: DataFrame, rules: DataFrame | None) -> DataFrame:

@@ -52,7 +52,6 @@ def run(
     combined = materialize(done.unionByName(fresh))
     write_combined(combined, f"{output}/combined")
     kept = dedupe(combined, "adjudicated" if judge else "exact", judge, **(calls if judge else {}))
-    kept = materialize(kept)
     write_deduped(kept, f"{output}/deduplicated")
     return combined, kept, rejected
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from coinsieve.functions.parsing import net_amount, parse_amount, parse_date, strip_currency
 from coinsieve.functions.text import file_stem, let, strip
-from coinsieve.operators.skew import skew_join
+from coinsieve.operators.skew import attach
+from coinsieve.session import materialize
 from coinsieve.sources.layouts import (
     AMOUNT_MARKS, DATE_MARKS, LAYOUTS, TEXT_MARKS, UNKNOWN, Layout,
     identify_source, infer_layout, quoted, raw_amount,
@@ -99,11 +100,12 @@ def csv_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def file_headers(lines: DataFrame) -> DataFrame:
     """One row per file: header names, bank and the layout they give."""
-    first = lines.groupBy("file").agg(
-        F.min(F.struct("block", "line_no", "value")).alias("first")
-    ).select("file", F.col("first.value").alias("header"), F.struct("first.block", "first.line_no").alias("at"))
-    names = first.select(
-        "file", "at",
+    # Only a long per file is aggregated, so no text is sorted to find it.
+    start = lines.filter("block = 0")
+    first = start.groupBy("file").agg(F.min("line_no").alias("line_no"))
+    heads = start.join(first, ["file", "line_no"]).withColumnRenamed("value", "header")
+    names = heads.select(
+        "file", F.col("line_no").alias("head_no"),
         F.transform(F.coalesce(_cells(F.col("header")), F.array()), strip).alias("names"),
         identify_source(statement_name(F.col("file"))).alias("source"),
     )
@@ -155,16 +157,16 @@ def scan_statements(
     as (file, problem); ``on_error='fail'`` raises for the first one instead.
     """
     lines = csv_lines(spark, path)
-    headers = file_headers(lines)
+    headers = materialize(file_headers(lines))
     rejected = headers.filter("problem IS NOT NULL").select("file", "problem")
     if on_error == "fail":
         bad = rejected.first()
         if bad is not None:
             raise ValueError(f"{bad.file}: {bad.problem}")
-    usable = headers.filter("problem IS NULL").select("file", "at", "names", "source", "layout")
+    usable = headers.filter("problem IS NULL").select("file", "head_no", "names", "source", "layout")
     body = (
-        skew_join(lines, usable, "file", ROW_ID, "inner")
-        .filter(F.struct("block", "line_no") != F.col("at"))
+        attach(lines, usable, "file", ROW_ID, "inner")
+        .filter("block > 0 OR line_no <> head_no")
         .withColumn("cells", _cells(F.col("value")))
     )
 

@@ -25,6 +25,13 @@ def connect(sf_dir: str):
     return con
 
 
+# DuckDB type of each Spark type in results.
+TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+    "boolean": "BOOLEAN", "date": "DATE",
+}
+
+
 def plain(value):
     if isinstance(value, float):
         return None if math.isnan(value) else value
@@ -53,6 +60,12 @@ def compare(spark, con, name, fn, sql, sf_dir) -> dict:
     out["sql_sec"] = round(time.time() - start, 2)
     if sorted(columns) != sorted(df.columns):
         return out | {"ok": False, "why": f"columns {sorted(df.columns)} != {sorted(columns)}"}
+    sql_types = {d[0]: str(d[1]) for d in cur.description}
+    differ = {
+        c: (t, sql_types[c]) for c, t in df.dtypes if TYPES.get(t) != sql_types[c]
+    }
+    if differ:
+        return out | {"ok": False, "why": f"types {differ}"}
     if got != want:
         extra = [r for r in got if r not in set(want)][:2] if len(got) < 200000 else []
         missing = [r for r in want if r not in set(got)][:2] if len(got) < 200000 else []
