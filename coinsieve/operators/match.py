@@ -382,7 +382,8 @@ def similar_pairs(
 
     The shorter text of a pair is cut into pieces, the longer one into grams of
     the piece lengths; a piece that equals a gram makes the pair a candidate.
-    No pair at or above the threshold is missed.
+    No pair at or above the threshold is missed. For containment alone the word
+    is one piece.
     """
     sides = F.explode(
         F.array_distinct(
@@ -395,21 +396,22 @@ def similar_pairs(
         .filter("text <> ''")
     )
     words = entries.filter("word <> ''")
-    cut_words = words.withColumn("cuts", pieces_col(F.col("word"), threshold, matcher))
-    cut_texts = text.withColumn("cuts", pieces_col(F.col("text"), threshold, matcher))
-
+    share = F.array("word") if exact_only else pieces_col(F.col("word"), threshold, matcher)
+    cut_words = words.withColumn("cuts", share)
     word_cuts = cut_words.withColumn("gram", F.explode(F.array_distinct("cuts"))).drop("cuts")
     inside = skew_join(
         _with_grams(text, "text", cut_words), word_cuts, "gram", ["text_key", "text"], "inner"
     ).filter(F.length("word") <= F.length("text"))
+    if exact_only:
+        return inside.drop("gram").filter(F.contains("whole", "raw")).withColumn("exact", F.lit(True))
+
+    cut_texts = text.withColumn("cuts", pieces_col(F.col("text"), threshold, matcher))
     text_cuts = cut_texts.withColumn("gram", F.explode(F.array_distinct("cuts"))).drop("cuts")
     around = skew_join(
         text_cuts, _with_grams(words, "word", cut_texts), "gram", ["text_key", "text"], "inner"
     ).filter(F.length("word") > F.length("text"))
     candidates = inside.unionByName(around).drop("gram").dropDuplicates(["text_key", "whole", entry_id, "word"])
     checked = candidates.withColumn("exact", F.contains(F.col("whole"), F.col("raw")))
-    if exact_only:
-        return checked.filter("exact")
     # A keyword with blanks at its ends may be contained only without them;
     # that is a similarity match, as for any other inexact hit.
     return checked.filter(

@@ -24,11 +24,9 @@ def read_answers(df: DataFrame, responses: DataFrame) -> DataFrame:
     Responses: txn_id, response and optionally entry (asked-for category).
     """
     entry = F.col("entry") if "entry" in responses.columns else None
-    read = review_candidates(df).join(
-        responses.withColumns(
-            {"intent": intent(F.col("response")), "new_category": mentioned_category(F.col("response"), entry)}
-        ),
-        "txn_id",
+    heard = review_candidates(df).join(responses, "txn_id")
+    read = heard.withColumn("intent", intent(F.col("response"))).withColumn(
+        "new_category", F.when(F.col("intent") == "change", mentioned_category(F.col("response"), entry))
     )
     place = F.struct(*PLACE)
     stop = read.filter("intent = 'quit'").agg(F.min(place).alias("p")).scalar()
