@@ -125,6 +125,13 @@ def within_edits(a: Column, b: Column, need: Column) -> Column:
     return let(pair, lambda p: found(p, p["size"]) | found(p, p["size"] + 1) | found(p, p["size"] - 1))
 
 
+def ratio_bound(a: str, b: str) -> int:
+    """No alignment can score more than this: shared letters, well placed."""
+    short, long = (a, b) if len(a) <= len(b) else (b, a)
+    shared = sum(min(short.count(c), long.count(c)) for c in set(short))
+    return math.floor(200 * shared / (len(short) + shared) + 0.5) if shared else 0
+
+
 def block_ratio(a: str, b: str) -> int:
     """Matching-block partial ratio of two texts, 0 to 100."""
     if not a or not b:
@@ -144,12 +151,28 @@ def partial_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([block_ratio(x or "", y or "") for x, y in zip(a, b)], dtype="int32")
 
 
+@F.pandas_udf(T.BooleanType())
+def within_ratio(a: pd.Series, b: pd.Series, need: pd.Series) -> pd.Series:
+    """``block_ratio(a, b) >= need``, aligned only where the letters allow it."""
+    return pd.Series(
+        [n <= 0 or (ratio_bound(x, y) >= n and block_ratio(x, y) >= n) for x, y, n in zip(a, b, need)],
+        dtype="bool",
+    )
+
+
 def partial_score(a: Column, b: Column, matcher: str) -> Column:
     if matcher not in MATCHERS:
         raise ValueError(f"matcher must be one of {MATCHERS}")
     return partial_edit_score(a, b) if matcher == "edit" else partial_ratio(a, b)
 
 
+def reaches(a: Column, b: Column, need: Column, matcher: str) -> Column:
+    """Whether two non-empty texts score at least ``need``; any pair reaches 0."""
+    if matcher not in MATCHERS:
+        raise ValueError(f"matcher must be one of {MATCHERS}")
+    return (need <= 0) | within_edits(a, b, need) if matcher == "edit" else within_ratio(a, b, need)
+
+
 def fuzzy_match(rule: Column, text: Column, threshold: int = THRESHOLD, matcher: str = "edit") -> Column:
     """Containment, or similarity at the threshold; an empty side never matches.
 
@@ -160,23 +183,3 @@ def fuzzy_match(rule: Column, text: Column, threshold: int = THRESHOLD, matcher:
         .when(F.contains(text, rule), F.lit(True))
         .otherwise(partial_score(rule, text, matcher) >= required_score(rule, threshold))
     )
-
-
-def ratio_matches(threshold: int, first_only: bool):
-    """Arrow function: positions of the candidates similar to either text."""
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def matches(text: pd.Series, other: pd.Series, candidates: pd.Series) -> pd.Series:
-        out = []
-        for left, right, names in zip(text, other, candidates):
-            found = []
-            for position, name in enumerate(names if names is not None else ()):
-                need = max(threshold, SHORT_THRESHOLD) if len(name) <= SHORT_RULE else threshold
-                if block_ratio(name, left or "") >= need or block_ratio(name, right or "") >= need:
-                    found.append(position)
-                    if first_only:
-                        break
-            out.append(found)
-        return pd.Series(out)
-
-    return matches

@@ -1,10 +1,10 @@
 """Ordered first-match categorization by rules and keywords.
 
-A rule or keyword table of checked size becomes one constant array, so matching
-is a projection without any join or shuffle. Larger tables go through an equi-
-join on shared pieces of text (see ``functions.similarity``), which finds the
-same pairs. The ratio score runs in Python, so it sees each distinct text once
-and its result is joined back.
+A short list becomes one constant array, so matching is a projection without any
+join or shuffle. Otherwise each distinct text is matched once, through an equi-
+join on shared pieces of text (see ``functions.similarity``) that finds the same
+pairs, and the result is joined back; that join is a broadcast while the matched
+texts are few. The ratio score runs in Python and always goes the second way.
 """
 
 from __future__ import annotations
@@ -13,15 +13,19 @@ import json
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from coinsieve.functions.similarity import (
-    THRESHOLD, fuzzy_match, pieces, pieces_col, ratio_matches, required_score, within_edits,
+    THRESHOLD, pieces, pieces_col, reaches, required_score, within_edits,
 )
 from coinsieve.functions.text import let, strip
-from coinsieve.operators.skew import skew_join
+from coinsieve.operators.skew import attach
+from coinsieve.session import materialize
 
-# Tables up to this many rows are inlined as constants.
-MAX_INLINE = 1_000
+# Lists up to this many entries are inlined: each costs every row about 0.1 µs
+# by containment and 1 µs by similarity.
+MAX_INLINE_EXACT = 500
+MAX_INLINE = 32
 
 # Confidence and reason by kind of match.
 RULE_EXACT, RULE_FUZZY = 0.95, 0.9
@@ -30,7 +34,7 @@ RULE_REASON = "Matched custom rule ({} match)"
 KEYWORD_REASON = "Matched hardcoded rule ({} match)"
 
 ENTRY_JSON = (
-    "array<struct<pos:int,ord:bigint,raw:string,label:string,word:string,cuts:array<string>,"
+    "array<struct<ord:bigint,raw:string,label:string,word:string,cuts:array<string>,"
     "category:string,amount:double,low:int,high:int>>"
 )
 
@@ -45,33 +49,30 @@ def _constant(entries: list[dict]) -> Column:
     return F.from_json(F.lit(json.dumps(entries)), ENTRY_JSON)
 
 
-def _entry(pos: int, order: int, text: str, category: str, threshold: int, matcher: str, **extra) -> dict:
+def _entry(order: int, text: str, category: str, threshold: int, **extra) -> dict:
     word = text.lower().strip()
-    cuts = pieces(word, threshold, matcher) if word else []
+    cuts = pieces(word, threshold, "edit") if word else []
     return {
-        "pos": pos, "ord": order, "raw": text.lower(), "label": text, "word": word,
+        "ord": order, "raw": text.lower(), "label": text, "word": word,
         "cuts": cuts, "category": category, **extra,
     }
 
 
-def _rule_entries(rows: list[Row], threshold: int, matcher: str) -> list[dict]:
+def _rule_entries(rows: list[Row], threshold: int) -> list[dict]:
     out = []
-    for pos, r in enumerate(sorted(rows, key=lambda r: r.rule_ord)):
-        days = list(r.day_range or []) + [None, None]
-        out.append(_entry(pos, r.rule_ord, r.description or "", r.category, threshold, matcher,
-                          amount=r.amount, low=days[0], high=days[1]))
+    for r in sorted(rows, key=lambda r: r.rule_ord):
+        low, high, *_ = [*(r.day_range or []), None, None]
+        out.append(_entry(r.rule_ord, r.description or "", r.category, threshold,
+                          amount=r.amount, low=low, high=high))
     return out
 
 
-def _keyword_entries(rows: list[Row], threshold: int, matcher: str) -> list[dict]:
+def _keyword_entries(rows: list[Row], threshold: int) -> list[dict]:
     ordered = sorted(rows, key=lambda r: (r.cat_ord, r.kw_ord))
-    return [
-        _entry(pos, r.cat_ord, r.keyword, r.category, threshold, matcher)
-        for pos, r in enumerate(ordered)
-    ]
+    return [_entry(r.cat_ord, r.keyword, r.category, threshold) for r in ordered]
 
 
-def _texts(entries: list[dict] | None = None, threshold: int = THRESHOLD, matcher: str = "edit") -> Column:
+def _texts(entries: list[dict] | None = None, threshold: int = THRESHOLD) -> Column:
     """Both texts of a row, as tested: lower-cased, and stripped for similarity.
 
     Pieces of a text matter only next to longer entries.
@@ -86,7 +87,7 @@ def _texts(entries: list[dict] | None = None, threshold: int = THRESHOLD, matche
         return plain
 
     def cuts(text: Column) -> Column:
-        return F.when(F.length(text) < longest, pieces_col(text, threshold, matcher))
+        return F.when(F.length(text) < longest, pieces_col(text, threshold, "edit"))
 
     return let(
         plain,
@@ -108,10 +109,6 @@ def _shares_piece(entry: Column, text: Column, cuts: Column) -> Column:
     )
 
 
-def _possible(entry: Column, t: Column) -> Column:
-    return _shares_piece(entry, t["n"], t["n_cuts"]) | _shares_piece(entry, t["o"], t["o_cuts"])
-
-
 def _similar(entry: Column, t: Column, threshold: int) -> Column:
     """Edit similarity of an entry to either text."""
     need = required_score(entry["word"], threshold)
@@ -175,6 +172,11 @@ def _distinct_texts(df: DataFrame) -> DataFrame:
     )
 
 
+def _join_back(keyed: DataFrame, found: DataFrame) -> DataFrame:
+    """Results per text, joined to the rows with that text."""
+    return attach(keyed, materialize(found), "text_key", "txn_id", "left").drop("text_key")
+
+
 # --- rules -----------------------------------------------------------------
 
 
@@ -189,72 +191,50 @@ def match_rules(
     """Add ``rule_match``: result of the first rule whose text, amount and day
     range fit, NULL when none does. ``raw_label=True`` calls a match exact only
     when the rule text occurs with its own capitals."""
-    rows = bounded_rows(rules, max_inline)
-    if rows is not None and matcher == "edit":
-        entries = _rule_entries(rows, threshold, matcher)
+    rows = bounded_rows(rules, max_inline) if matcher == "edit" else None
+    if rows is not None:
+        entries = _rule_entries(rows, threshold)
         table = _constant(entries)
 
         def pick(t: Column) -> Column:
             first = F.get(F.filter(table, lambda r: _applies(r) & _similar(r, t, threshold)), F.lit(0))
             return let(first, lambda r: _rule_result(r, t, raw_label))
 
-        return txns.withColumn("rule_match", let(_texts(entries, threshold, matcher), pick))
+        return txns.withColumn("rule_match", let(_texts(entries, threshold), pick))
 
+    fields = ["ord", "raw", "label", "category", "amount", "low", "high"]
+    listed = rules.select(
+        F.col("rule_ord").alias("ord"),
+        F.lower("description").alias("raw"), F.col("description").alias("label"),
+        strip(F.lower("description")).alias("word"), "category", "amount",
+        F.get("day_range", F.lit(0)).alias("low"), F.get("day_range", F.lit(1)).alias("high"),
+    )
     keyed = _with_text_key(txns)
-    texts = _distinct_texts(keyed)
-    if rows is not None:
-        listed = _rule_entries(rows, threshold, matcher)
-        table = _constant(listed)
-        found = (
-            texts.withColumn("t", _texts(listed, threshold, matcher))
-            .withColumn("possible", F.filter(table, lambda r: _possible(r, F.col("t"))))
-            .filter(F.size("possible") > 0)
-            .withColumn(
-                "at",
-                ratio_matches(threshold, False)(
-                    F.col("t.n"), F.col("t.o"), F.transform("possible", lambda r: r["word"])
-                ),
-            )
-            .select("text_key", F.transform("at", lambda i: F.get("possible", i)).alias("hits"))
-        )
-    else:
-        entries = rules.select(
-            F.col("rule_ord").alias("ord"),
-            F.lower("description").alias("raw"), F.col("description").alias("label"),
-            strip(F.lower("description")).alias("word"), "category", "amount",
-            F.get("day_range", F.lit(0)).alias("low"), F.get("day_range", F.lit(1)).alias("high"),
-        )
-        fields = ["ord", "raw", "label", "category", "amount", "low", "high"]
-        pairs = similar_pairs(texts, entries, "ord", threshold, matcher)
-        # Of rules with the same amount and days only the first can win, so the
-        # list kept per text has one entry per amount and day range.
-        firsts = pairs.groupBy("text_key", "amount", "low", "high").agg(
-            F.min(F.struct(*fields)).alias("hit")
-        )
-        found = firsts.groupBy("text_key").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
+    pairs = similar_pairs(_distinct_texts(keyed), listed, threshold, matcher)
+    # Of rules with the same amount and days only the first can win, so the list
+    # kept per text has one entry per amount and day range.
+    firsts = pairs.groupBy("text_key", "amount", "low", "high").agg(F.min(F.struct(*fields)).alias("hit"))
+    found = firsts.groupBy("text_key").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
 
     def pick_hit(t: Column) -> Column:
         first = F.get(F.filter("hits", _applies), F.lit(0))
         return let(first, lambda r: _rule_result(r, t, raw_label))
 
-    joined = skew_join(keyed, found, "text_key", "txn_id", "left")
-    return joined.withColumn("rule_match", let(_texts(), pick_hit)).drop(
-        "text_key", "hits"
-    )
+    return _join_back(keyed, found).withColumn("rule_match", let(_texts(), pick_hit)).drop("hits")
 
 
 # --- keywords --------------------------------------------------------------
 
 
 def match_keywords_exact(
-    txns: DataFrame, keywords: DataFrame, max_inline: int = MAX_INLINE
+    txns: DataFrame, keywords: DataFrame, max_inline: int = MAX_INLINE_EXACT
 ) -> DataFrame:
     """Add ``keyword_match`` by containment only: the first category with a
     keyword inside either text."""
     rows = bounded_rows(keywords, max_inline)
     if rows is None:
-        return _match_many_keywords(txns, keywords, THRESHOLD, "edit", exact_only=True)
-    table = _constant(_keyword_entries(rows, THRESHOLD, "edit"))
+        return _match_many_keywords(txns, keywords, exact_only=True)
+    table = _constant(_keyword_entries(rows, THRESHOLD))
 
     def pick(t: Column) -> Column:
         first = F.get(F.filter(table, lambda k: _contained(k["raw"], t)), F.lit(0))
@@ -273,71 +253,39 @@ def match_keywords(
     """Add ``keyword_match``: within each category in order, containment and
     then similarity, so a similar keyword of an earlier category wins over a
     contained keyword of a later one."""
-    rows = bounded_rows(keywords, max_inline)
+    rows = bounded_rows(keywords, max_inline) if matcher == "edit" else None
     if rows is None:
         return _match_many_keywords(txns, keywords, threshold, matcher)
-    entries = _keyword_entries(rows, threshold, matcher)
+    entries = _keyword_entries(rows, threshold)
     table = _constant(entries)
 
-    def exact_hit(t: Column) -> Column:
-        return F.get(F.filter(table, lambda k: _contained(k["raw"], t)), F.lit(0))
-
-    def before(k: Column, exact: Column) -> Column:
-        return exact.isNull() | (k["ord"] < exact["ord"])
-
-    if matcher == "edit":
+    def pick(t: Column) -> Column:
+        def with_exact(e: Column) -> Column:
+            near = F.filter(
+                table, lambda k: (e.isNull() | (k["ord"] < e["ord"])) & _similar(k, t, threshold)
+            )
+            return let(
+                F.get(near, F.lit(0)), lambda k: _keyword_result(F.coalesce(k, e), k.isNull())
+            )
 
-        def pick(t: Column) -> Column:
-            def with_exact(e: Column) -> Column:
-                near = F.get(
-                    F.filter(table, lambda k: before(k, e) & _similar(k, t, threshold)), F.lit(0)
-                )
-                return let(
-                    near, lambda k: _keyword_result(F.coalesce(k, e), k.isNull())
-                )
+        exact = F.get(F.filter(table, lambda k: _contained(k["raw"], t)), F.lit(0))
+        return let(exact, with_exact)
 
-            return let(exact_hit(t), with_exact)
-
-        return txns.withColumn("keyword_match", let(_texts(entries, threshold, matcher), pick))
-
-    keyed = _with_text_key(txns)
-    found = (
-        _distinct_texts(keyed)
-        .withColumn("t", _texts(entries, threshold, matcher))
-        .withColumn("exact", exact_hit(F.col("t")))
-        .withColumn(
-            "possible",
-            let(
-                F.struct("t", "exact"),
-                lambda x: F.filter(table, lambda k: before(k, x["exact"]) & _possible(k, x["t"])),
-            ),
-        )
-        .withColumn(
-            "at",
-            ratio_matches(threshold, True)(
-                F.col("t.n"), F.col("t.o"), F.transform("possible", lambda k: k["word"])
-            ),
-        )
-        .withColumn("near", F.get("possible", F.get("at", F.lit(0))))
-        .select(
-            "text_key",
-            _keyword_result(
-                F.coalesce(F.col("near"), F.col("exact")), F.col("near").isNull()
-            ).alias("keyword_match"),
-        )
-    )
-    return skew_join(keyed, found, "text_key", "txn_id", "left").drop("text_key")
+    return txns.withColumn("keyword_match", let(_texts(entries, threshold), pick))
 
 
 def _match_many_keywords(
-    txns: DataFrame, keywords: DataFrame, threshold: int, matcher: str, exact_only: bool = False
+    txns: DataFrame, keywords: DataFrame, threshold: int = THRESHOLD, matcher: str = "edit",
+    exact_only: bool = False,
 ) -> DataFrame:
-    entries = keywords.select(
+    listed = keywords.select(
         F.struct("cat_ord", "kw_ord").alias("ord"),
         F.lower("keyword").alias("raw"), strip(F.lower("keyword")).alias("word"), "category",
     )
     keyed = _with_text_key(txns)
-    pairs = similar_pairs(_distinct_texts(keyed), entries, "ord", threshold, matcher, exact_only)
+    pairs = similar_pairs(
+        _distinct_texts(keyed), listed, threshold, matcher, exact_only, F.col("ord.cat_ord")
+    )
     best = pairs.groupBy("text_key").agg(
         F.min(
             F.struct(
@@ -346,13 +294,15 @@ def _match_many_keywords(
             )
         ).alias("best")
     )
-    found = best.select(
-        "text_key", _keyword_result(F.col("best"), F.col("best.rank") == 0).alias("keyword_match")
+    return _join_back(
+        keyed,
+        best.select(
+            "text_key", _keyword_result(F.col("best"), F.col("best.rank") == 0).alias("keyword_match")
+        ),
     )
-    return skew_join(keyed, found, "text_key", "txn_id", "left").drop("text_key")
 
 
-# --- tables too large to inline ----------------------------------------------
+# --- pairs of similar texts ---------------------------------------------------
 
 
 def _with_grams(df: DataFrame, text: str, cut: DataFrame) -> DataFrame:
@@ -373,17 +323,18 @@ def _with_grams(df: DataFrame, text: str, cut: DataFrame) -> DataFrame:
 def similar_pairs(
     texts: DataFrame,
     entries: DataFrame,
-    entry_id: str,
     threshold: int,
     matcher: str,
     exact_only: bool = False,
+    tier: Column | None = None,
 ) -> DataFrame:
     """All (text_key, entry) pairs that match, without comparing every pair.
 
     The shorter text of a pair is cut into pieces, the longer one into grams of
     the piece lengths; a piece that equals a gram makes the pair a candidate.
     No pair at or above the threshold is missed. For containment alone the word
-    is one piece.
+    is one piece. With a ``tier`` of the entries, similarity is tested only in
+    tiers before the first one with a contained entry, as no other can win.
     """
     sides = F.explode(
         F.array_distinct(
@@ -399,7 +350,7 @@ def similar_pairs(
     share = F.array("word") if exact_only else pieces_col(F.col("word"), threshold, matcher)
     cut_words = words.withColumn("cuts", share)
     word_cuts = cut_words.withColumn("gram", F.explode(F.array_distinct("cuts"))).drop("cuts")
-    inside = skew_join(
+    inside = attach(
         _with_grams(text, "text", cut_words), word_cuts, "gram", ["text_key", "text"], "inner"
     ).filter(F.length("word") <= F.length("text"))
     if exact_only:
@@ -407,13 +358,28 @@ def similar_pairs(
 
     cut_texts = text.withColumn("cuts", pieces_col(F.col("text"), threshold, matcher))
     text_cuts = cut_texts.withColumn("gram", F.explode(F.array_distinct("cuts"))).drop("cuts")
-    around = skew_join(
+    around = attach(
         text_cuts, _with_grams(words, "word", cut_texts), "gram", ["text_key", "text"], "inner"
     ).filter(F.length("word") > F.length("text"))
-    candidates = inside.unionByName(around).drop("gram").dropDuplicates(["text_key", "whole", entry_id, "word"])
-    checked = candidates.withColumn("exact", F.contains(F.col("whole"), F.col("raw")))
-    # A keyword with blanks at its ends may be contained only without them;
-    # that is a similarity match, as for any other inexact hit.
-    return checked.filter(
-        F.col("exact") | fuzzy_match(F.col("word"), F.col("text"), threshold, matcher)
+    candidates = inside.unionByName(around).drop("gram").dropDuplicates(["text_key", "whole", "ord", "word"])
+    checked = candidates.withColumn("exact", F.contains("whole", "raw"))
+    if tier is not None:
+        # At most two texts per key times the entries that share a piece.
+        w = Window.partitionBy("text_key")
+        checked = (
+            checked.withColumn("_first", F.min(F.when(F.col("exact"), tier)).over(w))
+            .filter(F.col("exact") | F.col("_first").isNull() | (tier < F.col("_first")))
+            .drop("_first")
+        )
+    if matcher == "ratio":
+        # Scoring takes long for few bytes, so its tasks must not be merged by size.
+        cores = texts.sparkSession.sparkContext.defaultParallelism
+        checked = checked.repartition(cores, "text_key", "word")
+    # An entry with blanks at its ends may be contained only without them; that
+    # is a similarity match, as for any other inexact hit.
+    need = F.when(F.col("exact") | F.contains("text", "word"), F.lit(0)).otherwise(
+        required_score(F.col("word"), threshold)
     )
+    return checked.withColumn("_need", need).filter(
+        reaches(F.col("word"), F.col("text"), F.col("_need"), matcher)
+    ).drop("_need")

@@ -100,8 +100,9 @@ def skew_join(
 def attach(
     left: DataFrame, right: DataFrame, on: str | list[str], row_id: str | list[str], how: str = "left"
 ) -> DataFrame:
-    """Join with a table that is already written: broadcast it when its measured
-    size is small, so ``left`` is not shuffled at all, else ``skew_join``."""
+    """Join with a table that is written already or cheap to read twice:
+    broadcast it when its measured size is small, so ``left`` is not shuffled at
+    all, else ``skew_join``."""
     size = right.agg(F.sum(F.octet_length(F.to_json(F.struct(*right.columns)))).alias("b")).first().b
     if (size or 0) <= MAX_BROADCAST_BYTES:
         return left.join(F.broadcast(right), on, how)
