@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from coinsieve.functions.jsonfix import parse_json
 from coinsieve.functions.keys import KEY_PARTS, description_key
 from coinsieve.functions.text import normalize_description, strip
-from coinsieve.operators.cache import add_entries, cache_misses
+from coinsieve.operators.cache import add_entries
 from coinsieve.operators.dedupe import NO_REASON, UNPARSED_REASON, combine_verdicts
 from coinsieve.operators.order import BATCH_SIZE
 from coinsieve.operators.skew import skew_join
@@ -123,7 +123,8 @@ def enrich(
     checkpointed so that reading either one does not repeat the calls.
     """
     keyed = df.withColumn("_key", description_key(F.col("description")))
-    wanted = cache_misses(keyed.filter("description IS NOT NULL"), cache, "_key", "description")
+    texts = keyed.filter("description IS NOT NULL").select("_key", "description").distinct()
+    wanted = texts.join(cache.select(F.col("key").alias("_key")), "_key", "left_anti")
     aligned = align_replies(ask_batches(wanted, "description", fn, **calls))
     new = materialize(
         aligned.select(

@@ -159,17 +159,24 @@ def _keyword_result(hit: Column, exact: Column) -> Column:
     )
 
 
+def _lowered() -> dict[str, Column]:
+    return {c: F.lower(F.coalesce(F.col(c), F.lit(""))) for c in ("normalized_desc", "description")}
+
+
+def _text_key(norm: Column, orig: Column) -> Column:
+    return F.md5(F.concat_ws("\u0001", norm, orig))
+
+
 def _with_text_key(df: DataFrame) -> DataFrame:
     """Key of the pair of texts a row is matched by."""
-    parts = [F.coalesce(F.col(c), F.lit("")) for c in ("normalized_desc", "description")]
-    return df.withColumn("text_key", F.md5(F.concat_ws("\u0001", *[F.lower(p) for p in parts])))
+    return df.withColumn("text_key", _text_key(*_lowered().values()))
 
 
 def _distinct_texts(df: DataFrame) -> DataFrame:
-    """One row per pair of texts."""
-    return df.groupBy("text_key").agg(
-        F.min("normalized_desc").alias("normalized_desc"), F.min("description").alias("description")
-    )
+    """One row per pair of texts, written once: matching reads them repeatedly
+    and should not go through all rows each time."""
+    texts = df.select(*[col.alias(name) for name, col in _lowered().items()]).distinct()
+    return materialize(texts.withColumn("text_key", _text_key(F.col("normalized_desc"), F.col("description"))))
 
 
 def _join_back(keyed: DataFrame, found: DataFrame) -> DataFrame:
@@ -210,7 +217,7 @@ def match_rules(
         F.get("day_range", F.lit(0)).alias("low"), F.get("day_range", F.lit(1)).alias("high"),
     )
     keyed = _with_text_key(txns)
-    pairs = similar_pairs(_distinct_texts(keyed), listed, threshold, matcher)
+    pairs = similar_pairs(_distinct_texts(txns), listed, threshold, matcher)
     # Of rules with the same amount and days only the first can win, so the list
     # kept per text has one entry per amount and day range.
     firsts = pairs.groupBy("text_key", "amount", "low", "high").agg(F.min(F.struct(*fields)).alias("hit"))
@@ -284,7 +291,7 @@ def _match_many_keywords(
     )
     keyed = _with_text_key(txns)
     pairs = similar_pairs(
-        _distinct_texts(keyed), listed, threshold, matcher, exact_only, F.col("ord.cat_ord")
+        _distinct_texts(txns), listed, threshold, matcher, exact_only, F.col("ord.cat_ord")
     )
     best = pairs.groupBy("text_key").agg(
         F.min(
@@ -336,11 +343,7 @@ def similar_pairs(
     is one piece. With a ``tier`` of the entries, similarity is tested only in
     tiers before the first one with a contained entry, as no other can win.
     """
-    sides = F.explode(
-        F.array_distinct(
-            F.array(*[F.lower(F.coalesce(F.col(c), F.lit(""))) for c in ("normalized_desc", "description")])
-        )
-    )
+    sides = F.explode(F.array_distinct(F.array("normalized_desc", "description")))
     text = (
         texts.select("text_key", sides.alias("whole"))
         .withColumn("text", strip(F.col("whole")))

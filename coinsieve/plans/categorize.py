@@ -105,7 +105,7 @@ def _ask_rest(df: DataFrame, model: Model) -> DataFrame:
     rest = materialize(
         df.filter("_r IS NULL").withColumn("ask_key", F.md5(F.to_json(F.struct(*parts))))
     )
-    asked = rest.groupBy("ask_key").agg(*[F.min(p).alias(p) for p in parts])
+    asked = rest.select("ask_key", *parts).distinct()
     answers = classify(
         build_prompt(asked, model.examples), model.primary, model.escalate, "ask_key", **model.calls
     ).select(

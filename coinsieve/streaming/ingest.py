@@ -43,13 +43,19 @@ def ingest_stream(rows: DataFrame, target: str, checkpoint: str) -> StreamingQue
     )
 
 
-def stored_keys(spark: SparkSession, store: str, epoch: int) -> DataFrame | None:
-    """Duplicate keys of every other epoch, or None for an empty store."""
+def stored_keys(spark: SparkSession, store: str, epoch: int, batch: DataFrame) -> DataFrame | None:
+    """Duplicate keys of other epochs within the batch's span of dates, or None
+    when there is nothing to compare with. The span is pushed down to the files,
+    so a batch of recent rows does not read the whole store."""
+    span = batch.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
+    if span.low is None:
+        return None
     try:
         saved = spark.read.parquet(store)
     except AnalysisException:
         return None
-    return with_dedupe_key(saved.filter(F.col("epoch") != epoch)).select(*KEY_PARTS).distinct()
+    near = saved.filter((F.col("epoch") != epoch) & F.col("date").between(span.low, span.high))
+    return with_dedupe_key(near).select(*KEY_PARTS).filter("key_date IS NOT NULL").distinct()
 
 
 def upsert_batch(
@@ -67,7 +73,7 @@ def upsert_batch(
         placed = batch if "seq" in batch.columns else batch.withColumn("seq", F.monotonically_increasing_id())
         rows = placed if categorize is None else categorize(placed)
         kept = dedupe_exact(rows)
-        known = stored_keys(batch.sparkSession, store, epoch)
+        known = stored_keys(batch.sparkSession, store, epoch, placed)
         if known is not None:
             # Both sides have one row per key here, so no key is hot.
             other = known.withColumnsRenamed({k: f"_{k}" for k in KEY_PARTS})

@@ -87,25 +87,22 @@ def _(spark, sf):
     return dd.flag_duplicates(undated_events(spark, sf)).select("txn_id", "date", "is_duplicate")
 
 
-GROUPS = f"""
-grp AS (SELECT date AS key_date, abs(amount) AS key_amount, normalized_desc AS key_desc,
-               count(*) AS n, min(seq) AS first_seq, string_agg(txn_id, ',' ORDER BY seq) AS members
-        FROM txn GROUP BY 1, 2, 3 HAVING count(*) > 1)"""
-
-
 @query("duplicate_groups", f"""
-WITH {DUP}, {GROUPS} SELECT key_date, key_amount, key_desc, n, first_seq, members FROM grp""")
+WITH {DUP}
+SELECT date AS key_date, abs(amount) AS key_amount, normalized_desc AS key_desc, count(*) AS n, min(seq) AS first_seq,
+       count(*) AS members, CAST(sum(seq) AS BIGINT) AS seq_sum
+FROM txn GROUP BY 1, 2, 3 HAVING count(*) > 1""")
 def _(spark, sf):
-    groups = dd.duplicate_groups(dup_events(spark, sf))
-    # Groups above the part size would come in several rows; here they are put
-    # together again as counts and text, whatever their size.
+    """Groups with a digest of their members, added up over the parts."""
+    seqs = F.aggregate("members", F.lit(0).cast("bigint"), lambda total, m: total + m["seq"])
+    groups = dd.duplicate_groups(dup_events(spark, sf)).withColumn("seqs", seqs)
     return groups.groupBy(*KEY_PARTS, "n", "first_seq").agg(
-        F.array_join(F.flatten(F.sort_array(F.collect_list(F.transform("members", lambda m: m["txn_id"])))), ",").alias("members")
+        F.sum(F.size("members")).alias("members"), F.sum("seqs").alias("seq_sum")
     )
 
 
 @query("duplicate_records_json", f"""
-WITH {DUP}, {GROUPS}
+WITH {DUP}
 SELECT txn.normalized_desc AS key_desc, txn.date AS key_date, abs(amount) AS key_amount,
   '[' || string_agg('{{"Date":"' || strftime(date, '%m/%d/%Y') || '","Description":"' || description || '"}}', ',' ORDER BY seq)
   || ']' AS records
