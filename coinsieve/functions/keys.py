@@ -62,6 +62,11 @@ def rules_fingerprint(rules: DataFrame) -> DataFrame:
     )
 
 
+def keywords_fingerprint(keywords: DataFrame) -> DataFrame:
+    """Digest of an ordered keyword table."""
+    return fingerprint(keywords, [F.col(c) for c in ("cat_ord", "kw_ord", "category", "keyword")])
+
+
 def fingerprint(df: DataFrame, columns: list[Column], name: str = "fingerprint") -> DataFrame:
     """One-row digest of a whole table that partial aggregation can build.
 

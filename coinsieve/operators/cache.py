@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from coinsieve.functions.review import REVIEW_REASON
 from coinsieve.functions.text import percent
 from coinsieve.operators.rows import with_txn_key
-from coinsieve.operators.skew import skew_join
+from coinsieve.operators.skew import skew_join, unmatched
 
 RESTORED = ["category", "confidence", "reasoning", "normalized_desc"]
 
@@ -22,7 +22,7 @@ def lookup_cache(df: DataFrame, cache: DataFrame, key: str, row_id: str = "txn_i
 def cache_misses(df: DataFrame, cache: DataFrame, key: str, *also: str) -> DataFrame:
     """Each key the cache lacks, once, with the first value of ``also``."""
     wanted = df.groupBy(key).agg(*[F.min(c).alias(c) for c in also]) if also else df.select(key).distinct()
-    return wanted.join(cache.select(F.col("key").alias(key)), key, "left_anti")
+    return unmatched(wanted, cache.select(F.col("key").alias(key)), key)
 
 
 def add_entries(cache: DataFrame, new: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from coinsieve.functions.text import normalize_description, strip
 from coinsieve.operators.cache import add_entries
 from coinsieve.operators.dedupe import NO_REASON, UNPARSED_REASON, combine_verdicts
 from coinsieve.operators.order import BATCH_SIZE
-from coinsieve.operators.skew import skew_join
+from coinsieve.operators.skew import skew_join, unmatched
 from coinsieve.schema import CATEGORIES, NORMALIZE_CACHE, UNCATEGORIZED
 from coinsieve.session import materialize
 
@@ -124,7 +124,7 @@ def enrich(
     """
     keyed = df.withColumn("_key", description_key(F.col("description")))
     texts = keyed.filter("description IS NOT NULL").select("_key", "description").distinct()
-    wanted = texts.join(cache.select(F.col("key").alias("_key")), "_key", "left_anti")
+    wanted = unmatched(texts, cache.select(F.col("key").alias("_key")), "_key")
     aligned = align_replies(ask_batches(wanted, "description", fn, **calls))
     new = materialize(
         aligned.select(

@@ -109,6 +109,16 @@ def attach(
     return skew_join(left, right, on, row_id, how)
 
 
+def unmatched(unique: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """Rows of a table with one row per key whose key ``other`` lacks.
+
+    An outer join on purpose: Spark moves an anti join below the aggregate that
+    made the keys unique, where it would meet every row of a hot key.
+    """
+    marked = other.select(key).distinct().withColumn("_known", F.lit(True))
+    return unique.join(marked, key, "left").filter("_known IS NULL").drop("_known")
+
+
 def with_row_number(df: DataFrame, order: list[Column], name: str = "row_number") -> DataFrame:
     """Global 1, 2, 3, … in the given order without a one-task window.
 

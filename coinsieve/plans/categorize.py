@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coinsieve.functions.keys import full_key, rules_fingerprint
+from coinsieve.functions.keys import full_key, keywords_fingerprint, rules_fingerprint
 from coinsieve.functions.similarity import THRESHOLD
 from coinsieve.operators.cache import lookup_cache, update_from
 from coinsieve.operators.enrich import RowReply, build_prompt, classify
@@ -34,15 +34,18 @@ class Model:
 
 
 def cache_key(df: DataFrame, rules: DataFrame | None, keywords: DataFrame | None = None) -> DataFrame:
-    """Add ``cache_key``: row content plus a digest of the rules in force."""
-    digest = F.lit("")
+    """Add ``cache_key``: row content plus a digest of the lists in force, so a
+    result of other rules or keywords is not found."""
+    digest = [F.lit("")]
     if rules is not None:
-        digest = rules_fingerprint(rules).scalar()
+        digest.append(rules_fingerprint(rules).scalar())
+    if keywords is not None:
+        digest.append(keywords_fingerprint(keywords).scalar())
     row = [
         F.col("description"), F.round("amount", 2).cast("decimal(18,2)"), F.col("date"),
         F.col("source"), F.col("normalized_desc"),
     ]
-    return df.withColumn("cache_key", full_key(row, digest))
+    return df.withColumn("cache_key", full_key(row, F.concat_ws(":", *digest)))
 
 
 def categorize(
@@ -121,10 +124,12 @@ def _ask_rest(df: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def cache_entries(categorized: DataFrame, rules: DataFrame | None) -> DataFrame:
+def cache_entries(
+    categorized: DataFrame, rules: DataFrame | None, keywords: DataFrame | None = None
+) -> DataFrame:
     """Cache rows for results; equal transactions share one entry."""
     by_rule = F.col("match_type").isin("exact", "fuzzy")
-    first = cache_key(categorized, rules).groupBy(F.col("cache_key").alias("key")).agg(
+    first = cache_key(categorized, rules, keywords).groupBy(F.col("cache_key").alias("key")).agg(
         F.min_by(F.struct(*RESULT), "seq").alias("r"), F.count(F.lit(1)).alias("hits")
     )
     return first.select("key", F.lit("full").alias("key_kind"), "r.*", "hits").select(

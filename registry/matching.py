@@ -229,7 +229,7 @@ def _(spark, sf):
     rules, keywords = event_rules(spark), fixture_keywords(spark)
     df = txn_events(spark, sf)
     earlier = categorize(df.filter("date < '2024-01-16'"), rules, keywords, matcher="edit")
-    cache = cache_entries(earlier.filter("match_type IS NOT NULL"), rules)
+    cache = cache_entries(earlier.filter("match_type IS NOT NULL"), rules, keywords)
     return categorize(df, rules, keywords, cache, matcher="edit").select(*RESULT)
 
 

@@ -151,6 +151,13 @@ def test_new_rules_make_cached_results_stale(spark, txns):
     assert set(cache.columns) == {c.split(" ")[0] for c in CATEGORIZE_CACHE.replace("struct<category:string,confidence:double,reasoning:string>", "x").split(", ")}
 
 
+def test_new_keywords_make_cached_results_stale(spark, txns):
+    df = txns([("rent", 1.0, "2024-01-01")])
+    old, new = keyword_table(spark, {"Old": ["rent"]}), keyword_table(spark, {"New": ["rent"]})
+    cache = cache_entries(categorize(df, keywords=old), None, old)
+    assert categorize(df, keywords=new, cache=cache).first().category == "New"
+
+
 def test_every_row_gets_one_result(spark, txns):
     df = txns([(t, 1.0, None) for t in ["rent", "coffee", "rent", "", None, "x"]])
     got = categorize(df, rules_table(spark, [("rent", None, None, "R")]), keyword_table(spark, {"F": ["coffee"]}))
