@@ -172,10 +172,15 @@ def _with_text_key(df: DataFrame) -> DataFrame:
     return df.withColumn("text_key", _text_key(*_lowered().values()))
 
 
-def _distinct_texts(df: DataFrame) -> DataFrame:
+def _if(undecided: Column | None, value: Column) -> Column:
+    return value if undecided is None else F.when(undecided, value)
+
+
+def _distinct_texts(df: DataFrame, undecided: Column | None = None) -> DataFrame:
     """One row per pair of texts, written once: matching reads them repeatedly
     and should not go through all rows each time."""
-    texts = df.select(*[col.alias(name) for name, col in _lowered().items()]).distinct()
+    rows = df if undecided is None else df.filter(undecided)
+    texts = rows.select(*[col.alias(name) for name, col in _lowered().items()]).distinct()
     return materialize(texts.withColumn("text_key", _text_key(F.col("normalized_desc"), F.col("description"))))
 
 
@@ -194,10 +199,12 @@ def match_rules(
     matcher: str = "ratio",
     raw_label: bool = False,
     max_inline: int = MAX_INLINE,
+    undecided: Column | None = None,
 ) -> DataFrame:
     """Add ``rule_match``: result of the first rule whose text, amount and day
     range fit, NULL when none does. ``raw_label=True`` calls a match exact only
-    when the rule text occurs with its own capitals."""
+    when the rule text occurs with its own capitals. Only ``undecided`` rows are
+    looked at, all by default."""
     rows = bounded_rows(rules, max_inline) if matcher == "edit" else None
     if rows is not None:
         entries = _rule_entries(rows, threshold)
@@ -207,7 +214,7 @@ def match_rules(
             first = F.get(F.filter(table, lambda r: _applies(r) & _similar(r, t, threshold)), F.lit(0))
             return let(first, lambda r: _rule_result(r, t, raw_label))
 
-        return txns.withColumn("rule_match", let(_texts(entries, threshold), pick))
+        return txns.withColumn("rule_match", _if(undecided, let(_texts(entries, threshold), pick)))
 
     fields = ["ord", "raw", "label", "category", "amount", "low", "high"]
     listed = rules.select(
@@ -217,7 +224,7 @@ def match_rules(
         F.get("day_range", F.lit(0)).alias("low"), F.get("day_range", F.lit(1)).alias("high"),
     )
     keyed = _with_text_key(txns)
-    pairs = similar_pairs(_distinct_texts(txns), listed, threshold, matcher)
+    pairs = similar_pairs(_distinct_texts(txns, undecided), listed, threshold, matcher)
     # Of rules with the same amount and days only the first can win, so the list
     # kept per text has one entry per amount and day range.
     firsts = pairs.groupBy("text_key", "amount", "low", "high").agg(F.min(F.struct(*fields)).alias("hit"))
@@ -227,7 +234,9 @@ def match_rules(
         first = F.get(F.filter("hits", _applies), F.lit(0))
         return let(first, lambda r: _rule_result(r, t, raw_label))
 
-    return _join_back(keyed, found).withColumn("rule_match", let(_texts(), pick_hit)).drop("hits")
+    return _join_back(keyed, found).withColumn(
+        "rule_match", _if(undecided, let(_texts(), pick_hit))
+    ).drop("hits")
 
 
 # --- keywords --------------------------------------------------------------
@@ -256,13 +265,15 @@ def match_keywords(
     threshold: int = THRESHOLD,
     matcher: str = "ratio",
     max_inline: int = MAX_INLINE,
+    undecided: Column | None = None,
 ) -> DataFrame:
     """Add ``keyword_match``: within each category in order, containment and
     then similarity, so a similar keyword of an earlier category wins over a
-    contained keyword of a later one."""
+    contained keyword of a later one. Only ``undecided`` rows are looked at, all
+    by default."""
     rows = bounded_rows(keywords, max_inline) if matcher == "edit" else None
     if rows is None:
-        return _match_many_keywords(txns, keywords, threshold, matcher)
+        return _match_many_keywords(txns, keywords, threshold, matcher, undecided=undecided)
     entries = _keyword_entries(rows, threshold)
     table = _constant(entries)
 
@@ -278,12 +289,12 @@ def match_keywords(
         exact = F.get(F.filter(table, lambda k: _contained(k["raw"], t)), F.lit(0))
         return let(exact, with_exact)
 
-    return txns.withColumn("keyword_match", let(_texts(entries, threshold), pick))
+    return txns.withColumn("keyword_match", _if(undecided, let(_texts(entries, threshold), pick)))
 
 
 def _match_many_keywords(
     txns: DataFrame, keywords: DataFrame, threshold: int = THRESHOLD, matcher: str = "edit",
-    exact_only: bool = False,
+    exact_only: bool = False, undecided: Column | None = None,
 ) -> DataFrame:
     listed = keywords.select(
         F.struct("cat_ord", "kw_ord").alias("ord"),
@@ -291,7 +302,7 @@ def _match_many_keywords(
     )
     keyed = _with_text_key(txns)
     pairs = similar_pairs(
-        _distinct_texts(txns), listed, threshold, matcher, exact_only, F.col("ord.cat_ord")
+        _distinct_texts(txns, undecided), listed, threshold, matcher, exact_only, F.col("ord.cat_ord")
     )
     best = pairs.groupBy("text_key").agg(
         F.min(
@@ -301,12 +312,9 @@ def _match_many_keywords(
             )
         ).alias("best")
     )
-    return _join_back(
-        keyed,
-        best.select(
-            "text_key", _keyword_result(F.col("best"), F.col("best.rank") == 0).alias("keyword_match")
-        ),
-    )
+    result = _keyword_result(F.col("best"), F.col("best.rank") == 0).alias("keyword_match")
+    joined = _join_back(keyed, best.select("text_key", result))
+    return joined.withColumn("keyword_match", _if(undecided, F.col("keyword_match")))
 
 
 # --- pairs of similar texts ---------------------------------------------------

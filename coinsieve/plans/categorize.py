@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coinsieve.functions.keys import full_key, keywords_fingerprint, rules_fingerprint
@@ -77,10 +77,10 @@ def categorize(
         ), "cache_key").drop("cache_key")
         stages.append("cached")
     if rules is not None:
-        df = match_rules(df, rules, threshold, matcher, raw_label)
+        df = match_rules(df, rules, threshold, matcher, raw_label, undecided=_none_of(stages))
         stages.append("rule_match")
     if keywords is not None:
-        df = match_keywords(df, keywords, threshold, matcher)
+        df = match_keywords(df, keywords, threshold, matcher, undecided=_none_of(stages))
         stages.append("keyword_match")
     undecided = F.struct(
         F.lit(UNCATEGORIZED).alias("category"), F.lit(0.0).alias("confidence"),
@@ -98,6 +98,11 @@ def categorize(
     return confidence_gate(flat, gate, F.col("match_type") == "model")
 
 
+def _none_of(stages: list[str]) -> Column | None:
+    """Rows that no earlier stage decided."""
+    return F.coalesce(*[F.col(s) for s in stages]).isNull() if stages else None
+
+
 def _ask_rest(df: DataFrame, model: Model) -> DataFrame:
     """Ask the model once per distinct undecided transaction.
 
