@@ -14,8 +14,9 @@ from coinsieve.plans.categorize import RESULT, Model, categorize
 from coinsieve.plans.dedupe import dedupe
 from coinsieve.schema import ENRICHMENT
 from coinsieve.session import materialize
+from coinsieve.sources.cells import statement_rows
 from coinsieve.sources.sinks import write_combined, write_deduped
-from coinsieve.sources.statements import scan_statements, typed
+from coinsieve.sources.statements import combine, scan_statements, typed
 
 
 def run(
@@ -28,15 +29,19 @@ def run(
     model: Model | None = None,
     judge: RowReply | None = None,
     prior: DataFrame | None = None,
+    cells: DataFrame | None = None,
     matcher: str = "ratio",
     **calls,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Scan, clean, categorize, deduplicate and write.
 
-    Writes ``<output>/combined`` and ``<output>/deduplicated``; returns all
+    ``cells`` holds rows of extracted statement tables (see ``sources.cells``),
+    which come after the scanned files. Writes ``<output>/combined`` and ``<output>/deduplicated``; returns all
     rows, the deduplicated rows and the rejected files.
     """
     scanned, rejected = scan_statements(spark, inputs)
+    if cells is not None:
+        scanned = combine(scanned, _extracted(cells))
     txns = in_file_order(typed(scanned))
     if normalizer is None:
         txns = normalized(txns)
@@ -56,6 +61,15 @@ def run(
     return combined, kept, rejected
 
 
+def _extracted(cells: DataFrame) -> DataFrame:
+    """Rows of extracted tables with a place to order them by."""
+    return statement_rows(cells).select(
+        "file", F.col("page").cast("bigint").alias("block"),
+        (F.col("table_no").cast("bigint") * (1 << 32) + F.col("row_no")).alias("line_no"),
+        "source", "raw_date", "description", parse_amount(F.col("raw_amount")).alias("amount"),
+    )
+
+
 def in_file_order(rows: DataFrame) -> DataFrame:
     """Id and ``seq`` in the order file name, place in file."""
     numbered = with_row_number(rows, [F.col("file"), F.col("block"), F.col("line_no")], "seq")

@@ -96,3 +96,10 @@ def shape_rows(cells: DataFrame, source: str | None = None, fee_default: str = F
         .filter("_row IS NOT NULL")
         .select(*[c for c in df.columns if c not in ("cells", "page_text")], "_row.*")
     )
+
+
+def statement_rows(cells: DataFrame) -> DataFrame:
+    """Typed-as-text transactions of all extracted tables: bank by file or page
+    text, heading tables left out, rows shaped by the bank's layout. A page
+    without tables is a row without cells; its text still names the bank."""
+    return shape_rows(drop_header_tables(identify_source_text(cells)))

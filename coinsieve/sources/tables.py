@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,8 +66,12 @@ def builtin_keywords(spark: SparkSession, path: str) -> DataFrame:
     Order of categories and of keywords is kept: both decide which one wins.
     The table is a parameter because it has more entries than code should hold.
     """
-    text = spark.read.text(path, wholetext=True).first()
-    return keyword_table(spark, json.loads(text.value))
+    listed = spark.read.text(path, wholetext=True).select(
+        F.posexplode(F.from_json("value", "map<string,array<string>>")).alias("cat_ord", "category", "words")
+    )
+    return listed.select(
+        "cat_ord", "category", F.posexplode("words").alias("kw_ord", "keyword")
+    ).select("cat_ord", "category", "kw_ord", "keyword")
 
 
 def load_cache(spark: SparkSession, path: str, schema: str) -> DataFrame:
