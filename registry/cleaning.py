@@ -12,7 +12,7 @@ from coinsieve.sources.layouts import identify_source, identify_table_source, in
 from coinsieve.sources.statements import apply_layout
 from registry.core import query
 from registry.views import (
-    CORRECTED, LINE, NORMALIZE_SQL, PARSE_AMOUNT_SQL, PARSE_DATE_SQL, RAW_LINE, RAW_ORDERS, SCORED, TXN,
+    CORRECTED, LINE, PARSE_AMOUNT_SQL, PARSE_DATE_SQL, RAW_LINE, RAW_ORDERS, SCORED, TXN,
     corrected_events, edit_scores_sql, raw_orders, raw_split, scored_events, table, txn_events, txn_lineitem,
 )
 

@@ -11,7 +11,7 @@ from coinsieve.plans.learn import learn_rules
 from coinsieve.plans.review import read_answers, review_batch, review_items
 from registry.core import query
 from registry.views import (
-    CORRECTED, LINE, RULE, SCORED, SCORED_LINE, corrected_events, fixture_rules, scored_events,
+    LINE, RULE, SCORED, SCORED_LINE, fixture_rules, scored_events,
     scored_lineitem, table, txn_lineitem,
 )
 
