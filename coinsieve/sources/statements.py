@@ -16,7 +16,7 @@ from coinsieve.sources.layouts import (
     identify_source, infer_layout, quoted, raw_amount,
 )
 
-# Cells kept per CSV line; wider files are rejected, never cut.
+# Columns a header may have; files with more are rejected, never cut.
 MAX_CELLS = 64
 ROW_ID = ["file", "block", "line_no"]
 
@@ -65,15 +65,19 @@ def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     return apply_layout(with_provenance(rows, UNKNOWN), layout, "source", "file")
 
 
-def _cells(line: Column) -> Column:
-    """Cells of one CSV line, NULL when it has more than MAX_CELLS."""
-    schema = ", ".join(f"c{i} string" for i in range(MAX_CELLS + 1))
+def _cells(line: Column, width: int) -> Column:
+    """The first ``width`` cells of a CSV line; missing ones are NULL."""
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    return let(
+        F.from_csv(line, schema, {"escape": '"'}),
+        lambda parsed: F.array(*[parsed[f"c{i}"] for i in range(width)]),
+    )
 
-    def listed(parsed: Column) -> Column:
-        cells = F.array(*[parsed[f"c{i}"] for i in range(MAX_CELLS)])
-        return F.when(parsed[f"c{MAX_CELLS}"].isNull(), cells)
 
-    return let(F.from_csv(line, schema, {"escape": '"'}), listed)
+def _names(cells: Column) -> Column:
+    """Header names up to the last one; empty ones keep their place."""
+    last = F.array_max(F.transform(cells, lambda c, i: F.when(c.isNotNull(), i + 1)))
+    return F.slice(F.transform(cells, strip), F.lit(1), F.coalesce(last, F.lit(0)))
 
 
 def statement_name(path: Column) -> Column:
@@ -106,7 +110,7 @@ def file_headers(lines: DataFrame) -> DataFrame:
     heads = start.join(first, ["file", "line_no"]).withColumnRenamed("value", "header")
     names = heads.select(
         "file", F.col("line_no").alias("head_no"),
-        F.transform(F.coalesce(_cells(F.col("header")), F.array()), strip).alias("names"),
+        let(_cells(F.col("header"), MAX_CELLS + 1), _names).alias("names"),
         identify_source(statement_name(F.col("file"))).alias("source"),
     )
 
@@ -140,7 +144,7 @@ def file_headers(lines: DataFrame) -> DataFrame:
     )
     return named.withColumn(
         "problem",
-        F.when(F.size("names") == 0, F.lit("unreadable header")).when(
+        F.when(~F.size("names").between(1, MAX_CELLS), F.lit("unreadable header")).when(
             F.size(missing) > 0,
             F.concat(F.lit("missing column: "), F.concat_ws(", ", F.transform(missing, lambda n: F.coalesce(n, F.lit("?"))))),
         ),
@@ -164,10 +168,12 @@ def scan_statements(
         if bad is not None:
             raise ValueError(f"{bad.file}: {bad.problem}")
     usable = headers.filter("problem IS NULL").select("file", "head_no", "names", "source", "layout")
+    # Lines are parsed as wide as the widest header, not wider.
+    width = usable.agg(F.max(F.size("names")).alias("n")).first().n or 1
     body = (
         attach(lines, usable, "file", ROW_ID, "inner")
         .filter("block > 0 OR line_no <> head_no")
-        .withColumn("cells", _cells(F.col("value")))
+        .withColumn("cells", _cells(F.col("value"), width))
     )
 
     def cell(name: Column) -> Column:

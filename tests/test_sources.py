@@ -84,6 +84,21 @@ def test_scan_can_fail_on_a_bad_file(spark, folder):
         scan_statements(spark, folder, on_error="fail")
 
 
+def test_lines_and_headers_of_odd_width(spark, tmp_path):
+    (tmp_path / "amex.csv").write_text("Date,Description,Amount\n01/05/2024,long,1,extra,cells\n01/05/2024,short\n")
+    wide = ",".join(f"c{i}" for i in range(70))
+    (tmp_path / "wide.csv").write_text(f"Date,Description,Amount,{wide}\n01/05/2024,w,1\n")
+    rows, rejected = scan_statements(spark, str(tmp_path))
+    assert sorted((r.description, r.amount) for r in rows.collect()) == [("long", 1.0), ("short", None)]
+    assert [r.problem for r in rejected.collect()] == ["unreadable header"]
+
+
+def test_empty_names_in_a_header_keep_their_place(spark, tmp_path):
+    (tmp_path / "amex.csv").write_text("Date,,Description,Amount\n01/05/2024,x,shop,1\n")
+    rows, _ = scan_statements(spark, str(tmp_path))
+    assert [(r.description, r.amount) for r in rows.collect()] == [("shop", 1.0)]
+
+
 def test_read_layout_picks_by_name(spark, folder):
     rows = typed(read_layout(spark, f"{folder}/boa.csv", "boa"))
     assert {(r.description, r.amount, r.source) for r in rows.collect()} == {("SHOP", 1234.5, "BoA"), ("BAD", 3.0, "BoA")}
