@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,16 +29,26 @@ def build_session(app: str = "coinsieve", cpus: int | str = "*", **confs: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
+    """The folder every executor can reach: the one the context checkpoints to,
+    else the one ``spark.checkpoint.dir`` names.
 
-    Only where the session names none (tests) is a temporary one set.
+    A local session without either uses its warehouse folder. On a cluster that
+    names no folder this is an error: no folder of one machine can stand in.
     """
+    context = spark.sparkContext
+    folder = context.getCheckpointDir()
+    if folder:
+        # Spark adds a folder of its own below the one it was given.
+        return spark.conf.get(CHECKPOINT_CONF, None) or folder
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="coinsieve-")
-        spark.conf.set(CHECKPOINT_CONF, folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+        if not context.master.startswith("local"):
+            raise RuntimeError(
+                f"set {CHECKPOINT_CONF} to a folder that all executors share, "
+                "or call sparkContext.setCheckpointDir"
+            )
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    context.setCheckpointDir(folder)
     return folder
 
 
