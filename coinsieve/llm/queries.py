@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coinsieve.llm import pieces
+from coinsieve.llm import pieces, recompress
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,3 +40,30 @@ def piece_model() -> str:
 def sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with an end id and decoded again."""
     return pieces.encode_documents(table(spark, sf_dir, "documents"), piece_model())
+
+
+@query(
+    "op9_substring_dedup",
+    r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, p, list_slice(w, p, p + 12) AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM words)),
+firsts AS (SELECT win, min(doc_id) AS first_id FROM windows GROUP BY win),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS i
+  FROM windows JOIN firsts USING (win) WHERE first_id < doc_id),
+lists AS (SELECT doc_id, list(i) AS i FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, w,
+         list_transform(list_filter(range(1, len(w) + 1), lambda k: NOT list_contains(coalesce(i, []), k)), lambda k: w[k]) AS k
+  FROM words LEFT JOIN lists USING (doc_id))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(k) AS BIGINT) AS n_removed,
+       sha256(array_to_string(k, ' ')) AS kept_sha256
+FROM kept
+""",
+)
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of 13-word windows that also start in a smaller document go."""
+    return recompress.kept_digests(table(spark, sf_dir, "documents"))
