@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coinsieve.llm import pieces, recompress
+from coinsieve.llm import partenum, pieces, recompress
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,39 @@ def sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"), piece_model())
 
 
+@query(
+    "op7_ngram_jaccard_join",
+    r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+      ELSE list_transform(range(1, len(w) - 1), lambda i: list_slice(w, i, i + 2)) END) AS g FROM words)),
+ids AS (SELECT g, row_number() OVER () AS e FROM (SELECT DISTINCT g FROM grams)),
+sets AS (SELECT doc_id, e FROM grams JOIN ids USING (g)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+commons AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM sets a JOIN sets b ON a.e = b.e AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM commons JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id
+  WHERE 100 * c >= 90 * (p.n + q.n - c)),
+both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach(x, y) AS (
+  SELECT x, x FROM both_ways UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x),
+least AS (SELECT x, min(y) AS m FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(m, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON d.doc_id = least.x
+""",
+)
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles overlap by 0.9 or more."""
+    return partenum.jaccard_components(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
 @query(
     "op9_substring_dedup",
     r"""
