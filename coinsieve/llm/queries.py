@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coinsieve.llm import partenum, pieces, recompress
+from coinsieve.llm import partenum, pieces, recompress, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,12 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+@query("op3_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored; trained on the labels of four folds of five."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op4_sentencepiece_codec")
 def sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with an end id and decoded again."""
