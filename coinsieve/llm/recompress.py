@@ -8,7 +8,7 @@ without a dictionary, but for a few symbols at their ends. With each symbol goes
 the range of words that decides it. A symbol whose range lies inside a window
 appears wherever that window appears: it is an interior symbol.
 
-1. Each window of ``size`` words takes the least interior symbol as its anchor
+1. Each window of ``size`` words takes its widest interior symbol as its anchor
    (the window's own hash if it has none): a function of the window's words alone.
 2. Anchors are counted by document. Windows under an anchor that one document has
    alone are unique. (A bitmap of the shared anchors, of fixed size, goes to the
@@ -38,7 +38,7 @@ from coinsieve.llm.membership import build_filter, maybe
 from coinsieve.session import scratch_path
 
 WINDOW = 13
-ROUNDS = 2
+ROUNDS = 3
 # An anchor with more blocks than this is grouped by counting joins, not in one task.
 HOT_BLOCKS = 50_000
 # The list of such anchors stays below this many entries: the limit above grows.
@@ -49,10 +49,12 @@ FAR = np.int64(1) << 60
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def parse(words: np.ndarray, doc: np.ndarray, rounds: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(name, from, to) of the symbols after each round; [from, to) are the words
-    that decide a symbol, beyond the array where a document's end does."""
+def parse(words: np.ndarray, doc: np.ndarray, rounds: int) -> list[tuple[np.ndarray, ...]]:
+    """(name, width, from, to) of the symbols after each round: the number of words a
+    symbol stands for, and the words [from, to) that decide it, beyond the array where
+    a document's end does."""
     name = words
+    width = np.ones(len(words), np.int64)
     low = np.arange(len(words), dtype=np.int64)
     high = low + 1
     levels = []
@@ -69,6 +71,7 @@ def parse(words: np.ndarray, doc: np.ndarray, rounds: int) -> list[tuple[np.ndar
         run = flat.mix(name[heads] * np.uint64(0xC2B2AE3D27D4EB4F) + counts.astype(np.uint64))
         name = np.where(counts > 1, run, name[heads])
         low, high, doc = low_2, high_2, doc[heads]
+        width = np.add.reduceat(width, heads)
         # Pairs: left and right by a coin for each name.
         right = flat.mix(name + np.uint64(0x165667B19E3779F9 + turn)) & np.uint64(1) == 1
         joined = doc[1:] == doc[:-1]
@@ -80,8 +83,11 @@ def parse(words: np.ndarray, doc: np.ndarray, rounds: int) -> list[tuple[np.ndar
         high_2 = np.where(~right, near_high, high)
         pair = flat.mix(name * np.uint64(0x27D4EB2F165667C5) + np.r_[name[1:], np.uint64(0)])
         name = np.where(first, pair, name)[~second]
+        width = np.where(first, width + np.r_[width[1:], 0], width)[~second]
+        # A pair is decided by what decides its two halves.
+        high_2[:-1] = np.where(first[:-1], high[1:], high_2[:-1])
         low, high, doc = low_2[~second], high_2[~second], doc[~second]
-        levels.append((name, low, high))
+        levels.append((name, width, low, high))
     return levels
 
 
@@ -89,8 +95,10 @@ def anchors(levels: list, windows: np.ndarray, size: int) -> np.ndarray:
     """For each word, the anchor of the window that starts there."""
     count = len(windows)
     best = np.full(count, NONE, np.uint64)
-    for level, (name, low, high) in enumerate(levels):
-        key = flat.mix(name + np.uint64(0x9E3779B185EBCA87 + level))
+    for level, (name, symbol_width, low, high) in enumerate(levels):
+        # The widest symbol first, then the least hash: wide symbols are seldom shared by chance.
+        key = flat.mix(name + np.uint64(0x9E3779B185EBCA87 + level)) >> np.uint64(5)
+        key |= (np.uint64(31) - np.minimum(symbol_width, 31).astype(np.uint64)) << np.uint64(59)
         spans = high - low
         for span in range(1, size + 1):
             pick = spans == span
@@ -105,7 +113,7 @@ def anchors(levels: list, windows: np.ndarray, size: int) -> np.ndarray:
                 at[:-step] = np.minimum(at[:-step], at[step:])
                 have += step
             best = np.minimum(best, at[:count])
-    return np.where(best == NONE, flat.mix(windows + np.uint64(0x85EBCA77C2B2AE63)), best)
+    return flat.mix(np.where(best == NONE, windows + np.uint64(0x85EBCA77C2B2AE63), best))
 
 
 def blocks(

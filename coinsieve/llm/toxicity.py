@@ -4,11 +4,12 @@ A token that may hide a word (digits or signs among letters, letters repeated th
 times or more, single letters set apart) becomes a lattice: each written character
 stands for some letters, or for nothing, at a cost. Viterbi decoding under a
 character trigram model of the whole corpus gives the likeliest spelling. The words
-of the text and the restored ones, and their first four letters, are its features.
+of the text and the restored ones, and their beginnings, are its features.
 
-Weights are log odds of document counts over all labelled training rows. Two numbers
-of a document (sum and largest of the weights it meets) go through a logistic curve
-that is fitted on training rows whose weights were not counted from them.
+A feature's weight is the log odds of its document counts over all labelled rows of
+three folds; features that are not far from zero in standard deviations are left out.
+What a document meets of them goes through a logistic curve that is fitted on rows of
+a fourth fold, whose labels the weights have not met.
 
 Cases: a null or empty text has no features and gets the score of such a text. Rows
 without doc_id are scored and never used for training. Labels that are null do not
@@ -177,7 +178,10 @@ class Restorer:
 
 
 def features(words: set[str]) -> set[str]:
-    return words | {"^" + w[:PREFIX] for w in words if len(w) > PREFIX}
+    """Words and their beginnings; a whole word counts apart from an equal beginning."""
+    out = {w + "$" for w in words}
+    out.update([w[:PREFIX] for w in words if len(w) > PREFIX])
+    return out
 
 
 def fold(doc_id) -> F.Column:
@@ -220,8 +224,8 @@ def feature_counts(rows: DataFrame, model) -> DataFrame:
     )
 
 
-def weights(rows: DataFrame, model) -> dict[str, float]:
-    """The features that speak for toxicity, with their log odds."""
+def weights(rows: DataFrame, model) -> dict[str, tuple[float, float]]:
+    """The features that speak for toxicity: log odds, and those in standard deviations."""
     sizes = {r.y: r.n for r in rows.groupBy(F.expr("CASE WHEN y > 0 THEN 1 ELSE 0 END").alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return {}
@@ -235,25 +239,28 @@ def weights(rows: DataFrame, model) -> dict[str, float]:
         .orderBy(F.desc("z"), "feature")
         .limit(MAX_FEATURES)
     )
-    return {r.feature: r.w for r in strong.select("feature", "w").collect()}
+    return {r.feature: (r.w, r.z) for r in strong.select("feature", "w", "z").collect()}
 
 
-def measures(restorer: Restorer, weight: dict[str, float], text: str | None) -> tuple[float, float]:
-    met = [weight[f] for f in features(restorer.words(text or "")) if f in weight] if weight else []
-    return math.fsum(met), max(met, default=0.0)
+def measures(restorer: Restorer, weight: dict[str, tuple[float, float]], text: str | None) -> tuple[float, ...]:
+    """Of the features met: sum of log odds, largest significance, number; number of all features."""
+    held = features(restorer.words(text or "")) if weight else set()
+    met = [weight[f] for f in weight.keys() & held]
+    total = math.fsum([w for w, _ in met])
+    return math.log1p(total), max([z for _, z in met], default=0.0), math.log1p(len(met)), math.log1p(len(held) + 10)
 
 
 def curve(rows: list) -> list[float]:
-    """Logistic coefficients for (1, log(1 + sum), largest), by Newton steps with a small ridge."""
+    """Logistic coefficients for (1, measures), by Newton steps with a small ridge."""
     y = np.array([1.0 if r.y else 0.0 for r in rows])
     if not len(y) or y.min() == y.max():
         return []
-    x = np.array([[1.0, math.log1p(r.total), r.largest] for r in rows])
-    beta = np.zeros(3)
+    x = np.array([[1.0, *r.x] for r in rows])
+    beta, ridge = np.zeros(x.shape[1]), np.r_[0.01, np.full(x.shape[1] - 1, 0.1)]
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        hessian = x.T @ (x * (p * (1 - p))[:, None]) + np.diag([0.01, 0.1, 0.1])
-        step = np.linalg.solve(hessian, x.T @ (y - p) - np.array([0.01, 0.1, 0.1]) * beta)
+        hessian = x.T @ (x * (p * (1 - p))[:, None]) + np.diag(ridge)
+        step = np.linalg.solve(hessian, x.T @ (y - p) - ridge * beta)
         beta += step
         if abs(step).max() < 1e-9:
             break
@@ -268,22 +275,21 @@ class Scorer:
         self.model = context.broadcast(character_model(docs.select(F.col("text").cast("string").alias("text"))))
         rows = labelled(docs, labels)
         self.weight = context.broadcast(weights(rows.filter("fold <> 4"), self.model))
-        self.beta = self._fit(rows.filter("fold = 4")) or self._fit(rows)
+        self.beta = self._fit(rows.filter("fold = 4"), self.weight) or self._fit(rows, self.weight)
 
-    def _fit(self, rows: DataFrame) -> list[float]:
-        model, weight = self.model, self.weight
+    def _fit(self, rows: DataFrame, weight) -> list[float]:
+        model = self.model
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             restorer = Restorer(model.value)
             for batch in batches:
                 made = [measures(restorer, weight.value, t) for t in batch.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(1), pa.array([m[0] for m in made], pa.float64()), pa.array([m[1] for m in made], pa.float64())],
-                    names=["y", "total", "largest"],
+                    [batch.column(1), pa.array(made, pa.list_(pa.float64()))], names=["y", "x"]
                 )
 
         sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(CURVE_ROWS)
-        return curve(sample.select("text", "y").mapInArrow(run, "y int, total double, largest double").collect())
+        return curve(sample.select("text", "y").mapInArrow(run, "y int, x array<double>").collect())
 
     def score(self, docs: DataFrame) -> DataFrame:
         """``docs`` with ``_tx_score`` (0 to 1)."""
@@ -297,9 +303,12 @@ class Scorer:
                 scores = []
                 texts = batch.column(len(columns))
                 for i in range(batch.num_rows):
-                    total, largest = measures(restorer, weight.value, texts[i].as_py())
-                    x = beta[0] + beta[1] * math.log1p(total) + beta[2] * largest if beta else -1e9
-                    scores.append(1 / (1 + math.exp(-max(x, -700.0))) if beta else 0.0)
+                    if not beta:
+                        scores.append(0.0)
+                        continue
+                    x = measures(restorer, weight.value, texts[i].as_py())
+                    line = beta[0] + sum(b * v for b, v in zip(beta[1:], x, strict=True))
+                    scores.append(1 / (1 + math.exp(-min(max(line, -700.0), 700.0))))
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(i) for i in range(len(columns))], pa.array(scores, pa.float64())],
                     names=[*columns, "_tx_score"],
