@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from coinsieve.llm import flat
 from coinsieve.llm.membership import build_filter, maybe
-from coinsieve.session import materialize, scratch_path
+from coinsieve.llm.storage import checkpointed, stored
 
 ENUMERATE_BELOW = 16
 FULL_GROUPS = 8
@@ -191,9 +191,7 @@ def verified(docs: DataFrame, n: int, pairs: DataFrame, num: int, den: int) -> D
     ends = pairs.select(F.explode(F.array("a", "b")).alias("key"))
     wanted = spark.sparkContext.broadcast(build_filter(ends, F.col("key")))
     rows = wanted_sets(docs, n, wanted).join(ends.distinct(), "key", "left_semi").dropDuplicates(["key"])
-    path = scratch_path(spark, "sets")
-    rows.write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = stored(rows, "sets")
     left = rows.select(F.col("key").alias("a"), F.col("elements").alias("left"))
     right = rows.select(F.col("key").alias("b"), F.col("elements").alias("right"))
     both = F.size(F.array_intersect("left", "right")).cast("long")
@@ -211,7 +209,7 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps; every step is an aggregate and a join,
     so a vertex with many edges is pre-aggregated and its join side can be split.
     """
-    edges = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
+    edges = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
     if edges.isEmpty():
         return edges.select(F.col("b").alias("key"), F.col("a").alias("label"))
     before = None
@@ -223,7 +221,7 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: a vertex and its smaller neighbours move to the smallest one.
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b")
-        edges = materialize(
+        edges = checkpointed(
             small.select(F.col("m").alias("a"), F.col("a").alias("b"))
             .union(least.select(F.col("m").alias("a"), "b"))
             .filter("a <> b")
@@ -238,31 +236,26 @@ def components(edges: DataFrame) -> DataFrame:
 def linked(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(key, label) for every set key that links with another one."""
     spark = docs.sparkSession
-    path = scratch_path(spark, "signatures")
-    (
+    shared = stored(
         signature_rows(docs, n, num, den)
         .groupBy("sig")
         .agg(F.min("key").alias("low"), F.max("key").alias("high"))
-        .filter("low < high")
-        .write.parquet(path)
+        .filter("low < high"),
+        "signatures",
     )
-    shared = spark.read.parquet(path)
     bitmap = spark.sparkContext.broadcast(build_filter(shared, F.col("sig")))
-    path = scratch_path(spark, "members")
-    signature_rows(docs, n, num, den, bitmap).join(shared, "sig").select("sig", "key", "low").write.parquet(path)
-    members = spark.read.parquet(path).distinct()
-    star = materialize(members.filter("key <> low").select(F.col("low").alias("a"), F.col("key").alias("b")).distinct())
-    edges = verified(docs, n, star, num, den)
+    rows = signature_rows(docs, n, num, den, bitmap)
+    members = stored(rows.join(shared, "sig").select("sig", "key", "low").distinct(), "members")
+    star = checkpointed(members.filter("key <> low").select(F.col("low").alias("a"), F.col("key").alias("b")).distinct())
+    edges = checkpointed(verified(docs, n, star, num, den))
     labels = components(edges)
     # Signatures whose members lie in several components, compared across them.
     placed = members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    path = scratch_path(spark, "open")
     spread = placed.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h")
-    placed.join(spread.select("sig"), "sig", "left_semi").select("sig", "key", "label").write.parquet(path)
-    open_rows = spark.read.parquet(path)
+    open_rows = stored(placed.join(spread.select("sig"), "sig", "left_semi").select("sig", "key", "label"), "open")
     left = open_rows.select("sig", F.col("key").alias("a"), F.col("label").alias("la"))
     right = open_rows.select("sig", F.col("key").alias("b"), F.col("label").alias("lb"))
-    rest = materialize(
+    rest = checkpointed(
         left.join(right, "sig").filter("a < b AND la <> lb").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
     )
     if rest.isEmpty():
@@ -273,14 +266,11 @@ def linked(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) for every row."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     labels = linked(docs, n, num, den)
-    path = scratch_path(spark, "slim")
-    slim_rows(docs, n).write.parquet(path)
-    slim = spark.read.parquet(path)
+    slim = stored(slim_rows(docs, n), "slim")
     grouped = slim.groupBy("key").agg(F.min("doc_id").alias("least")).filter("key IS NOT NULL")
-    labelled = materialize(
+    labelled = checkpointed(
         grouped.join(labels, "key", "left").select("key", "least", F.coalesce("label", "key").alias("label"))
     )
     least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))

@@ -35,10 +35,10 @@ from pyspark.sql import types as T
 
 from coinsieve.llm import flat
 from coinsieve.llm.membership import build_filter, maybe
-from coinsieve.session import scratch_path
+from coinsieve.llm.storage import stored
 
 WINDOW = 13
-ROUNDS = 3
+ROUNDS = 2
 # An anchor with more blocks than this is grouped by counting joins, not in one task.
 HOT_BLOCKS = 50_000
 # The list of such anchors stays below this many entries: the limit above grows.
@@ -244,16 +244,14 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW, rounds: int = ROUNDS,
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).filter(
         "doc_id IS NOT NULL AND text IS NOT NULL"
     )
-    path = scratch_path(spark, "anchors")
-    (
+    shared = stored(
         anchor_rows(docs, size, rounds)
         .groupBy("anchor")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"))
         .filter("low < high")
-        .select("anchor", "n")
-        .write.parquet(path)
+        .select("anchor", "n"),
+        "anchors",
     )
-    shared = spark.read.parquet(path)
     bitmap = spark.sparkContext.broadcast(build_filter(shared, F.col("anchor")))
     total = shared.agg(F.sum("n").alias("n")).first().n or 0
     limit = max(hot_blocks, total // HOT_ANCHORS)
@@ -278,7 +276,7 @@ def dedupe_substrings(docs: DataFrame, size: int = WINDOW, rounds: int = ROUNDS,
     """``docs`` with ``_rc_kept`` (kept words joined by one space), ``_rc_words`` and
     ``_rc_removed`` (numbers of words)."""
     marks = (
-        repeated_windows(docs, size, rounds, hot_blocks)
+        stored(repeated_windows(docs, size, rounds, hot_blocks), "windows")
         .groupBy(F.col("doc_id").alias("_rc_id"), F.col("row_key").alias("_rc_key"))
         .agg(F.collect_list("place").alias("_rc_place"), F.collect_list("mask").alias("_rc_mask"))
     )
