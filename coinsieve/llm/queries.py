@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coinsieve.llm import partenum, pieces, recompress, toxicity
+from coinsieve.llm import partenum, pieces, quartile, recompress, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,12 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+@query("op2_quartile_fingerprints")
+def quartile_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's digest, its edited text's, and how near the next one's is."""
+    return quartile.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op3_toxicity")
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored; trained on the labels of four folds of five."""
