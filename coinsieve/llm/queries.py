@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coinsieve.llm import partenum, pieces, quartile, recompress, toxicity
+from coinsieve.llm import mixing, partenum, pieces, quartile, recompress, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +54,12 @@ def sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"), piece_model())
 
 
+@query("op5_source_mixing")
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document so that the sources meet their targets."""
+    return mixing.mix_table(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op7_ngram_jaccard_join",
     r"""
