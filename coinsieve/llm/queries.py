@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coinsieve.llm import mixing, partenum, pieces, quartile, recompress, toxicity
+from coinsieve.llm import dialogue, mixing, partenum, pieces, quartile, recompress, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,3 +118,38 @@ FROM kept
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of 13-word windows that also start in a smaller document go."""
     return recompress.kept_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op8_url_filters")
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by listed rules, else by mined ones."""
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query(
+    "op10_chat_perspectives",
+    r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, replace(coalesce(text, ''), '<|', '< |') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS i
+  FROM conversations),
+speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM turns WHERE role <> 'system'),
+parts AS (
+  SELECT t.conv_id, perspective, CAST(i // 64 AS BIGINT) AS segment, i, text, role = perspective AS own,
+         '<|im_start|>' || CASE WHEN role = perspective THEN 'assistant' WHEN role = 'system' THEN 'system'
+           ELSE 'user name=' || replace(role, '<|', '< |') END || chr(10) AS head,
+         '<|im_end|>' || chr(10) AS tail
+  FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+placed AS (
+  SELECT *, sum(length(head) + length(text) + length(tail)) OVER (
+      PARTITION BY conv_id, perspective, segment ORDER BY i) - length(text) - length(tail) AS pos FROM parts)
+SELECT conv_id, perspective, segment, count(*) AS n_turns,
+       string_agg(head || text || tail, '' ORDER BY i) AS rendered,
+       coalesce(string_agg(CASE WHEN own THEN CAST(pos AS BIGINT) || '-' || CAST(pos + length(text) AS BIGINT) END, ' ' ORDER BY i), '') AS mask,
+       CAST(sum(CASE WHEN own THEN length(text) ELSE 0 END) AS BIGINT) AS n_masked
+FROM placed GROUP BY conv_id, perspective, segment
+""",
+)
+def chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation once for each of its speakers."""
+    return dialogue.rotate_perspectives(table(spark, sf_dir, "conversations"))
