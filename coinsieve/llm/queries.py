@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from coinsieve.llm import dialogue, mixing, partenum, pieces, quartile, recompress, toxicity, urls
+from coinsieve.llm import dialogue, mixing, neighbours, partenum, pieces, quartile, recompress, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +37,12 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+@query("op1_warc_archives")
+def warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back from its byte range."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @query("op2_quartile_fingerprints")
 def quartile_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's digest, its edited text's, and how near the next one's is."""
@@ -60,6 +67,12 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(table(spark, sf_dir, "documents"))
 
 
+@query("op6_nearest_neighbours")
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products for every twentieth vector."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query(
     "op7_ngram_jaccard_join",
     r"""
