@@ -278,3 +278,20 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     return slim.join(named, "key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with one document of each component: the one with its smallest doc_id.
+
+    A doc_id names one document: of repeated rows one stays. Rows without doc_id all stay.
+    """
+    made = stored(jaccard_components(docs, n, num, den), "components").filter("doc_id IS NOT NULL")
+    gone = made.filter("component_id < doc_id").select(F.col("doc_id").alias("_pe_id")).distinct()
+    kept = docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_pe_id"), "left_anti")
+    twice = made.groupBy(F.col("doc_id").alias("_pe_id")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_pe_id")
+    twice = checkpointed(twice)
+    if twice.isEmpty():
+        return kept
+    same = F.col("doc_id").cast("bigint") == F.col("_pe_id")
+    once = kept.join(twice, same, "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(twice, same, "left_anti").unionByName(once)

@@ -346,3 +346,15 @@ def kept_digests(docs: DataFrame) -> DataFrame:
         F.col("_rc_removed").alias("n_removed"),
         F.sha2(F.col("_rc_kept").cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+def without_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``docs`` with repeated windows cut out of their texts: what is left of a changed
+    text is its kept words joined by one space. ``n_chars`` follows where it is a column."""
+    made = dedupe_substrings(docs, size)
+    changed = F.col("_rc_removed") > 0
+    new = {"text": F.when(changed, F.col("_rc_kept")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        size_of = F.length("_rc_kept").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(changed, size_of).otherwise(F.col("n_chars"))
+    return made.withColumns(new).select(*[F.col(f"`{c}`") for c in docs.columns])
