@@ -24,6 +24,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,15 +51,16 @@ PREFIX = 4
 # Model size: the strongest features by significance. Standard deviations a weight must be off zero.
 MAX_FEATURES = 50_000
 LEAST_Z = 2.6
-# Rows that the logistic curve is fitted on, at most.
+# Rows that the logistic curve is fitted on, about, at most.
 CURVE_ROWS = 20_000
 # Labels up to this number are broadcast to the scan of the documents.
 BROADCAST_LABELS = 2_000_000
 
 WORD = re.compile(r"[^\W\d_]+")
 HINT = re.compile(r"[^\W\d_][0-9@$!|+(*#%€]|[0-9@$|+(*#%€][^\W\d_]")
-SUSPECT = re.compile(r"\S*(?:[^\W\d_][0-9@$!|+(*#%€]|[0-9@$|+(*#%€][^\W\d_])\S*")
-REPEATED = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
+SIGN = re.compile(r"[0-9@$!|+(*#%€]")
+REPEATED = re.compile(r"([^\W\d_])\1\1")
+APART_HINT = re.compile(r"\s[\w@$!|+][ .\-_/*~,][\w@$!|+][ .\-_/*~,][\w@$!|+]")
 APART = re.compile(r"(?<!\S)(?:[\w@$!|+][ .\-_/*~,]){2,}[\w@$!|+](?![^\s.,;:?!])")
 ENDS = re.compile(r"^[\"'.,;:?!)\]}<>=&-]+|[\"'.,;:?!)\]}<>=&-]+$")
 PILE = re.compile(r"([^\w\s])\1{2,}")
@@ -75,6 +77,7 @@ def letter_numbers(points: np.ndarray) -> np.ndarray:
     return np.where(points >= 0x100, LETTERS - 1, out)
 
 
+@cache
 def letter_number(char: str) -> int:
     return int(letter_numbers(np.array([ord(char)]))[0])
 
@@ -163,15 +166,17 @@ class Restorer:
         text = text.lower()
         found = set(WORD.findall(text))
         restored: set[str] = set()
-        if HINT.search(text):
-            for token in set(SUSPECT.findall(text)):
-                core = ENDS.sub("", PILE.sub("", ENDS.sub("", token)))
-                if core and not core.isalpha() and any(c.isalpha() for c in core):
-                    restored.add(self.restore(core))
-        for match in REPEATED.finditer(text):
-            restored.add(self.restore(match.group(0)))
-        for match in APART.finditer(text):
-            restored.add(self.restore(match.group(0), True))
+        if SIGN.search(text):
+            for token in set(text.split()):
+                if SIGN.search(token):
+                    core = ENDS.sub("", PILE.sub("", ENDS.sub("", token)))
+                    if not core.isalpha() and HINT.search(core):
+                        restored.add(self.restore(core))
+        if REPEATED.search(text):
+            restored.update([self.restore(w) for w in found if REPEATED.search(w)])
+        if APART_HINT.search(" " + text):
+            for match in APART.finditer(text):
+                restored.add(self.restore(match.group(0), True))
         for spelling in restored:
             found.update(spelling.split())
         return found
@@ -288,7 +293,9 @@ class Scorer:
                     [batch.column(1), pa.array(made, pa.list_(pa.float64()))], names=["y", "x"]
                 )
 
-        sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(CURVE_ROWS)
+        # About CURVE_ROWS rows by a hash of their number, drawn where they are.
+        share = min(1.0, CURVE_ROWS / max(1, rows.count()))
+        sample = rows.filter(F.pmod(F.xxhash64(F.lit("curve"), "doc_id"), F.lit(1 << 30)) < math.ceil(share * (1 << 30)))
         return curve(sample.select("text", "y").mapInArrow(run, "y int, x array<double>").collect())
 
     def score(self, docs: DataFrame) -> DataFrame:
