@@ -60,9 +60,11 @@ def tokens(col: Column) -> Column:
 
 
 def file_stem(path: Column) -> Column:
-    """Lower-cased file name without folder and extension."""
+    """Lower-cased file name without folder and extension. A name that is no
+    valid encoding (a bare ``%``) is taken as it is."""
     name = F.element_at(F.split(path, "/"), -1)
-    return F.lower(F.regexp_replace(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), r"\.[^.]*$", ""))
+    decoded = F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+    return F.lower(F.regexp_replace(decoded, r"\.[^.]*$", ""))
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:

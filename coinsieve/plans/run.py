@@ -31,6 +31,7 @@ def run(
     prior: DataFrame | None = None,
     cells: DataFrame | None = None,
     matcher: str = "ratio",
+    name_from_folder: bool = False,
     **calls,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Scan, clean, categorize, deduplicate and write.
@@ -39,7 +40,7 @@ def run(
     which come after the scanned files. Writes ``<output>/combined`` and ``<output>/deduplicated``; returns all
     rows, the deduplicated rows and the rejected files.
     """
-    scanned, rejected = scan_statements(spark, inputs)
+    scanned, rejected = scan_statements(spark, inputs, name_from_folder=name_from_folder)
     if cells is not None:
         scanned = combine(scanned, _extracted(cells))
     txns = in_file_order(typed(scanned))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from coinsieve.functions.parsing import net_amount, parse_amount, parse_date, strip_currency
 from coinsieve.functions.text import file_stem, let, strip
@@ -16,9 +18,9 @@ from coinsieve.sources.layouts import (
     identify_source, infer_layout, quoted, raw_amount,
 )
 
-# Columns a header may have; files with more are rejected, never cut.
-MAX_CELLS = 64
 ROW_ID = ["file", "block", "line_no"]
+# How cells are quoted, in every reader: a doubled quote stands for one.
+QUOTING = {"quote": '"', "escape": '"'}
 
 
 def with_provenance(df: DataFrame, source: Column | str | None = None) -> DataFrame:
@@ -39,6 +41,28 @@ def apply_layout(df: DataFrame, layout: Layout, *keep: str, net_credit: bool = F
     )
 
 
+def odd_quotes(line: Column) -> Column:
+    """True for a line that opens or closes a cell without the other."""
+    return F.pmod(F.length(line) - F.length(F.replace(line, F.lit('"'))), F.lit(2)) == 1
+
+
+def csv_parts(spark: SparkSession, path: str) -> list[DataFrame]:
+    """CSV rows of a path: files with line breaks inside cells are read whole,
+    the others stay splittable. The list of the former is collected."""
+
+    def reader(**more):
+        return spark.read.options(header=True, enforceSchema=False, **QUOTING, **more)
+
+    name = F.col("_metadata.file_path")
+    lines = spark.read.text(path).filter(odd_quotes(F.col("value")))
+    whole = [r.file for r in lines.select(name.alias("file")).distinct().collect()]
+    rows = reader().csv(path)
+    if not whole:
+        return [rows]
+    broken = reader(multiLine=True).csv([unquote(f) for f in whole])
+    return [rows.filter(~name.isin(whole)), broken]
+
+
 def read_layout(
     spark: SparkSession, path: str, layout: str | Layout, net_credit: bool = False
 ) -> DataFrame:
@@ -50,26 +74,27 @@ def read_layout(
     known = LAYOUTS[layout] if isinstance(layout, str) else layout
     if net_credit and known.amount and known.source == "Capital One":
         known = replace(known, debit=known.amount, credit="Credit")
-    rows = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    named = with_provenance(rows, known.source)
-    return apply_layout(named, known, "source", "file", net_credit=net_credit)
+    return combine(*[
+        apply_layout(with_provenance(rows, known.source), known, "source", "file", net_credit=net_credit)
+        for rows in csv_parts(spark, path)
+    ])
 
 
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Files of one unknown export; NULL layout gives an empty table."""
-    rows = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    layout = infer_layout(rows.columns)
+    parts = csv_parts(spark, path)
+    layout = infer_layout(parts[0].columns)
     if layout is None:
         layout = Layout(UNKNOWN, "a", "b", "c")
-        rows = spark.read.schema("a string, b string, c string").csv(path).filter(F.lit(False))
-    return apply_layout(with_provenance(rows, UNKNOWN), layout, "source", "file")
+        parts = [spark.read.schema("a string, b string, c string").csv(path).filter(F.lit(False))]
+    return combine(*[apply_layout(with_provenance(rows, UNKNOWN), layout, "source", "file") for rows in parts])
 
 
 def _cells(line: Column, width: int) -> Column:
     """The first ``width`` cells of a CSV line; missing ones are NULL."""
     schema = ", ".join(f"c{i} string" for i in range(width))
     return let(
-        F.from_csv(line, schema, {"escape": '"'}),
+        F.from_csv(line, schema, {**QUOTING, "multiLine": "true"}),
         lambda parsed: F.array(*[parsed[f"c{i}"] for i in range(width)]),
     )
 
@@ -80,38 +105,76 @@ def _names(cells: Column) -> Column:
     return F.slice(F.transform(cells, strip), F.lit(1), F.coalesce(last, F.lit(0)))
 
 
-def statement_name(path: Column) -> Column:
-    """Name a file goes by: its own, or its folder's when Spark wrote it."""
-    parts = F.split(path, "/")
-    own = F.element_at(parts, -1)
-    return file_stem(F.when(F.startswith(own, F.lit("part-")), F.element_at(parts, -2)).otherwise(own))
+def statement_name(path: Column, from_folder: bool = False) -> Column:
+    """Name a file goes by: its own, or on request its folder's (an export that
+    Spark wrote is a folder of part files)."""
+    return file_stem(F.regexp_replace(path, "/[^/]*$", "") if from_folder else path)
 
 
-def csv_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, line_no, value): every non-blank line of every CSV file."""
-    return (
-        spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").option("recursiveFileLookup", True)
-        .text(path)
+def csv_reader(spark: SparkSession, path: str) -> DataFrame:
+    found = spark.read.options(pathGlobFilter="*.[cC][sS][vV]", recursiveFileLookup=True, ignoreCorruptFiles=True)
+    return found.text(path)
+
+
+def csv_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file) of every CSV file below a path, from the listing: Spark plans no task
+    for an empty file."""
+    return spark.createDataFrame([(f,) for f in csv_reader(spark, path).inputFiles()], "file string")
+
+
+def csv_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(file, block, line_no, value) of every non-blank record of every CSV file,
+    and the (file, problem) of files that end inside a cell.
+
+    The numbered lines are written once, so all later passes see the same places.
+    Lines that a cell spans become one record; a file with such cells is put
+    together in one task, as any reader of it has to. Files that cannot be read to
+    their end give the lines before.
+    """
+    lines = materialize(
+        csv_reader(spark, path)
         .select(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line_no"),
-            F.regexp_replace("value", "\r$|^﻿", "").alias("value"),
+            F.regexp_replace("value", "\r$|^\ufeff", "").alias("value"),
         )
-        .filter(F.trim("value") != "")
     )
+    odd = odd_quotes(F.col("value"))
+    quotes = materialize(lines.filter(odd).groupBy("file").agg(F.count(F.lit(1)).alias("odd")))
+    whole = lines.filter(F.trim("value") != "")
+    unclosed = quotes.filter("odd % 2 = 1").select("file", F.lit("a quoted cell has no end").alias("problem"))
+    if quotes.isEmpty():
+        return whole, unclosed
+    marked = attach(lines, quotes, "file", ROW_ID, "left")
+    before = Window.partitionBy("file").orderBy("block", "line_no").rowsBetween(Window.unboundedPreceding, -1)
+    opened = F.coalesce(F.sum(odd.cast("int")).over(before), F.lit(0))
+    start = F.when(opened % 2 == 0, F.struct("block", "line_no"))
+    line = F.struct("block", "line_no", "value")
+    joined = (
+        marked.filter("odd % 2 = 0")
+        .withColumn("start", start)
+        .withColumn("start", F.last("start", ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("file", "start")
+        .agg(F.array_sort(F.collect_list(line)).alias("lines"))
+        .select("file", "start.block", "start.line_no", F.array_join("lines.value", "\n").alias("value"))
+    )
+    return marked.filter("odd IS NULL").select(*lines.columns).unionByName(joined).filter(F.trim("value") != ""), unclosed
 
 
-def file_headers(lines: DataFrame) -> DataFrame:
+def file_headers(lines: DataFrame, name_from_folder: bool = False) -> DataFrame:
     """One row per file: header names, bank and the layout they give."""
     # Only a long per file is aggregated, so no text is sorted to find it.
     start = lines.filter("block = 0")
     first = start.groupBy("file").agg(F.min("line_no").alias("line_no"))
-    heads = start.join(first, ["file", "line_no"]).withColumnRenamed("value", "header")
+    heads = materialize(start.join(first, ["file", "line_no"]).withColumnRenamed("value", "header"))
+    # No header has more cells than separators and one.
+    commas = F.length("header") - F.length(F.replace("header", F.lit(",")))
+    width = (heads.agg(F.max(commas).alias("n")).first().n or 0) + 1
     names = heads.select(
         "file", F.col("line_no").alias("head_no"),
-        let(_cells(F.col("header"), MAX_CELLS + 1), _names).alias("names"),
-        identify_source(statement_name(F.col("file"))).alias("source"),
+        let(_cells(F.col("header"), width), _names).alias("names"),
+        identify_source(statement_name(F.col("file"), name_from_folder)).alias("source"),
     )
 
     def first_named(marks: list[str]) -> Column:
@@ -144,7 +207,7 @@ def file_headers(lines: DataFrame) -> DataFrame:
     )
     return named.withColumn(
         "problem",
-        F.when(~F.size("names").between(1, MAX_CELLS), F.lit("unreadable header")).when(
+        F.when(F.size("names") < 1, F.lit("unreadable header")).when(
             F.size(missing) > 0,
             F.concat(F.lit("missing column: "), F.concat_ws(", ", F.transform(missing, lambda n: F.coalesce(n, F.lit("?"))))),
         ),
@@ -152,17 +215,22 @@ def file_headers(lines: DataFrame) -> DataFrame:
 
 
 def scan_statements(
-    spark: SparkSession, path: str, on_error: str = "skip"
+    spark: SparkSession, path: str, on_error: str = "skip", name_from_folder: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of every CSV below a folder, and the files that gave none.
 
     Each file's own header decides which cell is which, so column order, extra
     columns and mixed exports need no separate reads. Rejected files come back
-    as (file, problem); ``on_error='fail'`` raises for the first one instead.
+    as (file, problem), empty ones too; ``on_error='fail'`` raises for the first one
+    instead. With ``name_from_folder`` a file goes by its folder's name.
     """
-    lines = csv_lines(spark, path)
-    headers = materialize(file_headers(lines))
-    rejected = headers.filter("problem IS NOT NULL").select("file", "problem")
+    lines, unclosed = csv_records(spark, path)
+    headers = materialize(file_headers(lines, name_from_folder))
+    problems = headers.filter("problem IS NOT NULL").select("file", "problem").unionByName(unclosed)
+    seen = headers.select("file").unionByName(unclosed.select("file"))
+    place = F.regexp_replace("file", "^[a-z]+:/+", "")  # both spellings of a local path
+    silent = csv_files(spark, path).withColumn("p", place).join(seen.select(place.alias("p")), "p", "left_anti").drop("p")
+    rejected = materialize(problems.unionByName(silent.withColumn("problem", F.lit("empty or unreadable file"))))
     if on_error == "fail":
         bad = rejected.first()
         if bad is not None:

@@ -14,7 +14,7 @@ from coinsieve.functions.parsing import parse_date
 from coinsieve.operators.dedupe import dedupe_exact
 from coinsieve.operators.rows import normalized
 from coinsieve.sources.layouts import LAYOUTS, Layout
-from coinsieve.sources.statements import apply_layout, with_provenance
+from coinsieve.sources.statements import QUOTING, apply_layout, with_provenance
 
 
 def statement_stream(
@@ -28,7 +28,7 @@ def statement_stream(
     schema = ", ".join(f"`{c}` string" for c in columns)
     files = (
         spark.readStream.schema(schema)
-        .option("header", True).option("enforceSchema", False).option("maxFilesPerTrigger", max_files)
+        .options(header=True, enforceSchema=False, multiLine=True, maxFilesPerTrigger=max_files, **QUOTING)
         .csv(path)
     )
     rows = apply_layout(with_provenance(files, known.source), known, "source", "file")

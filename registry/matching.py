@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from coinsieve.operators.match import match_keywords, match_keywords_exact, match_rules
 from coinsieve.operators.aggregate import category_distribution
+from coinsieve.operators.skew import with_row_number
 from coinsieve.plans.categorize import cache_entries, categorize, recategorize
 from registry.core import query
 from registry.views import (
@@ -93,12 +94,11 @@ kw AS (
 
 
 def part_keywords(spark, sf):
-    """Part names as keywords of their part type. Order by text, without a
-    window over the whole table."""
+    """Part names as keywords of their part type, types in order of their text."""
     names = table(spark, sf, "part").groupBy("p_type", F.lower("p_name").alias("keyword")).agg(F.min("p_partkey").alias("first"))
-    rank = F.ascii(F.substring("p_type", 1, 1)) * 256 + F.ascii(F.substring("p_type", 2, 1))
-    return names.select(
-        rank.cast("int").alias("cat_ord"), F.col("p_type").alias("category"),
+    types = with_row_number(names.select("p_type").distinct(), [F.col("p_type")], "place")
+    return names.join(types, "p_type").select(
+        F.col("place").cast("int").alias("cat_ord"), F.col("p_type").alias("category"),
         F.col("first").cast("int").alias("kw_ord"), "keyword",
     )
 

@@ -14,7 +14,7 @@ from coinsieve.session import scratch_path
 from coinsieve.sources import cells as ce
 from coinsieve.sources.layouts import LAYOUTS
 from coinsieve.sources.sinks import final_columns, write_combined, write_deduped, write_rules
-from coinsieve.sources.statements import read_inferred, read_layout, scan_statements, typed
+from coinsieve.sources.statements import read_inferred, read_layout, scan_statements, statement_name, typed
 from coinsieve.sources.tables import (
     DEDUPED_COLUMNS, keyword_table, load_prior, load_rules, rules_table,
 )
@@ -114,15 +114,76 @@ def statement_folder(spark, sf):
     "SELECT CAST(o_orderdate AS DATE), o_orderpriority, o_totalprice, 'Unknown' FROM orders",
 ]))
 def _(spark, sf):
-    rows, _ = scan_statements(spark, statement_folder(spark, sf))
+    rows, _ = scan_statements(spark, statement_folder(spark, sf), name_from_folder=True)
     return typed(rows).select("date", "description", "amount", "source")
 
 
 @query("rejected_files", """
-SELECT 'missing column: ?, ?' AS problem, count(*) > 0 AS found FROM orders""")
+SELECT 'broken' AS name, 'missing column: ?, ?' AS problem FROM orders
+UNION SELECT 'nothing', 'empty or unreadable file' FROM orders
+UNION SELECT 'open', 'a quoted cell has no end' FROM orders""")
 def _(spark, sf):
-    _, rejected = scan_statements(spark, statement_folder(spark, sf))
-    return rejected.groupBy("problem").agg((F.count(F.lit(1)) > 0).alias("found"))
+    base = statement_folder(spark, sf)
+    orders = table(spark, sf, "orders")
+    orders.filter("o_orderkey < 0").select("o_orderpriority").write.csv(f"{base}/nothing.csv")
+    orders.limit(1).select(F.lit('Date,Description,Amount,"open')).write.option("quote", "").csv(f"{base}/open.csv")
+    _, rejected = scan_statements(spark, base, name_from_folder=True)
+    return rejected.select(statement_name(F.col("file"), True).alias("name"), "problem").distinct()
+
+
+# --- cells that need quotes, and many columns ---------------------------------------------
+
+TRICKY = """'say "' || event_type || '", twice' || chr(10) || chr(10) || 'on K' || event_id"""
+TRICKY_SQL = f"""
+SELECT CAST(ts AS DATE) AS date, {TRICKY} AS description, round(value) AS amount, 'Chase' AS source FROM events"""
+
+
+def tricky_export(spark, sf, folder):
+    """Events with quotes, commas and line breaks in their descriptions."""
+    path = scratch_path(spark, "tricky")
+    text = F.concat(
+        F.lit('say "'), "event_type", F.lit('", twice\n\non K'), F.col("event_id").cast("string")
+    )
+    table(spark, sf, "events").select(
+        text.alias("Description"), F.round("value").alias("Amount"),
+        F.date_format("ts", "MM/dd/yyyy").alias("Transaction Date"),
+    ).write.options(header=True, escape='"').csv(f"{path}/{folder}")
+    return path
+
+
+def _read_tricky(spark, sf):
+    return read_layout(spark, f"{tricky_export(spark, sf, 'chase.csv')}/chase.csv", "chase")
+
+
+def _infer_tricky(spark, sf):
+    path = f"{tricky_export(spark, sf, 'any.csv')}/any.csv"
+    return read_inferred(spark, path).withColumn("source", F.lit("Chase"))
+
+
+def _scan_tricky(spark, sf):
+    return scan_statements(spark, tricky_export(spark, sf, "chase.csv"), name_from_folder=True)[0]
+
+
+for _name, _reader in (("layout", _read_tricky), ("inferred", _infer_tricky), ("scan", _scan_tricky)):
+
+    def _quoted(spark, sf, reader=_reader):
+        return typed(reader(spark, sf)).select("date", "description", "amount", "source")
+
+    query(f"read_quoted_{_name}", TRICKY_SQL)(_quoted)
+
+
+@query("scan_wide_statements", """
+SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS description, o_totalprice AS amount FROM orders""")
+def _(spark, sf):
+    """Exports with 90 columns more than the three that count."""
+    base = scratch_path(spark, "wide")
+    more = [F.col("o_orderkey").alias(f"extra {i}") for i in range(90)]
+    table(spark, sf, "orders").select(
+        *more, F.date_format("o_orderdate", "MM/dd/yyyy").alias("Transaction Date"),
+        F.col("o_orderpriority").alias("Description"), F.col("o_totalprice").alias("Amount"),
+    ).write.option("header", True).csv(f"{base}/chase.csv")
+    rows, _ = scan_statements(spark, base, name_from_folder=True)
+    return typed(rows).select("date", "description", "amount")
 
 
 # --- extracted tables ------------------------------------------------------------------
@@ -320,7 +381,7 @@ def _(spark, sf):
     ).write.option("header", True).csv(f"{base}/chase.csv")
     rules = rules_table(spark, [("urgent", None, [1, 10], "Rush")])
     keywords = keyword_table(spark, {"Low": ["low"], "Mid": ["medium", "high"]})
-    _, kept, _ = run(spark, base, out, rules, keywords, matcher="edit")
+    _, kept, _ = run(spark, base, out, rules, keywords, matcher="edit", name_from_folder=True)
     return kept.select("date", "description", "amount", "category", "confidence")
 
 
@@ -346,5 +407,5 @@ def _(spark, sf):
     rules = rules_table(spark, [("urgent", None, [1, 10], "Rush")])
     keywords = keyword_table(spark, {"Low": ["low"], "Mid": ["medium", "high"]})
     prior = prior_as_txns(load_prior(spark, old))
-    _, kept, _ = run(spark, base, out, rules, keywords, prior=prior, matcher="edit")
+    _, kept, _ = run(spark, base, out, rules, keywords, prior=prior, matcher="edit", name_from_folder=True)
     return kept.select("date", "description", "amount", "category")

@@ -89,8 +89,56 @@ def test_lines_and_headers_of_odd_width(spark, tmp_path):
     wide = ",".join(f"c{i}" for i in range(70))
     (tmp_path / "wide.csv").write_text(f"Date,Description,Amount,{wide}\n01/05/2024,w,1\n")
     rows, rejected = scan_statements(spark, str(tmp_path))
-    assert sorted((r.description, r.amount) for r in rows.collect()) == [("long", 1.0), ("short", None)]
-    assert [r.problem for r in rejected.collect()] == ["unreadable header"]
+    assert sorted((r.description, r.amount) for r in rows.collect()) == [("long", 1.0), ("short", None), ("w", 1.0)]
+    assert rejected.count() == 0
+
+
+def test_names_of_files_decide_alone(spark, tmp_path):
+    (tmp_path / "boa_files").mkdir()
+    (tmp_path / "boa_files" / "part-2024-chase.csv").write_text("Transaction Date,Description,Amount\n01/05/2024,c,1\n")
+    (tmp_path / "amex 100%.csv").write_text("Date,Description,Amount\n01/05/2024,a,1\n")
+    (tmp_path / "amex.csv").write_text("")
+    (tmp_path / "blank.csv").write_text("\n \n")
+    rows, rejected = scan_statements(spark, str(tmp_path))
+    assert sorted((r.source, r.description) for r in rows.collect()) == [("AMEX", "a"), ("Chase", "c")]
+    assert sorted(r.file.split("/")[-1] for r in rejected.collect()) == ["amex.csv", "blank.csv"]
+
+
+TRICKY = 'Date,Description,Amount\n01/05/2024,"JOE ""S"" PIZZA, NY",12.50\n01/06/2024,"TWO\n\nLINES",7.00\n01/07/2024,plain,1\n'
+TRICKY_ROWS = [('JOE "S" PIZZA, NY', 12.5), ("TWO\n\nLINES", 7.0), ("plain", 1.0)]
+
+
+def test_all_readers_agree_on_quoted_cells(spark, tmp_path):
+    import io
+
+    import pandas as pd
+
+    want = pd.read_csv(io.StringIO(TRICKY))
+    assert list(zip(want.Description, want.Amount, strict=True)) == TRICKY_ROWS
+    (tmp_path / "in").mkdir()
+    for name in ("amex.csv", "amex 2.csv"):
+        (tmp_path / "in" / name).write_text(TRICKY)
+    (tmp_path / "in" / "amex plain.csv").write_text("Date,Description,Amount\n01/05/2024,x,1\n")
+    (tmp_path / "in" / "amex open.csv").write_text('Date,Description,Amount\n01/05/2024,"x,1\n')
+    both = sorted([*TRICKY_ROWS * 2, ("x", 1.0)])
+    rows, rejected = scan_statements(spark, str(tmp_path / "in"))
+    assert sorted((r.description, r.amount) for r in rows.collect()) == both
+    assert [r.problem for r in rejected.collect()] == ["a quoted cell has no end"]
+    paths = [str(tmp_path / "in" / n) for n in ("amex.csv", "amex 2.csv")]
+    for path in paths:
+        for read in (lambda p: read_layout(spark, p, "amex"), lambda p: read_inferred(spark, p)):
+            assert sorted((r.description, r.amount) for r in read(path).collect()) == sorted(TRICKY_ROWS)
+
+
+def test_a_stream_reads_quoted_cells(spark, tmp_path):
+    from coinsieve.streaming.ingest import ingest_stream, statement_stream
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "amex.csv").write_text(TRICKY)
+    rows = statement_stream(spark, str(tmp_path / "in"), "amex", ["Date", "Description", "Amount"])
+    ingest_stream(rows, str(tmp_path / "out"), str(tmp_path / "mark")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.description, r.amount) for r in got) == sorted(TRICKY_ROWS)
 
 
 def test_empty_names_in_a_header_keep_their_place(spark, tmp_path):
