@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 # Text handled at once; a longer document is handled alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 # Odd multiplier of the polynomial word hash and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15

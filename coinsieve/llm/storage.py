@@ -9,18 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from coinsieve.session import materialize, scratch_path
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Within a step: shuffle files go when it has ended, and Python tasks get small batches.
+STEP = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
 
 @contextmanager
 def tidy(spark: SparkSession) -> Iterator[None]:
-    """Within, Spark removes the shuffle files of a query when it has ended."""
-    before = spark.conf.get(CLEANUP)
-    spark.conf.set(CLEANUP, "true")
+    """Within, the settings of a step hold; then those from before again."""
+    before = {key: spark.conf.get(key) for key in STEP}
+    for key, value in STEP.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
