@@ -24,10 +24,17 @@ from coinsieve.functions.text import let
 
 MATCHERS = ("edit", "ratio")
 THRESHOLD = 80
+# Below this, a text of one letter may differ in all of it: nothing could be ruled out.
+LEAST_THRESHOLD = 51
 SHORT_RULE = 2
 SHORT_THRESHOLD = 90
 
 
+def check_threshold(threshold: int) -> None:
+    if not LEAST_THRESHOLD <= threshold <= 100:
+        raise ValueError(f"the threshold lies between {LEAST_THRESHOLD} and 100, not at {threshold}")
+
+
 def error_factor(threshold: int, matcher: str) -> tuple[float, int]:
     """(share, offset): at most floor(share * (length + offset)) errors fit."""
     share = (100.5 - threshold) / 100.0

@@ -13,8 +13,6 @@ from coinsieve.functions.keys import KEY_PARTS, with_dedupe_key
 from coinsieve.operators.skew import skew_join
 
 BASIC_REASON = "Basic deduplication"
-# Members of one group handed out together; larger groups come in parts.
-MEMBERS_PER_PART = 50
 
 # Reasons written by adjudication.
 KEPT = "Kept as primary. "
@@ -72,19 +70,19 @@ def dedupe_exact(df: DataFrame, null_keys: str = "keep") -> DataFrame:
     )
 
 
-def duplicate_groups(df: DataFrame, members_per_part: int = MEMBERS_PER_PART, **spread) -> DataFrame:
-    """Members of every duplicate group, in parts of about the given size.
+def duplicate_groups(df: DataFrame, members_per_part: int | None = None, **spread) -> DataFrame:
+    """Members of every duplicate group, in order.
 
-    A group up to that size is one part with all its members in order. A larger
-    one is cut by a hash of ``seq``, so no task gathers a whole hot group.
-    Rows without a key are not grouped.
+    The judge sees a group whole. On request a larger group than ``members_per_part``
+    comes in parts of about that size, cut by a hash of ``seq``: then no task gathers a
+    whole hot group, and every part is judged apart. Rows without a key are not grouped.
     """
     counts = key_counts(df)
     repeated = counts.filter(F.col("n") > 1).filter(~_unknown_key())
     rows = skew_join(
         with_dedupe_key(df), repeated, KEY_PARTS, "seq", "inner", counts=counts, **spread
     )
-    parts = F.ceil(F.col("n") / members_per_part).cast("int")
+    parts = F.ceil(F.col("n") / members_per_part).cast("int") if members_per_part else F.lit(1)
     part = F.when(parts == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64("seq"), parts).cast("int"))
     member = F.struct("seq", "txn_id", "date", "description", "amount", "source")
     return (

@@ -1,10 +1,11 @@
 """Ordered first-match categorization by rules and keywords.
 
-A short list becomes one constant array, so matching is a projection without any
-join or shuffle. Otherwise each distinct text is matched once, through an equi-
-join on shared pieces of text (see ``functions.similarity``) that finds the same
-pairs, and the result is joined back; that join is a broadcast while the matched
-texts are few. The ratio score runs in Python and always goes the second way.
+Containment in a short list is a constant array, so it is a projection without any
+join or shuffle. Similarity is scored once per distinct text: against a short list
+in a projection, else through an equi-join on shared pieces of text (see
+``functions.similarity``) that finds the same pairs. The result is joined back; that
+join is a broadcast while the matched texts are few. The ratio score runs in Python and
+always goes through pieces.
 """
 
 from __future__ import annotations
@@ -13,19 +14,20 @@ import json
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from coinsieve.functions.similarity import (
-    THRESHOLD, pieces, pieces_col, reaches, required_score, within_edits,
+    THRESHOLD, check_threshold, pieces, pieces_col, reaches, required_score, within_edits,
 )
 from coinsieve.functions.text import let, strip
 from coinsieve.operators.skew import attach
 from coinsieve.session import materialize
 
-# Lists up to this many entries are inlined: each costs every row about 0.1 µs
-# by containment and 1 µs by similarity.
+# Lists up to this many entries become constants: by containment for each row, by
+# similarity for each distinct text.
 MAX_INLINE_EXACT = 500
 MAX_INLINE = 32
+# Candidate pairs scored in one task.
+PAIRS_PER_TASK = 50_000
 
 # Confidence and reason by kind of match.
 RULE_EXACT, RULE_FUZZY = 0.95, 0.9
@@ -205,16 +207,20 @@ def match_rules(
     range fit, NULL when none does. ``raw_label=True`` calls a match exact only
     when the rule text occurs with its own capitals. Only ``undecided`` rows are
     looked at, all by default."""
+    check_threshold(threshold)
     rows = bounded_rows(rules, max_inline) if matcher == "edit" else None
+    keyed, texts = _with_text_key(txns), _distinct_texts(txns, undecided)
+
+    def pick_hit(t: Column) -> Column:
+        first = F.get(F.filter("hits", _applies), F.lit(0))
+        return let(first, lambda r: _rule_result(r, t, raw_label))
+
     if rows is not None:
         entries = _rule_entries(rows, threshold)
         table = _constant(entries)
-
-        def pick(t: Column) -> Column:
-            first = F.get(F.filter(table, lambda r: _applies(r) & _similar(r, t, threshold)), F.lit(0))
-            return let(first, lambda r: _rule_result(r, t, raw_label))
-
-        return txns.withColumn("rule_match", _if(undecided, let(_texts(entries, threshold), pick)))
+        near = let(_texts(entries, threshold), lambda t: F.filter(table, lambda r: _similar(r, t, threshold)))
+        found = texts.select("text_key", near.alias("hits")).filter(F.size("hits") > 0)
+        return _join_back(keyed, found).withColumn("rule_match", _if(undecided, let(_texts(), pick_hit))).drop("hits")
 
     fields = ["ord", "raw", "label", "category", "amount", "low", "high"]
     listed = rules.select(
@@ -223,17 +229,11 @@ def match_rules(
         strip(F.lower("description")).alias("word"), "category", "amount",
         F.get("day_range", F.lit(0)).alias("low"), F.get("day_range", F.lit(1)).alias("high"),
     )
-    keyed = _with_text_key(txns)
-    pairs = similar_pairs(_distinct_texts(txns, undecided), listed, threshold, matcher)
+    pairs = similar_pairs(texts, listed, threshold, matcher)
     # Of rules with the same amount and days only the first can win, so the list
     # kept per text has one entry per amount and day range.
     firsts = pairs.groupBy("text_key", "amount", "low", "high").agg(F.min(F.struct(*fields)).alias("hit"))
     found = firsts.groupBy("text_key").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
-
-    def pick_hit(t: Column) -> Column:
-        first = F.get(F.filter("hits", _applies), F.lit(0))
-        return let(first, lambda r: _rule_result(r, t, raw_label))
-
     return _join_back(keyed, found).withColumn(
         "rule_match", _if(undecided, let(_texts(), pick_hit))
     ).drop("hits")
@@ -271,6 +271,7 @@ def match_keywords(
     then similarity, so a similar keyword of an earlier category wins over a
     contained keyword of a later one. Only ``undecided`` rows are looked at, all
     by default."""
+    check_threshold(threshold)
     rows = bounded_rows(keywords, max_inline) if matcher == "edit" else None
     if rows is None:
         return _match_many_keywords(txns, keywords, threshold, matcher, undecided=undecided)
@@ -289,7 +290,11 @@ def match_keywords(
         exact = F.get(F.filter(table, lambda k: _contained(k["raw"], t)), F.lit(0))
         return let(exact, with_exact)
 
-    return txns.withColumn("keyword_match", _if(undecided, let(_texts(entries, threshold), pick)))
+    found = _distinct_texts(txns, undecided).select(
+        "text_key", let(_texts(entries, threshold), pick).alias("keyword_match")
+    )
+    joined = _join_back(_with_text_key(txns), found.filter("keyword_match IS NOT NULL"))
+    return joined.withColumn("keyword_match", _if(undecided, F.col("keyword_match")))
 
 
 def _match_many_keywords(
@@ -300,10 +305,13 @@ def _match_many_keywords(
         F.struct("cat_ord", "kw_ord").alias("ord"),
         F.lower("keyword").alias("raw"), strip(F.lower("keyword")).alias("word"), "category",
     )
-    keyed = _with_text_key(txns)
-    pairs = similar_pairs(
-        _distinct_texts(txns, undecided), listed, threshold, matcher, exact_only, F.col("ord.cat_ord")
+    keyed, texts = _with_text_key(txns), _distinct_texts(txns, undecided)
+    pairs = similar_pairs(texts, listed, threshold, matcher, exact_only, F.col("ord.cat_ord")).select(
+        "text_key", "ord", "exact", "category"
     )
+    blank = _blank_entries(listed)
+    if blank is not None:
+        pairs = pairs.unionByName(_blank_pairs(texts, blank))
     best = pairs.groupBy("text_key").agg(
         F.min(
             F.struct(
@@ -317,12 +325,27 @@ def _match_many_keywords(
     return joined.withColumn("keyword_match", _if(undecided, F.col("keyword_match")))
 
 
+def _blank_entries(listed: DataFrame) -> DataFrame | None:
+    """The first entry of each text that is empty or only blanks: such texts are
+    contained in others as they are, and have no pieces."""
+    blank = listed.filter("word = ''").groupBy("raw").agg(F.min_by(F.struct("ord", "category"), "ord").alias("e"))
+    blank = materialize(blank.select("raw", "e.*"))
+    return None if blank.isEmpty() else blank
+
+
+def _blank_pairs(texts: DataFrame, blank: DataFrame) -> DataFrame:
+    sides = texts.select("text_key", F.explode(F.array("normalized_desc", "description")).alias("whole"))
+    every = F.lit("").alias("gram")
+    hits = attach(sides.select("*", every), blank.select("*", every), "gram", ["text_key", "whole"], "inner")
+    return hits.filter(F.contains("whole", "raw")).select("text_key", "ord", F.lit(True).alias("exact"), "category")
+
+
 # --- pairs of similar texts ---------------------------------------------------
 
 
-def _with_grams(df: DataFrame, text: str, cut: DataFrame) -> DataFrame:
-    """One row per distinct substring of the piece lengths that ``cut`` uses,
-    which are a handful of small numbers."""
+def _grams(df: DataFrame, key: list[str], text: str, cut: DataFrame) -> DataFrame:
+    """(key, size, gram): one row per distinct substring of the piece lengths that
+    ``cut`` uses, which are a handful of small numbers."""
     sizes = cut.select(F.explode(F.transform("cuts", F.length)).alias("n")).distinct()
     listed = sizes.agg(F.sort_array(F.collect_list("n")).alias("ns")).scalar()
     starts = F.sequence(F.lit(1), F.length(text) - F.col("_n") + 1)
@@ -330,11 +353,14 @@ def _with_grams(df: DataFrame, text: str, cut: DataFrame) -> DataFrame:
     return (
         df.withColumn("_n", F.explode(listed))
         .filter(F.length(text) >= F.col("_n"))
-        .withColumn("gram", F.explode(grams))
-        .drop("_n")
+        .select(*key, F.length(text).alias("size"), F.explode(grams).alias("gram"))
     )
 
 
+def _cuts(df: DataFrame, key: list[str], text: str) -> DataFrame:
+    return df.select(*key, F.length(text).alias("size"), F.explode(F.array_distinct("cuts")).alias("gram"))
+
+
 def similar_pairs(
     texts: DataFrame,
     entries: DataFrame,
@@ -350,42 +376,43 @@ def similar_pairs(
     No pair at or above the threshold is missed. For containment alone the word
     is one piece. With a ``tier`` of the entries, similarity is tested only in
     tiers before the first one with a contained entry, as no other can win.
+
+    Only keys and grams are shuffled to find candidates; the texts are fetched for
+    the pairs that are left.
     """
-    sides = F.explode(F.array_distinct(F.array("normalized_desc", "description")))
-    text = (
-        texts.select("text_key", sides.alias("whole"))
-        .withColumn("text", strip(F.col("whole")))
-        .filter("text <> ''")
-    )
-    words = entries.filter("word <> ''")
+    check_threshold(threshold)
+    sides = F.posexplode(F.array_distinct(F.array("normalized_desc", "description"))).alias("side", "whole")
+    text = materialize(texts.select("text_key", sides).withColumn("text", strip(F.col("whole"))).filter("text <> ''"))
+    words = materialize(entries.filter("word <> ''").withColumn("entry", F.monotonically_increasing_id()))
+    text_id = ["text_key", "side"]
     share = F.array("word") if exact_only else pieces_col(F.col("word"), threshold, matcher)
     cut_words = words.withColumn("cuts", share)
-    word_cuts = cut_words.withColumn("gram", F.explode(F.array_distinct("cuts"))).drop("cuts")
-    inside = attach(
-        _with_grams(text, "text", cut_words), word_cuts, "gram", ["text_key", "text"], "inner"
-    ).filter(F.length("word") <= F.length("text"))
+
+    def meet(left: DataFrame, right: DataFrame) -> DataFrame:
+        return attach(left, right.withColumnRenamed("size", "other"), "gram", text_id, "inner")
+
+    found = meet(_grams(text, text_id, "text", cut_words), _cuts(cut_words, ["entry"], "word")).filter("other <= size")
+    if not exact_only:
+        cut_texts = text.withColumn("cuts", pieces_col(F.col("text"), threshold, matcher))
+        around = meet(_cuts(cut_texts, text_id, "text"), _grams(words, ["entry"], "word", cut_texts))
+        found = found.select(*text_id, "entry").unionByName(around.filter("other > size").select(*text_id, "entry"))
+    candidates = materialize(found.select(*text_id, "entry").distinct())
+    checked = attach(attach(candidates, words, "entry", text_id, "inner"), text, text_id, "entry", "inner").withColumn(
+        "exact", F.contains("whole", "raw")
+    )
     if exact_only:
-        return inside.drop("gram").filter(F.contains("whole", "raw")).withColumn("exact", F.lit(True))
-
-    cut_texts = text.withColumn("cuts", pieces_col(F.col("text"), threshold, matcher))
-    text_cuts = cut_texts.withColumn("gram", F.explode(F.array_distinct("cuts"))).drop("cuts")
-    around = attach(
-        text_cuts, _with_grams(words, "word", cut_texts), "gram", ["text_key", "text"], "inner"
-    ).filter(F.length("word") > F.length("text"))
-    candidates = inside.unionByName(around).drop("gram").dropDuplicates(["text_key", "whole", "ord", "word"])
-    checked = candidates.withColumn("exact", F.contains("whole", "raw"))
+        return checked.filter("exact").drop("entry", "side")
     if tier is not None:
-        # At most two texts per key times the entries that share a piece.
-        w = Window.partitionBy("text_key")
+        first = materialize(checked.filter("exact").groupBy("text_key").agg(F.min(tier).alias("_first")))
         checked = (
-            checked.withColumn("_first", F.min(F.when(F.col("exact"), tier)).over(w))
+            attach(checked, first, "text_key", ["text_key", "side", "entry"], "left")
             .filter(F.col("exact") | F.col("_first").isNull() | (tier < F.col("_first")))
             .drop("_first")
         )
     if matcher == "ratio":
-        # Scoring takes long for few bytes, so its tasks must not be merged by size.
-        cores = texts.sparkSession.sparkContext.defaultParallelism
-        checked = checked.repartition(cores, "text_key", "word")
+        # Scoring takes long for few bytes: tasks by the number of pairs, not by size.
+        tasks = -(-candidates.count() // PAIRS_PER_TASK)
+        checked = checked.repartition(max(1, tasks), *text_id, "entry")
     # An entry with blanks at its ends may be contained only without them; that
     # is a similarity match, as for any other inexact hit.
     need = F.when(F.col("exact") | F.contains("text", "word"), F.lit(0)).otherwise(
@@ -393,4 +420,4 @@ def similar_pairs(
     )
     return checked.withColumn("_need", need).filter(
         reaches(F.col("word"), F.col("text"), F.col("_need"), matcher)
-    ).drop("_need")
+    ).drop("_need", "entry", "side")

@@ -9,11 +9,12 @@ from coinsieve.operators.enrich import RowReply, adjudicate
 
 
 def dedupe(
-    txns: DataFrame, mode: str = "exact", judge: RowReply | None = None, null_keys: str = "keep", **calls
+    txns: DataFrame, mode: str = "exact", judge: RowReply | None = None, null_keys: str = "keep",
+    members_per_part: int | None = None, **calls,
 ) -> DataFrame:
     """One row per duplicate group, except groups the judge calls different."""
     if mode == "exact":
         return dedupe_exact(txns, null_keys)
     if mode != "adjudicated" or judge is None:
         raise ValueError("mode is 'exact', or 'adjudicated' with a judge")
-    return dedupe_adjudicated(txns, adjudicate(duplicate_groups(txns), judge, **calls))
+    return dedupe_adjudicated(txns, adjudicate(duplicate_groups(txns, members_per_part), judge, **calls))

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from coinsieve.functions.parsing import format_date
 from coinsieve.schema import FINAL_COLUMNS
 
-# Rules that fit one JSON document; more go out as JSON lines.
-MAX_DOCUMENT_RULES = 10_000
 
 
 def final_columns(df: DataFrame) -> DataFrame:
@@ -47,20 +45,20 @@ def write_deduped(df: DataFrame, path: str) -> None:
 def write_rules(rules: DataFrame, path: str, form: str = "lines") -> None:
     """Rules with their order, as JSON lines or as one ``{"rules": [...]}``.
 
-    The document form holds all rules in one value, so it is refused above
-    MAX_DOCUMENT_RULES; the line form has no limit.
+    The document is one file, so its rows go through one task one after another,
+    between a first and a last line; nothing gathers them in memory.
     """
     fields = ["description", "amount", "day_range", "category"]
     if form == "lines":
         rules.select("rule_ord", *fields).write.mode("overwrite").option("ignoreNullFields", False).json(path)
         return
-    if rules.limit(MAX_DOCUMENT_RULES + 1).count() > MAX_DOCUMENT_RULES:
-        raise ValueError("too many rules for one document; use form='lines'")
-    ordered = F.sort_array(F.collect_list(F.struct("rule_ord", *fields)))
-    plain = F.transform(ordered, lambda r: F.struct(*[r[f].alias(f) for f in fields]))
-    rules.agg(plain.alias("rules")).coalesce(1).write.mode("overwrite").option(
-        "ignoreNullFields", False
-    ).json(path)
+    first = rules.agg(F.min("rule_ord").alias("n")).first().n
+    rule = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    comma = F.when(F.col("rule_ord") == first, F.lit("")).otherwise(F.lit(","))
+    lines = rules.select(F.lit(1).alias("part"), "rule_ord", F.concat(comma, rule).alias("value"))
+    ends = rules.sparkSession.createDataFrame([(0, None, '{"rules": ['), (2, None, "]}")], lines.schema)
+    ordered = lines.unionByName(ends).orderBy("part", "rule_ord").coalesce(1)
+    ordered.select("value").write.mode("overwrite").text(path)
 
 
 def write_cache(cache: DataFrame, path: str) -> None:
