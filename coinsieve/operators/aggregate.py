@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from coinsieve.functions.text import percent
 from coinsieve.functions.usage import cost_estimate, model_family, purpose, token_estimate
@@ -34,7 +35,8 @@ def category_distribution(df: DataFrame) -> DataFrame:
     """Count and share of all rows per category, largest first. Rows without a
     category have no line of their own but count in the whole."""
     counts = df.groupBy("category").agg(_rows().alias("n"))
-    total = counts.agg(F.sum("n").alias("n")).scalar()
+    # The window runs over one row per category, so the input is read once.
+    total = F.sum("n").over(Window.partitionBy())
     return (
         counts.withColumn("pct", percent(F.col("n"), total))
         .filter("category IS NOT NULL")

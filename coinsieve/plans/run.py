@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coinsieve.functions.keys import description_key
 from coinsieve.functions.parsing import parse_amount, parse_date
-from coinsieve.operators.cache import resume_from
+from coinsieve.operators.cache import add_entries, count_hits, resume_from
 from coinsieve.operators.enrich import BatchReply, RowReply, empty_cache, enrich
-from coinsieve.operators.rows import ensure_columns, normalized, pending
+from coinsieve.operators.rows import ensure_columns, is_uncategorized, normalized, pending
 from coinsieve.operators.skew import with_row_number
-from coinsieve.plans.categorize import RESULT, Model, categorize
+from coinsieve.plans.categorize import RESULT, Model, cache_entries, categorize
 from coinsieve.plans.dedupe import dedupe
-from coinsieve.schema import ENRICHMENT
+from coinsieve.schema import CATEGORIZE_CACHE, ENRICHMENT, NORMALIZE_CACHE
 from coinsieve.session import materialize
 from coinsieve.sources.cells import statement_rows
-from coinsieve.sources.sinks import write_combined, write_deduped
+from coinsieve.sources.sinks import write_combined, write_deduped, write_version
 from coinsieve.sources.statements import combine, scan_statements, typed
+from coinsieve.sources.tables import latest_cache
 
 
 def run(
@@ -32,12 +34,15 @@ def run(
     cells: DataFrame | None = None,
     matcher: str = "ratio",
     name_from_folder: bool = False,
+    caches: str | None = None,
     **calls,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Scan, clean, categorize, deduplicate and write.
 
     ``cells`` holds rows of extracted statement tables (see ``sources.cells``),
-    which come after the scanned files. Writes ``<output>/combined`` and ``<output>/deduplicated``; returns all
+    which come after the scanned files. ``caches`` names a folder that keeps what was
+    normalized and categorized: a later run asks and matches for new texts and
+    transactions only, and leaves a new version of both caches. Writes ``<output>/combined`` and ``<output>/deduplicated``; returns all
     rows, the deduplicated rows and the rejected files.
     """
     scanned, rejected = scan_statements(spark, inputs, name_from_folder=name_from_folder)
@@ -47,14 +52,26 @@ def run(
     if normalizer is None:
         txns = normalized(txns)
     else:
-        txns, _ = enrich(txns, normalizer, empty_cache(spark), **calls)
+        path = f"{caches}/normalize"
+        cache, version = latest_cache(spark, path, NORMALIZE_CACHE) if caches else (empty_cache(spark), 0)
+        asked = txns
+        txns, entries = enrich(txns, normalizer, cache, **calls)
+        if caches:
+            write_version(count_hits(asked.withColumn("_key", description_key(F.col("description"))), entries, "_key"), path, version + 1)
     txns = ensure_columns(txns, ENRICHMENT)
     if prior is not None:
         txns = resume_from(txns, prior).drop("txn_key", "is_processed")
     # Rows restored from an earlier run are not categorized again.
     open_rows = pending(txns)
     done = txns.filter("category IS NOT NULL AND confidence IS NOT NULL")
-    fresh = categorize(open_rows.drop(*RESULT), rules, keywords, model=model, matcher=matcher)
+    path = f"{caches}/categorize"
+    cache, version = latest_cache(spark, path, CATEGORIZE_CACHE) if caches else (None, 0)
+    fresh = categorize(open_rows.drop(*RESULT), rules, keywords, cache, model=model, matcher=matcher)
+    if caches:
+        # Only decided rows are kept: the others may fare better with a model or another rule.
+        fresh = materialize(fresh)
+        settled = fresh.filter(~is_uncategorized())
+        write_version(add_entries(cache, cache_entries(settled, rules, keywords)), path, version + 1)
     combined = materialize(done.unionByName(fresh))
     write_combined(combined, f"{output}/combined")
     kept = dedupe(combined, "adjudicated" if judge else "exact", judge, **(calls if judge else {}))

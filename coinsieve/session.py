@@ -62,3 +62,12 @@ def materialize(df: DataFrame) -> DataFrame:
     not repeat model calls or row numbering with another outcome."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any file system that Spark reaches.
+
+    Other faults (no permission, a wrong scheme) are errors, not a missing path.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

@@ -63,3 +63,8 @@ def write_rules(rules: DataFrame, path: str, form: str = "lines") -> None:
 
 def write_cache(cache: DataFrame, path: str) -> None:
     cache.write.mode("overwrite").parquet(path)
+
+
+def write_version(cache: DataFrame, path: str, version: int) -> None:
+    """A cache as its next version beside the older ones, which may be being read."""
+    cache.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={version}")

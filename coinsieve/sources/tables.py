@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coinsieve.schema import KEYWORD, RULE
+from coinsieve.session import path_exists
 
 RULES_DOCUMENT = (
     "rules array<struct<description:string,amount:double,day_range:array<int>,category:string>>"
@@ -37,17 +37,16 @@ def starter_rules(spark: SparkSession) -> DataFrame:
 def load_rules(spark: SparkSession, path: str) -> DataFrame:
     """Rules of a ``{"rules": [...]}`` document or of JSON lines written by
     ``write_rules``; empty when there is no such file."""
-    try:
-        head = spark.read.text(path).limit(1)
-        if head.filter(F.contains("value", F.lit('"rule_ord"'))).isEmpty():
-            return (
-                spark.read.schema(RULES_DOCUMENT).option("multiLine", True).json(path)
-                .select(F.posexplode("rules").alias("rule_ord", "r"))
-                .select(F.col("rule_ord").cast("bigint").alias("rule_ord"), "r.*")
-            )
-        return spark.read.schema(RULE).json(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return spark.createDataFrame([], RULE)
+    head = spark.read.text(path).limit(1)
+    if head.filter(F.contains("value", F.lit('"rule_ord"'))).isEmpty():
+        return (
+            spark.read.schema(RULES_DOCUMENT).option("multiLine", True).json(path)
+            .select(F.posexplode("rules").alias("rule_ord", "r"))
+            .select(F.col("rule_ord").cast("bigint").alias("rule_ord"), "r.*")
+        )
+    return spark.read.schema(RULE).json(path)
 
 
 def keyword_table(spark: SparkSession, keywords: dict[str, list[str]]) -> DataFrame:
@@ -75,19 +74,26 @@ def builtin_keywords(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_cache(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Cache table, empty when it is missing or unreadable."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    """Cache table, empty when it is missing."""
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def latest_cache(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, int]:
+    """The newest version of a versioned cache and its number, 0 when there is none."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema), 0
+    saved = spark.read.schema(f"{schema}, version int").parquet(path)
+    newest = saved.agg(F.max("version").alias("n")).first().n or 0
+    return saved.filter(F.col("version") == newest).drop("version"), newest
 
 
 def load_prior(spark: SparkSession, path: str, required: list[str] | None = None) -> DataFrame | None:
-    """Earlier CSV result, or None when it lacks a needed column."""
-    try:
-        saved = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    except AnalysisException:
+    """Earlier CSV result, or None when it is missing or lacks a needed column."""
+    if not path_exists(spark, path):
         return None
+    saved = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     return saved if set(required or RESUME_COLUMNS) <= set(saved.columns) else None
 
 

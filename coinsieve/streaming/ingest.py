@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,6 +12,7 @@ from coinsieve.functions.keys import KEY_PARTS, with_dedupe_key
 from coinsieve.functions.parsing import parse_date
 from coinsieve.operators.dedupe import dedupe_exact
 from coinsieve.operators.rows import normalized
+from coinsieve.session import path_exists
 from coinsieve.sources.layouts import LAYOUTS, Layout
 from coinsieve.sources.statements import QUOTING, apply_layout, with_provenance
 
@@ -43,18 +43,19 @@ def ingest_stream(rows: DataFrame, target: str, checkpoint: str) -> StreamingQue
     )
 
 
+def month(date: Column) -> Column:
+    return F.date_format(date, "yyyy-MM")
+
+
 def stored_keys(spark: SparkSession, store: str, epoch: int, batch: DataFrame) -> DataFrame | None:
-    """Duplicate keys of other epochs within the batch's span of dates, or None
-    when there is nothing to compare with. The span is pushed down to the files,
-    so a batch of recent rows does not read the whole store."""
-    span = batch.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
-    if span.low is None:
-        return None
-    try:
-        saved = spark.read.parquet(store)
-    except AnalysisException:
+    """Duplicate keys of other epochs within the batch's months, or None when there
+    is nothing to compare with. The store is partitioned by month, so only the
+    files of those months are opened."""
+    months = [r.m for r in batch.filter("date IS NOT NULL").select(month(F.col("date")).alias("m")).distinct().collect()]
+    if not months or not path_exists(spark, store):
         return None
-    near = saved.filter((F.col("epoch") != epoch) & F.col("date").between(span.low, span.high))
+    saved = spark.read.option("basePath", store).parquet(store)
+    near = saved.filter((F.col("epoch") != epoch) & F.col("month").isin(months))
     return with_dedupe_key(near).select(*KEY_PARTS).filter("key_date IS NOT NULL").distinct()
 
 
@@ -83,7 +84,8 @@ def upsert_batch(
                 & F.col("key_amount").eqNullSafe(F.col("_key_amount"))
             )
             kept = with_dedupe_key(kept).join(other, same, "left_anti").drop(*KEY_PARTS)
-        kept.write.mode("overwrite").parquet(f"{store.rstrip('/')}/epoch={epoch}")
+        by_month = kept.withColumn("month", F.coalesce(month(F.col("date")), F.lit("none")))
+        by_month.write.mode("overwrite").partitionBy("month").parquet(f"{store.rstrip('/')}/epoch={epoch}")
 
     return write
 

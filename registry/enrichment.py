@@ -80,6 +80,9 @@ def cheap_model(rows: pd.DataFrame) -> list[str]:
     return out
 
 
+EXAMPLES = {"Food": ["corner bakery $4.20"], "Travel": ["night train $61.00"]}
+
+
 def strong_model(rows: pd.DataFrame) -> list[str]:
     return [json.dumps({"category": "Fault", "confidence": 0.9, "reasoning": "an error"}) for _ in range(len(rows))]
 
@@ -114,7 +117,7 @@ FROM cascade c JOIN model m USING (txn_id)""")
 def _(spark, sf):
     df = categorize(
         txn_events(spark, sf), event_rules(spark), fixture_keywords(spark),
-        model=Model(cheap_model, strong_model, static_examples(spark)), matcher="edit",
+        model=Model(cheap_model, strong_model, static_examples(spark, EXAMPLES)), matcher="edit",
     )
     return df.select(*RESULT)
 

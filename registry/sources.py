@@ -385,6 +385,35 @@ def _(spark, sf):
     return kept.select("date", "description", "amount", "category", "confidence")
 
 
+def order_class(descriptions):
+    """Stands in for a model that cleans descriptions."""
+    return "\n".join(d.lower().removeprefix("order ") for d in descriptions)
+
+
+def no_calls(descriptions):
+    """Fails the second run's rows if anything is asked again."""
+    return "\n".join("asked again" for _ in descriptions)
+
+
+@query("run_twice", """
+SELECT CAST(o_orderdate AS DATE) AS date, 'Order ' || o_orderpriority AS description, lower(o_orderpriority) AS normalized_desc,
+  CASE WHEN contains(lower(o_orderpriority), 'low') THEN 'Low' WHEN contains(lower(o_orderpriority), 'urgent') THEN 'Rush'
+       ELSE 'Uncategorized' END AS category
+FROM orders""")
+def _(spark, sf):
+    """The second run finds all texts and results of the first in the caches."""
+    base, out, caches = (scratch_path(spark, n) for n in ("inputs", "outputs", "caches"))
+    table(spark, sf, "orders").select(
+        F.date_format("o_orderdate", "MM/dd/yyyy").alias("Transaction Date"),
+        F.concat(F.lit("Order "), "o_orderpriority").alias("Description"), F.col("o_totalprice").alias("Amount"),
+    ).write.option("header", True).csv(f"{base}/chase.csv")
+    keywords = keyword_table(spark, {"Low": ["low"], "Rush": ["urgent"]})
+    options = {"keywords": keywords, "matcher": "edit", "name_from_folder": True, "caches": caches}
+    run(spark, base, f"{out}/1", normalizer=order_class, **options)
+    rows, _, _ = run(spark, base, f"{out}/2", normalizer=no_calls, **options)
+    return rows.select("date", "description", "normalized_desc", "category")
+
+
 @query("run_resumed", f"""
 WITH {RUN}
 SELECT DISTINCT ON (date, abs(amount), normalized_desc) date, description, amount,

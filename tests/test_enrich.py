@@ -191,8 +191,8 @@ def test_few_shot_puts_corrections_first(spark):
 
 
 def test_prompt_holds_row_and_examples(spark, txns):
-    prompt = build_prompt(txns([("Shop", 1.5, "2024-01-02")]), static_examples(spark)).first().prompt
-    for part in ("Food", "Uncategorized", "netflix subscription $14.99 → Entertainment", "Shop", "1.50", "01/02/2024"):
+    prompt = build_prompt(txns([("Shop", 1.5, "2024-01-02")]), static_examples(spark, {"Food": ["corner bakery $4.20"]})).first().prompt
+    for part in ("Food", "Uncategorized", "corner bakery $4.20 → Food", "Shop", "1.50", "01/02/2024"):
         assert part in prompt
 
 

@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from coinsieve.operators.aggregate import category_distribution
 from coinsieve.operators.dedupe import dedupe_exact, flag_duplicates
-from coinsieve.operators.match import match_keywords, match_rules
+from coinsieve.operators.match import match_keywords, match_keywords_exact, match_rules
+from coinsieve.streaming.ingest import stored_keys, upsert_batch
 from registry.views import fixture_keywords, fixture_rules, txn_events, txn_lineitem
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -25,10 +27,15 @@ def test_no_pairwise_join(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_containment_in_a_short_list_needs_no_shuffle(spark):
+    text = plan(match_keywords_exact(txn_events(spark, SF_DIR), fixture_keywords(spark)))
+    assert "Exchange" not in text and "Join" not in text and "Python" not in text
+
+
 @pytest.mark.parametrize("match, entries", [(match_keywords, fixture_keywords), (match_rules, fixture_rules)])
-def test_short_lists_need_no_shuffle(spark, match, entries):
+def test_similarity_to_a_short_list_runs_without_python(spark, match, entries):
     text = plan(match(txn_events(spark, SF_DIR), entries(spark), matcher="edit"))
-    assert "Exchange" not in text and "Join" not in text and "Python" not in text
+    assert "Python" not in text and "Arrow" not in text and "levenshtein" not in text  # scored before, per text
 
 
 def test_exact_dedupe_is_one_shuffle(spark):
@@ -52,3 +59,18 @@ def test_top_patterns_take_no_global_sort(spark):
 def test_projection_reaches_the_scan(spark):
     text = plan(txn_lineitem(spark, SF_DIR).select(F.abs("amount")))
     assert "l_tax" not in text and "l_discount" not in text
+
+
+def test_distributions_read_their_input_once(spark):
+    df = txn_events(spark, SF_DIR).withColumn("category", F.col("source"))
+    assert plan(category_distribution(df)).count("FileScan") == 1
+
+
+def test_upsert_opens_the_files_of_the_batch_months(spark, tmp_path):
+    store = str(tmp_path / "store")
+    upsert_batch(store)(txn_events(spark, SF_DIR), 0)
+    batch = txn_events(spark, SF_DIR).limit(1)
+    keys = plan(stored_keys(spark, store, 1, batch))
+    assert "month" in keys[keys.index("PartitionFilters") :].split("]")[0]
+    with pytest.raises(Exception, match="(?i)scheme|FileSystem"):
+        stored_keys(spark, "nosuch://store", 1, batch)
