@@ -14,9 +14,12 @@ some left-out parts: two sets that differ in at most k elements share one.
 
 Signatures are counted first (smallest and largest set key under each). Sets under
 a signature that has more than one are compared with its smallest one, by exact
-intersection; components follow. Signatures whose members still lie in several
-components are then compared in full across those components, so no link between
-components is lost, while copies and near copies need one comparison each.
+intersection; components follow. Where members of a signature still lie in several
+components, they are compared with the centre c of the largest of them. A set x that
+does not link with c either can link with a member y only if x and y share enough of
+their differences from c, since |x ^ y| = |(x ^ c) ^ (y ^ c)|. So the rarest of these
+differences, as many as that bound leaves (prefix filter), are joined, and the pairs
+that share one are compared. No link is lost, and no group is compared pair by pair.
 
 Where the threshold makes groups small (below 8 elements on average, k >= 16),
 groups with no element (with at most one, k >= 32) give no signature. A pair at the
@@ -36,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coinsieve.llm import flat
@@ -185,21 +188,23 @@ def wanted_sets(docs: DataFrame, n: int, wanted) -> DataFrame:
     return per_set(docs, n, emit, "key bigint, elements array<bigint>", ["key", "elements"])
 
 
-def verified(docs: DataFrame, n: int, pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose sets link, by exact intersection."""
-    spark = docs.sparkSession
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key"))
-    wanted = spark.sparkContext.broadcast(build_filter(ends, F.col("key")))
-    rows = wanted_sets(docs, n, wanted).join(ends.distinct(), "key", "left_semi").dropDuplicates(["key"])
-    rows = stored(rows, "sets")
+def sets_of(docs: DataFrame, n: int, keys: DataFrame) -> DataFrame:
+    """(key, elements) for every key of ``keys``, stored."""
+    wanted = docs.sparkSession.sparkContext.broadcast(build_filter(keys, F.col("key")))
+    rows = wanted_sets(docs, n, wanted).join(keys.distinct(), "key", "left_semi")
+    return stored(rows.dropDuplicates(["key"]), "sets")
+
+
+def compared(docs: DataFrame, n: int, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """``pairs`` (a, b, more columns) with both sets, their common size and whether they link."""
+    rows = sets_of(docs, n, pairs.select(F.explode(F.array("a", "b")).alias("key")))
     left = rows.select(F.col("key").alias("a"), F.col("elements").alias("left"))
     right = rows.select(F.col("key").alias("b"), F.col("elements").alias("right"))
     both = F.size(F.array_intersect("left", "right")).cast("long")
+    union = F.size("left") + F.size("right") - F.col("both")
     return (
-        pairs.join(left, "a").join(right, "b")
-        .withColumn("both", both)
-        .filter(F.col("both") * den >= (F.size("left") + F.size("right") - F.col("both")) * num)
-        .select("a", "b")
+        pairs.join(left, "a").join(right, "b").withColumn("both", both)
+        .withColumn("links", F.col("both") * den >= union * num)
     )
 
 
@@ -247,21 +252,83 @@ def linked(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     rows = signature_rows(docs, n, num, den, bitmap)
     members = stored(rows.join(shared, "sig").select("sig", "key", "low").distinct(), "members")
     star = checkpointed(members.filter("key <> low").select(F.col("low").alias("a"), F.col("key").alias("b")).distinct())
-    edges = checkpointed(verified(docs, n, star, num, den))
-    labels = components(edges)
-    # Signatures whose members lie in several components, compared across them.
+    apart = F.size("left") + F.size("right") - 2 * F.col("both")
+    found = checkpointed(compared(docs, n, star, num, den).select("a", "b", "links", apart.alias("apart")))
+    edges = found.filter("links")
+    labels = components(edges.select("a", "b"))
+    # Signatures whose members lie in several components.
     placed = members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     spread = placed.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h")
     open_rows = stored(placed.join(spread.select("sig"), "sig", "left_semi").select("sig", "key", "label"), "open")
-    left = open_rows.select("sig", F.col("key").alias("a"), F.col("label").alias("la"))
-    right = open_rows.select("sig", F.col("key").alias("b"), F.col("label").alias("lb"))
-    rest = checkpointed(
-        left.join(right, "sig").filter("a < b AND la <> lb").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
+    if open_rows.isEmpty():
+        return labels
+    # Each belongs to the family of its largest component, around that one's centre: the
+    # member nearest to the smallest key.
+    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    main = (
+        open_rows.select("sig", "label").distinct().join(sizes, "label", "left").groupBy("sig")
+        .agg(F.max_by("label", F.struct(F.coalesce("n", F.lit(0)), -F.col("label"))).alias("family"))
     )
+    family = stored(open_rows.join(main, "sig").select("family", "key").distinct(), "family")
+    nearest = edges.groupBy(F.col("a").alias("family")).agg(F.min_by("b", F.struct("apart", "b")).alias("near"))
+    centre = family.select("family").distinct().join(nearest, "family", "left").select(
+        "family", F.coalesce("near", "family").alias("a")
+    )
+    pairs = checkpointed(family.join(centre, "family").filter("key <> a").select("family", "a", F.col("key").alias("b")))
+    differences = F.concat(F.array_except("left", "right"), F.array_except("right", "left"))
+    around = stored(
+        compared(docs, n, pairs, num, den).select(
+            "family", "a", "b", "links", F.size("left").alias("size_a"), F.size("right").alias("size_b"), differences.alias("d")
+        ),
+        "differences",
+    )
+    known = labels.select(F.col("label").alias("a"), F.col("key").alias("b"))
+    labels = components(known.union(around.filter("links").select("a", "b")))
+    rest = checkpointed(sharing_differences(around, labels, num, den))
     if rest.isEmpty():
         return labels
-    more = verified(docs, n, rest, num, den)
-    return components(labels.select(F.col("label").alias("a"), F.col("key").alias("b")).union(more))
+    known = labels.select(F.col("label").alias("a"), F.col("key").alias("b"))
+    more = compared(docs, n, rest, num, den).filter("links").select("a", "b")
+    return components(known.union(more))
+
+
+def sharing_differences(around: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): the pairs of a family, in different components, that can still link.
+
+    ``around`` holds for each member b its differences d from the centre a. Let x be a
+    member outside the centre's component and y another one; with t the threshold and
+    r = (1 - t) / (1 + t), they link if |x ^ y| <= r (|x| + |y|). As x does not link with
+    the centre c, they then share more than (|dy| - r (|y| - |c|)) / 2 differences, and at
+    least (|dx| - r (|x| + |c|) + (1 - r) |dy|) / 2.
+    """
+    r = (den - num) / (den + num)
+    where = labels.select(F.col("key").alias("b"), F.col("label").alias("label"))
+    centre = labels.select(F.col("key").alias("a"), F.col("label").alias("centre_label"))
+    rows = (
+        around.join(where, "b", "left").join(centre, "a", "left")
+        .withColumn("label", F.coalesce("label", "b"))
+        .withColumn("outside", F.col("label") != F.coalesce("centre_label", "a"))
+    )
+    families = rows.groupBy("family").agg(F.max("outside").alias("any"), F.min(F.size("d")).alias("least")).filter("any")
+    rows = checkpointed(rows.join(families, "family"))
+    elements = rows.select("family", "b", F.explode("d").alias("e"))
+    counted = elements.join(elements.groupBy("family", "e").agg(F.count(F.lit(1)).alias("n")), ["family", "e"])
+    # The rarest first; one row holds the differences of one set.
+    ordered = counted.groupBy("family", "b").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "e"))), lambda x: x["e"]).alias("d"))
+    rows = stored(rows.drop("d").join(ordered, ["family", "b"]), "ordered")
+    own = F.size("d")
+    need_y = (own - r * (F.col("size_b") - F.col("size_a"))) / 2
+    need_x = (own - r * (F.col("size_b") + F.col("size_a")) + (1 - r) * F.col("least")) / 2
+
+    def prefix(need: Column) -> Column:
+        return F.slice("d", F.lit(1), own - F.greatest(F.ceil(need - 1e-6), F.lit(1)).cast("int") + 1)
+
+    x = rows.filter("outside").select("family", F.col("b").alias("x"), F.col("label").alias("lx"), F.explode(prefix(need_x)).alias("e"))
+    y = rows.select("family", F.col("b").alias("y"), F.col("label").alias("ly"), F.explode(prefix(need_y)).alias("e"))
+    return (
+        x.join(y, ["family", "e"]).filter("lx <> ly")
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    )
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
