@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,8 +13,8 @@ from coinsieve.session import materialize
 
 # A key above this many rows is spread over several tasks.
 ROWS_PER_TASK = 2_000_000
-# At most this many keys can count as hot, so the broadcast list of hot keys
-# (two integers each) stays below two megabytes whatever the table holds.
+# At most this many keys count as hot, so the list of them (two integers each) stays
+# below two megabytes whatever the table holds.
 MAX_HOT_KEYS = 100_000
 
 
@@ -21,8 +24,9 @@ MAX_BROADCAST_BYTES = 64 << 20
 
 def hot_keys(
     left: DataFrame, keys: list[str], rows_per_task: int, counts: DataFrame | None = None
-) -> DataFrame:
-    """(_jk, _js): hash and task count of every key with too many rows.
+) -> dict[int, int]:
+    """Hash and task count of every key with too many rows, the most frequent first
+    where there are more than MAX_HOT_KEYS.
 
     ``counts`` (keys, n) saves counting again where the caller has done so.
     """
@@ -30,14 +34,11 @@ def hot_keys(
         freq = left.groupBy(F.xxhash64(*keys).alias("_jk")).agg(F.count(F.lit(1)).alias("_jn"))
     else:
         freq = counts.select(F.xxhash64(*keys).alias("_jk"), F.col("n").alias("_jn"))
-    total = freq.agg(F.sum("_jn").alias("n")).scalar()
-    grain = F.greatest(F.lit(rows_per_task), F.ceil(total / MAX_HOT_KEYS))
-    return (
-        freq.withColumn("_jg", grain)
-        .filter(F.col("_jn") > F.col("_jg"))
-        .groupBy("_jk")
-        .agg(F.ceil(F.max(F.col("_jn") / F.col("_jg"))).cast("int").alias("_js"))
-    )
+    top = freq.filter(F.col("_jn") > rows_per_task).orderBy(F.desc("_jn"), "_jk").limit(MAX_HOT_KEYS)
+    hot: dict[int, int] = {}
+    for row in top.collect():
+        hot[row["_jk"]] = max(hot.get(row["_jk"], 0), -(-row["_jn"] // rows_per_task))
+    return hot
 
 
 def skew_join(
@@ -52,16 +53,23 @@ def skew_join(
 ) -> DataFrame:
     """Equi-join that splits the hot keys of ``left`` over many tasks.
 
-    Rows of a hot key get one of n salts from a hash of ``row_id``; the matching
-    rows of ``right`` are copied to those n salts. Keys that are not hot move
-    once, as in a plain join. Salts depend on values only, so a repeated task
+    The keys are counted first, once. Without a hot key this is a plain join. Else
+    rows of a hot key get one of n salts from a hash of ``row_id``; the matching
+    rows of ``right`` are copied to those n salts. Salts depend on values only, so a repeated task
     gives the same rows. Supports left, inner, left_semi and left_anti.
     """
     keys = [on] if isinstance(on, str) else list(on)
     ids = [row_id] if isinstance(row_id, str) else list(row_id)
     types = {f.name: f.dataType for f in left.schema.fields}
     right = right.withColumns({k: F.col(k).cast(types[k]) for k in keys})
-    hot = F.broadcast(hot_keys(left, keys, rows_per_task, counts))
+    found = hot_keys(left, keys, rows_per_task, counts)
+    if not found:
+        if not null_safe:
+            return left.join(right, keys, how)
+        plain = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+        return left.join(plain, same, how).drop(*[f"_r_{k}" for k in keys])
+    hot = F.broadcast(left.sparkSession.createDataFrame(list(found.items()), "_jk bigint, _js int"))
 
     salted = (
         left.withColumn("_jk", F.xxhash64(*keys))

@@ -10,7 +10,7 @@ from coinsieve.functions.parsing import parse_amount, parse_date
 from coinsieve.operators.cache import add_entries, count_hits, resume_from
 from coinsieve.operators.enrich import BatchReply, RowReply, empty_cache, enrich
 from coinsieve.operators.rows import ensure_columns, is_uncategorized, normalized, pending
-from coinsieve.operators.skew import with_row_number
+from coinsieve.operators.skew import attach, with_row_number
 from coinsieve.plans.categorize import RESULT, Model, cache_entries, categorize
 from coinsieve.plans.dedupe import dedupe
 from coinsieve.schema import CATEGORIZE_CACHE, ENRICHMENT, NORMALIZE_CACHE
@@ -80,18 +80,32 @@ def run(
 
 
 def _extracted(cells: DataFrame) -> DataFrame:
-    """Rows of extracted tables with a place to order them by."""
-    return statement_rows(cells).select(
-        "file", F.col("page").cast("bigint").alias("block"),
-        (F.col("table_no").cast("bigint") * (1 << 32) + F.col("row_no")).alias("line_no"),
+    """Rows of extracted tables, numbered in the order page, table, row."""
+    rows = statement_rows(cells)
+    order = [F.col(c) for c in ("file", "page", "table_no", "row_no")]
+    return with_row_number(rows, order, "line_no").select(
+        "file", F.lit(0).cast("bigint").alias("block"), "line_no",
         "source", "raw_date", "description", parse_amount(F.col("raw_amount")).alias("amount"),
     )
 
 
+# Places within one file: a file may have up to this many bytes.
+FILE_PLACES = 1 << 42
+
+
 def in_file_order(rows: DataFrame) -> DataFrame:
-    """Id and ``seq`` in the order file name, place in file."""
-    numbered = with_row_number(rows, [F.col("file"), F.col("block"), F.col("line_no")], "seq")
-    return numbered.withColumn("txn_id", F.col("seq").cast("string")).drop("block", "line_no")
+    """Id and ``seq`` in the order file name, place in file, without sorting the rows.
+
+    A block of a file has fewer lines than bytes, so the byte it starts at plus the
+    line's number within it is a place of its own.
+    """
+    first = materialize(rows.groupBy("file", "block").agg(F.min("line_no").alias("_first")))
+    files = with_row_number(first.select("file").distinct(), [F.col("file")], "_file")
+    placed = attach(rows, first.join(files, "file"), ["file", "block"], ["file", "block", "line_no"], "inner")
+    seq = F.col("_file") * FILE_PLACES + F.col("block") + F.col("line_no") - F.col("_first")
+    return placed.withColumn("seq", seq).withColumn("txn_id", F.col("seq").cast("string")).drop(
+        "block", "line_no", "_first", "_file"
+    )
 
 
 def prior_as_txns(saved: DataFrame) -> DataFrame:
