@@ -7,14 +7,15 @@ checksum. The difference of two digests adds up header and bucket differences an
 bounded; likeness is one less its share of the bound.
 
 Cases: a null text is an empty one; its buckets are all zero. Equal texts have equal
-digests. The next document is the next row by doc_id (nulls first), then text; after
-the last row comes the first, so a single row is its own next one. Repeated rows each
+digests. The next document is the next row by doc_id (nulls first), then by a hash of
+the text; after the last row comes the first, so a single row is its own next one. Repeated rows each
 come back. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -137,10 +138,20 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     Documents are range-partitioned and sorted once; each task sees its neighbours in
     order. Only the first and last text of every partition are matched up by a join.
     """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [zlib.compress(t.as_py().encode(), 1) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["doc_id", "tie", "packed"])
+
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     ordered = (
-        docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+        docs.select(F.col("doc_id").cast("bigint"), F.xxhash64(text).alias("tie"), text.alias("text"))
+        # Whole texts are shuffled once, deflated.
+        .mapInArrow(pack, "doc_id bigint, tie bigint, packed binary")
         .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        .sortWithinPartitions("doc_id", "tie")
+        .select("doc_id", "packed")
     )
     extra = [pa.int32(), pa.string(), pa.string()]
 
@@ -156,7 +167,8 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         part = TaskContext.get().partitionId()
         held_id, held = None, None
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids = batch.column(0).to_pylist()
+            texts = [zlib.decompress(p.as_py()).decode() for p in batch.column(1)]
             if not ids:
                 continue
             if held is None:
