@@ -107,3 +107,11 @@ def test_missing_verdict_keeps_the_first(rows, spark):
         [], "key_date date, key_amount double, key_desc string, is_duplicate boolean, reasoning string, failed boolean"
     )
     assert set(by_seq(dedupe_adjudicated(rows, none), "is_duplicate")) == {0, 2, 3, 4, 5}
+
+
+def test_a_large_group_reaches_the_judge_whole(txns):
+    rows = txns([("Coffee", 4.0, "2024-01-01")] * 200 + [("Tea", 2.0, "2024-01-01")])
+    (group,) = duplicate_groups(rows).collect()
+    assert [m.seq for m in group.members] == list(range(200))
+    kept = dedupe(rows, "adjudicated", lambda f: ['{"is_duplicate": true, "reasoning": "same"}'] * len(f), **FAST)
+    assert sorted(r.seq for r in kept.collect()) == [0, 200]

@@ -191,3 +191,23 @@ def test_regex_characters_in_keywords_are_plain_text(spark, txns):
     table = keyword_table(spark, {"TV": ["disney+"], "Ride": ["uber (trip)"]})
     df = match_keywords_exact(txns([("DISNEY+ 1", 1.0, None), ("uber (trip) x", 1.0, None), ("disneyy", 1.0, None)]), table)
     assert [r.c for r in df.orderBy("seq").select(F.col("keyword_match.category").alias("c")).collect()] == ["TV", "Ride", None]
+
+
+def test_blank_keywords_mean_the_same_in_short_and_long_lists(spark, txns):
+    rows = txns([("rent due", 1.0, None), ("two  blanks", 1.0, None), ("", 1.0, None), (None, 1.0, None)])
+    for words in ([""], [" "], ["  "], ["rent", ""], ["zzz"]):
+        table = keyword_table(spark, {"A": words, "B": ["rent"]})
+        results = []
+        for many in (match_keywords_exact, lambda t, k, max_inline: match_keywords(t, k, matcher="edit", max_inline=max_inline)):
+            for limit in (500, 0):
+                got = many(rows, table, max_inline=limit).select("seq", "keyword_match.category", "keyword_match.match_type")
+                results.append(sorted(got.collect(), key=str))
+        assert all(r == results[0] for r in results), words
+
+
+@pytest.mark.parametrize("threshold", [0, 30, 50, 101])
+def test_useless_thresholds_are_refused_alike(spark, txns, threshold):
+    rows, table = txns([("rent", 1.0, None)]), keyword_table(spark, {"A": ["k"]})
+    for limit in (32, 0):
+        with pytest.raises(ValueError, match="threshold"):
+            match_keywords(rows, table, threshold, "edit", max_inline=limit)

@@ -73,3 +73,28 @@ def test_run_with_functions(spark, tmp_path):
     )
     assert {r.normalized_desc for r in combined.collect()} == {"Netflix.Com", "Zelle", "Something", "No", "Atm"}
     assert kept.count() == combined.count() == 6
+
+
+def test_a_second_run_asks_for_new_texts_only(spark, tmp_path):
+    """The caches keep what was normalized and categorized, version by version."""
+    from coinsieve.schema import CATEGORIZE_CACHE, NORMALIZE_CACHE
+    from coinsieve.sources.tables import latest_cache
+
+    keywords = keyword_table(spark, {"Entertainment": ["netflix"]})
+    folder, caches = inputs(tmp_path), str(tmp_path / "caches")
+
+    def first(texts):
+        return "\n".join(t.lower() for t in texts)
+
+    def second(texts):
+        return "\n".join("asked again" for _ in texts)
+
+    options = {"keywords": keywords, "matcher": "edit", "caches": caches, "attempts": 1, "wait": (0.0, 0.0)}
+    once, _, _ = run(spark, folder, str(tmp_path / "1"), normalizer=first, **options)
+    again, _, _ = run(spark, folder, str(tmp_path / "2"), normalizer=second, **options)
+    shown = ["description", "normalized_desc", "category", "confidence"]
+    assert sorted(once.select(*shown).collect(), key=str) == sorted(again.select(*shown).collect(), key=str)
+    for name, schema in (("normalize", NORMALIZE_CACHE), ("categorize", CATEGORIZE_CACHE)):
+        entries, version = latest_cache(spark, f"{caches}/{name}", schema)
+        assert version == 2 and entries.count() == entries.select("key").distinct().count() > 0
+    assert latest_cache(spark, f"{caches}/none", NORMALIZE_CACHE)[1] == 0
