@@ -36,9 +36,10 @@ from pyspark.sql import functions as F
 from coinsieve.llm.storage import stored
 from coinsieve.session import scratch_path
 
-FILE_BYTES = 64 << 20  # a file is closed when it is larger
+FILE_BYTES = 32 << 20  # a file is closed when it is larger
 GAP_BYTES = 64 << 10  # unwanted bytes read rather than seeking past them
 READ_BYTES = 8 << 20  # of one read, unless one record is larger
+TASK_BYTES = 32 << 20  # of archives read by one task, about
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PRINTABLE = "".join(chr(c) for c in range(33, 127) if chr(c) not in '<>"')
@@ -219,9 +220,10 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
                         )
                 start = end
 
-    return (
-        index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset").mapInArrow(run, RECORD)
-    )
+    # Index rows are small next to what they point to: tasks by bytes of the archives.
+    wanted = index.select("file", "offset", "length")
+    tasks = -(-(wanted.agg(F.sum("length").alias("n")).first().n or 1) // TASK_BYTES)
+    return wanted.repartition(tasks, "file").sortWithinPartitions("file", "offset").mapInArrow(run, RECORD)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
