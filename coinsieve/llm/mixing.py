@@ -7,7 +7,8 @@ odds, and the documents are taken in that order up to the missing number of word
 the sample's size is fixed in words. A document's inclusion is the missing share of its
 source, but less for one that would bring more than an eighth of the missing words, so a
 few very long documents do not decide a small source. What the last document
-that fits leaves open is closed by the untaken documents that fit it best.
+that fits leaves open is closed by the untaken documents that fit it best; where such a
+document is too long, the order is cut once more, earlier.
 
 The place where the order is cut is found by counting: words by 1024 intervals of the
 rank, then by 1024 parts of the interval that is cut, and only its few documents are
@@ -87,10 +88,11 @@ def by_source(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return skew_join(rows, plan, "source", "doc_id", null_safe=True)
 
 
-def cut_of_order(drawn: DataFrame, plan: DataFrame) -> DataFrame:
-    """(source, cut, words): documents up to rank ``cut`` hold ``words``, the most that fit."""
-    limits = checkpointed(plan.select("source", F.lit(0.0).alias("low"), F.lit(1.0).alias("high"), F.lit(0).cast("long").alias("below")))
-    size, missing = F.col("n"), F.col("missing")
+def cut_of_order(drawn: DataFrame, sources: DataFrame) -> DataFrame:
+    """(source, cut, words, open): documents up to rank ``cut`` hold ``words``, the most
+    that ``budget`` has room for. Sources whose documents all fit have no row."""
+    limits = checkpointed(sources.select("source", F.lit(0.0).alias("low"), F.lit(1.0).alias("high"), F.lit(0).cast("long").alias("below")))
+    size, budget = F.col("n"), F.col("budget")
     order = Window.partitionBy("source").orderBy("bin")
     for _ in range(2):
         step = (F.col("high") - F.col("low")) / INTERVALS
@@ -98,13 +100,13 @@ def cut_of_order(drawn: DataFrame, plan: DataFrame) -> DataFrame:
             by_source(drawn, limits)
             .filter("rank >= low AND rank < high")
             .groupBy("source", F.least(F.floor((F.col("rank") - F.col("low")) / step), F.lit(INTERVALS - 1)).alias("bin"))
-            .agg(F.sum("size").alias("n"), F.first("missing").alias("missing"), F.first("low").alias("low"), F.first("high").alias("high"), F.first("below").alias("below"))
+            .agg(F.sum("size").alias("n"), F.first("budget").alias("budget"), F.first("low").alias("low"), F.first("high").alias("high"), F.first("below").alias("below"))
         )
         # At most INTERVALS rows to a source; the first whose words no longer fit is cut further.
         upto = F.sum("n").over(order)
         first = (
             bins.withColumn("upto", F.col("below") + upto)
-            .filter(F.col("upto") > missing)
+            .filter(F.col("upto") > budget)
             .groupBy("source")
             .agg(F.min_by(F.struct("bin", F.col("low").alias("l"), F.col("high").alias("h"), (F.col("upto") - size).alias("b")), "bin").alias("x"))
         )
@@ -118,7 +120,7 @@ def cut_of_order(drawn: DataFrame, plan: DataFrame) -> DataFrame:
         )
     rows = by_source(drawn, limits).filter("rank >= low AND rank < high")
     upto = F.col("below") + F.sum("size").over(Window.partitionBy("source").orderBy("rank"))
-    fits = rows.withColumn("upto", upto).filter(F.col("upto") <= missing)
+    fits = rows.withColumn("upto", upto).filter(F.col("upto") <= budget)
     last = fits.groupBy("source").agg(F.max("rank").alias("_mx_rank"), F.max("upto").alias("_mx_upto"))
     cut = (
         by_source(limits, last)
@@ -137,31 +139,46 @@ def plan_of(slim: DataFrame, seed: int = 0, share: float = SHARE, weights: tuple
         plan.withColumn("whole", whole.cast("int")).withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size"))
     )
     drawn = with_draw(slim, plan.select("source", "source_size", "missing"), seed)
-    cut = cut_of_order(drawn, plan)
+    cut = cut_of_order(drawn.withColumn("budget", F.col("missing")), plan)
+    plan = checkpointed(with_cut(plan.withColumn("fills", F.array().cast("array<bigint>")).withColumn("filled", F.lit(0).cast("bigint")), cut))
+    plan = filled(drawn, plan)
+    # Where a fill is too long the order is cut again, for what it leaves.
+    over = checkpointed(plan.filter("gap < 0"))
+    if not over.isEmpty():
+        budget = over.select("source", "fills", F.greatest(F.col("missing") - F.col("filled"), F.lit(0.0)).alias("budget"))
+        others = by_source(drawn, budget).filter(F.col("budget").isNotNull() & ~F.array_contains("fills", F.coalesce("doc_id", F.lit(0).cast("bigint"))))
+        again = with_cut(over.drop("cut", "words", "open", "gap"), cut_of_order(others.drop("fills"), budget))
+        plan = filled(drawn, checkpointed(plan.filter("NOT gap < 0").unionByName(again)))
+    return plan.drop("filled")
+
+
+def with_cut(plan: DataFrame, cut: DataFrame) -> DataFrame:
+    """A source without a cut takes all its documents once more."""
     named = cut.select(F.col("source").alias("_mx_s"), "cut", "words", "open")
-    # A source without a cut takes all its documents once more, or none.
-    plan = checkpointed(
-        plan.join(named, F.col("source").eqNullSafe(F.col("_mx_s")), "left").drop("_mx_s")
-        .withColumn("fills", F.array().cast("array<bigint>"))
-        .withColumn("gap", F.when(F.col("cut").isNotNull(), F.col("missing") - F.col("words")).otherwise(0.0))
-    )
+    gap = F.col("missing") - F.col("filled") - F.col("words")
+    joined = plan.join(named, F.col("source").eqNullSafe(F.col("_mx_s")), "left").drop("_mx_s")
+    return joined.withColumn("gap", F.when(F.col("cut").isNotNull(), gap).otherwise(0.0))
+
+
+def filled(drawn: DataFrame, plan: DataFrame) -> DataFrame:
+    """``plan`` with the untaken documents that come nearest to what is missing."""
     for _ in range(FILLS):
         free = by_source(drawn.drop("missing", "source_size"), plan.select("source", "cut", "open", "fills", "gap")).filter(
             (F.col("gap") > 0) & ~taken_once(F.col("rank")) & F.col("doc_id").isNotNull() & ~F.array_contains("fills", F.col("doc_id"))
         )
         off = F.abs(F.col("size") - F.col("gap"))
-        best = (
+        best = checkpointed(
             free.filter(off < F.col("gap"))
             .groupBy("source")
             .agg(F.min_by(F.struct("doc_id", "size"), F.struct(off, "rank", "doc_id")).alias("_mx_best"))
         )
-        best = checkpointed(best)
         if best.isEmpty():
             break
+        more = F.coalesce("_mx_best.size", F.lit(0))
         plan = checkpointed(
             by_source(plan, best)
             .withColumn("fills", F.when(F.col("_mx_best").isNotNull(), F.concat("fills", F.array("_mx_best.doc_id"))).otherwise(F.col("fills")))
-            .withColumn("gap", F.col("gap") - F.coalesce("_mx_best.size", F.lit(0)))
+            .withColumns({"gap": F.col("gap") - more, "filled": F.col("filled") + more})
             .drop("_mx_best")
         )
     return plan
