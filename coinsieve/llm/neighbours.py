@@ -199,8 +199,9 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
                         [
                             pa.array(leaf[chosen]), pa.array(block.astype(np.int32)),
                             pa.array((flat.mix(ids.to_numpy().view(np.uint64)) % np.uint64(parts)).astype(np.int32)), ids, batch.column(1).take(pa.array(row)),
+                            batch.column(2).take(pa.array(row)),
                         ],
-                        names=["leaf", "block", "part", "qid", "q"],
+                        names=["leaf", "block", "part", "qid", "q", "worst"],
                     )
 
         return run
@@ -215,10 +216,13 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
                 rough = q @ x.T
                 near = min(k + 12, len(x))
                 best = np.argpartition(-rough, near - 1, axis=1)[:, :near]
+                floor = [-math.inf if w is None else w for w in part.column("worst").to_pylist()]
                 for i, own in enumerate(qid):
                     # Sums in order of components, so equal inputs give equal scores anywhere.
                     exact = np.cumsum(x[best[i]] * q[i], axis=1)[:, -1].tolist()
-                    made = sorted((-s, v) for s, c in zip(exact, best[i].tolist(), strict=True) for v in ids[c])[: k + 1]
+                    # Only what can still come into the k + 1 best goes on.
+                    good = [(s, c) for s, c in zip(exact, best[i].tolist(), strict=True) if s >= floor[i]]
+                    made = sorted((-s, v) for s, c in good for v in ids[c])[: k + 1]
                     found[0] += [own] * len(made)
                     found[1] += [v for _, v in made]
                     found[2] += [-s for s, _ in made]
@@ -231,7 +235,7 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
         kth = best.groupBy("qid").agg(F.min("score").alias("worst"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > k)
         asking = queries.join(kth.select("qid", "worst"), "qid", "left").select("qid", "q", "worst")
         visit = stored(
-            asking.mapInArrow(visits(begin, begin + step), "leaf bigint, block int, part int, qid bigint, q array<double>"), "visits"
+            asking.mapInArrow(visits(begin, begin + step), "leaf bigint, block int, part int, qid bigint, q array<double>, worst double"), "visits"
         )
         if visit.isEmpty():
             break

@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
 from coinsieve.llm import dialogue, mixing, neighbours, urls, warc
@@ -108,7 +109,7 @@ def test_neighbours_are_found(spark):
     odd = [(9000, None), (9020, []), (9040, [0.0] * 12), (9060, [1.0] * 11 + [None]), (9080, [float("nan")] * 12), (9100, [1.0, 2.0]), (None, [1.0] * 12)]
     df = spark.createDataFrame([*vectors.items(), *odd, (3, vectors[3])], "vec_id bigint, embedding array<float>").selectExpr("*", "1 AS score", "'x' AS v")
     got = {}
-    for r in neighbours.search(df, df["vec_id"] % 20 == 0, 20).collect():
+    for r in neighbours.search(df, F.col("vec_id") % 20 == 0, 20).collect():
         got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
     want = brute_neighbours(vectors, 20)
     assert set(got) == set(want)
@@ -126,10 +127,10 @@ def test_neighbours_are_found(spark):
 def test_few_and_no_vectors(spark):
     schema = "vec_id bigint, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [3.0, 1.0])], schema)
-    got = neighbours.search(few, few["vec_id"] % 20 == 0).collect()
+    got = neighbours.search(few, F.col("vec_id") % 20 == 0).collect()
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(0, 1, 2, 3.0), (0, 2, 1, 1.0)]
     none = spark.createDataFrame([], schema)
-    assert neighbours.search(none, none["vec_id"] % 20 == 0).count() == 0
+    assert neighbours.search(none, F.col("vec_id") % 20 == 0).count() == 0
 
 
 def test_chi_square_quantiles():
