@@ -64,6 +64,36 @@ def _(spark, sf):
     return rows.select("txn_id", "normalized_desc")
 
 
+class FailsFirst:
+    """A model whose first two answers to a batch are errors."""
+
+    def __init__(self) -> None:
+        self.calls: dict[tuple[str, ...], int] = {}
+
+    def __call__(self, texts: list[str]) -> str:
+        tried = self.calls[tuple(texts)] = self.calls.get(tuple(texts), 0) + 1
+        if tried < 3:
+            raise RuntimeError("busy")
+        return digest_lines(texts)
+
+
+@query("enrich_retried", """
+SELECT CAST(doc_id AS VARCHAR) AS txn_id, md5(text) AS normalized_desc FROM documents""")
+def _(spark, sf):
+    """Two calls of three fail, which no result shows."""
+    rows, _ = en.enrich(as_txns(spark, sf), FailsFirst(), en.empty_cache(spark), attempts=3, wait=(0.0, 0.0))
+    return rows.select("txn_id", "normalized_desc")
+
+
+@query("enrich_given_up", f"""
+WITH {TXN} SELECT txn_id, normalized_desc FROM txn""")
+def _(spark, sf):
+    """With two attempts the third never comes, so the basic normalization stands in."""
+    rows = txn_events(spark, sf).drop("normalized_desc")
+    rows, _ = en.enrich(rows, FailsFirst(), en.empty_cache(spark), attempts=2, wait=(0.0, 0.0))
+    return rows.select("txn_id", "normalized_desc")
+
+
 def cheap_model(rows: pd.DataFrame) -> list[str]:
     """Knows purchases and views, is unsure about clicks, and fails the rest."""
     out = []

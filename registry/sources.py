@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from coinsieve.operators.match import match_rules
 from coinsieve.plans.dedupe import dedupe
 from coinsieve.plans.run import prior_as_txns, run
 from coinsieve.session import scratch_path
@@ -16,7 +17,7 @@ from coinsieve.sources.layouts import LAYOUTS
 from coinsieve.sources.sinks import final_columns, write_combined, write_deduped, write_rules
 from coinsieve.sources.statements import read_inferred, read_layout, scan_statements, statement_name, typed
 from coinsieve.sources.tables import (
-    DEDUPED_COLUMNS, keyword_table, load_prior, load_rules, rules_table,
+    DEDUPED_COLUMNS, builtin_keywords, keyword_table, load_prior, load_rules, rules_table, starter_rules,
 )
 from registry.core import query
 from registry.duplicates import SUGGESTED, suggested_rules
@@ -186,6 +187,43 @@ def _(spark, sf):
     return typed(rows).select("date", "description", "amount")
 
 
+# --- keyword file and starter rules ---------------------------------------------------------
+
+
+@query("keyword_file", """
+SELECT CAST(dense_rank() OVER (ORDER BY n_regionkey) - 1 AS INTEGER) AS cat_ord, r_name AS category,
+       CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) - 1 AS INTEGER) AS kw_ord, lower(n_name) AS keyword
+FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def _(spark, sf):
+    """A keyword file with the regions as categories and their nations as keywords."""
+    path = scratch_path(spark, "keywords")
+    nations = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    lists = nations.groupBy("n_regionkey", "r_name").agg(F.sort_array(F.collect_list(F.lower("n_name"))).alias("words"))
+    whole = lists.agg(F.sort_array(F.collect_list(F.struct("n_regionkey", "r_name", "words"))).alias("all"))
+    entries = F.transform("all", lambda e: F.struct(e["r_name"].alias("key"), e["words"].alias("value")))
+    whole.select(F.to_json(F.map_from_entries(entries)).alias("value")).coalesce(1).write.text(path)
+    return builtin_keywords(spark, path)
+
+
+@query("match_starter_rules", """
+SELECT CAST(event_id AS VARCHAR) AS txn_id,
+  CASE WHEN event_type = 'purchase' AND day(CAST(ts AS DATE)) <= 5 THEN 'Rent' WHEN event_type = 'view' THEN 'Food'
+       WHEN event_type = 'click' THEN 'Shopping' WHEN event_type = 'signup' THEN 'Entertainment' END AS category
+FROM events""")
+def _(spark, sf):
+    kind = F.col("event_type")
+    text = (
+        F.when(kind == "purchase", "Zelle to landlord").when(kind == "view", "VENMO 123").when(kind == "click", "paypal *shop")
+        .when(kind == "signup", "Cash App 7").otherwise("grumble")
+    )
+    rows = table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("txn_id"), F.to_date("ts").alias("date"), F.col("value").alias("amount"),
+        text.alias("description"), F.lower(text).alias("normalized_desc"),
+    )
+    matched = match_rules(rows, starter_rules(spark), matcher="edit")
+    return matched.select("txn_id", F.col("rule_match.category").alias("category"))
+
+
 # --- extracted tables ------------------------------------------------------------------
 
 PAGE_TEXT = """
