@@ -284,16 +284,15 @@ def linked(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     )
     known = labels.select(F.col("label").alias("a"), F.col("key").alias("b"))
     labels = components(known.union(around.filter("links").select("a", "b")))
-    rest = checkpointed(sharing_differences(around, labels, num, den))
-    if rest.isEmpty():
+    more = checkpointed(linked_by_differences(around, labels, num, den))
+    if more.isEmpty():
         return labels
     known = labels.select(F.col("label").alias("a"), F.col("key").alias("b"))
-    more = compared(docs, n, rest, num, den).filter("links").select("a", "b")
     return components(known.union(more))
 
 
-def sharing_differences(around: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): the pairs of a family, in different components, that can still link.
+def linked_by_differences(around: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): the pairs of a family, in different components, that link.
 
     ``around`` holds for each member b its differences d from the centre a. Let x be a
     member outside the centre's component and y another one; with t the threshold and
@@ -325,8 +324,16 @@ def sharing_differences(around: DataFrame, labels: DataFrame, num: int, den: int
 
     x = rows.filter("outside").select("family", F.col("b").alias("x"), F.col("label").alias("lx"), F.explode(prefix(need_x)).alias("e"))
     y = rows.select("family", F.col("b").alias("y"), F.col("label").alias("ly"), F.explode(prefix(need_y)).alias("e"))
+    pairs = x.join(y, ["family", "e"]).filter("lx <> ly").select("family", "x", "y").distinct()
+    # Compared by their differences, which are far fewer than their elements.
+    sides = [
+        rows.select("family", F.col("b").alias(k), F.col("d").alias(f"d{k}"), F.col("size_b").alias(f"size_{k}")) for k in "xy"
+    ]
+    far = F.size("dx") + F.size("dy") - 2 * F.size(F.array_intersect("dx", "dy"))
+    both = (F.col("size_x") + F.col("size_y") - far) / 2
     return (
-        x.join(y, ["family", "e"]).filter("lx <> ly")
+        pairs.join(sides[0], ["family", "x"]).join(sides[1], ["family", "y"]).withColumn("both", both)
+        .filter(F.col("both") * den >= (F.col("size_x") + F.col("size_y") - F.col("both")) * num)
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     )
 
