@@ -41,9 +41,15 @@ def apply_layout(df: DataFrame, layout: Layout, *keep: str, net_credit: bool = F
     )
 
 
-def odd_quotes(line: Column) -> Column:
-    """True for a line that opens or closes a cell without the other."""
-    return F.pmod(F.length(line) - F.length(F.replace(line, F.lit('"'))), F.lit(2)) == 1
+# A line that ends inside a quoted cell. Quotes count at a cell's start only; after
+# the closing one the cell goes on to the separator. Possessive, so nothing is tried twice.
+_QUOTED = '"[^"]*+(?:""[^"]*+)*+'
+_OPENS = f'^(?:(?:{_QUOTED}"[^,]*+|(?!")[^,]*+),)*+{_QUOTED}\\z'
+
+
+def opens(line: Column) -> Column:
+    """True for a line that starts outside of a quoted cell and ends inside one."""
+    return line.contains('"') & line.rlike(_OPENS)
 
 
 def csv_parts(spark: SparkSession, path: str) -> list[DataFrame]:
@@ -54,7 +60,7 @@ def csv_parts(spark: SparkSession, path: str) -> list[DataFrame]:
         return spark.read.options(header=True, enforceSchema=False, **QUOTING, **more)
 
     name = F.col("_metadata.file_path")
-    lines = spark.read.text(path).filter(odd_quotes(F.col("value")))
+    lines = spark.read.text(path).filter(opens(F.col("value")))
     whole = [r.file for r in lines.select(name.alias("file")).distinct().collect()]
     rows = reader().csv(path)
     if not whole:
@@ -122,14 +128,34 @@ def csv_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([(f,) for f in csv_reader(spark, path).inputFiles()], "file string")
 
 
+def _inside(lines: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Adds ``in0`` and ``in1``: whether a row starts inside a cell where its group starts
+    outside (0) or inside (1) one, and ``out0``, ``out1`` for its end.
+
+    ``shut`` and ``open`` say where a row that starts outside or inside ends. A row either
+    keeps the side, changes it, or sets it; so the last one that sets it and the number
+    of changes since then give the side.
+    """
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    turns = F.coalesce(F.sum((F.col("shut") & ~F.col("open")).cast("long")).over(before), F.lit(0).cast("long"))
+    sets = F.when(F.col("shut") == F.col("open"), F.struct(F.col("shut").alias("side"), "_turns"))
+    since = F.pmod(F.col("_turns") - F.coalesce("_set._turns", F.lit(0)), F.lit(2)) == 1
+    known = lines.withColumn("_turns", turns).withColumn("_set", F.last(sets, ignorenulls=True).over(before))
+    for entry in (0, 1):
+        side = F.coalesce("_set.side", F.lit(bool(entry)))
+        known = known.withColumn(f"in{entry}", side != since)
+        known = known.withColumn(f"out{entry}", F.when(F.col(f"in{entry}"), F.col("open")).otherwise(F.col("shut")))
+    return known.drop("_turns", "_set")
+
+
 def csv_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(file, block, line_no, value) of every non-blank record of every CSV file,
     and the (file, problem) of files that end inside a cell.
 
     The numbered lines are written once, so all later passes see the same places.
-    Lines that a cell spans become one record; a file with such cells is put
-    together in one task, as any reader of it has to. Files that cannot be read to
-    their end give the lines before.
+    Lines that a cell spans become one record. Where a line starts is found by block
+    of a file and then by one row per block, so no task holds a file. Files that cannot
+    be read to their end give the lines before.
     """
     lines = materialize(
         csv_reader(spark, path)
@@ -140,26 +166,49 @@ def csv_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
             F.regexp_replace("value", "\r$|^\ufeff", "").alias("value"),
         )
     )
-    odd = odd_quotes(F.col("value"))
-    quotes = materialize(lines.filter(odd).groupBy("file").agg(F.count(F.lit(1)).alias("odd")))
+    # The first such line of a file does start outside of a cell.
+    broken = materialize(lines.filter(opens(F.col("value"))).select("file").distinct())
     whole = lines.filter(F.trim("value") != "")
-    unclosed = quotes.filter("odd % 2 = 1").select("file", F.lit("a quoted cell has no end").alias("problem"))
-    if quotes.isEmpty():
-        return whole, unclosed
-    marked = attach(lines, quotes, "file", ROW_ID, "left")
-    before = Window.partitionBy("file").orderBy("block", "line_no").rowsBetween(Window.unboundedPreceding, -1)
-    opened = F.coalesce(F.sum(odd.cast("int")).over(before), F.lit(0))
-    start = F.when(opened % 2 == 0, F.struct("block", "line_no"))
-    line = F.struct("block", "line_no", "value")
+    if broken.isEmpty():
+        return whole, broken.withColumn("problem", F.lit(""))
+    marked = attach(lines, broken.withColumn("broken", F.lit(True)), "file", ROW_ID, "left")
+    ends = marked.filter("broken").withColumns(
+        {"shut": opens(F.col("value")), "open": opens(F.concat(F.lit('"'), "value"))}
+    )
+    sides = _inside(ends.drop("broken"), ["file", "block"], "line_no").drop("shut", "open")
+    upto = Window.partitionBy("file", "block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    for entry in (0, 1):
+        start = F.when(~F.col(f"in{entry}"), F.struct("block", "line_no"))
+        sides = sides.withColumn(f"start{entry}", F.last(start, ignorenulls=True).over(upto))
+    sides = materialize(sides)
+    # One row per block of a file from here on.
+    last = F.max_by(F.struct(F.col("out0").alias("shut"), F.col("out1").alias("open"), "start0", "start1"), "line_no")
+    blocks = sides.groupBy("file", "block").agg(last.alias("x")).select("file", "block", "x.*")
+    blocks = _inside(blocks, ["file"], "block").withColumnRenamed("in0", "entry")
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    latest = F.when(F.col("entry"), F.col("start1")).otherwise(F.col("start0"))
+    blocks = materialize(
+        blocks.withColumn("earlier", F.last(latest, ignorenulls=True).over(earlier))
+        .withColumn("unclosed", F.max_by("out0", "block").over(Window.partitionBy("file")))
+        .select("file", "block", "entry", "earlier", "unclosed")
+    )
+    unclosed = blocks.filter("unclosed").select("file").distinct().withColumn("problem", F.lit("a quoted cell has no end"))
+
+    def side(name: str) -> Column:
+        return F.when(F.col("entry"), F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
+
+    placed = attach(sides, blocks.filter("NOT unclosed"), ["file", "block"], ROW_ID, "inner")
+    placed = placed.select(*lines.columns, (side("in") | side("out")).alias("part"), F.coalesce(side("start"), "earlier").alias("start"))
     joined = (
-        marked.filter("odd % 2 = 0")
-        .withColumn("start", start)
-        .withColumn("start", F.last("start", ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, 0)))
+        placed.filter("part")
         .groupBy("file", "start")
-        .agg(F.array_sort(F.collect_list(line)).alias("lines"))
+        .agg(F.array_sort(F.collect_list(F.struct("block", "line_no", "value"))).alias("lines"))
         .select("file", "start.block", "start.line_no", F.array_join("lines.value", "\n").alias("value"))
     )
-    return marked.filter("odd IS NULL").select(*lines.columns).unionByName(joined).filter(F.trim("value") != ""), unclosed
+    records = marked.filter("broken IS NULL").select(*lines.columns)
+    for more in (placed.filter("NOT part").select(*lines.columns), joined):
+        records = records.unionByName(more)
+    return records.filter(F.trim("value") != ""), unclosed
 
 
 def file_headers(lines: DataFrame, name_from_folder: bool = False) -> DataFrame:
