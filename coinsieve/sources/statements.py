@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import replace
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -118,10 +120,55 @@ def statement_name(path: Column, from_folder: bool = False) -> Column:
 
 
 def csv_reader(spark: SparkSession, path: str) -> DataFrame:
-    found = spark.read.options(pathGlobFilter="*.[cC][sS][vV]", recursiveFileLookup=True, ignoreCorruptFiles=True)
+    # A fault ends the read, whatever the session says, so that its task is tried again.
+    found = spark.read.options(pathGlobFilter="*.[cC][sS][vV]", recursiveFileLookup=True, ignoreCorruptFiles=False)
     return found.text(path)
 
 
+def unreadable(spark: SparkSession, path: str, files: list[str]) -> list[str]:
+    """Those of ``files`` whose read fails also when tried apart from the others.
+
+    They are read by halves, of which only those that fail are read further.
+    """
+    try:
+        csv_reader(spark, path).filter(place(F.col("_metadata.file_path")).isin(files)).write.format("noop").mode("overwrite").save()
+    except (PySparkException, Py4JError):
+        if len(files) == 1:
+            return files
+        half = len(files) // 2
+        return unreadable(spark, path, files[:half]) + unreadable(spark, path, files[half:])
+    return []
+
+
+def csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, line_no, value) of every line of every CSV file that can be read to
+    its end, written once."""
+    file = F.col("_metadata.file_path")
+
+    def numbered(but: list[str]) -> DataFrame:
+        found = csv_reader(spark, path)
+        return materialize(
+            (found.filter(~place(file).isin(but)) if but else found).select(
+                file.alias("file"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("line_no"),
+                F.regexp_replace("value", "\r$|^\ufeff", "").alias("value"),
+            )
+        )
+
+    try:
+        return numbered([])
+    except (PySparkException, Py4JError):
+        # Without a bad file it was a fault that has passed, or not one of reading: that comes again.
+        files = csv_files(spark, path).select(place(F.col("file")).alias("p")).collect()
+        return numbered(unreadable(spark, path, [r.p for r in files]))
+
+
+def place(file: Column) -> Column:
+    """A path without its scheme: both spellings of a local path are equal."""
+    return F.regexp_replace(file, "^[a-z]+:/+", "")
+
+
 def csv_files(spark: SparkSession, path: str) -> DataFrame:
     """(file) of every CSV file below a path, from the listing: Spark plans no task
     for an empty file."""
@@ -155,17 +202,9 @@ def csv_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     The numbered lines are written once, so all later passes see the same places.
     Lines that a cell spans become one record. Where a line starts is found by block
     of a file and then by one row per block, so no task holds a file. Files that cannot
-    be read to their end give the lines before.
+    be read to their end give nothing.
     """
-    lines = materialize(
-        csv_reader(spark, path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line_no"),
-            F.regexp_replace("value", "\r$|^\ufeff", "").alias("value"),
-        )
-    )
+    lines = csv_lines(spark, path)
     # The first such line of a file does start outside of a cell.
     broken = materialize(lines.filter(opens(F.col("value"))).select("file").distinct())
     whole = lines.filter(F.trim("value") != "")
@@ -277,8 +316,8 @@ def scan_statements(
     headers = materialize(file_headers(lines, name_from_folder))
     problems = headers.filter("problem IS NOT NULL").select("file", "problem").unionByName(unclosed)
     seen = headers.select("file").unionByName(unclosed.select("file"))
-    place = F.regexp_replace("file", "^[a-z]+:/+", "")  # both spellings of a local path
-    silent = csv_files(spark, path).withColumn("p", place).join(seen.select(place.alias("p")), "p", "left_anti").drop("p")
+    at = place(F.col("file"))
+    silent = csv_files(spark, path).withColumn("p", at).join(seen.select(at.alias("p")), "p", "left_anti").drop("p")
     rejected = materialize(problems.unionByName(silent.withColumn("problem", F.lit("empty or unreadable file"))))
     if on_error == "fail":
         bad = rejected.first()

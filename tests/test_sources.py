@@ -174,6 +174,45 @@ def test_records_are_found_over_blocks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_a_file_that_fails_part_way_is_rejected(spark, tmp_path):
+    import struct
+    import zlib
+
+    head = "Date,Description,Amount\n"
+    body = (head + "".join(f"01/05/2024,row {i},1\n" for i in range(30_000))).encode()
+    sums = [zlib.crc32(body[i:i + 512]) for i in range(0, len(body), 512)]
+    sums[-1] ^= 1
+    (tmp_path / "amex [1] 100%.csv").write_bytes(body)
+    (tmp_path / ".amex [1] 100%.csv.crc").write_bytes(b"crc\0" + struct.pack(f">i{len(sums)}I", 512, *sums))
+    for i in range(3):
+        (tmp_path / f"amex {i}.csv").write_text(head + f"01/05/2024,good {i},1\n")
+    rows, rejected = scan_statements(spark, str(tmp_path))
+    assert sorted(r.description for r in rows.collect()) == ["good 0", "good 1", "good 2"]
+    (bad,) = rejected.collect()
+    assert "amex" in bad.file and "good" not in bad.file and bad.problem == "empty or unreadable file"
+    with pytest.raises(ValueError, match="unreadable"):
+        scan_statements(spark, str(tmp_path), on_error="fail")
+
+
+def test_a_fault_that_passes_loses_nothing(spark, tmp_path, monkeypatch):
+    from py4j.protocol import Py4JError
+
+    from coinsieve.sources import statements
+
+    (tmp_path / "amex.csv").write_text("Date,Description,Amount\n01/05/2024,a,1\n")
+    turns = []
+
+    def once(df, kept=statements.materialize):
+        turns.append(df)
+        if len(turns) == 1:
+            raise Py4JError("a passing fault")
+        return kept(df)
+
+    monkeypatch.setattr(statements, "materialize", once)
+    rows, rejected = scan_statements(spark, str(tmp_path))
+    assert [r.description for r in rows.collect()] == ["a"] and rejected.count() == 0
+
+
 def test_a_stream_reads_quoted_cells(spark, tmp_path):
     from coinsieve.streaming.ingest import ingest_stream, statement_stream
 
