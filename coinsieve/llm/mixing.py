@@ -3,16 +3,20 @@
 Each source gets a target in words. Of every document floor(target / size of source)
 whole copies are certain. The words that are still missing come from one more copy
 of some documents: each draws random odds u / (1 - u), divides them by its inclusion
-odds, and the documents are taken in that order up to the missing number of words, so
-the sample's size is fixed in words. A document's inclusion is the missing share of its
-source, but less for one that would bring more than an eighth of the missing words, so a
-few very long documents do not decide a small source. What the last document
-that fits leaves open is closed by the untaken documents that fit it best; where such a
-document is too long, the order is cut once more, earlier.
-
-The place where the order is cut is found by counting: words by 1024 intervals of the
-rank, then by 1024 parts of the interval that is cut, and only its few documents are
-sorted. No source is ever sorted or gathered whole.
+odds, and in that order every document is taken that still fits into the missing number
+of words, so the sample's size is fixed in words. A document's inclusion is the missing
+share of its source, but less for one that would bring more than an eighth of the missing
+words, so a few very long documents do not decide a small source. In the end no
+untaken document fits; the smallest one is taken too if that comes nearer to the target.
+Where a source then misses its target by more words than the documents taken in order
+have on average, the smallest untaken document is kept and the order taken again over
+the others, for the words it leaves; of all turns the nearest holds.
+
+That is computed in rounds: among the documents that still fit, the order is cut where the
+words would overflow; the rest of those that fit what is then open go into the next
+round, until none is left. The place of a cut is found by counting: words by 1024
+intervals of the rank, then by 1024 parts of the interval that is cut, and only its few
+documents are sorted. No source is ever sorted or gathered whole.
 
 Cases: a null text has no words; such documents are never taken. A null source is one
 source and comes last. Repeated rows draw equal numbers and are taken together. Rows
@@ -23,6 +27,9 @@ alone. Other columns are not read, or pass through ``mixed``; names that start w
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,7 +42,8 @@ SHARE = 1.5  # of all words
 MOST = 2  # copies
 SMALL_PART = 8
 INTERVALS = 1024
-FILLS = 4
+ROUNDS = "array<struct<most:double,cut:double,open:boolean>>"
+FILLS = "array<struct<rank:double,below:double>>"
 # A plan with more sources is joined by a shuffle.
 BROADCAST_SOURCES = 200_000
 
@@ -80,18 +88,19 @@ def with_draw(slim: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     return by_source(slim, plan).filter("size > 0 AND missing > 0").withColumn("rank", rank_of(seed))
 
 
-def by_source(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Join with a table that has a row per source, null included."""
+def by_source(rows: DataFrame, plan: DataFrame, on: tuple = ("source",)) -> DataFrame:
+    """Join with a table that has a row per source (or more keys), null included."""
     if plan.count() <= BROADCAST_SOURCES:
-        named = plan.withColumnRenamed("source", "_mx_source")
-        return rows.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("_mx_source")), "left").drop("_mx_source")
-    return skew_join(rows, plan, "source", "doc_id", null_safe=True)
+        named = F.broadcast(plan.withColumnsRenamed({k: f"_mx_on_{k}" for k in on}))
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_mx_on_{k}")) for k in on])
+        return rows.join(named, same, "left").drop(*[f"_mx_on_{k}" for k in on])
+    return skew_join(rows, plan, list(on), [c for c in ("doc_id", "rank") if c in rows.columns], null_safe=True)
 
 
 def cut_of_order(drawn: DataFrame, sources: DataFrame) -> DataFrame:
     """(source, cut, words, open): documents up to rank ``cut`` hold ``words``, the most
-    that ``budget`` has room for. Sources whose documents all fit have no row."""
-    limits = checkpointed(sources.select("source", F.lit(0.0).alias("low"), F.lit(1.0).alias("high"), F.lit(0).cast("long").alias("below")))
+    that ``budget`` has room for. ``sources``: those whose documents do not all fit."""
+    limits = kept(sources.select("source", F.lit(0.0).alias("low"), F.lit(1.0).alias("high"), F.lit(0).cast("long").alias("below")))
     size, budget = F.col("n"), F.col("budget")
     order = Window.partitionBy("source").orderBy("bin")
     for _ in range(2):
@@ -111,7 +120,7 @@ def cut_of_order(drawn: DataFrame, sources: DataFrame) -> DataFrame:
             .agg(F.min_by(F.struct("bin", F.col("low").alias("l"), F.col("high").alias("h"), (F.col("upto") - size).alias("b")), "bin").alias("x"))
         )
         width = (F.col("x.h") - F.col("x.l")) / INTERVALS
-        limits = checkpointed(
+        limits = kept(
             first.select(
                 "source", (F.col("x.l") + width * F.col("x.bin")).alias("low"),
                 F.when(F.col("x.bin") == INTERVALS - 1, F.col("x.h")).otherwise(F.col("x.l") + width * (F.col("x.bin") + 1)).alias("high"),
@@ -127,74 +136,151 @@ def cut_of_order(drawn: DataFrame, sources: DataFrame) -> DataFrame:
         # Nothing of the last interval fits: the cut lies just below it.
         .select("source", F.coalesce("_mx_rank", F.col("low") - 1e-300).alias("cut"), F.coalesce("_mx_upto", "below").alias("words"), F.col("_mx_rank").isNull().alias("open"))
     )
-    return checkpointed(cut)
+    return kept(cut)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """Written, not checkpointed: the constraints that checkpoints carry on grow with every round."""
+    return stored(df, "mix")
 
 
-def plan_of(slim: DataFrame, seed: int = 0, share: float = SHARE, weights: tuple = WEIGHTS) -> DataFrame:
-    """One row per source: target, certain copies, the cut of the order, and single
-    documents that fill what it leaves open."""
+def plan_of(slim: DataFrame, seed: int = 0, share: float = SHARE, weights: tuple = WEIGHTS) -> tuple[DataFrame, DataFrame]:
+    """One row per source: target, certain copies, the rounds of the order and the document
+    that comes after them; and the (source, rank) of repeated rows that fit singly only."""
     plan = source_targets(slim, share, weights)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    plan = checkpointed(
-        plan.withColumn("whole", whole.cast("int")).withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size"))
+    plan = plan.withColumn("whole", whole.cast("int")).withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size"))
+    plan = kept(plan.withColumn("fills", F.array().cast(FILLS)).withColumn("filled", F.lit(0).cast("bigint")))
+    drawn = with_draw(slim, plan.select("source", "source_size", "missing"), seed).select("source", "doc_id", "rank", "size")
+    plan, refused = settled(drawn, plan)
+    more, refused_now = plan, refused
+    while True:  # each turn keeps one document more in a source, until these are too many words
+        more = coarse(drawn, more)
+        if more.isEmpty():
+            break
+        short = with_fill(drawn, more.filter("gap > 0"), refused_now, nearer=False).filter("gap <= 0")
+        more, refused_now = settled(drawn, kept(more.filter("gap < 0").unionByName(short).drop("gap", "rounds")))
+        old = plan.select("source", F.abs("gap").alias("old"))
+        better = kept(by_source(more, old).filter(F.abs("gap") < F.col("old")).drop("old"))
+        plan = kept(_without(plan, better).unionByName(better))
+        refused = kept(_without(refused, better).unionByName(_only(refused_now, better)))
+    return plan.select("source", "source_size", "target", "whole", "missing", "gap", "rounds", "fills"), refused
+
+
+def _without(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    return by_source(rows, sources.select("source", F.lit(True).alias("_mx_in"))).filter("_mx_in IS NULL").drop("_mx_in")
+
+
+def _only(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    return by_source(rows, sources.select("source", F.lit(True).alias("_mx_in"))).filter("_mx_in").drop("_mx_in")
+
+
+def settled(drawn: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``plan`` with rounds for what its fills leave, and with one more fill."""
+    plan = plan.withColumn("gap", F.col("missing") - F.col("filled")).withColumn("rounds", F.array().cast(ROUNDS))
+    plan, refused = in_rounds(drawn, kept(plan))
+    return with_fill(drawn, plan, refused), refused
+
+
+def coarse(drawn: DataFrame, plan: DataFrame) -> DataFrame:
+    """Sources that miss their target by more words than the documents taken in order have on average."""
+    rows = by_source(drawn, plan.select("source", "rounds", "fills", "gap"))
+    chosen = rows.filter(in_a_round(F.col("rank"), F.col("size")) & ~is_fill(F.col("rank"), F.col("size")))
+    far = chosen.groupBy("source").agg(F.avg("size").alias("mean"), F.first("gap").alias("gap")).filter("mean < abs(gap)")
+    return kept(_only(plan, kept(far)))
+
+
+def in_rounds(drawn: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``plan`` with its rounds, and the repeated rows to leave out although one row fits.
+
+    A round takes the first document of each source at least, so the rounds end.
+    """
+    open_rows = by_source(drawn, plan.select("source", "fills", "gap")).filter("size <= gap")
+    fit = open_rows.filter(~is_fill(F.col("rank"), F.col("size"))).select(
+        "source", "doc_id", "rank", "size", F.col("size").alias("least"), F.col("gap").alias("budget")
     )
-    drawn = with_draw(slim, plan.select("source", "source_size", "missing"), seed)
-    cut = cut_of_order(drawn.withColumn("budget", F.col("missing")), plan)
-    plan = checkpointed(with_cut(plan.withColumn("fills", F.array().cast("array<bigint>")).withColumn("filled", F.lit(0).cast("bigint")), cut))
-    plan = filled(drawn, plan)
-    # Where a fill is too long the order is cut again, for what it leaves.
-    over = checkpointed(plan.filter("gap < 0"))
-    if not over.isEmpty():
-        budget = over.select("source", "fills", F.greatest(F.col("missing") - F.col("filled"), F.lit(0.0)).alias("budget"))
-        others = by_source(drawn, budget).filter(F.col("budget").isNotNull() & ~F.array_contains("fills", F.coalesce("doc_id", F.lit(0).cast("bigint"))))
-        again = with_cut(over.drop("cut", "words", "open", "gap"), cut_of_order(others.drop("fills"), budget))
-        plan = filled(drawn, checkpointed(plan.filter("NOT gap < 0").unionByName(again)))
-    return plan.drop("filled")
-
-
-def with_cut(plan: DataFrame, cut: DataFrame) -> DataFrame:
-    """A source without a cut takes all its documents once more."""
-    named = cut.select(F.col("source").alias("_mx_s"), "cut", "words", "open")
-    gap = F.col("missing") - F.col("filled") - F.col("words")
-    joined = plan.join(named, F.col("source").eqNullSafe(F.col("_mx_s")), "left").drop("_mx_s")
-    return joined.withColumn("gap", F.when(F.col("cut").isNotNull(), gap).otherwise(0.0))
-
-
-def filled(drawn: DataFrame, plan: DataFrame) -> DataFrame:
-    """``plan`` with the untaken documents that come nearest to what is missing."""
-    for _ in range(FILLS):
-        free = by_source(drawn.drop("missing", "source_size"), plan.select("source", "cut", "open", "fills", "gap")).filter(
-            (F.col("gap") > 0) & ~taken_once(F.col("rank")) & F.col("doc_id").isNotNull() & ~F.array_contains("fills", F.col("doc_id"))
-        )
-        off = F.abs(F.col("size") - F.col("gap"))
-        best = checkpointed(
-            free.filter(off < F.col("gap"))
-            .groupBy("source")
-            .agg(F.min_by(F.struct("doc_id", "size"), F.struct(off, "rank", "doc_id")).alias("_mx_best"))
-        )
-        if best.isEmpty():
+    refused = []
+    while True:
+        sums = kept(fit.groupBy("source").agg(F.sum("size").alias("words"), F.first("budget").alias("budget")))
+        if sums.isEmpty():
             break
-        more = F.coalesce("_mx_best.size", F.lit(0))
-        plan = checkpointed(
-            by_source(plan, best)
-            .withColumn("fills", F.when(F.col("_mx_best").isNotNull(), F.concat("fills", F.array("_mx_best.doc_id"))).otherwise(F.col("fills")))
-            .withColumns({"gap": F.col("gap") - more, "filled": F.col("filled") + more})
-            .drop("_mx_best")
+        cut = sums.filter("words <= budget").select("source", F.lit(1.0).alias("cut"), "words", F.lit(False).alias("open"))
+        over = sums.filter("words > budget").select("source")
+        if not over.isEmpty():
+            cut = kept(cut.unionByName(cut_of_order(fit, over)))
+        added = F.concat("rounds", F.array(F.struct(F.col("gap").alias("most"), "cut", "open")))
+        plan = kept(
+            by_source(plan, cut)
+            .withColumn("rounds", F.when(F.col("cut").isNull(), F.col("rounds")).otherwise(added))
+            .withColumn("gap", F.col("gap") - F.coalesce("words", F.lit(0)))
+            .drop("cut", "words", "open")
         )
-    return plan
+        left = by_source(fit, cut).filter(~within(F.col("rank"), F.col("cut"), F.col("open")))
+        left = left.withColumn("budget", F.col("budget") - F.col("words")).filter("least <= budget")
+        # Repeated rows are one document from here on.
+        left = kept(
+            left.groupBy("source", "rank").agg(
+                F.min("doc_id").alias("doc_id"), F.sum("size").alias("size"), F.min("least").alias("least"), F.first("budget").alias("budget")
+            )
+        )
+        refused.append(left.filter("size > budget").select("source", "rank", "least"))
+        fit = left.filter("size <= budget")
+    if not refused:
+        return plan, plan.select("source", F.lit(0.0).alias("rank"), F.lit(True).alias("refused")).limit(0)
+    found = by_source(reduce(DataFrame.unionByName, refused), plan.select("source", "rounds"))
+    # Only those that a row's own size would let in.
+    return plan, kept(
+        found.filter(in_a_round(F.col("rank"), F.col("least"))).select("source", "rank", F.lit(True).alias("refused")).distinct()
+    )
+
+
+def with_fill(drawn: DataFrame, plan: DataFrame, refused: DataFrame, nearer: bool = True) -> DataFrame:
+    """``plan`` with the untaken document that comes nearest to what is open; ``nearer``:
+    only where a source comes nearer to its target by it."""
+    most = 2 * F.col("gap") if nearer else F.lit(float("inf"))
+    rows = by_source(drawn, plan.select("source", "rounds", "fills", "gap")).filter((F.col("gap") > 0) & (F.col("size") < most))
+    rows = by_source(rows, refused, ("source", "rank"))
+    off = F.abs(F.col("n") - F.col("gap"))
+    best = kept(
+        rows.filter(F.col("refused").isNotNull() | ~in_a_round(F.col("rank"), F.col("size")))
+        .filter(~is_fill(F.col("rank"), F.col("size")))
+        .groupBy("source", "rank")
+        .agg(F.sum("size").alias("n"), F.first("gap").alias("gap"))
+        .filter(F.col("n") < most)
+        .groupBy("source")
+        .agg(F.min_by(F.struct("rank", most.alias("below"), "n"), F.struct(off, "rank")).alias("fill"))
+    )
+    fill = F.array(F.struct("fill.rank", "fill.below"))
+    words = F.coalesce("fill.n", F.lit(0))
+    return kept(
+        by_source(plan, best)
+        .withColumn("fills", F.when(F.col("fill").isNull(), F.col("fills")).otherwise(F.concat("fills", fill)))
+        .withColumns({"gap": F.col("gap") - words, "filled": F.col("filled") + words})
+        .drop("fill")
+    )
+
+
+def within(rank: Column, cut: Column, is_open: Column) -> Column:
+    return F.when(is_open, rank < cut).otherwise(rank <= cut)
+
+
+def is_fill(rank: Column, size: Column) -> Column:
+    return F.exists("fills", lambda f: (rank == f["rank"]) & (size < f["below"]))
 
 
-def taken_once(rank: Column) -> Column:
-    return F.when(F.col("cut").isNull(), F.lit(True)).when(F.col("open"), rank < F.col("cut")).otherwise(rank <= F.col("cut"))
+def in_a_round(rank: Column, size: Column) -> Column:
+    """A document that fitted when its turn came."""
+    return F.exists("rounds", lambda r: (size <= r["most"]) & within(rank, r["cut"], r["open"]))
 
 
-def copies(rows: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
+def copies(rows: DataFrame, plan: DataFrame, refused: DataFrame, seed: int = 0) -> DataFrame:
     """``rows`` (with doc_id, source, size) and source_size, target, copies."""
-    joined = by_source(rows, plan)
-    once = F.coalesce(taken_once(rank_of(seed)) | F.array_contains("fills", F.col("doc_id")), F.lit(False)).cast("int")
-    more = F.when(F.col("missing") > 0, once).otherwise(0)
-    number = F.when(F.col("size") > 0, F.col("whole") + more).otherwise(0)
-    return joined.withColumn("copies", number).drop("whole", "missing", "cut", "words", "open", "fills", "gap")
+    joined = by_source(rows, plan).withColumn("_mx_rank", F.when((F.col("size") > 0) & (F.col("missing") > 0), rank_of(seed)))
+    joined = by_source(joined, refused.withColumnRenamed("rank", "_mx_rank"), ("source", "_mx_rank"))
+    rank, size = F.col("_mx_rank"), F.col("size")
+    once = F.coalesce(is_fill(rank, size), F.lit(False)) | (F.col("refused").isNull() & F.coalesce(in_a_round(rank, size), F.lit(False)))
+    number = F.when(size > 0, F.col("whole") + once.cast("int")).otherwise(0)
+    return joined.withColumn("copies", number).drop("whole", "missing", "rounds", "gap", "fills", "_mx_rank", "refused")
 
 
 def slim_rows(docs: DataFrame) -> DataFrame:
@@ -206,7 +292,7 @@ def slim_rows(docs: DataFrame) -> DataFrame:
 def mix_table(docs: DataFrame, seed: int = 0) -> DataFrame:
     """doc_id, size, source_size, target, taken for every document."""
     slim = stored(slim_rows(docs), "sizes")
-    return copies(slim, plan_of(slim, seed), seed).select(
+    return copies(slim, *plan_of(slim, seed), seed).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken")
     )
 
@@ -214,10 +300,10 @@ def mix_table(docs: DataFrame, seed: int = 0) -> DataFrame:
 def mixed(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The documents of the mix, each as often as it is taken."""
     slim = stored(slim_rows(docs), "sizes")
-    plan = plan_of(slim, seed)
+    plan, refused = plan_of(slim, seed)
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_mx_row"),
         F.col("doc_id").cast("bigint"), F.col("source").cast("string"), word_count(F.col("text").cast("string")).alias("size"),
     )
-    made = copies(packed, plan, seed).filter("copies > 0")
+    made = copies(packed, plan, refused, seed).filter("copies > 0")
     return made.select(F.explode(F.array_repeat("_mx_row", F.col("copies"))).alias("_mx_row")).select("_mx_row.*")

@@ -63,6 +63,59 @@ def test_mix_meets_targets(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.mix_table(docs.repartition(7)).collect()))
 
 
+def long_and_short():
+    draw, rows = random.Random(9), []
+    for s in range(40):  # one or five very long documents among short ones
+        sizes = [max(5, int(draw.lognormvariate(3.5, 0.7))) for _ in range(60)] + [draw.choice([900, 2500])] * (1 + s % 2 * 4)
+        rows += [(1000 * s + i, f"s{s:02}", size) for i, size in enumerate(sizes)]
+        rows += [(1000 * s, f"s{s:02}", sizes[0])] * (s % 3)  # repeated rows are taken together
+    return rows
+
+
+def test_mix_comes_near_beside_long_documents(spark):
+    rows = spark.createDataFrame(long_and_short(), "doc_id bigint, source string, size int")
+    got = mixing.mix_table(rows.select("doc_id", "source", F.repeat(F.lit("w "), "size").alias("text")))
+    off = got.join(rows.select("doc_id", "source").distinct(), "doc_id").groupBy("source", "target").agg(F.sum("taken").alias("words"))
+    far = {r.source: r.words - r.target for r in off.collect() if abs(r.words - r.target) > 100}
+    assert far == {}
+
+
+def test_mix_takes_in_order_what_fits(spark):
+    rows = long_and_short()
+    slim = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint")
+    plan, refused = mixing.plan_of(slim)
+    drawn = mixing.with_draw(slim, plan.select("source", "source_size", "missing"), 0).collect()
+    taken = {(r.source, r.doc_id): r.copies - r.whole for r in mixing.copies(slim.withColumn("w", F.lit(0)), plan, refused).join(plan.select("source", "whole"), "source").collect()}
+    for p in plan.collect():
+        units = {}
+        for r in drawn:
+            if r.source == p.source:
+                units.setdefault((r.rank, r.doc_id), []).append(r.size)
+        rank_of = {i: rank for rank, i in units}
+        kept, best, order = {}, None, [(sum(sizes), i) for (_, i), sizes in sorted(units.items())]
+        while True:
+            open_words, sizes, left, want = p.missing - sum(kept.values()), [], [], set(kept)
+            for n, i in [x for x in order if x[1] not in kept]:
+                if n <= open_words:
+                    open_words -= n
+                    sizes += units[rank_of[i], i]
+                    want.add(i)
+                else:
+                    left.append((n, rank_of[i], i))
+            if left and min(left)[0] < 2 * open_words:
+                n, _, i = left.pop(left.index(min(left)))
+                kept[i] = n
+                open_words -= n
+                want.add(i)
+            if best is None or abs(open_words) < abs(best[0]):
+                best = open_words, want
+            if not sizes or abs(open_words) <= sum(sizes) / len(sizes):
+                break
+            if open_words > 0:
+                kept[min(left)[2]] = min(left)[0]
+        assert best[1] == {i for (s, i), n in taken.items() if s == p.source and n}, p.source
+
+
 def test_mix_repeats_documents(spark):
     rows, docs = mix_docs(spark)
     want = {}
