@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinsieve.llm import dialogue, mixing, neighbours, partenum, pieces, quartile, recompress, toxicity, urls, warc
+from coinsieve.llm import dialogue, merkle, mixing, neighbours, partenum, pieces, quartile, recompress, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -166,3 +166,63 @@ FROM placed GROUP BY conv_id, perspective, segment
 def chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation once for each of its speakers."""
     return dialogue.rotate_perspectives(table(spark, sf_dir, "conversations"))
+
+
+# Checksum of a decimal doc_id, bit by bit: SQL has no function for it.
+CRC32 = """xor(list_reduce(
+    list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda crc, byte: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, byte)),
+    4294967295), 4294967295)"""
+
+
+@query(
+    "op12_merkle_manifest",
+    rf"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, source, text, {CRC32} % 2 = 0 AS tampers,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+    || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+    || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS place
+  FROM documents),
+leaves AS (
+  SELECT doc_id, grp, place, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(t) || ':' || t, '-')) AS changed
+  FROM (SELECT *, CASE WHEN tampers THEN replace(text, chr(10), '') ELSE text END AS t FROM rows)),
+nodes AS (
+  SELECT 0 AS lvl, grp, place, leaf AS digest, count(*) OVER (PARTITION BY grp) AS n FROM leaves
+  UNION ALL
+  SELECT lvl + 1, grp, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (n + 2) // 3
+  FROM nodes WHERE n > 1 GROUP BY lvl, grp, place // 3, n),
+tops AS (
+  SELECT 0 AS lvl, grp AS place, digest, count(*) OVER () AS n FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT lvl + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (n + 2) // 3
+  FROM tops WHERE n > 1 GROUP BY lvl, place // 3, n),
+marked AS (SELECT *, row_number() OVER () AS k FROM leaves),
+climb AS (
+  SELECT k, grp, place, 0 AS lvl, changed AS digest, '' AS proof FROM marked
+  UNION ALL
+  SELECT c.k, c.grp, c.place // 3, c.lvl + 1,
+    sha256(string_agg(CASE WHEN s.place = c.place THEN c.digest ELSE s.digest END, '' ORDER BY s.place)),
+    c.proof || coalesce(string_agg(CASE WHEN s.place <> c.place THEN s.digest END, '' ORDER BY s.place), '')
+  FROM climb c JOIN nodes s ON s.grp = c.grp AND s.lvl = c.lvl AND s.place // 3 = c.place // 3 AND s.n > 1
+  GROUP BY c.k, c.grp, c.place, c.lvl, c.digest, c.proof),
+heights AS (SELECT grp, max(lvl) AS height, max(CASE WHEN n = 1 THEN digest END) AS subroot FROM nodes GROUP BY grp),
+summit AS (
+  SELECT k, c.grp AS place, 0 AS lvl, digest, proof FROM climb c JOIN heights h ON c.grp = h.grp AND c.lvl = h.height
+  UNION ALL
+  SELECT c.k, c.place // 3, c.lvl + 1,
+    sha256(string_agg(CASE WHEN s.place = c.place THEN c.digest ELSE s.digest END, '' ORDER BY s.place)),
+    c.proof || coalesce(string_agg(CASE WHEN s.place <> c.place THEN s.digest END, '' ORDER BY s.place), '')
+  FROM summit c JOIN tops s ON s.lvl = c.lvl AND s.place // 3 = c.place // 3 AND s.n > 1
+  GROUP BY c.k, c.place, c.lvl, c.digest, c.proof),
+peak AS (SELECT lvl AS height, digest AS root FROM tops WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, s.digest AS folded_root, s.digest = root AS verified
+FROM marked JOIN heights USING (grp) CROSS JOIN peak JOIN summit s ON s.k = marked.k AND s.lvl = peak.height
+""",
+)
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a leaf: its proof, checked against tampered texts."""
+    return merkle.document_manifest(table(spark, sf_dir, "documents"))
