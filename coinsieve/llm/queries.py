@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinsieve.llm import dialogue, merkle, mixing, neighbours, partenum, pieces, quartile, recompress, toxicity, urls, warc
+from coinsieve.llm import (
+    dialogue,
+    merkle,
+    mixing,
+    neighbours,
+    partenum,
+    periodic,
+    pieces,
+    quartile,
+    recompress,
+    toxicity,
+    urls,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -175,6 +188,44 @@ CRC32 = """xor(list_reduce(
     4294967295), 4294967295)"""
 
 
+@query(
+    "op11_periodic_runs",
+    rf"""
+WITH listed AS (
+  SELECT doc_id, row_number() OVER () AS k, {CRC32} AS h,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sized AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM listed),
+texts AS (
+  SELECT doc_id, k, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1]
+      ELSE w[1 + a + (i - a) % (1 + (n - a) // (3 + g % 8))] END) ELSE w END AS w FROM sized),
+words AS (SELECT k, n, unnest(w) AS x, unnest(range(n)) AS i FROM texts),
+pairs AS (
+  SELECT a.k, a.i AS j, b.i - a.i AS q FROM words a JOIN words b
+  ON a.k = b.k AND a.x = b.x AND b.i > a.i AND b.i <= a.i + a.n // 4),
+stretches AS (
+  SELECT k, q, min(j) AS start, count(*) + q AS length
+  FROM (SELECT k, q, j, j - row_number() OVER (PARTITION BY k, q ORDER BY j) AS island FROM pairs)
+  GROUP BY k, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT k, start, length, min(q) AS period FROM stretches GROUP BY k, start, length),
+gone AS (SELECT DISTINCT k, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT k, string_agg(x, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (k, i) GROUP BY k),
+digests AS (
+  SELECT k, count(*) AS n_runs, arg_max((start, length, period), (length, -start, -period)) AS best,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY k)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best[1] AS start, best[2] AS length, best[3] AS period,
+  1000 * best[2] // best[3] AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM texts LEFT JOIN digests USING (k) LEFT JOIN kept USING (k)
+""",
+)
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of four periods or more in every text, every tenth with a planted tail."""
+    return periodic.run_digests(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op12_merkle_manifest",
     rf"""
