@@ -17,6 +17,7 @@ from coinsieve.llm import (
     pieces,
     quartile,
     recompress,
+    suffixes,
     toxicity,
     urls,
     warc,
@@ -277,3 +278,9 @@ FROM marked JOIN heights USING (grp) CROSS JOIN peak JOIN summit s ON s.k = mark
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a leaf: its proof, checked against tampered texts."""
     return merkle.document_manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op13_suffix_tree_scores")
+def suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored; learned from four folds of five."""
+    return suffixes.score_documents(table(spark, sf_dir, "documents"))
