@@ -40,7 +40,7 @@ from coinsieve.llm import flat
 from coinsieve.llm.storage import stored
 
 DEPTH = 3
-DIVERGENCE = 6.0
+DIVERGENCE = 2.0
 
 # Words of a block, about; a longer document is a block of its own.
 BLOCK_TOKENS = 1 << 20
