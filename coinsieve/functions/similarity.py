@@ -8,6 +8,9 @@ Two scores from 0 to 100 compare the shorter text with windows of the longer:
 A score of at least T leaves room for few errors only. Cutting the shorter text
 into one piece more than that leaves one piece intact inside the longer text,
 so a pair without a shared piece can be dropped without scoring it.
+
+For the ratio there are stronger tests: so few errors leave most letters and several pairs of
+neighbouring letters of the shorter text intact, and they lie in one window of the longer.
 """
 
 from __future__ import annotations
@@ -68,6 +71,85 @@ def pieces_col(text: Column, threshold: int, matcher: str) -> Column:
     return F.when(length > 0, F.transform(F.sequence(F.lit(0), n - 1), cut))
 
 
+def pairs_left(length: Column, threshold: int) -> Column:
+    """How many of the pairs of neighbouring letters of a text must be found in a window
+    of a longer one where their ratio reaches the threshold; not positive where none must.
+
+    With e letters of the shorter text unmatched, and e - d of a window that is d letters
+    shorter, 2 e + (e - d) pairs are lost at most: two for each of the former, one for
+    each of the latter. The ratio limits e, and d is no more than e.
+    """
+    t = (threshold - 0.5) / 100.0
+    share = (1 - t) * (3 + max(0.0, 1.5 * t - 1) / (1 - t / 2))
+    return length - 1 - F.floor(share * length + 1e-9).cast("int")
+
+
+def letter_pairs(text: Column) -> Column:
+    """All pairs of neighbouring letters of a text of two letters or more, as often as they come."""
+    return F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substring(text, i, 2))
+
+
+def _letter_counts(text: Column) -> Column:
+    """(letter, n) of every letter of a text."""
+    letters = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(text, i, 1)))
+    return F.transform(letters, lambda c: F.struct(c.alias("letter"), _times(text, c).alias("n")))
+
+
+def _times(text: Column, letter: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, letter, F.lit("")))
+
+
+def _letters_held(text: Column, letters: Column) -> Column:
+    """How many of the letters a text holds, each as often as it is there."""
+    return F.aggregate(letters, F.lit(0), lambda sum_, c: sum_ + F.least(c["n"], _times(text, c["letter"])))
+
+
+def may_reach_ratio(a: Column, b: Column, threshold: int) -> Column:
+    """False only where two non-empty texts cannot reach the threshold by ratio.
+
+    Some window of the longer text must hold enough pairs of neighbouring letters of the shorter
+    one (``pairs_left``), and some window enough of its letters, windows cut off at the end included.
+    """
+    t = (threshold - 0.5) / 100.0
+    a_first = F.length(a) <= F.length(b)
+    pair = F.struct(
+        F.when(a_first, a).otherwise(b).alias("short"), F.when(a_first, b).otherwise(a).alias("long"),
+        F.least(F.length(a), F.length(b)).alias("size"), F.greatest(F.length(a), F.length(b)).alias("room"),
+    )
+
+    def enough_pairs(p: Column) -> Column:
+        need = pairs_left(p["size"], threshold)
+
+        # Only pairs that the whole text holds are looked for in its windows.
+        def windows(pairs: Column) -> Column:
+            starts = F.sequence(F.lit(1), p["room"] - p["size"] + 1)
+
+            def held(i: Column) -> Column:
+                return F.size(F.filter(pairs, lambda g: F.contains(F.substring(p["long"], i, p["size"]), g))) >= need
+
+            return (F.size(pairs) >= need) & F.exists(starts, held)
+
+        inside = F.filter(letter_pairs(p["short"]), lambda g: F.contains(p["long"], g))
+        return F.when(need > 0, let(inside, windows)).otherwise(F.lit(True))
+
+    def enough_letters(p: Column) -> Column:
+        # A window of w letters matches w at most: 2 w >= t (size + w).
+        least = F.ceil(t / (2 - t) * p["size"] - 1e-9).cast("int")
+        starts = F.sequence(F.lit(1), p["room"] - least + 1)
+
+        def windows(letters: Column) -> Column:
+            def held(i: Column) -> Column:
+                window = F.substring(p["long"], i, p["size"])
+                return 2 * _letters_held(window, letters) >= t * (p["size"] + F.length(window)) - 1e-9
+
+            whole = 2 * _letters_held(p["long"], letters) >= t * (p["size"] + least) - 1e-9
+            return whole & F.exists(starts, held)
+
+        return let(_letter_counts(p["short"]), windows)
+
+    return let(pair, lambda p: enough_pairs(p) & enough_letters(p))
+
+
 def required_score(rule: Column, threshold: int) -> Column:
     return F.when(
         F.length(rule) <= SHORT_RULE, F.lit(max(threshold, SHORT_THRESHOLD))

@@ -4,8 +4,11 @@ Containment in a short list is a constant array, so it is a projection without a
 join or shuffle. Similarity is scored once per distinct text: against a short list
 in a projection, else through an equi-join on shared pieces of text (see
 ``functions.similarity``) that finds the same pairs. The result is joined back; that
-join is a broadcast while the matched texts are few. The ratio score runs in Python and
-always goes through pieces.
+join is a broadcast while the matched texts are few.
+
+The ratio score runs in Python, on few pairs: those that share enough pairs of neighbouring letters
+within a window. Next to a short list that is tested in a projection; else only the rarest
+pairs of each shorter text are joined, as many as must meet one that is shared.
 """
 
 from __future__ import annotations
@@ -14,9 +17,11 @@ import json
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coinsieve.functions.similarity import (
-    THRESHOLD, check_threshold, pieces, pieces_col, reaches, required_score, within_edits,
+    THRESHOLD, check_threshold, letter_pairs, may_reach_ratio, pairs_left, pieces, pieces_col, reaches, required_score,
+    within_edits,
 )
 from coinsieve.functions.text import let, strip
 from coinsieve.operators.skew import attach
@@ -229,7 +234,7 @@ def match_rules(
         strip(F.lower("description")).alias("word"), "category", "amount",
         F.get("day_range", F.lit(0)).alias("low"), F.get("day_range", F.lit(1)).alias("high"),
     )
-    pairs = similar_pairs(texts, listed, threshold, matcher)
+    pairs = similar_pairs(texts, listed, threshold, matcher, max_inline=max_inline)
     # Of rules with the same amount and days only the first can win, so the list
     # kept per text has one entry per amount and day range.
     firsts = pairs.groupBy("text_key", "amount", "low", "high").agg(F.min(F.struct(*fields)).alias("hit"))
@@ -274,7 +279,7 @@ def match_keywords(
     check_threshold(threshold)
     rows = bounded_rows(keywords, max_inline) if matcher == "edit" else None
     if rows is None:
-        return _match_many_keywords(txns, keywords, threshold, matcher, undecided=undecided)
+        return _match_many_keywords(txns, keywords, threshold, matcher, undecided=undecided, max_inline=max_inline)
     entries = _keyword_entries(rows, threshold)
     table = _constant(entries)
 
@@ -299,14 +304,14 @@ def match_keywords(
 
 def _match_many_keywords(
     txns: DataFrame, keywords: DataFrame, threshold: int = THRESHOLD, matcher: str = "edit",
-    exact_only: bool = False, undecided: Column | None = None,
+    exact_only: bool = False, undecided: Column | None = None, max_inline: int = MAX_INLINE,
 ) -> DataFrame:
     listed = keywords.select(
         F.struct("cat_ord", "kw_ord").alias("ord"),
         F.lower("keyword").alias("raw"), strip(F.lower("keyword")).alias("word"), "category",
     )
     keyed, texts = _with_text_key(txns), _distinct_texts(txns, undecided)
-    pairs = similar_pairs(texts, listed, threshold, matcher, exact_only, F.col("ord.cat_ord")).select(
+    pairs = similar_pairs(texts, listed, threshold, matcher, exact_only, F.col("ord.cat_ord"), max_inline).select(
         "text_key", "ord", "exact", "category"
     )
     blank = _blank_entries(listed)
@@ -361,6 +366,91 @@ def _cuts(df: DataFrame, key: list[str], text: str) -> DataFrame:
     return df.select(*key, F.length(text).alias("size"), F.explode(F.array_distinct("cuts")).alias("gram"))
 
 
+def _piece_candidates(text: DataFrame, words: DataFrame, threshold: int, exact_only: bool) -> DataFrame:
+    """(text_key, side, entry) of pairs that share a piece."""
+    text_id = ["text_key", "side"]
+    share = F.array("word") if exact_only else pieces_col(F.col("word"), threshold, "edit")
+    cut_words = words.withColumn("cuts", share)
+
+    def meet(left: DataFrame, right: DataFrame) -> DataFrame:
+        return attach(left, right.withColumnRenamed("size", "other"), "gram", text_id, "inner")
+
+    found = meet(_grams(text, text_id, "text", cut_words), _cuts(cut_words, ["entry"], "word")).filter("other <= size")
+    if not exact_only:
+        cut_texts = text.withColumn("cuts", pieces_col(F.col("text"), threshold, "edit"))
+        around = meet(_cuts(cut_texts, text_id, "text"), _grams(words, ["entry"], "word", cut_texts))
+        found = found.select(*text_id, "entry").unionByName(around.filter("other > size").select(*text_id, "entry"))
+    return found.select(*text_id, "entry").distinct()
+
+
+def _rarest_pairs(short: DataFrame, key: list[str], text: str, postings: DataFrame, threshold: int) -> DataFrame:
+    """(key, size, gram): of the pairs of letters of each text, so many of the rarest among
+    ``postings`` that one of them is shared wherever enough are."""
+    need = pairs_left(F.length(text), threshold)
+    listed = short.select(*key, F.length(text).alias("size"), need.alias("need"), F.explode(letter_pairs(F.col(text))).alias("gram"))
+    counts = materialize(postings.groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
+    ranked = attach(listed, counts, "gram", key, "left").groupBy(*key, "size", "need").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))).alias("grams")
+    )
+    first = F.array_distinct(F.slice(F.col("grams.gram"), F.lit(1), F.col("size") - F.col("need")))
+    return ranked.select(*key, "size", F.explode(first).alias("gram"))
+
+
+def _ratio_candidates(text: DataFrame, words: DataFrame, threshold: int) -> DataFrame:
+    """(text_key, side, entry) of pairs that share pairs of letters, or, where the shorter
+    text is too short for that, a piece."""
+    text_id = ["text_key", "side"]
+
+    def split(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        enough = pairs_left(F.length(name), threshold) > 0
+        return df.filter(enough), df.filter(~enough)
+
+    def postings(df: DataFrame, key: list[str], name: str) -> DataFrame:
+        grams = df.filter(F.length(name) > 1).select(*key, F.length(name).alias("other"), F.explode(F.array_distinct(letter_pairs(F.col(name)))).alias("gram"))
+        return materialize(grams)
+
+    (long_words, tiny_words), (long_texts, tiny_texts) = split(words, "word"), split(text, "text")
+    in_texts, in_words = postings(text, text_id, "text"), postings(words, ["entry"], "word")
+    found = [
+        attach(in_texts, _rarest_pairs(long_words, ["entry"], "word", in_texts, threshold), "gram", text_id, "inner").filter("size <= other"),
+        attach(_rarest_pairs(long_texts, text_id, "text", in_words, threshold), in_words, "gram", text_id, "inner").filter("size < other"),
+    ]
+    cut_words = tiny_words.withColumn("cuts", pieces_col(F.col("word"), threshold, "ratio"))
+    if not cut_words.isEmpty():
+        pieces_met = attach(_grams(text, text_id, "text", cut_words), _cuts(cut_words, ["entry"], "word").withColumnRenamed("size", "other"), "gram", text_id, "inner")
+        found.append(pieces_met.filter("other <= size"))
+    cut_texts = tiny_texts.withColumn("cuts", pieces_col(F.col("text"), threshold, "ratio"))
+    if not cut_texts.isEmpty():
+        pieces_met = attach(_cuts(cut_texts, text_id, "text"), _grams(words, ["entry"], "word", cut_texts).withColumnRenamed("size", "other"), "gram", text_id, "inner")
+        found.append(pieces_met.filter("size < other"))
+    pairs = found[0].select(*text_id, "entry")
+    for more in found[1:]:
+        pairs = pairs.unionByName(more.select(*text_id, "entry"))
+    return pairs.distinct()
+
+
+def _scored_by_ratio(checked: DataFrame, threshold: int) -> DataFrame:
+    """Of (word, text, exact, ...) those that match; scored in tasks by the number of pairs,
+    as scoring takes long for few bytes."""
+    sure = F.col("exact") | F.contains("text", "word")
+    left = materialize(checked.withColumn("_sure", sure).filter(F.col("_sure") | may_reach_ratio(F.col("word"), F.col("text"), threshold)))
+    tasks = -(-left.count() // PAIRS_PER_TASK)
+    need = F.when(F.col("_sure"), F.lit(0)).otherwise(required_score(F.col("word"), threshold))
+    spread = left.repartition(max(1, tasks), "text_key", "word").withColumn("_need", need)
+    return spread.filter(reaches(F.col("word"), F.col("text"), F.col("_need"), "ratio")).drop("_need", "_sure")
+
+
+def _inline_ratio_pairs(texts: DataFrame, entries: DataFrame, rows: list[Row], threshold: int) -> DataFrame:
+    """``similar_pairs`` by ratio next to a short list: no join."""
+    listed = [r.asDict(recursive=True) for r in rows if r.word]
+    table = F.from_json(F.lit(json.dumps(listed)), T.ArrayType(entries.schema))
+    wholes = F.explode(F.array_distinct(F.array("normalized_desc", "description")))
+    sides = texts.select("text_key", wholes.alias("whole")).withColumn("text", strip(F.col("whole"))).filter("text <> ''")
+    near = F.filter(table, lambda e: F.contains(F.col("whole"), e["raw"]) | may_reach_ratio(e["word"], F.col("text"), threshold))
+    pairs = sides.select("*", F.explode(near).alias("_entry")).select(*sides.columns, "_entry.*")
+    return _scored_by_ratio(pairs.withColumn("exact", F.contains("whole", "raw")), threshold)
+
+
 def similar_pairs(
     texts: DataFrame,
     entries: DataFrame,
@@ -368,6 +458,7 @@ def similar_pairs(
     matcher: str,
     exact_only: bool = False,
     tier: Column | None = None,
+    max_inline: int = MAX_INLINE,
 ) -> DataFrame:
     """All (text_key, entry) pairs that match, without comparing every pair.
 
@@ -381,22 +472,17 @@ def similar_pairs(
     the pairs that are left.
     """
     check_threshold(threshold)
+    by_ratio = matcher == "ratio" and not exact_only
+    rows = bounded_rows(entries, max_inline) if by_ratio else None
+    if rows is not None:
+        return _inline_ratio_pairs(texts, entries, rows, threshold)
     sides = F.posexplode(F.array_distinct(F.array("normalized_desc", "description"))).alias("side", "whole")
     text = materialize(texts.select("text_key", sides).withColumn("text", strip(F.col("whole"))).filter("text <> ''"))
     words = materialize(entries.filter("word <> ''").withColumn("entry", F.monotonically_increasing_id()))
     text_id = ["text_key", "side"]
-    share = F.array("word") if exact_only else pieces_col(F.col("word"), threshold, matcher)
-    cut_words = words.withColumn("cuts", share)
-
-    def meet(left: DataFrame, right: DataFrame) -> DataFrame:
-        return attach(left, right.withColumnRenamed("size", "other"), "gram", text_id, "inner")
-
-    found = meet(_grams(text, text_id, "text", cut_words), _cuts(cut_words, ["entry"], "word")).filter("other <= size")
-    if not exact_only:
-        cut_texts = text.withColumn("cuts", pieces_col(F.col("text"), threshold, matcher))
-        around = meet(_cuts(cut_texts, text_id, "text"), _grams(words, ["entry"], "word", cut_texts))
-        found = found.select(*text_id, "entry").unionByName(around.filter("other > size").select(*text_id, "entry"))
-    candidates = materialize(found.select(*text_id, "entry").distinct())
+    candidates = materialize(
+        _ratio_candidates(text, words, threshold) if by_ratio else _piece_candidates(text, words, threshold, exact_only)
+    )
     checked = attach(attach(candidates, words, "entry", text_id, "inner"), text, text_id, "entry", "inner").withColumn(
         "exact", F.contains("whole", "raw")
     )
@@ -409,10 +495,8 @@ def similar_pairs(
             .filter(F.col("exact") | F.col("_first").isNull() | (tier < F.col("_first")))
             .drop("_first")
         )
-    if matcher == "ratio":
-        # Scoring takes long for few bytes: tasks by the number of pairs, not by size.
-        tasks = -(-candidates.count() // PAIRS_PER_TASK)
-        checked = checked.repartition(max(1, tasks), *text_id, "entry")
+    if by_ratio:
+        return _scored_by_ratio(checked, threshold).drop("entry", "side")
     # An entry with blanks at its ends may be contained only without them; that
     # is a similarity match, as for any other inexact hit.
     need = F.when(F.col("exact") | F.contains("text", "word"), F.lit(0)).otherwise(

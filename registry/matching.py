@@ -10,8 +10,8 @@ from coinsieve.operators.skew import with_row_number
 from coinsieve.plans.categorize import cache_entries, categorize, recategorize
 from registry.core import query
 from registry.views import (
-    KW, LINE, RULE, SCORED, TXN, edit_scores_sql, fixture_keywords, fixture_rules, scored_events, table,
-    txn_events, txn_lineitem,
+    KW, LINE, RULE, SCORED, TXN, edit_scores_sql, fixture_keywords, fixture_rules, ratio_scores_sql, scored_events,
+    table, txn_events, txn_lineitem,
 )
 
 # --- keywords over events ------------------------------------------------------------
@@ -23,13 +23,16 @@ hits AS (
   SELECT description, normalized_desc, min_by(category, cat_ord) AS category FROM texts, kw
   WHERE contains(lower(description), keyword) OR contains(normalized_desc, keyword) GROUP BY ALL)"""
 
-FUZZY_CTES = f"""
+
+
+def fuzzy_ctes(scores: str) -> str:
+    return f"""
 {KW},
 texts AS (SELECT DISTINCT description, normalized_desc FROM txn),
 sides AS (
   SELECT description, normalized_desc, unnest([trim(lower(description)), trim(normalized_desc)]) AS text FROM texts),
 pairs AS (SELECT DISTINCT text, trim(keyword) AS word FROM sides, kw),
-{edit_scores_sql('pairs')},
+{scores},
 kw_hits AS (
   SELECT s.description, s.normalized_desc, k.category, k.cat_ord, k.kw_ord,
     CASE WHEN contains(lower(s.description), k.keyword) OR contains(s.normalized_desc, k.keyword) THEN 0 ELSE 1 END AS rank
@@ -39,6 +42,9 @@ kw_best AS (
   SELECT DISTINCT ON (description, normalized_desc) * FROM kw_hits
   ORDER BY description, normalized_desc, cat_ord, rank, kw_ord)"""
 
+
+FUZZY_CTES, RATIO_CTES = fuzzy_ctes(edit_scores_sql("pairs")), fuzzy_ctes(ratio_scores_sql("pairs"))
+
 KEYWORD_RESULT = """
   category, CASE rank WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 0.9::DOUBLE END AS confidence,
   CASE rank WHEN 0 THEN 'Matched hardcoded rule (exact match)' WHEN 1 THEN 'Matched hardcoded rule (fuzzy match)' END AS reasoning,
@@ -75,13 +81,18 @@ def _(spark, sf):
     return shown(df, "keyword_match")
 
 
-@query("match_keywords_ratio")
+@query("match_keywords_ratio", f"""
+WITH RECURSIVE {TXN}, {RATIO_CTES}
+SELECT txn_id, {KEYWORD_RESULT} FROM txn LEFT JOIN kw_best USING (description, normalized_desc)""")
 def _(spark, sf):
     return shown(match_keywords(txn_events(spark, sf), fixture_keywords(spark)), "keyword_match")
 
 
-@query("match_keywords_ratio_joined")
+@query("match_keywords_ratio_joined", f"""
+WITH RECURSIVE {TXN}, {RATIO_CTES}
+SELECT txn_id, {KEYWORD_RESULT} FROM txn LEFT JOIN kw_best USING (description, normalized_desc)""")
 def _(spark, sf):
+    """The way for keyword tables too large to inline: candidates by rare pairs of letters."""
     df = match_keywords(txn_events(spark, sf), fixture_keywords(spark), max_inline=0)
     return shown(df, "keyword_match")
 
@@ -117,13 +128,14 @@ def _(spark, sf):
 
 # --- rules over line items ---------------------------------------------------------------
 
-RULE_CTES = f"""
+def rule_ctes(scores: str) -> str:
+    return f"""
 {RULE},
 texts AS (SELECT DISTINCT description, normalized_desc FROM line),
 rule_sides AS (
   SELECT description, normalized_desc, unnest([trim(lower(description)), trim(normalized_desc)]) AS text FROM texts),
 rule_pairs AS (SELECT DISTINCT s.text, trim(lower(r.description)) AS word FROM rule_sides s, rule r),
-{edit_scores_sql('rule_pairs')},
+{scores},
 similar_texts AS (
   SELECT DISTINCT s.description, s.normalized_desc, r.rule_ord FROM rule_sides s
   JOIN score c USING (text) JOIN rule r ON trim(lower(r.description)) = c.word
@@ -137,6 +149,9 @@ fits AS (
 first_rule AS (SELECT DISTINCT ON (txn_id) * FROM fits ORDER BY txn_id, rule_ord)"""
 
 
+RULE_CTES, RATIO_RULE_CTES = rule_ctes(edit_scores_sql("rule_pairs")), rule_ctes(ratio_scores_sql("rule_pairs"))
+
+
 def rule_result(contained: str) -> str:
     return f"""
   f.category, CASE WHEN f.txn_id IS NULL THEN NULL WHEN {contained} THEN 0.95::DOUBLE ELSE 0.9::DOUBLE END AS confidence,
@@ -172,7 +187,9 @@ def _(spark, sf):
     return shown(df, "rule_match")
 
 
-@query("match_rules_ratio")
+@query("match_rules_ratio", f"""
+WITH RECURSIVE {LINE}, {RATIO_RULE_CTES}
+SELECT l.txn_id, {rule_result(LOWERED)} FROM line l LEFT JOIN first_rule f ON f.txn_id = l.txn_id""")
 def _(spark, sf):
     return shown(match_rules(txn_lineitem(spark, sf), fixture_rules(spark)), "rule_match")
 
@@ -195,8 +212,9 @@ def event_rules(spark):
     return rules_table(spark, EVENT_RULES)
 
 
-CASCADE = f"""
-{FUZZY_CTES}, {EVENT_RULE_CTE},
+def cascade(ctes: str) -> str:
+    return f"""
+{ctes}, {EVENT_RULE_CTE},
 rule_hit AS (
   SELECT DISTINCT ON (t.txn_id) t.txn_id, r.category FROM txn t JOIN erule r ON contains(t.normalized_desc, r.word)
     AND (r.amount IS NULL OR r.amount = t.amount) AND (r.low IS NULL OR day(t.date) BETWEEN r.low AND r.high)
@@ -212,6 +230,9 @@ cascade AS (
     CASE WHEN r.category IS NOT NULL OR b.rank = 0 THEN 'exact' WHEN b.rank = 1 THEN 'fuzzy' END AS match_type
   FROM txn t LEFT JOIN rule_hit r USING (txn_id) LEFT JOIN kw_best b USING (description, normalized_desc))"""
 
+
+CASCADE = cascade(FUZZY_CTES)
+
 RESULT = ["txn_id", "category", "confidence", "reasoning", "match_type"]
 
 
@@ -233,7 +254,8 @@ def _(spark, sf):
     return categorize(df, rules, keywords, cache, matcher="edit").select(*RESULT)
 
 
-@query("categorize_ratio")
+@query("categorize_ratio", f"""
+WITH RECURSIVE {TXN}, {cascade(RATIO_CTES)} SELECT txn_id, category, confidence, reasoning, match_type FROM cascade""")
 def _(spark, sf):
     return categorize(txn_events(spark, sf), event_rules(spark), fixture_keywords(spark)).select(*RESULT)
 

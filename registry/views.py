@@ -312,5 +312,53 @@ score AS (
   FROM placed GROUP BY text, word)"""
 
 
+def _blocks_sql(name: str, pairs: str) -> str:
+    """Recursive CTE ``{name}_found``: the matching blocks (i, j, k) of the texts s and l of each
+    (id, s, l). The longest block that starts first splits a pair into what lies before and after it."""
+    return f"""
+{name}_equal AS (
+  SELECT id, i, j, j - i AS d FROM (
+    SELECT id, s, l, i, unnest(range(length(l))) AS j FROM (SELECT *, unnest(range(length(s))) AS i FROM {pairs}))
+  WHERE s[i + 1] = l[j + 1]),
+{name}_cells AS (
+  SELECT id, i, j, max(i) OVER (PARTITION BY id, d, g) - i + 1 AS k
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY id, d ORDER BY i) AS g FROM {name}_equal)),
+{name}_found(id, i0, i1, j0, j1, i, j, k) AS (
+  SELECT id, 0::BIGINT, length(s), 0::BIGINT, length(l), NULL::BIGINT, NULL::BIGINT, NULL::BIGINT FROM {pairs}
+  UNION ALL
+  SELECT id, CASE side WHEN 0 THEN i0 ELSE b.i + b.k END, CASE side WHEN 0 THEN b.i ELSE i1 END,
+         CASE side WHEN 0 THEN j0 ELSE b.j + b.k END, CASE side WHEN 0 THEN b.j ELSE j1 END,
+         CASE side WHEN 0 THEN b.i END, CASE side WHEN 0 THEN b.j END, CASE side WHEN 0 THEN b.k END
+  FROM (
+    SELECT id, i0, i1, j0, j1, unnest([0, 1]) AS side,
+           arg_max({{'i': c.i, 'j': c.j, 'k': least(c.k, i1 - c.i, j1 - c.j)}}, (least(c.k, i1 - c.i, j1 - c.j), -c.i, -c.j)) AS b
+    FROM {name}_found f JOIN {name}_cells c USING (id)
+    WHERE c.i >= i0 AND c.i < i1 AND c.j >= j0 AND c.j < j1
+    GROUP BY id, i0, i1, j0, j1))"""
+
+
+def ratio_scores_sql(pairs: str) -> str:
+    """As ``edit_scores_sql`` for the matching-block ratio; needs WITH RECURSIVE. Texts
+    shorter than 200 letters."""
+    return f"""
+ratio_pairs AS (
+  SELECT row_number() OVER () AS id, text, word,
+         CASE WHEN length(word) <= length(text) THEN word ELSE text END AS s,
+         CASE WHEN length(word) <= length(text) THEN text ELSE word END AS l
+  FROM {pairs} WHERE length(text) > 0 AND length(word) > 0),
+{_blocks_sql('whole', 'ratio_pairs')},
+ratio_windows AS (
+  SELECT row_number() OVER () AS id, id AS pair, s, l FROM (
+    SELECT DISTINCT p.id, p.s, substr(p.l, a + 1, length(p.s)) AS l FROM ratio_pairs p JOIN (
+      SELECT id, greatest(j - i, 0) AS a FROM whole_found WHERE k IS NOT NULL
+      UNION ALL SELECT id, length(l) - length(s) FROM ratio_pairs) USING (id))),
+{_blocks_sql('part', 'ratio_windows')},
+ratio_matched AS (SELECT id, coalesce(sum(k), 0) AS m FROM part_found GROUP BY id),
+score AS (
+  SELECT text, word, CASE WHEN max(r) > 0.995 THEN 100 ELSE round_even(100 * max(r), 0) END AS score
+  FROM (SELECT pair, 2.0::DOUBLE * m / (length(s) + length(l)) AS r FROM ratio_windows JOIN ratio_matched USING (id))
+  JOIN ratio_pairs ON id = pair GROUP BY text, word)"""
+
+
 def raw_split(spark: SparkSession, sf: str, sign: str) -> DataFrame:
     return raw_lineitem(spark, sf).withColumn("amount", net_amount(F.col("debit"), F.col("credit"), sign))

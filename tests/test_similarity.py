@@ -8,10 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from coinsieve.functions.similarity import (
-    block_ratio, fuzzy_match, partial_edit_score, partial_ratio, piece_count, pieces, pieces_col,
+    block_ratio, fuzzy_match, may_reach_ratio, pairs_left, partial_edit_score, partial_ratio, piece_count, pieces, pieces_col,
     required_score, within_edits,
 )
 
+from coinsieve.operators.match import _ratio_candidates
+
 
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
@@ -115,3 +117,40 @@ def test_short_rules_need_ninety(spark):
         fuzzy_match(F.col("a"), F.col("b")).alias("m"), required_score(F.col("a"), 80).alias("need")
     ).collect()
     assert [(r.m, r.need) for r in got] == [(True, 90), (False, 90), (True, 80)]
+
+
+@pytest.mark.parametrize("threshold", [60, 80, 90, 100])
+def test_too_few_pairs_of_letters_rule_out_by_ratio(pairs, threshold):
+    """Nothing that reaches the threshold is ruled out."""
+    got = pairs.withColumn("may", may_reach_ratio(F.col("a"), F.col("b"), threshold)).collect()
+    missed = [(r.a, r.b) for r in got if block_ratio(r.a, r.b) >= threshold and not r.may]
+    assert missed == []
+
+
+def test_few_pairs_of_texts_are_left_to_score(spark):
+    """Of 300 texts and 80 names, below 5 % meet by rare pairs of letters, and all that match."""
+    rng = random.Random(3)
+    syllables = ["net", "flix", "mar", "ket", "gro", "cer", "pay", "pal", "shop", "air", "line", "cof", "fee", "bo", "ok", "sta", "tion", "ga", "me", "z"]
+    names = sorted({"".join(rng.choice(syllables) for _ in range(rng.randint(2, 4))) for _ in range(80)})
+    texts = [" ".join([rng.choice(names)] + [str(rng.randint(100, 9999)) for _ in range(2)]) for _ in range(300)]
+    texts = [t if rng.random() < 0.5 else t[:2] + rng.choice("abcdexyz") + t[3:] for t in texts]
+    text = spark.createDataFrame([(str(i), 0, t) for i, t in enumerate(texts)], "text_key string, side int, text string")
+    words = spark.createDataFrame(list(enumerate(names)), "entry bigint, word string")
+    met = {(int(r.text_key), r.entry) for r in _ratio_candidates(text, words, 80).collect()}
+    match = {(i, j) for i, t in enumerate(texts) for j, w in enumerate(names) if block_ratio(w, t) >= 80}
+    assert match <= met
+    joined = spark.createDataFrame([(texts[i], names[j]) for i, j in met], "text string, word string")
+    left = joined.filter(may_reach_ratio(F.col("word"), F.col("text"), 80)).count()
+    assert len(match) <= left < 0.05 * len(texts) * len(names)
+
+
+def test_pairs_left_bounds_every_split_of_errors(spark):
+    sizes = spark.range(1, 200).select(F.col("id").cast("int").alias("n"), *[pairs_left(F.col("id").cast("int"), t).alias(f"t{t}") for t in (60, 80, 95)])
+    for row in sizes.collect():
+        for threshold in (60, 80, 95):
+            t, most = (threshold - 0.5) / 100, 0
+            for shorter in range(row.n + 1):
+                errors = int(row.n - t * (2 * row.n - shorter) / 2 + 1e-9)
+                if errors >= shorter:
+                    most = max(most, 3 * errors - shorter)
+            assert row[f"t{threshold}"] <= row.n - 1 - most
