@@ -20,7 +20,7 @@ count of one gives nothing to a state. Of a context's words each is entered by o
 first to hold it. The rounds: words; pairs; then n-grams of one more word together with
 the states one shorter. Nothing of the model is broadcast but two totals.
 
-Words are told apart by 64-bit hashes. Cases: a null text is an empty one and has one token, the
+Words are told apart by 64-bit hashes, n-grams by hashes of SPARE_BITS bits more than the corpus's size has. Cases: a null text is an empty one and has one token, the
 end. Rows without doc_id are scored, held out and never learned from. Repeated rows count as often as
 they come and get equal scores. Without training rows P0 is 1 for every word. Other columns are not read.
 """
@@ -47,6 +47,9 @@ BLOCK_TOKENS = 1 << 20
 # Words of the corpus per range of hash values, and the least number of ranges (powers of two).
 RANGE_TOKENS = 1 << 22
 LEAST_RANGES = 32
+# Keys of n-grams have so many bits more than the number of words of the corpus has, up to 64:
+# one n-gram in two million shares its key with another.
+SPARE_BITS = 21
 # The end of a text.
 END = np.uint64(0x5DEECE66D1CE4E5B)
 _STEP = np.uint64(0xD1342543DE82EF95)
@@ -66,9 +69,7 @@ TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(
 
 def packed(values: np.ndarray) -> bytes:
     """Numbers in the narrowest type, byte planes apart, deflated."""
-    if values.dtype.kind == "f":
-        values = values.astype(np.float64)
-    else:
+    if values.dtype.kind != "f":
         values = values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
     planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
     head = np.array([len(values)], np.int64).tobytes() + values.dtype.char.encode()
@@ -83,19 +84,28 @@ def unpacked(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(kind.itemsize, n).T).view(kind).ravel()
 
 
+def joined(columns: list[np.ndarray]) -> bytes:
+    """Several packed arrays in one."""
+    parts = [packed(c) for c in columns]
+    return b"".join(np.array([len(p)], np.int64).tobytes() + p for p in parts)
+
+
+def separated(raw: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(raw):
+        end = at + 8 + int(np.frombuffer(raw[at : at + 8], np.int64)[0])
+        out.append(unpacked(raw[at + 8 : end]))
+        at = end
+    return out
+
+
 def packed_keys(keys: np.ndarray) -> bytes:
-    """Sorted 64-bit keys as their differences, in as many bytes as the largest needs."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
-    return bytes([width]) + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+    """Sorted keys as their differences."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
 
 
 def unpacked_keys(raw: bytes) -> np.ndarray:
-    width = raw[0]
-    low = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, width)
-    steps = np.zeros((len(low), 8), np.uint8)
-    steps[:, :width] = low
-    return np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(unpacked(raw), dtype=np.uint64)
 
 
 def row(**values) -> pa.RecordBatch:
@@ -154,34 +164,29 @@ class Grams:
     """The distinct n-grams of one size in a block that may occur twice in the corpus."""
 
     def __init__(self, keys: np.ndarray, at: np.ndarray):
-        self.keys, self.at = keys, at  # sorted; per word the number of the n-gram that ends there, or -1
+        # Sorted; per word the number of the n-gram that ends there, or -1: the last one, that is no n-gram.
+        self.keys, self.at = keys, at
         # Answers of the corpus: occurrences, whether this block enters it, and what a state's counts keep.
-        self.counts = np.zeros(len(keys), np.int64)
+        self.counts = np.zeros(len(keys) + 1, np.int64)
         self.first = np.zeros(len(keys), bool)
-        self.kept = np.zeros(len(keys), np.int64)
-
-    def spread(self, values: np.ndarray) -> np.ndarray:
-        """Values of the n-grams at the words where they end; 0 elsewhere."""
-        if not len(values):
-            return np.zeros(len(self.at), values.dtype)
-        return np.where(self.at >= 0, values[self.at], values.dtype.type(0))
+        self.kept = np.zeros(len(keys) + 1, np.int64)
 
 
 class Block:
     """One block, with what the corpus has answered so far."""
 
-    def __init__(self, state: dict, n: int, v: int):
-        self.number, self.n, self.v = state["block"], n, v
+    def __init__(self, state: dict, bits: int, n: int, v: int):
+        self.number, self.bits, self.n, self.v = state["block"], bits, n, v
         self.docs = state["docs"]
         lengths = np.array([d["n"] for d in self.docs], np.int64)
         self.starts = np.r_[0, np.cumsum(lengths)[:-1]]
         size = int(lengths.sum())
-        self.place = np.arange(size) - np.repeat(self.starts, lengths)
+        self.place = np.arange(size, dtype=np.int32) - np.repeat(self.starts.astype(np.int32), lengths)
         self.train = np.repeat(np.array([d["train"] for d in self.docs], bool), lengths)
-        words, ids = np.frombuffer(state["keys"], np.uint64), unpacked(state["vals"]).astype(np.int64)
+        words, ids = np.frombuffer(state["keys"], np.uint64), unpacked(state["vals"])
         order = np.argsort(words)
-        number = np.empty(len(order), np.int64)
-        number[order] = np.arange(len(order))
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order), dtype=np.int32)
         self.hashes = words[ids]
         self.grams = {1: Grams(words[order], number[ids])}
 
@@ -190,7 +195,7 @@ class Block:
         gram = self.gram(size)
         values = np.concatenate([unpacked(r["vals"]) for r in rows])
         if kind == COUNT:
-            gram.counts = values.astype(np.int64)
+            gram.counts[:-1] = values
             gram.first = np.concatenate([unpacked(r["keys"]) for r in rows]).astype(bool)
         else:
             gram.kept[self.contexts(size)] = values
@@ -198,14 +203,11 @@ class Block:
     def gram(self, size: int) -> Grams:
         if size not in self.grams:
             below = self.gram(size - 1)
-            twice = below.spread(below.counts) >= 2
-            fits = twice.copy()
-            fits[1:] &= twice[:-1]
-            fits &= self.place >= size - 1
-            ends = np.flatnonzero(fits)
-            hashes = flat.mix(below.keys[below.at[ends - 1]] * _STEP + self.hashes[ends])
+            twice = (below.counts >= 2)[below.at]
+            ends = np.flatnonzero(twice[1:] & twice[:-1] & (self.place[1:] >= size - 1)) + 1
+            hashes = flat.mix(below.keys[below.at[ends - 1]] * _STEP + self.hashes[ends]) >> np.uint64(64 - self.bits)
             keys, at = np.unique(hashes, return_inverse=True)
-            place = np.full(len(fits), -1, np.int64)
+            place = np.full(len(twice), -1, np.int32)
             place[ends] = at
             self.grams[size] = Grams(keys, place)
         return self.grams[size]
@@ -213,48 +215,47 @@ class Block:
     def contexts(self, size: int) -> np.ndarray:
         """Numbers of the n-grams that are contexts here and occur twice in the corpus."""
         gram = self.gram(size)
-        used = np.zeros(len(gram.keys), bool)
-        before = gram.at[:-1][self.place[1:] >= size]
-        used[before[before >= 0]] = True
-        return np.flatnonzero(used & (gram.counts >= 2))
+        used = np.zeros(len(gram.keys) + 1, bool)
+        used[gram.at[:-1][self.place[1:] >= size]] = True
+        return np.flatnonzero(used[:-1] & (gram.counts[:-1] >= 2))
 
     def base(self) -> np.ndarray:
         gram = self.gram(1)
-        return (gram.spread(gram.counts) + 0.5) / (self.n + 0.5 * (self.v + 1))
+        return ((gram.counts + 0.5) / (self.n + 0.5 * (self.v + 1)))[gram.at]
 
     def chances(self, depth: int) -> np.ndarray:
         """P of every word after its longest retained context of at most ``depth`` words."""
         p = self.base()
         for size in range(1, depth + 1):
             gram, longer = self.gram(size), self.gram(size + 1)
-            left = gram.spread(gram.kept)[:-1]
-            ends = np.flatnonzero((left > 0) & (self.place[1:] >= size)) + 1
-            times = gram.counts[gram.at[ends - 1]]
-            own = np.maximum(longer.spread(longer.counts)[ends] - 1, 0)
-            p[ends] = (own + (times - left[ends - 1]) * p[ends]) / times
+            ends = np.flatnonzero((gram.kept > 0)[gram.at[:-1]] & (self.place[1:] >= size)) + 1
+            before = gram.at[ends - 1]
+            times, less = gram.counts[before], gram.kept[before]
+            own = np.maximum(longer.counts[longer.at[ends]] - 1, 0)
+            p[ends] = (own + (times - less) * p[ends]) / times
         return p
 
     def ask_counts(self, size: int) -> tuple[np.ndarray, list[np.ndarray]]:
         gram = self.gram(size)
-        met = gram.at[self.train & (gram.at >= 0)]
-        return gram.keys, [np.bincount(met, minlength=len(gram.keys))]
+        return gram.keys, [np.bincount(gram.at[self.train] + 1, minlength=len(gram.keys) + 1)[1:]]
 
     def ask_states(self, size: int) -> tuple[np.ndarray, list[np.ndarray]]:
         """Per context: how often it occurs, and of the words after it that this block is the
         first to hold: counts less one, counts, and counts times their log ratio to the shorter context."""
         gram, longer = self.gram(size), self.gram(size + 1)
         chosen = self.contexts(size)
+        ends = np.flatnonzero(longer.at >= 0)
         one = np.zeros(len(longer.keys), np.int64)  # a word where each n-gram ends
-        one[longer.at[longer.at >= 0]] = np.flatnonzero(longer.at >= 0)
-        mine = np.flatnonzero(longer.first & (longer.counts >= 2))
+        one[longer.at[ends]] = ends
+        mine = np.flatnonzero(longer.first & (longer.counts[:-1] >= 2))
         ends, times = one[mine], longer.counts[mine]
         ratio = times * np.log((times - 1) / self.chances(size - 1)[ends])
         context = gram.at[ends - 1]
         sums = [np.bincount(context, weights, minlength=len(gram.keys))[chosen] for weights in (times - 1, times, ratio)]
-        return gram.keys[chosen], [gram.counts[chosen], sums[0].astype(np.int64), sums[1].astype(np.int64), sums[2]]
+        return gram.keys[chosen], [gram.counts[chosen], *[c.astype(np.int64) for c in sums[:2]], sums[2].astype(np.float32)]
 
 
-def of_blocks(table: DataFrame, fn: Callable[[Block], Iterator[pa.RecordBatch]], schema: str, n: int, v: int) -> DataFrame:
+def of_blocks(table: DataFrame, fn: Callable[[Block], Iterator[pa.RecordBatch]], schema: str, *sizes: int) -> DataFrame:
     """``fn`` of every block, with the answers in ``table`` taken in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +263,7 @@ def of_blocks(table: DataFrame, fn: Callable[[Block], Iterator[pa.RecordBatch]],
             block = None
             for (kind, size), part in groupby(rows, lambda r: (r["kind"], r["size"])):
                 if kind == STATE:
-                    block = Block(next(part), n, v)
+                    block = Block(next(part), *sizes)
                 else:
                     block.answer(kind, size, list(part))
             yield from fn(block)
@@ -282,7 +283,7 @@ def added(rows: list[dict]) -> Iterator[dict]:
     ends = np.cumsum(sizes)
     distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
     del keys
-    values = [np.split(unpacked(r["vals"]), 1 if r["kind"] == COUNT else 4) for r in rows]
+    values = [separated(r["vals"]) for r in rows]
     column = [np.concatenate([v[i] for v in values]) for i in range(len(values[0]))]
     if rows[0]["kind"] == COUNT:
         total = np.bincount(at, column[0], minlength=len(distinct)).astype(np.int64)
@@ -309,25 +310,24 @@ def added(rows: list[dict]) -> Iterator[dict]:
         totals = {}
 
 
-def asked(table: DataFrame, questions: list[tuple[int, int]], ranges: int, n: int, v: int) -> DataFrame:
+def asked(table: DataFrame, questions: list[tuple[int, int]], ranges: int, *sizes: int) -> DataFrame:
     """The answers of the corpus to the questions (kind, size) of all blocks."""
-    shift = np.uint64(64 - ranges.bit_length() + 1)
 
     def ask(block: Block) -> Iterator[pa.RecordBatch]:
         for kind, size in questions:
             keys, columns = block.ask_counts(size) if kind == COUNT else block.ask_states(size)
+            shift = np.uint64((64 if size == 1 else block.bits) - ranges.bit_length() + 1)
             cuts = np.searchsorted(keys >> shift, np.arange(ranges + 1, dtype=np.uint64))
             for span in np.flatnonzero(np.diff(cuts)):
                 part = slice(cuts[span], cuts[span + 1])
-                vals = np.concatenate([c[part] for c in columns])
-                yield row(block=block.number, kind=kind, size=size, span=int(span), keys=packed_keys(keys[part]), vals=packed(vals))
+                yield row(block=block.number, kind=kind, size=size, span=int(span), keys=packed_keys(keys[part]), vals=joined([c[part] for c in columns]))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in grouped(batches, lambda r: (r["kind"], r["size"], r["span"])):
             for answer in added(list(rows)):
                 yield row(**answer)
 
-    questions_asked = of_blocks(table, ask, ROWS, n, v)
+    questions_asked = of_blocks(table, ask, ROWS, *sizes)
     dealt = questions_asked.repartition("kind", "size", "span").sortWithinPartitions("kind", "size", "span", "block")
     return stored(dealt.mapInArrow(add, ROWS), "answers")
 
@@ -345,7 +345,8 @@ def scored(docs: DataFrame, train: Column, depth: int = DEPTH, block_tokens: int
     state = stored(blocks(chosen, block_tokens), "blocks")
     tokens = state.select(F.explode("docs.n").alias("n")).agg(F.sum("n").alias("n")).first().n or 0
     ranges = max(LEAST_RANGES, 1 << (-(-tokens // RANGE_TOKENS)).bit_length())
-    words = asked(state, [(COUNT, 1)], ranges, 0, 0)
+    bits = min(64, tokens.bit_length() + SPARE_BITS)
+    words = asked(state, [(COUNT, 1)], ranges, bits, 0, 0)
     total = words.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n, v = total.n or 0, total.v or 0
     table = state.unionByName(words)
@@ -353,17 +354,17 @@ def scored(docs: DataFrame, train: Column, depth: int = DEPTH, block_tokens: int
         questions = [(COUNT, size)] if size <= depth + 1 else []
         if size >= 3:
             questions.append((STATES, size - 2))
-        table = table.unionByName(asked(table, questions, ranges, n, v))
+        table = table.unionByName(asked(table, questions, ranges, bits, n, v))
 
     def score(block: Block) -> Iterator[pa.RecordBatch]:
         gram = block.gram(1)
-        known = gram.spread(gram.counts) > 0
+        known = (gram.counts > 0)[gram.at]
         sums = [np.add.reduceat(x, block.starts) for x in (known.astype(np.int64), np.log10(block.base()), np.log10(block.chances(depth)))]
         columns = [[d["doc_id"] for d in block.docs], [not d["train"] for d in block.docs], [d["n"] for d in block.docs], *sums]
         types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[p.split(" ")[0] for p in RESULT.split(", ")])
 
-    out = stored(of_blocks(table, score, RESULT, n, v), "scores")
+    out = stored(of_blocks(table, score, RESULT, bits, n, v), "scores")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"), "base_score", "score")
 
 

@@ -134,3 +134,5 @@ def test_packed_arrays_round_trip():
         assert (suffixes.unpacked_keys(suffixes.packed_keys(part)) == part).all()
     for values in (np.arange(300), np.zeros(0, np.int64), np.array([0.5, -3.0]), np.array([2**40])):
         assert (suffixes.unpacked(suffixes.packed(values)) == values).all()
+    for columns in ([values], [np.arange(5), np.array([2**50]), np.array([0.25], np.float32)]):
+        assert all((a == b).all() for a, b in zip(suffixes.separated(suffixes.joined(columns)), columns, strict=True))
