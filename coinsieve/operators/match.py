@@ -30,7 +30,7 @@ from coinsieve.session import materialize
 # Lists up to this many entries become constants: by containment for each row, by
 # similarity for each distinct text.
 MAX_INLINE_EXACT = 500
-MAX_INLINE = 32
+MAX_INLINE = 32  # a long has a bit for each
 # Candidate pairs scored in one task.
 PAIRS_PER_TASK = 50_000
 
@@ -42,7 +42,7 @@ KEYWORD_REASON = "Matched hardcoded rule ({} match)"
 
 ENTRY_JSON = (
     "array<struct<ord:bigint,raw:string,label:string,word:string,cuts:array<string>,"
-    "category:string,amount:double,low:int,high:int>>"
+    "category:string,amount:double,low:int,high:int,place:bigint>>"
 )
 
 
@@ -133,15 +133,6 @@ def _contained(name: Column, t: Column) -> Column:
     return F.contains(t["norm"], name) | F.contains(t["orig"], name)
 
 
-def _applies(rule: Column) -> Column:
-    """Amount and day of month of a row fit the rule; NULL bounds fit all."""
-    day = F.dayofmonth("date")
-    any_day = rule["low"].isNull() | rule["high"].isNull()
-    return (rule["amount"].isNull() | F.coalesce(F.col("amount") == rule["amount"], F.lit(False))) & (
-        any_day | F.coalesce(day.between(rule["low"], rule["high"]), F.lit(False))
-    )
-
-
 def _result(category: Column, exact: Column, sure: float, near: float, reason: str) -> Column:
     kind = F.when(exact, "exact").otherwise("fuzzy")
     return F.struct(
@@ -152,13 +143,6 @@ def _result(category: Column, exact: Column, sure: float, near: float, reason: s
     )
 
 
-def _rule_result(rule: Column, t: Column, raw_label: bool) -> Column:
-    exact = _contained(rule["label"] if raw_label else rule["raw"], t)
-    return F.when(
-        rule.isNotNull(), _result(rule["category"], exact, RULE_EXACT, RULE_FUZZY, RULE_REASON)
-    )
-
-
 def _keyword_result(hit: Column, exact: Column) -> Column:
     return F.when(
         hit.isNotNull(),
@@ -211,37 +195,123 @@ def match_rules(
     """Add ``rule_match``: result of the first rule whose text, amount and day
     range fit, NULL when none does. ``raw_label=True`` calls a match exact only
     when the rule text occurs with its own capitals. Only ``undecided`` rows are
-    looked at, all by default."""
+    looked at, all by default.
+
+    Texts are matched once each. Of a short list, a row gets the bits of the rules its
+    text matches; bits of the rules that fit its amount and its day are constants,
+    and the lowest common bit is the first rule. Of a long list, texts that match the same rules
+    share a profile, and rows look their rule up by profile, amount and day.
+    """
     check_threshold(threshold)
-    rows = bounded_rows(rules, max_inline) if matcher == "edit" else None
+    rows = bounded_rows(rules, max_inline)
     keyed, texts = _with_text_key(txns), _distinct_texts(txns, undecided)
-
-    def pick_hit(t: Column) -> Column:
-        first = F.get(F.filter("hits", _applies), F.lit(0))
-        return let(first, lambda r: _rule_result(r, t, raw_label))
-
-    if rows is not None:
-        entries = _rule_entries(rows, threshold)
-        table = _constant(entries)
-        near = let(_texts(entries, threshold), lambda t: F.filter(table, lambda r: _similar(r, t, threshold)))
-        found = texts.select("text_key", near.alias("hits")).filter(F.size("hits") > 0)
-        return _join_back(keyed, found).withColumn("rule_match", _if(undecided, let(_texts(), pick_hit))).drop("hits")
-
-    fields = ["ord", "raw", "label", "category", "amount", "low", "high"]
     listed = rules.select(
         F.col("rule_ord").alias("ord"),
         F.lower("description").alias("raw"), F.col("description").alias("label"),
         strip(F.lower("description")).alias("word"), "category", "amount",
         F.get("day_range", F.lit(0)).alias("low"), F.get("day_range", F.lit(1)).alias("high"),
     )
-    pairs = similar_pairs(texts, listed, threshold, matcher, max_inline=max_inline)
-    # Of rules with the same amount and days only the first can win, so the list
-    # kept per text has one entry per amount and day range.
-    firsts = pairs.groupBy("text_key", "amount", "low", "high").agg(F.min(F.struct(*fields)).alias("hit"))
-    found = firsts.groupBy("text_key").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
-    return _join_back(keyed, found).withColumn(
-        "rule_match", _if(undecided, let(_texts(), pick_hit))
-    ).drop("hits")
+    if rows is not None and matcher == "edit":
+        entries = _rule_entries(rows, threshold)
+        hits = _edit_rule_bits(texts, entries, threshold, raw_label)
+    else:
+        pairs = similar_pairs(texts, listed, threshold, matcher, max_inline=max_inline)
+        exact = F.contains("whole", "label") if raw_label else F.col("exact")
+        hits = pairs.groupBy("text_key", "ord").agg(F.max(exact).alias("exact"))
+        if rows is not None:
+            entries = _rule_entries(rows, threshold)
+            hits = _as_bits(hits, entries)
+    if rows is None:
+        found = _match_by_profile(keyed, hits, listed)
+    else:
+        found = _join_back(keyed, hits).withColumn("_rule", _first_rule(entries)).drop("hits", "exacts")
+    hit = F.col("_rule")
+    result = F.when(hit.isNotNull(), _result(hit["category"], hit["exact"], RULE_EXACT, RULE_FUZZY, RULE_REASON))
+    return found.withColumn("rule_match", _if(undecided, result)).drop("_rule")
+
+
+def _edit_rule_bits(texts: DataFrame, entries: list[dict], threshold: int, raw_label: bool) -> DataFrame:
+    """(text_key, hits, exacts): bits of the rules of a short list that each text matches."""
+    table = _constant([e | {"place": 1 << i} for i, e in enumerate(entries)])
+
+    def bits(near: Column) -> Column:
+        return F.aggregate(near, F.lit(0).cast("bigint"), lambda all_, r: all_.bitwiseOR(r["place"]))
+
+    def both(t: Column) -> Column:
+        def masks(near: Column) -> Column:
+            exact = F.filter(near, lambda r: _contained(r["label"] if raw_label else r["raw"], t))
+            return F.struct(bits(near).alias("hits"), bits(exact).alias("exacts"))
+
+        return let(F.filter(table, lambda r: _similar(r, t, threshold)), masks)
+
+    near = let(_texts(entries, threshold), both)
+    return texts.select("text_key", near.alias("m")).select("text_key", "m.*").filter("hits <> 0")
+
+
+def _as_bits(hits: DataFrame, entries: list[dict]) -> DataFrame:
+    """(text_key, hits, exacts) from (text_key, ord, exact) of a short list."""
+    place = F.lit(None).cast("bigint")
+    for i, e in enumerate(entries):
+        place = F.when(F.col("ord") == e["ord"], F.lit(1 << i)).otherwise(place)
+    bits = hits.withColumn("place", place.cast("bigint"))
+    return bits.groupBy("text_key").agg(
+        F.bit_or("place").alias("hits"), F.bit_or(F.when(F.col("exact"), F.col("place")).otherwise(F.lit(0))).alias("exacts")
+    )
+
+
+def _days(low: int | None, high: int | None) -> list[int]:
+    """The days of a month that a range holds; 0 stands for a row without date."""
+    return list(range(32)) if low is None or high is None else [d for d in range(1, 32) if low <= d <= high]
+
+
+def _first_rule(entries: list[dict]) -> Column:
+    """(category, exact) of the first rule among the bits ``hits`` that fits amount and day."""
+    by_day, free = [0] * 32, 0
+    by_amount: dict[float, int] = {}
+    for i, e in enumerate(entries):
+        for day in _days(e["low"], e["high"]):
+            by_day[day] |= 1 << i
+        if e["amount"] is None:
+            free |= 1 << i
+        else:
+            by_amount[e["amount"]] = by_amount.get(e["amount"], 0) | 1 << i
+    of_amount = F.lit(free).cast("bigint")
+    for amount, mask in by_amount.items():
+        of_amount = F.when(F.col("amount") == amount, F.lit(free | mask).cast("bigint")).otherwise(of_amount)
+    of_day = F.get(F.array(*[F.lit(m).cast("bigint") for m in by_day]), F.coalesce(F.dayofmonth("date"), F.lit(0)))
+    fits = F.col("hits").bitwiseAND(of_amount).bitwiseAND(of_day)
+    lowest = fits.bitwiseAND(-fits)
+    category = F.get(F.array(*[F.lit(e["category"]) for e in entries] or [F.lit(None).cast("string")]), F.bit_count(lowest - 1))
+    exact = F.col("exacts").bitwiseAND(lowest) != 0
+    return F.when(fits != 0, F.struct(category.alias("category"), exact.alias("exact")))
+
+
+def _match_by_profile(keyed: DataFrame, hits: DataFrame, listed: DataFrame) -> DataFrame:
+    """Add ``_rule``: ord, category and exact of the first rule of (text_key, ord, exact) that
+    fits a row's amount and day.
+
+    A profile is the list of rules that a text matches; there are as many as different
+    lists. For each, the first rule is worked out for every day, and for every
+    amount that its rules name and day.
+    """
+    per_text = hits.groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("ord", "exact"))).alias("list"))
+    per_text = materialize(per_text.withColumn("profile", F.md5(F.to_json("list"))))
+    members = per_text.groupBy("profile").agg(F.first("list").alias("list")).select("profile", F.explode("list").alias("m")).select("profile", "m.*")
+    every = F.col("low").isNull() | F.col("high").isNull()
+    days = F.when(every, F.sequence(F.lit(0), F.lit(31))).otherwise(
+        F.filter(F.sequence(F.lit(1), F.lit(31)), lambda d: d.between(F.col("low"), F.col("high")))
+    )
+    index = attach(members, listed.select("ord", "category", "amount", "low", "high"), "ord", ["profile", "ord"], "inner").select(
+        "profile", F.col("amount").alias("_amount"), F.explode(days).alias("_day"), F.struct("ord", "category", "exact").alias("rule")
+    )
+    index = materialize(index.groupBy("profile", "_amount", "_day").agg(F.min("rule").alias("rule")))
+    named = index.filter("_amount IS NOT NULL").withColumnRenamed("rule", "_named")
+    free = index.filter("_amount IS NULL").drop("_amount").withColumnRenamed("rule", "_free")
+    placed = attach(keyed, per_text.select("text_key", "profile"), "text_key", "txn_id", "left").withColumns(
+        {"_day": F.coalesce(F.dayofmonth("date"), F.lit(0)), "_amount": F.col("amount")}
+    )
+    found = attach(attach(placed, named, ["profile", "_amount", "_day"], "txn_id", "left"), free, ["profile", "_day"], "txn_id", "left")
+    return found.withColumn("_rule", F.least("_named", "_free")).drop("text_key", "profile", "_amount", "_day", "_named", "_free")
 
 
 # --- keywords --------------------------------------------------------------
