@@ -17,7 +17,7 @@ from coinsieve.schema import CATEGORIZE_CACHE, ENRICHMENT, NORMALIZE_CACHE
 from coinsieve.session import materialize
 from coinsieve.sources.cells import statement_rows
 from coinsieve.sources.sinks import write_combined, write_deduped, write_version
-from coinsieve.sources.statements import combine, scan_statements, typed
+from coinsieve.sources.statements import combine, csv_files, place, scan_statements, typed
 from coinsieve.sources.tables import latest_cache
 
 
@@ -46,9 +46,10 @@ def run(
     rows, the deduplicated rows and the rejected files.
     """
     scanned, rejected = scan_statements(spark, inputs, name_from_folder=name_from_folder)
+    files = csv_files(spark, inputs)
     if cells is not None:
-        scanned = combine(scanned, _extracted(cells))
-    txns = in_file_order(typed(scanned))
+        scanned, files = combine(scanned, _extracted(cells)), files.unionByName(cells.select("file"))
+    txns = in_file_order(typed(scanned), files)
     if normalizer is None:
         txns = normalized(txns)
     else:
@@ -93,19 +94,19 @@ def _extracted(cells: DataFrame) -> DataFrame:
 FILE_PLACES = 1 << 42
 
 
-def in_file_order(rows: DataFrame) -> DataFrame:
+def in_file_order(rows: DataFrame, files: DataFrame) -> DataFrame:
     """Id and ``seq`` in the order file name, place in file, without sorting the rows.
 
-    A block of a file has fewer lines than bytes, so the byte it starts at plus the
-    line's number within it is a place of its own.
+    ``files`` lists all files, so only names are numbered. ``line_no`` counts the rows of a task
+    in its low bits. A file's blocks begin as many bytes apart as a task reads at most, and a
+    task has no more rows than bytes: the byte a block starts at plus that count is a
+    place of its own, and the places are in order.
     """
-    first = materialize(rows.groupBy("file", "block").agg(F.min("line_no").alias("_first")))
-    files = with_row_number(first.select("file").distinct(), [F.col("file")], "_file")
-    placed = attach(rows, first.join(files, "file"), ["file", "block"], ["file", "block", "line_no"], "inner")
-    seq = F.col("_file") * FILE_PLACES + F.col("block") + F.col("line_no") - F.col("_first")
-    return placed.withColumn("seq", seq).withColumn("txn_id", F.col("seq").cast("string")).drop(
-        "block", "line_no", "_first", "_file"
-    )
+    named = with_row_number(files.select("file").distinct(), [F.col("file")], "_file").withColumn("_place", place(F.col("file")))
+    placed = attach(rows.withColumn("_place", place(F.col("file"))), materialize(named.select("_place", "_file")), "_place", ["file", "block", "line_no"], "inner")
+    count = F.col("line_no").bitwiseAND(F.lit((1 << 33) - 1))
+    seq = F.col("_file") * FILE_PLACES + F.col("block") + count
+    return placed.withColumn("seq", seq).withColumn("txn_id", F.col("seq").cast("string")).drop("block", "line_no", "_place", "_file")
 
 
 def prior_as_txns(saved: DataFrame) -> DataFrame:

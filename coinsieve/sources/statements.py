@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from urllib.parse import unquote
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -21,19 +20,13 @@ from coinsieve.sources.layouts import (
 )
 
 ROW_ID = ["file", "block", "line_no"]
+# Up to so many files are named in a filter, so that a read opens no others.
+FEW_FILES = 1000
 # How cells are quoted, in every reader: a doubled quote stands for one.
 QUOTING = {"quote": '"', "escape": '"'}
 
 
-def with_provenance(df: DataFrame, source: Column | str | None = None) -> DataFrame:
-    """Source and File of rows read from files."""
-    path = F.col("_metadata.file_path")
-    named = identify_source(statement_name(path)) if source is None else source
-    return df.select("*", (F.lit(named) if isinstance(named, str) else named).alias("source"),
-                     path.alias("file"))
-
-
-def apply_layout(df: DataFrame, layout: Layout, *keep: str, net_credit: bool = False) -> DataFrame:
+def apply_layout(df: DataFrame, layout: Layout, *keep: str | Column, net_credit: bool = False) -> DataFrame:
     """Canonical raw_date, description and amount, picked by column name."""
     return df.select(
         quoted(layout.date).cast("string").alias("raw_date"),
@@ -54,27 +47,50 @@ def opens(line: Column) -> Column:
     return line.contains('"') & line.rlike(_OPENS)
 
 
-def csv_parts(spark: SparkSession, path: str) -> list[DataFrame]:
-    """CSV rows of a path: files with line breaks inside cells are read whole,
-    the others stay splittable. The list of the former is collected."""
+def _strings(names: list[str]) -> str:
+    return ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
+
+
+def csv_parts(spark: SparkSession, path: str | list[str], columns: list[str] | None = None) -> list[DataFrame]:
+    """CSV rows of a path with their ``_file``, in parts: files without line breaks inside cells
+    by Spark's reader, the others from stitched lines. All are read by block."""
 
-    def reader(**more):
-        return spark.read.options(header=True, enforceSchema=False, **QUOTING, **more)
+    def read() -> DataFrameReader:
+        return spark.read.options(ignoreCorruptFiles=False)
 
-    name = F.col("_metadata.file_path")
-    lines = spark.read.text(path).filter(opens(F.col("value")))
-    whole = [r.file for r in lines.select(name.alias("file")).distinct().collect()]
-    rows = reader().csv(path)
-    if not whole:
+    file = F.col("_metadata.file_path")
+    reader = read().options(header=True, enforceSchema=False, **QUOTING)
+    rows = (reader if columns is None else reader.schema(_strings(columns))).csv(path)
+    names = rows.columns
+    lines = read().text(path)
+    broken = materialize(lines.filter(opens(F.col("value"))).select(file.alias("file")).distinct())
+    rows = rows.select("*", file.alias("_file"))
+    if broken.isEmpty():
         return [rows]
-    broken = reader(multiLine=True).csv([unquote(f) for f in whole])
-    return [rows.filter(~name.isin(whole)), broken]
+    whole = broken.select(place(F.col("file")).alias("_place"))
+    others = rows.withColumn("_place", place(F.col("_file"))).join(whole, "_place", "left_anti").drop("_place")
+    records, unclosed = csv_records(csv_lines(among(lines, [], broken)))
+    heads = materialize(first_records(records))
+    # A name that Spark made up for an empty cell has no text to compare.
+    cells = _cells(F.col("header"), len(names) + 1)
+    differ = F.lit(False)
+    for i, name in enumerate([*names, None]):
+        cell = F.get(cells, F.lit(i))
+        differ |= cell.isNotNull() if name in (None, f"_c{i}") else ~cell.eqNullSafe(F.lit(name))
+    wrong = heads.filter(differ).select("file", F.lit("another header").alias("problem")).unionByName(unclosed).first()
+    if wrong is not None:
+        raise ValueError(f"{wrong.file}: {wrong.problem}")
+    body = attach(records, heads.select("file", "head_no"), "file", ROW_ID, "inner").filter("block > 0 OR line_no <> head_no")
+    stitched = body.select(F.col("file").alias("_file"), F.from_csv("value", _strings(names), {**QUOTING, "multiLine": "true"}).alias("_row"))
+    return [others, stitched.select("_row.*", "_file")]
 
 
 def read_layout(
-    spark: SparkSession, path: str, layout: str | Layout, net_credit: bool = False
+    spark: SparkSession, path: str | list[str], layout: str | Layout, net_credit: bool = False,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """All files of one export below a path; they share one header.
+    """All files of one export below a path or paths; they share one header, which
+    ``columns`` tells where it should not be read from the first file.
 
     Only the layout's columns are read. Files with other headers belong to
     ``scan_statements``; here they fail instead of shifting columns.
@@ -83,19 +99,20 @@ def read_layout(
     if net_credit and known.amount and known.source == "Capital One":
         known = replace(known, debit=known.amount, credit="Credit")
     return combine(*[
-        apply_layout(with_provenance(rows, known.source), known, "source", "file", net_credit=net_credit)
-        for rows in csv_parts(spark, path)
+        apply_layout(rows, known, F.lit(known.source).alias("source"), F.col("_file").alias("file"), net_credit=net_credit)
+        for rows in csv_parts(spark, path, columns)
     ])
 
 
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Files of one unknown export; NULL layout gives an empty table."""
     parts = csv_parts(spark, path)
-    layout = infer_layout(parts[0].columns)
+    layout = infer_layout(parts[0].drop("_file").columns)
     if layout is None:
         layout = Layout(UNKNOWN, "a", "b", "c")
-        parts = [spark.read.schema("a string, b string, c string").csv(path).filter(F.lit(False))]
-    return combine(*[apply_layout(with_provenance(rows, UNKNOWN), layout, "source", "file") for rows in parts])
+        parts = [spark.createDataFrame([], "a string, b string, c string, _file string")]
+    source = F.lit(UNKNOWN).alias("source"), F.col("_file").alias("file")
+    return combine(*[apply_layout(rows, layout, *source) for rows in parts])
 
 
 def _cells(line: Column, width: int) -> Column:
@@ -119,10 +136,13 @@ def statement_name(path: Column, from_folder: bool = False) -> Column:
     return file_stem(F.regexp_replace(path, "/[^/]*$", "") if from_folder else path)
 
 
-def csv_reader(spark: SparkSession, path: str) -> DataFrame:
+def csv_options(spark: SparkSession) -> DataFrameReader:
     # A fault ends the read, whatever the session says, so that its task is tried again.
-    found = spark.read.options(pathGlobFilter="*.[cC][sS][vV]", recursiveFileLookup=True, ignoreCorruptFiles=False)
-    return found.text(path)
+    return spark.read.options(pathGlobFilter="*.[cC][sS][vV]", recursiveFileLookup=True, ignoreCorruptFiles=False)
+
+
+def csv_reader(spark: SparkSession, path: str) -> DataFrame:
+    return csv_options(spark).text(path)
 
 
 def unreadable(spark: SparkSession, path: str, files: list[str]) -> list[str]:
@@ -140,28 +160,53 @@ def unreadable(spark: SparkSession, path: str, files: list[str]) -> list[str]:
     return []
 
 
-def csv_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, line_no, value) of every line of every CSV file that can be read to
-    its end, written once."""
-    file = F.col("_metadata.file_path")
+def among(found: DataFrame, but: list[str], only: DataFrame | None = None) -> DataFrame:
+    """The files of a read without those in ``but``, or only the listed ones. Where few are
+    listed, no other file is opened."""
+    file = place(F.col("_metadata.file_path"))
+    if but:
+        found = found.filter(~file.isin(but))
+    if only is None:
+        return found
+    listed = only.select(place(F.col("file")).alias("_place"))
+    few = listed.limit(FEW_FILES + 1).collect()
+    if len(few) <= FEW_FILES:
+        return found.filter(file.isin([r._place for r in few]))
+    return found.withColumn("_place", file).join(listed.distinct(), "_place", "left_semi").drop("_place")
+
+
+def csv_lines(found: DataFrame) -> DataFrame:
+    """(file, block, line_no, value) of every line of a text read."""
+    return found.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line_no"),
+        F.regexp_replace("value", "\r$|^\ufeff", "").alias("value"),
+    )
 
-    def numbered(but: list[str]) -> DataFrame:
-        found = csv_reader(spark, path)
-        return materialize(
-            (found.filter(~place(file).isin(but)) if but else found).select(
-                file.alias("file"),
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("line_no"),
-                F.regexp_replace("value", "\r$|^\ufeff", "").alias("value"),
-            )
-        )
+
+def file_facts(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """(file, header, broken) of every CSV file that can be read to its end, and the files that cannot.
+
+    ``header`` is the first line that is not blank; ``broken`` says whether a cell of the file
+    goes over the end of a line. One read of the input, of which a row per file is kept.
+    """
+
+    def looked_at(but: list[str]) -> DataFrame:
+        lines = csv_lines(among(csv_reader(spark, path), but))
+        text = (F.col("block") == 0) & (F.trim("value") != "")
+        first = F.min_by(F.when(text, F.col("value")), F.when(text, F.col("line_no")))
+        # A set has an object for its buffer: lines are hashed by file and not sorted.
+        open_lines = F.collect_set(F.when(opens(F.col("value")), F.lit(True)))
+        return materialize(lines.groupBy("file").agg(first.alias("header"), (F.size(open_lines) > 0).alias("broken")))
 
     try:
-        return numbered([])
+        return looked_at([]), []
     except (PySparkException, Py4JError):
         # Without a bad file it was a fault that has passed, or not one of reading: that comes again.
         files = csv_files(spark, path).select(place(F.col("file")).alias("p")).collect()
-        return numbered(unreadable(spark, path, [r.p for r in files]))
+        bad = unreadable(spark, path, [r.p for r in files])
+        return looked_at(bad), bad
 
 
 def place(file: Column) -> Column:
@@ -195,26 +240,17 @@ def _inside(lines: DataFrame, keys: list[str], order: str) -> DataFrame:
     return known.drop("_turns", "_set")
 
 
-def csv_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(file, block, line_no, value) of every non-blank record of every CSV file,
-    and the (file, problem) of files that end inside a cell.
+def csv_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(file, block, line_no, value) of every non-blank record of the given lines, and the
+    (file, problem) of files that end inside a cell.
 
-    The numbered lines are written once, so all later passes see the same places.
     Lines that a cell spans become one record. Where a line starts is found by block
-    of a file and then by one row per block, so no task holds a file. Files that cannot
-    be read to their end give nothing.
+    of a file and then by one row per block, so no task holds a file. The lines are
+    written once, so all passes see the same places.
     """
-    lines = csv_lines(spark, path)
-    # The first such line of a file does start outside of a cell.
-    broken = materialize(lines.filter(opens(F.col("value"))).select("file").distinct())
-    whole = lines.filter(F.trim("value") != "")
-    if broken.isEmpty():
-        return whole, broken.withColumn("problem", F.lit(""))
-    marked = attach(lines, broken.withColumn("broken", F.lit(True)), "file", ROW_ID, "left")
-    ends = marked.filter("broken").withColumns(
-        {"shut": opens(F.col("value")), "open": opens(F.concat(F.lit('"'), "value"))}
-    )
-    sides = _inside(ends.drop("broken"), ["file", "block"], "line_no").drop("shut", "open")
+    lines = materialize(lines)
+    ends = lines.withColumns({"shut": opens(F.col("value")), "open": opens(F.concat(F.lit('"'), "value"))})
+    sides = _inside(ends, ["file", "block"], "line_no").drop("shut", "open")
     upto = Window.partitionBy("file", "block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     for entry in (0, 1):
         start = F.when(~F.col(f"in{entry}"), F.struct("block", "line_no"))
@@ -244,23 +280,24 @@ def csv_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         .agg(F.array_sort(F.collect_list(F.struct("block", "line_no", "value"))).alias("lines"))
         .select("file", "start.block", "start.line_no", F.array_join("lines.value", "\n").alias("value"))
     )
-    records = marked.filter("broken IS NULL").select(*lines.columns)
-    for more in (placed.filter("NOT part").select(*lines.columns), joined):
-        records = records.unionByName(more)
+    records = materialize(placed.filter("NOT part").select(*lines.columns).unionByName(joined))
     return records.filter(F.trim("value") != ""), unclosed
 
 
-def file_headers(lines: DataFrame, name_from_folder: bool = False) -> DataFrame:
-    """One row per file: header names, bank and the layout they give."""
-    # Only a long per file is aggregated, so no text is sorted to find it.
-    start = lines.filter("block = 0")
+def first_records(records: DataFrame) -> DataFrame:
+    """(file, header, head_no): the first record of each file."""
+    start = records.filter("block = 0")
     first = start.groupBy("file").agg(F.min("line_no").alias("line_no"))
-    heads = materialize(start.join(first, ["file", "line_no"]).withColumnRenamed("value", "header"))
+    return start.join(first, ["file", "line_no"]).select("file", F.col("value").alias("header"), F.col("line_no").alias("head_no"))
+
+
+def file_headers(heads: DataFrame, name_from_folder: bool = False) -> DataFrame:
+    """(file, header, head_no) with the header's names, the bank and the layout they give."""
     # No header has more cells than separators and one.
     commas = F.length("header") - F.length(F.replace("header", F.lit(",")))
     width = (heads.agg(F.max(commas).alias("n")).first().n or 0) + 1
     names = heads.select(
-        "file", F.col("line_no").alias("head_no"),
+        "file", "head_no",
         let(_cells(F.col("header"), width), _names).alias("names"),
         identify_source(statement_name(F.col("file"), name_from_folder)).alias("source"),
     )
@@ -302,35 +339,57 @@ def file_headers(lines: DataFrame, name_from_folder: bool = False) -> DataFrame:
     )
 
 
+def plain_cells(spark: SparkSession, path: str, but: list[str], width: int) -> DataFrame:
+    """(file, block, line_no, cells) of every row after the header of every CSV file, read
+    by Spark's own reader; right for files whose cells end on their line."""
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    found = csv_options(spark).options(header=True, **QUOTING).schema(schema).csv(path)
+    return among(found, but).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line_no"), F.array(*[f"c{i}" for i in range(width)]).alias("cells"),
+    )
+
+
 def scan_statements(
     spark: SparkSession, path: str, on_error: str = "skip", name_from_folder: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of every CSV below a folder, and the files that gave none.
 
     Each file's own header decides which cell is which, so column order, extra
-    columns and mixed exports need no separate reads. Rejected files come back
+    columns and mixed exports need no separate reads. A first read finds the headers and the files
+    whose cells span lines; the rows come from a second one and are not copied in
+    between. Only the lines of such files are written, to find where their cells end. Rejected files come back
     as (file, problem), empty ones too; ``on_error='fail'`` raises for the first one
     instead. With ``name_from_folder`` a file goes by its folder's name.
     """
-    lines, unclosed = csv_records(spark, path)
-    headers = materialize(file_headers(lines, name_from_folder))
-    problems = headers.filter("problem IS NOT NULL").select("file", "problem").unionByName(unclosed)
-    seen = headers.select("file").unionByName(unclosed.select("file"))
+    facts, bad = file_facts(spark, path)
+    broken = materialize(facts.filter("broken").select("file"))
+    heads = facts.filter("NOT broken AND header IS NOT NULL").select("file", "header", F.lit(None).cast("bigint").alias("head_no"))
+    records = None
+    rejects = spark.createDataFrame([], "file string, problem string")
+    if not broken.isEmpty():
+        records, rejects = csv_records(csv_lines(among(csv_reader(spark, path), bad, broken)))
+        heads = heads.unionByName(first_records(records))
+    headers = materialize(file_headers(materialize(heads), name_from_folder))
+    problems = headers.filter("problem IS NOT NULL").select("file", "problem").unionByName(rejects)
+    seen = headers.select("file").unionByName(rejects.select("file"))
     at = place(F.col("file"))
     silent = csv_files(spark, path).withColumn("p", at).join(seen.select(at.alias("p")), "p", "left_anti").drop("p")
     rejected = materialize(problems.unionByName(silent.withColumn("problem", F.lit("empty or unreadable file"))))
     if on_error == "fail":
-        bad = rejected.first()
-        if bad is not None:
-            raise ValueError(f"{bad.file}: {bad.problem}")
+        first = rejected.first()
+        if first is not None:
+            raise ValueError(f"{first.file}: {first.problem}")
     usable = headers.filter("problem IS NULL").select("file", "head_no", "names", "source", "layout")
     # Lines are parsed as wide as the widest header, not wider.
     width = usable.agg(F.max(F.size("names")).alias("n")).first().n or 1
-    body = (
-        attach(lines, usable, "file", ROW_ID, "inner")
-        .filter("block > 0 OR line_no <> head_no")
-        .withColumn("cells", _cells(F.col("value"), width))
+    body = attach(
+        plain_cells(spark, path, bad, width), usable.filter("head_no IS NULL").drop("head_no"), "file", ROW_ID, "inner"
     )
+    if records is not None:
+        stitched = attach(records, usable.filter("head_no IS NOT NULL"), "file", ROW_ID, "inner")
+        stitched = stitched.filter("block > 0 OR line_no <> head_no").withColumn("cells", _cells(F.col("value"), width))
+        body = body.unionByName(stitched.select(*body.columns))
 
     def cell(name: Column) -> Column:
         return F.get(F.col("cells"), F.array_position(F.col("names"), name).cast("int") - 1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,34 +14,64 @@ from coinsieve.functions.parsing import parse_date
 from coinsieve.operators.dedupe import dedupe_exact
 from coinsieve.operators.rows import normalized
 from coinsieve.session import path_exists
-from coinsieve.sources.layouts import LAYOUTS, Layout
-from coinsieve.sources.statements import QUOTING, apply_layout, with_provenance
+from coinsieve.sources.layouts import Layout
+from coinsieve.sources.statements import read_layout
+
+
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+@dataclass(frozen=True)
+class StatementStream:
+    """A stream of statement files and how a batch of them is read."""
+
+    files: DataFrame
+    read: Callable[[DataFrame], DataFrame]
 
 
 def statement_stream(
     spark: SparkSession, path: str, layout: str | Layout, columns: list[str], max_files: int = 1000
-) -> DataFrame:
-    """Stream of the statement files that appear below a path.
+) -> StatementStream:
+    """The statement files that appear below a path, at most ``max_files`` in a batch.
 
-    ``columns`` is the files' header; the layout picks from it by name.
+    ``columns`` is the files' header; the layout picks from it by name. The stream itself
+    carries names of files; each batch reads its files by block, as ``read_layout``
+    does, so a large file goes to many tasks and cells may hold line breaks.
     """
-    known = LAYOUTS[layout] if isinstance(layout, str) else layout
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    files = (
-        spark.readStream.schema(schema)
-        .options(header=True, enforceSchema=False, multiLine=True, maxFilesPerTrigger=max_files, **QUOTING)
-        .csv(path)
-    )
-    rows = apply_layout(with_provenance(files, known.source), known, "source", "file")
-    return normalized(rows.withColumn("date", parse_date(F.col("raw_date"))).drop("raw_date"))
+    # Of a binary file only the columns asked for are read, not its content.
+    found = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("maxFilesPerTrigger", max_files).load(path)
+    files = found.select("path")
+
+    def read(batch: DataFrame) -> DataFrame:
+        session = batch.sparkSession
+        paths = [r.path for r in batch.collect()]
+        if not paths:
+            return _rows(session.createDataFrame([], EMPTY))
+        return _rows(read_layout(session, paths, layout, columns=columns))
+
+    return StatementStream(files, read)
+
+
+EMPTY = "raw_date string, description string, amount double, source string, file string"
+
+
+def _rows(read: DataFrame) -> DataFrame:
+    return normalized(read.withColumn("date", parse_date(F.col("raw_date"))).drop("raw_date"))
+
+
+def ingest_stream(rows: StatementStream, target: str, checkpoint: str) -> StreamingQuery:
+    """Append everything new to a Parquet table and stop. Every batch is a folder of
+    its own, written anew when it is replayed."""
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        rows.read(batch).write.mode("overwrite").parquet(f"{target.rstrip('/')}/epoch={epoch}")
+
+    return _started(rows, write, checkpoint)
 
 
-def ingest_stream(rows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Append everything new to a Parquet table and stop."""
-    return (
-        rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
+def _started(rows: StatementStream, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    stream = rows.files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return stream.trigger(availableNow=True).start()
 
 
 def month(date: Column) -> Column:
@@ -91,10 +122,8 @@ def upsert_batch(
 
 
 def upsert_stream(
-    rows: DataFrame, store: str, checkpoint: str,
+    rows: StatementStream, store: str, checkpoint: str,
     categorize: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    return (
-        rows.writeStream.foreachBatch(upsert_batch(store, categorize))
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    upsert = upsert_batch(store, categorize)
+    return _started(rows, lambda batch, epoch: upsert(rows.read(batch), epoch), checkpoint)

@@ -174,6 +174,73 @@ def test_records_are_found_over_blocks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.fixture
+def small_blocks(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def broken_file(path, n):
+    """A file of n rows, each third with a line break inside a cell."""
+    texts = [f"two\nlines {i}" if i % 3 == 0 else f"plain {i}" for i in range(n)]
+    path.write_text("Date,Description,Amount\n" + "".join(f'01/05/2024,"{t}",{i}\n' for i, t in enumerate(texts)))
+    return sorted((t, float(i)) for i, t in enumerate(texts))
+
+
+def test_line_breaks_do_not_make_a_file_one_task(spark, tmp_path, small_blocks):
+    want = broken_file(tmp_path / "amex.csv", 400)
+    blocks = (tmp_path / "amex.csv").stat().st_size // 1000
+    assert blocks >= 10
+    rows = read_layout(spark, str(tmp_path), "amex")
+    assert sorted((r.description, r.amount) for r in rows.collect()) == want
+    assert rows.rdd.getNumPartitions() >= 10
+
+
+def test_a_stream_reads_a_broken_file_by_block(spark, tmp_path, small_blocks):
+    from coinsieve.streaming.ingest import statement_stream
+
+    (tmp_path / "in").mkdir()
+    want = broken_file(tmp_path / "in" / "amex.csv", 400)
+    stream = statement_stream(spark, str(tmp_path / "in"), "amex", ["Date", "Description", "Amount"])
+    rows = stream.read(spark.createDataFrame([(str(tmp_path / "in" / "amex.csv"),)], "path string"))
+    assert sorted((r.description, r.amount) for r in rows.collect()) == want
+    assert rows.rdd.getNumPartitions() >= 10
+
+
+def test_a_broken_file_with_another_header_fails(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("Date,Description,Amount\n01/05/2024,x,1\n")
+    (tmp_path / "2.csv").write_text('Date,Amount,Description\n01/05/2024,1,"a\nb"\n')
+    with pytest.raises(ValueError, match="another header"):
+        read_layout(spark, str(tmp_path), "amex", columns=["Date", "Description", "Amount"])
+
+
+def test_the_scan_reads_once_and_copies_no_lines(spark, tmp_path):
+    (tmp_path / "amex.csv").write_text("Date,Description,Amount\n01/05/2024,a,1\n")
+    rows, _ = scan_statements(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "FileScan text" not in plan
+    # One row per file is joined; no lines come from a checkpoint.
+    assert all("value" not in line for line in plan.splitlines() if "ExistingRDD" in line)
+
+
+def test_rows_are_numbered_in_the_order_of_their_files(spark, tmp_path, small_blocks):
+    from coinsieve.plans.run import in_file_order
+    from coinsieve.sources.statements import csv_files
+
+    for name in ("b amex.csv", "a amex.csv", "c chase.csv"):
+        head = "Transaction Date,Description,Amount" if "chase" in name else "Date,Description,Amount"
+        (tmp_path / name).write_text(head + "\n" + "".join(f"01/05/2024,{name[0]}{i:05},{i}\n" for i in range(500)))
+    broken_file(tmp_path / "d amex.csv", 300)
+    rows, _ = scan_statements(spark, str(tmp_path))
+    got = in_file_order(rows, csv_files(spark, str(tmp_path))).collect()
+    assert len({r.seq for r in got}) == len(got) == 1800
+    got.sort(key=lambda r: r.seq)
+    assert [r.description for r in got[:1500]] == [f"{c}{i:05}" for c in "abc" for i in range(500)]
+    assert [r.amount for r in got[1500:]] == list(range(300))
+
+
 def test_a_file_that_fails_part_way_is_rejected(spark, tmp_path):
     import struct
     import zlib
