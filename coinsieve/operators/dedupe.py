@@ -70,18 +70,23 @@ def dedupe_exact(df: DataFrame, null_keys: str = "keep") -> DataFrame:
     )
 
 
+def group_members(df: DataFrame, **spread) -> DataFrame:
+    """The rows of every duplicate group, with the group's key, size and first row. Rows without a
+    key are not grouped."""
+    counts = key_counts(df)
+    repeated = counts.filter(F.col("n") > 1).filter(~_unknown_key())
+    return skew_join(with_dedupe_key(df), repeated, KEY_PARTS, "seq", "inner", counts=counts, **spread)
+
+
 def duplicate_groups(df: DataFrame, members_per_part: int | None = None, **spread) -> DataFrame:
-    """Members of every duplicate group, in order.
+    """Members of every duplicate group, in order, as one value.
 
     The judge sees a group whole. On request a larger group than ``members_per_part``
     comes in parts of about that size, cut by a hash of ``seq``: then no task gathers a
-    whole hot group, and every part is judged apart. Rows without a key are not grouped.
+    whole hot group, and every part is judged apart. A judge that takes members one
+    frame after the other (``adjudicate_streamed``) needs neither.
     """
-    counts = key_counts(df)
-    repeated = counts.filter(F.col("n") > 1).filter(~_unknown_key())
-    rows = skew_join(
-        with_dedupe_key(df), repeated, KEY_PARTS, "seq", "inner", counts=counts, **spread
-    )
+    rows = group_members(df, **spread)
     parts = F.ceil(F.col("n") / members_per_part).cast("int") if members_per_part else F.lit(1)
     part = F.when(parts == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64("seq"), parts).cast("int"))
     member = F.struct("seq", "txn_id", "date", "description", "amount", "source")

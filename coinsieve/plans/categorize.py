@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from coinsieve.functions.keys import full_key, keywords_fingerprint, rules_fingerprint
 from coinsieve.functions.similarity import THRESHOLD
 from coinsieve.operators.cache import lookup_cache, update_from
-from coinsieve.operators.enrich import RowReply, build_prompt, classify
+from coinsieve.operators.enrich import MODEL, RowReply, build_prompt, classify
 from coinsieve.operators.match import match_keywords, match_rules
 from coinsieve.operators.rows import (
     REVIEW_BELOW, confidence_gate, ensure_columns, is_uncategorized, pending, reset_uncategorized,
@@ -25,12 +25,16 @@ RESULT = ["category", "confidence", "reasoning", "match_type"]
 
 @dataclass
 class Model:
-    """A batch function for rows that no rule decides, and how to call it."""
+    """A batch function for rows that no rule decides, and how to call it.
+
+    ``names`` are those of the two models in the log of calls; ``calls`` may name the ``log``.
+    """
 
     primary: RowReply
     escalate: RowReply | None = None
     examples: DataFrame | None = None
     calls: dict = field(default_factory=dict)
+    names: tuple[str, str] = (MODEL, MODEL)
 
 
 def cache_key(df: DataFrame, rules: DataFrame | None, keywords: DataFrame | None = None) -> DataFrame:
@@ -115,7 +119,7 @@ def _ask_rest(df: DataFrame, model: Model) -> DataFrame:
     )
     asked = rest.select("ask_key", *parts).distinct()
     answers = classify(
-        build_prompt(asked, model.examples), model.primary, model.escalate, "ask_key", **model.calls
+        build_prompt(asked, model.examples), model.primary, model.escalate, "ask_key", models=model.names, **model.calls
     ).select(
         "ask_key",
         F.struct(

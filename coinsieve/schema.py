@@ -49,7 +49,7 @@ CORRECTION = (
 )
 
 CALL_LOG = (
-    "model string, context string, prompt_chars bigint, response_chars bigint"
+    "model string, context string, prompt_chars bigint, response_chars bigint, error string, tries int"
 )
 
 # Column order of the final report file.

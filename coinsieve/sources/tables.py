@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinsieve.schema import KEYWORD, RULE
+from coinsieve.schema import CALL_LOG, KEYWORD, RULE
 from coinsieve.session import path_exists
 
 RULES_DOCUMENT = (
@@ -80,6 +80,11 @@ def load_cache(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def load_call_log(spark: SparkSession, path: str) -> DataFrame:
+    """The calls that were noted at a path, for ``usage_report``; empty when there were none."""
+    return load_cache(spark, path, CALL_LOG)
+
+
 def latest_cache(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, int]:
     """The newest version of a versioned cache and its number, 0 when there is none."""
     if not path_exists(spark, path):

@@ -9,11 +9,14 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from coinsieve.operators import enrich as en
+from coinsieve.operators.aggregate import usage_report
 from coinsieve.operators.dedupe import dedupe_adjudicated, duplicate_groups
 from coinsieve.operators.order import static_examples
 from coinsieve.plans.categorize import Model, categorize
 from coinsieve.plans.dedupe import dedupe
 from coinsieve.schema import CATEGORIES
+from coinsieve.session import materialize, scratch_path
+from coinsieve.sources.tables import load_call_log
 from registry.core import query
 from registry.duplicates import DUP, JUDGED, SHOWN, dup_events
 from registry.matching import CASCADE, RESULT, event_rules
@@ -152,6 +155,46 @@ def _(spark, sf):
     return df.select(*RESULT)
 
 
+ASKED = f"""
+asked AS (
+  SELECT DISTINCT t.date, t.description, t.normalized_desc, t.amount, t.source
+  FROM txn t JOIN cascade c USING (txn_id) WHERE c.match_type IS NULL),
+question AS (
+  SELECT source, length('Categorize this transaction into one of: {", ".join(CATEGORIES)}, Uncategorized.' || chr(10)
+    || 'Examples:' || chr(10) || '- corner bakery $4.20 → Food' || chr(10) || '- night train $61.00 → Travel' || chr(10)
+    || 'Transaction:' || chr(10) || '- Date: ' || strftime(date, '%m/%d/%Y') || chr(10) || '- Description: ' || description || chr(10)
+    || '- Normalized: ' || normalized_desc || chr(10) || '- Amount: ' || printf('%.2f', amount) || chr(10)
+    || '- Source: ' || source || chr(10) || '{en.GUIDANCE}') AS n FROM asked),
+answer AS (
+  SELECT n, length(CASE source
+    WHEN 'purchase' THEN 'Sure: {{"category": "Purchase", "confidence": 0.85, "reasoning": "seen"}}'
+    WHEN 'view' THEN 'Sure: {{"category": "View", "confidence": 0.85, "reasoning": "seen"}}'
+    WHEN 'click' THEN '{{"category": "Web", "confidence": 0.75, "reasoning": "maybe"}}'
+    WHEN 'signup' THEN 'no idea'
+    ELSE '{{"category": "Uncategorized", "confidence": 0.3, "reasoning": "odd"}}' END) AS r, 'gpt-3.5' AS family, 0.000001::DOUBLE AS price
+  FROM question
+  UNION ALL
+  SELECT n, length('{{"category": "Fault", "confidence": 0.9, "reasoning": "an error"}}'), 'gpt-4', 0.00001::DOUBLE
+  FROM question WHERE source = 'error')"""
+
+
+@query("usage_of_model_calls", f"""
+WITH {TXN}, {CASCADE}, {ASKED}
+SELECT family, 'categorization' AS purpose, count(*) AS calls, CAST(sum(n) AS BIGINT) AS prompt_chars,
+  CAST(sum(r) AS BIGINT) AS response_chars, round(sum(n / 3.0::DOUBLE + r / 2.0::DOUBLE), 2) AS tokens,
+  round(sum((n / 3.0::DOUBLE + r / 2.0::DOUBLE) * price), 8) AS cost
+FROM answer GROUP BY family""")
+def _(spark, sf):
+    """What a run of ``categorize_with_model`` wrote into the log of its calls."""
+    log = scratch_path(spark, "calls")
+    model = Model(
+        cheap_model, strong_model, static_examples(spark, EXAMPLES), {"log": log}, ("gpt-3.5-turbo", "gpt-4o")
+    )
+    done = categorize(txn_events(spark, sf), event_rules(spark), fixture_keywords(spark), model=model, matcher="edit")
+    materialize(done.groupBy("match_type").count())
+    return usage_report(load_call_log(spark, log))
+
+
 def judge(rows: pd.DataFrame) -> list[str]:
     """Calls views different; errors get a reply that does not parse."""
     out = []
@@ -185,6 +228,28 @@ def _(spark, sf):
     return dedupe_adjudicated(df, verdicts).select(*SHOWN)
 
 
+class StreamedJudge(en.GroupJudge):
+    """The same verdicts from the members of a group, frame by frame."""
+
+    def __init__(self):
+        self.kinds = set()
+
+    def add(self, members):
+        self.kinds |= {text.split(" ")[0] for text in members["description"]}
+
+    def reply(self):
+        if "view" in self.kinds:
+            return '{"is_duplicate": false, "reasoning": "two visits"}'
+        return "cannot say" if "error" in self.kinds else '{"is_duplicate": true, "reasoning": "same charge"}'
+
+
+@query("dedupe_with_streamed_judge", f"""
+WITH {DUP}, {JUDGED.replace("Kept as primary (fallback to basic deduplication due to error)", FALLBACK)}
+SELECT txn_id, date, amount, description, is_duplicate, dedupe_reasoning FROM verdict WHERE rn = 1 OR source = 'view'""")
+def _(spark, sf):
+    return dedupe(dup_events(spark, sf), "adjudicated", StreamedJudge).select(*SHOWN)
+
+
 @query("build_prompt", f"""
 WITH {TXN}
 SELECT txn_id, md5('Categorize this transaction into one of: {", ".join(CATEGORIES)}, Uncategorized.' || chr(10)

@@ -2,9 +2,10 @@
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from coinsieve.operators.dedupe import dedupe_adjudicated, dedupe_exact, duplicate_groups, flag_duplicates
-from coinsieve.operators.enrich import adjudicate
+from coinsieve.operators.dedupe import dedupe_adjudicated, dedupe_exact, duplicate_groups, flag_duplicates, group_members
+from coinsieve.operators.enrich import GroupJudge, adjudicate, adjudicate_streamed
 from coinsieve.plans.dedupe import dedupe
 
 FAST = {"attempts": 1, "wait": (0.0, 0.0)}
@@ -115,3 +116,74 @@ def test_a_large_group_reaches_the_judge_whole(txns):
     assert [m.seq for m in group.members] == list(range(200))
     kept = dedupe(rows, "adjudicated", lambda f: ['{"is_duplicate": true, "reasoning": "same"}'] * len(f), **FAST)
     assert sorted(r.seq for r in kept.collect()) == [0, 200]
+
+
+# --- groups as streams -------------------------------------------------------------------
+
+
+class Counting(GroupJudge):
+    """Notes how many members came, in which order, and the memory of its process."""
+
+    def __init__(self):
+        self.n, self.last, self.ordered, self.largest = 0, -1, True, 0
+
+    def add(self, members):
+        seq = members["seq"]
+        self.ordered &= bool(seq.is_monotonic_increasing) and seq.iloc[0] > self.last
+        self.n, self.last, self.largest = self.n + len(seq), seq.iloc[-1], max(self.largest, len(seq))
+
+    def reply(self):
+        import json
+        import resource
+
+        megabytes = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024
+        return json.dumps({"is_duplicate": True, "reasoning": f"{self.n} {self.ordered} {self.largest} {megabytes}"})
+
+
+def test_streams_give_the_verdicts_of_whole_groups(rows):
+    class Streamed(GroupJudge):
+        def __init__(self):
+            self.kind = None
+
+        def add(self, members):
+            self.kind = members["description"].iloc[0]
+
+        def reply(self):
+            import pandas as pd
+
+            return judge(pd.DataFrame({"records": [self.kind]}))[0]
+
+    want = by_seq(dedupe(rows, "adjudicated", judge, **FAST), "is_duplicate", "dedupe_reasoning")
+    assert by_seq(dedupe(rows, "adjudicated", Streamed, **FAST), "is_duplicate", "dedupe_reasoning") == want
+
+
+def test_a_million_members_are_judged_whole_and_in_order(spark):
+    n = 1_000_000
+    hot = spark.range(n).select(
+        F.col("id").cast("string").alias("txn_id"), F.col("id").alias("seq"), F.to_date(F.lit("2024-01-01")).alias("date"),
+        F.lit(4.0).alias("amount"), F.lit("Coffee at the corner").alias("description"), F.lit("coffee at the corner").alias("normalized_desc"),
+        F.lit("src").alias("source"), F.lit("f").alias("file"),
+    )
+    pairs = hot.filter("seq < 40").withColumns({"seq": F.col("seq") + n, "normalized_desc": F.concat(F.lit("tea "), F.floor(F.col("seq") / 2))})
+    verdicts = adjudicate_streamed(group_members(hot.unionByName(pairs)), Counting, **FAST)
+    got = {r.key_desc: r.reasoning.split(" ") for r in verdicts.collect()}
+    assert len(got) == 21 and all(g[:2] == ["2", "True"] for k, g in got.items() if k.startswith("tea"))
+    count, ordered, largest, megabytes = got["coffee at the corner"]
+    assert (count, ordered) == (str(n), "True")
+    assert int(largest) <= 10_000 and int(megabytes) < 1000
+
+
+def test_a_frame_that_fails_is_tried_again(rows):
+    class Shaky(Counting):
+        failed = False
+
+        def add(self, members):
+            if not self.failed:
+                self.failed = True
+                raise RuntimeError("once")
+            super().add(members)
+
+    kept = by_seq(dedupe(rows, "adjudicated", Shaky, attempts=2, wait=(0.0, 0.0)), "dedupe_reasoning")
+    assert kept[0].startswith("Kept as primary. 2 True")
+    lost = by_seq(dedupe(rows, "adjudicated", Shaky, **FAST), "dedupe_reasoning")
+    assert lost[0] == "Kept as primary (fallback to basic deduplication due to error)"

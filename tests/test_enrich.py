@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coinsieve.operators.enrich import (
-    align_replies, ask_batches, build_prompt, classify, empty_cache, enrich,
+    align_replies, ask_batches, ask_rows, build_prompt, classify, empty_cache, enrich,
 )
 from coinsieve.operators.order import few_shot, static_examples
 from coinsieve.plans.categorize import Model, cache_entries, categorize, recategorize
@@ -199,3 +199,74 @@ def test_prompt_holds_row_and_examples(spark, txns):
 @pytest.mark.parametrize("text", [None, ""])
 def test_prompt_of_empty_rows(spark, txns, text):
     assert build_prompt(txns([(text, None, None)])).select(F.length("prompt").alias("n")).first().n > 0
+
+
+# --- tasks, pace and the log of calls --------------------------------------------------
+
+
+def test_tasks_follow_from_the_rows_alone(spark, tmp_path):
+    """One core or eight: the same number of calls in every task."""
+    import os
+    import subprocess
+    import sys
+    import textwrap
+
+    from tests.conftest import ROOT
+
+    script = tmp_path / "tasks.py"
+    script.write_text(textwrap.dedent("""
+        import sys
+        from pyspark import TaskContext
+        from pyspark.sql import functions as F
+        from coinsieve.operators.enrich import ask_batches
+        from coinsieve.session import build_session
+
+        spark = build_session("tasks", sys.argv[1], spark__sql__warehouse__dir=sys.argv[2], spark__driver__memory="1g")
+        df = spark.range(1000).select(F.concat(F.lit("t"), "id").alias("d"))
+        where = lambda items: str(TaskContext.get().partitionId())
+        rows = ask_batches(df, "d", where, batch_size=20).groupBy("reply").count().collect()
+        print("calls", sorted((int(r.reply), r["count"]) for r in rows))
+    """))
+    seen = []
+    for cores in ("1", "8"):
+        out = subprocess.run([sys.executable, str(script), cores, str(tmp_path / cores)], capture_output=True, text=True, timeout=300, env=os.environ | {"PYTHONPATH": ROOT})
+        assert out.returncode == 0, out.stderr[-2000:]
+        seen.append(next(line for line in out.stdout.splitlines() if line.startswith("calls")))
+    assert seen[0] == seen[1] and seen[0].count("(") >= 10
+
+
+def test_rate_is_shared_by_all_tasks(spark):
+    import time
+
+    df = spark.createDataFrame([(f"t{i}",) for i in range(8)], "d string")
+    start = time.monotonic()
+    done = ask_batches(df, "d", shout, batch_size=1, tasks=2, rate=4.0, **FAST).count()
+    assert done == 8 and time.monotonic() - start > 1.0  # the fuller task has at least four calls, half a second apart
+
+
+def test_calls_are_noted_once_with_their_model(spark, txns, tmp_path):
+    from coinsieve.operators.aggregate import usage_report
+    from coinsieve.sources.tables import load_call_log
+
+    log = str(tmp_path / "calls")
+    assert load_call_log(spark, log).count() == 0
+    rows, cache = enrich(txns([("a b", 1.0, None), ("c", 3.0, None)]), shout, empty_cache(spark), log=log, **FAST)
+    rows.count(), rows.count(), cache.count()
+    df = spark.createDataFrame([("1", "dd"), ("2", "e")], "text_key string, description string")
+
+    def failing(frame):
+        raise RuntimeError("down")
+
+    classify(df, failing, log=log, models=("gpt-4o", "x"), **FAST).count()
+    noted = sorted((r.model, r.context, r.prompt_chars, r.response_chars, r.error, r.tries) for r in load_call_log(spark, log).collect())
+    # Batches for normalization go to the cheaper model.
+    assert noted[:2] == [("gpt-3.5-turbo", "norm_batch", 6, 5, None, 1)] + noted[1:2]
+    assert noted[1:] == [("gpt-4o", "txn:", 1, 0, "down", 1), ("gpt-4o", "txn:", 2, 0, "down", 1)]
+    report = {(r.family, r.purpose): r.calls for r in usage_report(load_call_log(spark, log)).collect()}
+    assert report == {("gpt-3.5", "normalization"): 1, ("gpt-4", "categorization"): 2}
+
+
+def test_questions_are_measured(spark):
+    df = spark.createDataFrame([("1", "long question"), ("2", None)], "k string, prompt string")
+    got = ask_rows(df, lambda f: ["yes"] * len(f), ["k"], **FAST).collect()
+    assert sorted((r.prompt_chars, r.response_chars, r.tries) for r in got) == [(0, 3, 1), (13, 3, 1)]
