@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from coinsieve.plans.dedupe import dedupe
 from coinsieve.schema import CATEGORIZE_CACHE, ENRICHMENT, NORMALIZE_CACHE
 from coinsieve.session import materialize
 from coinsieve.sources.cells import statement_rows
+from coinsieve.sources.manifest import scan_incremental
 from coinsieve.sources.sinks import write_combined, write_deduped, write_version
 from coinsieve.sources.statements import combine, csv_files, place, scan_statements, typed
 from coinsieve.sources.tables import latest_cache
@@ -35,6 +38,7 @@ def run(
     matcher: str = "ratio",
     name_from_folder: bool = False,
     caches: str | None = None,
+    store: str | None = None,
     **calls,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Scan, clean, categorize, deduplicate and write.
@@ -42,11 +46,16 @@ def run(
     ``cells`` holds rows of extracted statement tables (see ``sources.cells``),
     which come after the scanned files. ``caches`` names a folder that keeps what was
     normalized and categorized: a later run asks and matches for new texts and
-    transactions only, and leaves a new version of both caches. Writes ``<output>/combined`` and ``<output>/deduplicated``; returns all
-    rows, the deduplicated rows and the rejected files.
+    transactions only, and leaves a new version of both caches. ``store`` names a folder that
+    keeps the rows of scanned files: a later run reads new and changed files only. A ``log``
+    among ``calls`` takes a row per call of any function. Publishes ``<output>/combined`` and
+    ``<output>/deduplicated``; returns all rows, the deduplicated rows and the rejected files.
     """
-    scanned, rejected = scan_statements(spark, inputs, name_from_folder=name_from_folder)
-    files = csv_files(spark, inputs)
+    if store is None:
+        scanned, rejected = scan_statements(spark, inputs, name_from_folder=name_from_folder)
+        files = csv_files(spark, inputs)
+    else:
+        scanned, rejected, files = scan_incremental(spark, inputs, store, name_from_folder)
     if cells is not None:
         scanned, files = combine(scanned, _extracted(cells)), files.unionByName(cells.select("file"))
     txns = in_file_order(typed(scanned), files)
@@ -54,11 +63,11 @@ def run(
         txns = normalized(txns)
     else:
         path = f"{caches}/normalize"
-        cache, version = latest_cache(spark, path, NORMALIZE_CACHE) if caches else (empty_cache(spark), 0)
+        cache = latest_cache(spark, path, NORMALIZE_CACHE) if caches else empty_cache(spark)
         asked = txns
         txns, entries = enrich(txns, normalizer, cache, **calls)
         if caches:
-            write_version(count_hits(asked.withColumn("_key", description_key(F.col("description"))), entries, "_key"), path, version + 1)
+            write_version(count_hits(asked.withColumn("_key", description_key(F.col("description"))), entries, "_key"), path)
     txns = ensure_columns(txns, ENRICHMENT)
     if prior is not None:
         txns = resume_from(txns, prior).drop("txn_key", "is_processed")
@@ -66,13 +75,15 @@ def run(
     open_rows = pending(txns)
     done = txns.filter("category IS NOT NULL AND confidence IS NOT NULL")
     path = f"{caches}/categorize"
-    cache, version = latest_cache(spark, path, CATEGORIZE_CACHE) if caches else (None, 0)
+    cache = latest_cache(spark, path, CATEGORIZE_CACHE) if caches else None
+    if model is not None and "log" in calls:
+        model = replace(model, calls={"log": calls["log"]} | model.calls)
     fresh = categorize(open_rows.drop(*RESULT), rules, keywords, cache, model=model, matcher=matcher)
     if caches:
         # Only decided rows are kept: the others may fare better with a model or another rule.
         fresh = materialize(fresh)
         settled = fresh.filter(~is_uncategorized())
-        write_version(add_entries(cache, cache_entries(settled, rules, keywords)), path, version + 1)
+        write_version(add_entries(cache, cache_entries(settled, rules, keywords)), path)
     combined = materialize(done.unionByName(fresh))
     write_combined(combined, f"{output}/combined")
     kept = dedupe(combined, "adjudicated" if judge else "exact", judge, **(calls if judge else {}))

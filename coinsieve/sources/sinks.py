@@ -1,5 +1,5 @@
-"""Writers. The commit protocol of Spark's writers makes each one atomic per
-task; tables that are read while being rewritten go to a new path."""
+"""Writers. Reports and caches are published as versions: a run that fails while it
+writes leaves the earlier result as it was."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from coinsieve.functions.parsing import format_date
 from coinsieve.schema import FINAL_COLUMNS
-
+from coinsieve.sources.published import publish
 
 
 def final_columns(df: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def final_columns(df: DataFrame) -> DataFrame:
 
 
 def _csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    publish(df.sparkSession, path, df.write.options(header=True, escape='"').csv)
 
 
 def write_combined(df: DataFrame, path: str) -> None:
@@ -65,6 +65,6 @@ def write_cache(cache: DataFrame, path: str) -> None:
     cache.write.mode("overwrite").parquet(path)
 
 
-def write_version(cache: DataFrame, path: str, version: int) -> None:
+def write_version(cache: DataFrame, path: str) -> None:
     """A cache as its next version beside the older ones, which may be being read."""
-    cache.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={version}")
+    publish(cache.sparkSession, path, cache.write.parquet)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
 from py4j.protocol import Py4JError
@@ -136,12 +137,17 @@ def statement_name(path: Column, from_folder: bool = False) -> Column:
     return file_stem(F.regexp_replace(path, "/[^/]*$", "") if from_folder else path)
 
 
+def literal_path(path: str) -> str:
+    """A path for Spark's readers that stands for itself, whatever signs it holds."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
 def csv_options(spark: SparkSession) -> DataFrameReader:
     # A fault ends the read, whatever the session says, so that its task is tried again.
     return spark.read.options(pathGlobFilter="*.[cC][sS][vV]", recursiveFileLookup=True, ignoreCorruptFiles=False)
 
 
-def csv_reader(spark: SparkSession, path: str) -> DataFrame:
+def csv_reader(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return csv_options(spark).text(path)
 
 
@@ -351,7 +357,7 @@ def plain_cells(spark: SparkSession, path: str, but: list[str], width: int) -> D
 
 
 def scan_statements(
-    spark: SparkSession, path: str, on_error: str = "skip", name_from_folder: bool = False
+    spark: SparkSession, path: str | list[str], on_error: str = "skip", name_from_folder: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of every CSV below a folder, and the files that gave none.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from coinsieve.schema import CALL_LOG, KEYWORD, RULE
 from coinsieve.session import path_exists
+from coinsieve.sources.published import current
 
 RULES_DOCUMENT = (
     "rules array<struct<description:string,amount:double,day_range:array<int>,category:string>>"
@@ -85,20 +86,19 @@ def load_call_log(spark: SparkSession, path: str) -> DataFrame:
     return load_cache(spark, path, CALL_LOG)
 
 
-def latest_cache(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, int]:
-    """The newest version of a versioned cache and its number, 0 when there is none."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema), 0
-    saved = spark.read.schema(f"{schema}, version int").parquet(path)
-    newest = saved.agg(F.max("version").alias("n")).first().n or 0
-    return saved.filter(F.col("version") == newest).drop("version"), newest
+def latest_cache(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The newest complete version of a versioned cache, empty when there is none."""
+    return load_cache(spark, current(spark, path) or f"{path}/none", schema)
 
 
 def load_prior(spark: SparkSession, path: str, required: list[str] | None = None) -> DataFrame | None:
-    """Earlier CSV result, or None when it is missing or lacks a needed column."""
+    """Earlier CSV result, or None when it is missing or lacks a needed column.
+
+    Of a published one the current version is read; else the path itself.
+    """
     if not path_exists(spark, path):
         return None
-    saved = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    saved = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(current(spark, path) or path)
     return saved if set(required or RESUME_COLUMNS) <= set(saved.columns) else None
 
 

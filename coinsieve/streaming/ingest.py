@@ -15,7 +15,7 @@ from coinsieve.operators.dedupe import dedupe_exact
 from coinsieve.operators.rows import normalized
 from coinsieve.session import path_exists
 from coinsieve.sources.layouts import Layout
-from coinsieve.sources.statements import read_layout
+from coinsieve.sources.statements import literal_path, read_layout
 
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -44,7 +44,7 @@ def statement_stream(
 
     def read(batch: DataFrame) -> DataFrame:
         session = batch.sparkSession
-        paths = [r.path for r in batch.collect()]
+        paths = [literal_path(r.path) for r in batch.collect()]
         if not paths:
             return _rows(session.createDataFrame([], EMPTY))
         return _rows(read_layout(session, paths, layout, columns=columns))

@@ -120,16 +120,26 @@ def _(spark, sf):
 
 
 @query("rejected_files", """
-SELECT 'broken' AS name, 'missing column: ?, ?' AS problem FROM orders
-UNION SELECT 'nothing', 'empty or unreadable file' FROM orders
-UNION SELECT 'open', 'a quoted cell has no end' FROM orders""")
+SELECT 'o_orderpriority=' || lower(o_orderpriority) AS name, 'missing column: ?, ?' AS problem, CAST(1 AS BIGINT) AS files
+FROM orders GROUP BY o_orderpriority
+UNION ALL SELECT 'o_orderstatus=' || lower(o_orderstatus), 'a quoted cell has no end', 1 FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'nothing', 'empty or unreadable file', count(*) FROM (SELECT 1 FROM orders LIMIT 1)""")
 def _(spark, sf):
-    base = statement_folder(spark, sf)
+    """A file per order priority lacks columns, one per order status ends inside a cell, one is empty."""
+    base = scratch_path(spark, "statements")
     orders = table(spark, sf, "orders")
-    orders.filter("o_orderkey < 0").select("o_orderpriority").write.csv(f"{base}/nothing.csv")
-    orders.limit(1).select(F.lit('Date,Description,Amount,"open')).write.option("quote", "").csv(f"{base}/open.csv")
+    exported(spark, sf, LAYOUTS["chase"]).write.option("header", True).csv(f"{base}/chase.csv")
+    one = orders.coalesce(1)
+    one.select("o_orderkey", F.col("o_totalprice").alias("Amount"), "o_orderpriority").write.partitionBy("o_orderpriority").option(
+        "header", True
+    ).csv(f"{base}/broken.csv")
+    first = orders.groupBy("o_orderstatus").agg(F.min("o_orderkey").alias("key")).coalesce(1)
+    first.select(F.concat(F.lit('Date,Description,Amount,"'), "key"), "o_orderstatus").write.partitionBy("o_orderstatus").option(
+        "quote", ""
+    ).csv(f"{base}/open.csv")
+    orders.filter("o_orderkey < 0").select("o_orderpriority").coalesce(1).write.csv(f"{base}/nothing.csv")
     _, rejected = scan_statements(spark, base, name_from_folder=True)
-    return rejected.select(statement_name(F.col("file"), True).alias("name"), "problem").distinct()
+    return rejected.groupBy(statement_name(F.col("file"), True).alias("name"), "problem").agg(F.count(F.lit(1)).alias("files"))
 
 
 # --- cells that need quotes, and many columns ---------------------------------------------
@@ -452,6 +462,25 @@ def _(spark, sf):
     return rows.select("date", "description", "normalized_desc", "category")
 
 
+@query("run_incremental", f"""
+WITH {RUN}
+SELECT date, description, amount, category FROM done""")
+def _(spark, sf):
+    """The second run reads only the files that have come since the first."""
+    base, out, store = (scratch_path(spark, n) for n in ("inputs", "outputs", "store"))
+    rules = rules_table(spark, [("urgent", None, [1, 10], "Rush")])
+    keywords = keyword_table(spark, {"Low": ["low"], "Mid": ["medium", "high"]})
+    rows = None
+    for turn, where in enumerate(("o_orderdate < '1998-01-01'", "o_orderdate >= '1998-01-01'")):
+        table(spark, sf, "orders").filter(where).select(
+            F.date_format("o_orderdate", "MM/dd/yyyy").alias("Transaction Date"),
+            F.concat(F.lit("Order "), "o_orderpriority").alias("Description"),
+            F.format_number("o_totalprice", 2).alias("Amount"),
+        ).write.mode("append").option("header", True).csv(f"{base}/chase.csv")
+        rows, _, _ = run(spark, base, f"{out}/{turn}", rules, keywords, matcher="edit", name_from_folder=True, store=store)
+    return rows.select("date", "description", "amount", "category")
+
+
 @query("run_resumed", f"""
 WITH {RUN}
 SELECT DISTINCT ON (date, abs(amount), normalized_desc) date, description, amount,

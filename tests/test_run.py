@@ -1,11 +1,17 @@
 """The whole batch over files and extracted tables."""
 
 import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
 
 from coinsieve.plans.learn import learn_rules
 from coinsieve.plans.run import prior_as_txns, run
 from coinsieve.plans.summary import summary
 from coinsieve.schema import FINAL_COLUMNS
+from coinsieve.sources.published import current, publish, versions
+from coinsieve.sources.sinks import write_deduped
 from coinsieve.sources.tables import DEDUPED_COLUMNS, keyword_table, load_prior, rules_table
 
 CELLS = "file string, page int, table_no int, row_no int, cells array<string>, page_text string"
@@ -95,6 +101,70 @@ def test_a_second_run_asks_for_new_texts_only(spark, tmp_path):
     shown = ["description", "normalized_desc", "category", "confidence"]
     assert sorted(once.select(*shown).collect(), key=str) == sorted(again.select(*shown).collect(), key=str)
     for name, schema in (("normalize", NORMALIZE_CACHE), ("categorize", CATEGORIZE_CACHE)):
-        entries, version = latest_cache(spark, f"{caches}/{name}", schema)
-        assert version == 2 and entries.count() == entries.select("key").distinct().count() > 0
-    assert latest_cache(spark, f"{caches}/none", NORMALIZE_CACHE)[1] == 0
+        entries = latest_cache(spark, f"{caches}/{name}", schema)
+        assert versions(spark, f"{caches}/{name}") == ([1, 2], [])
+        assert entries.count() == entries.select("key").distinct().count() > 0
+    assert latest_cache(spark, f"{caches}/none", NORMALIZE_CACHE).count() == 0
+
+
+# --- published results ---------------------------------------------------------------
+
+
+def failing(df):
+    """Rows of which one fails after others have been written."""
+    return df.repartition(1).withColumn("description", F.when(F.col("seq") == 9_000, F.raise_error(F.lit("half-way"))).otherwise(F.col("description")))
+
+
+def test_a_writer_that_fails_half_way_leaves_the_earlier_result(spark, txns, tmp_path):
+    out = str(tmp_path / "report")
+    extra = {"category": F.lit("Food"), "confidence": F.lit(1.0), "reasoning": F.lit("r"), "is_duplicate": F.lit(False), "dedupe_reasoning": F.lit("")}
+    rows = txns([(f"t{i}", 1.0, "2024-01-01") for i in range(10_000)]).withColumns(extra)
+    write_deduped(rows.filter("seq < 3"), out)
+    with pytest.raises(Exception, match="half-way"):
+        write_deduped(failing(rows), out)
+    assert versions(spark, out) == ([1], [2])
+    assert load_prior(spark, out).count() == 3
+    write_deduped(rows.filter("seq < 5"), out)
+    assert versions(spark, out) == ([1, 3], []) and load_prior(spark, out).count() == 5
+
+
+def test_old_versions_go(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(1, 6):
+        publish(spark, path, spark.range(n).write.parquet, kept=2)
+    assert versions(spark, path) == ([4, 5], [])
+    assert spark.read.parquet(current(spark, path)).count() == 5
+
+
+# --- runs over files that were scanned before -------------------------------------------
+
+
+def test_a_second_run_reads_no_old_file(spark, tmp_path):
+    folder, store = inputs(tmp_path), str(tmp_path / "store")
+    base = tmp_path / "inputs"
+    (base / "amex [1] 100%.csv").write_text('Date,Description,Amount\n01/08/2024,"odd\nname",7\n')
+    (base / "amex.csv").write_text("")
+
+    def result(n):
+        rows, _, rejected = run(spark, folder, str(tmp_path / f"out{n}"), store=store)
+        return sorted((r.description, r.amount) for r in rows.collect()), sorted(r.file.split("/")[-1] for r in rejected.collect())
+
+    plain, _, refused = run(spark, folder, str(tmp_path / "plain"))
+    want = sorted((r.description, r.amount) for r in plain.collect())
+    bad = sorted(r.file.split("/")[-1] for r in refused.collect())
+    assert result(1) == (want, bad) and ("odd\nname", 7.0) in want and bad == ["amex.csv", "broken.csv"]
+    # Other bytes with the same length and time: whoever reads the file again would see them.
+    for path in base.iterdir():
+        state, text = path.stat(), path.read_text()
+        path.write_text(text.replace("ATM", "XXX").replace("NETFLIX", "XXXXXXX").replace("odd", "XXX"))
+        os.utime(path, ns=(state.st_atime_ns, state.st_mtime_ns))
+    assert result(2) == (want, bad)
+    # A new file is read, a changed one read anew, a removed one forgotten.
+    (base / "chase new.csv").write_text("Transaction Date,Description,Amount\n01/05/2024,new,1\n")
+    (base / "AccountHistory.csv").write_text("Post Date,Description,Debit,Credit\n01/03/2024,changed,60,\n01/03/2024,more,1,\n")
+    (base / "amex [1] 100%.csv").unlink()
+    (base / "amex.csv").write_text("Date,Description,Amount\n01/05/2024,filled,2\n")
+    got, bad = result(3)
+    assert bad == ["broken.csv"]
+    assert got == sorted([w for w in want if w[0] not in ("ATM Withdrawal", "odd\nname")] + [("changed", 60.0), ("more", 1.0), ("new", 1.0), ("filled", 2.0)])
+    assert len(list((tmp_path / "store" / "rows").glob("scan=*"))) == 2
