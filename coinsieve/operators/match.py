@@ -1,7 +1,7 @@
 """Ordered first-match categorization by rules and keywords.
 
 Containment in a short list is a constant array, so it is a projection without any
-join or shuffle. Similarity is scored once per distinct text: against a short list
+join or shuffle; in a longer one an automaton reads every distinct text once. Similarity is scored once per distinct text: against a short list
 in a projection, else through an equi-join on shared pieces of text (see
 ``functions.similarity``) that finds the same pairs. The result is joined back; that
 join is a broadcast while the matched texts are few.
@@ -14,7 +14,10 @@ pairs of each shorter text are joined, as many as must meet one that is shared.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterator
+from importlib.util import find_spec
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +36,9 @@ MAX_INLINE_EXACT = 500
 MAX_INLINE = 32  # a long has a bit for each
 # Candidate pairs scored in one task.
 PAIRS_PER_TASK = 50_000
+# Keywords up to so many, and up to so many bytes, go to every worker as one automaton (a few
+# hundred bytes a keyword).
+AUTOMATON_KEYWORDS, AUTOMATON_BYTES = 200_000, 4 << 20
 
 # Confidence and reason by kind of match.
 RULE_EXACT, RULE_FUZZY = 0.95, 0.9
@@ -381,13 +387,25 @@ def _match_many_keywords(
         F.lower("keyword").alias("raw"), strip(F.lower("keyword")).alias("word"), "category",
     )
     keyed, texts = _with_text_key(txns), _distinct_texts(txns, undecided)
+    best = _first_contained(texts, listed) if exact_only else None
+    if best is None:
+        best = _best_of_pairs(texts, listed, threshold, matcher, exact_only, max_inline)
+    result = _keyword_result(F.col("best"), F.col("best.rank") == 0).alias("keyword_match")
+    joined = _join_back(keyed, best.select("text_key", result))
+    return joined.withColumn("keyword_match", _if(undecided, F.col("keyword_match")))
+
+
+def _best_of_pairs(
+    texts: DataFrame, listed: DataFrame, threshold: int, matcher: str, exact_only: bool, max_inline: int
+) -> DataFrame:
+    """(text_key, best) from all pairs of texts and keywords that match."""
     pairs = similar_pairs(texts, listed, threshold, matcher, exact_only, F.col("ord.cat_ord"), max_inline).select(
         "text_key", "ord", "exact", "category"
     )
     blank = _blank_entries(listed)
     if blank is not None:
         pairs = pairs.unionByName(_blank_pairs(texts, blank))
-    best = pairs.groupBy("text_key").agg(
+    return pairs.groupBy("text_key").agg(
         F.min(
             F.struct(
                 F.col("ord.cat_ord"), F.when(F.col("exact"), 0).otherwise(1).alias("rank"),
@@ -395,9 +413,6 @@ def _match_many_keywords(
             )
         ).alias("best")
     )
-    result = _keyword_result(F.col("best"), F.col("best.rank") == 0).alias("keyword_match")
-    joined = _join_back(keyed, best.select("text_key", result))
-    return joined.withColumn("keyword_match", _if(undecided, F.col("keyword_match")))
 
 
 def _blank_entries(listed: DataFrame) -> DataFrame | None:
@@ -409,10 +424,64 @@ def _blank_entries(listed: DataFrame) -> DataFrame | None:
 
 
 def _blank_pairs(texts: DataFrame, blank: DataFrame) -> DataFrame:
-    sides = texts.select("text_key", F.explode(F.array("normalized_desc", "description")).alias("whole"))
-    every = F.lit("").alias("gram")
-    hits = attach(sides.select("*", every), blank.select("*", every), "gram", ["text_key", "whole"], "inner")
-    return hits.filter(F.contains("whole", "raw")).select("text_key", "ord", F.lit(True).alias("exact"), "category")
+    """Blank entries are one value that every text is tested against: no join."""
+    entries = blank.agg(F.collect_list(F.struct("raw", "ord", "category")).alias("entries")).scalar()
+    wholes = texts.select("text_key", F.explode(F.array("normalized_desc", "description")).alias("whole"))
+    tested = wholes.select("*", F.explode(entries).alias("e")).filter(F.contains("whole", "e.raw"))
+    return tested.select("text_key", "e.ord", F.lit(True).alias("exact"), "e.category")
+
+
+# --- containment in long lists --------------------------------------------------------
+
+
+def _first_contained(texts: DataFrame, listed: DataFrame) -> DataFrame | None:
+    """(text_key, best): the first category, and its first keyword, with a keyword inside either text.
+
+    All keywords form one automaton, which every Python worker builds once and which
+    reads each text once. None where the keywords are too large for that.
+    """
+    firsts = materialize(
+        listed.groupBy("raw").agg(F.min(F.struct("ord.cat_ord", "ord.kw_ord", "category")).alias("first")).select("raw", "first.*")
+    )
+    size = firsts.agg(F.sum(F.octet_length("raw") + F.octet_length("category")).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    if (size.b or 0) > AUTOMATON_BYTES or size.n > AUTOMATON_KEYWORDS or find_spec("ahocorasick") is None:
+        return None
+    ordered = sorted((r.cat_ord, r.kw_ord, r.raw, r.category) for r in firsts.collect() if r.raw is not None)
+    result = "text_key string, cat_ord int, rank int, kw_ord int, category string"
+    names = [part.split(" ")[0] for part in result.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first_of = _automaton(ordered)
+        for batch in batches:
+            keys, *sides = (column.to_pylist() for column in batch.columns)
+            found = [(key, best) for key, *pair in zip(keys, *sides, strict=True) if (best := first_of(pair)) is not None]
+            hits = [(key, ordered[i][0], 0, ordered[i][1], ordered[i][3]) for key, i in found]
+            columns = list(zip(*hits, strict=True)) if hits else [[]] * len(names)
+            types = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+    hits = texts.select("text_key", "normalized_desc", "description").mapInArrow(run, result)
+    return hits.select("text_key", F.struct("cat_ord", "rank", "kw_ord", "category").alias("best"))
+
+
+def _automaton(ordered: list[tuple]) -> Callable[[list[str]], int | None]:
+    """The smallest place in ``ordered`` of a keyword inside one of some texts."""
+    import ahocorasick
+
+    words = ahocorasick.Automaton()
+    for i, (_, _, raw, _) in enumerate(ordered):
+        if raw:
+            words.add_word(raw, i)
+    words.make_automaton()
+    empty = next((i for i, entry in enumerate(ordered) if entry[2] == ""), None)
+
+    def first(texts: list[str]) -> int | None:
+        hits = [i for text in set(texts) for _, i in words.iter(text)] if len(words) else []
+        if empty is not None:
+            hits.append(empty)
+        return min(hits, default=None)
+
+    return first
 
 
 # --- pairs of similar texts ---------------------------------------------------

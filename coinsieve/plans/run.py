@@ -58,7 +58,8 @@ def run(
         scanned, rejected, files = scan_incremental(spark, inputs, store, name_from_folder)
     if cells is not None:
         scanned, files = combine(scanned, _extracted(cells)), files.unionByName(cells.select("file"))
-    txns = in_file_order(typed(scanned), files)
+    # Every stage looks at the rows: they are parsed once.
+    txns = materialize(in_file_order(typed(scanned), files))
     if normalizer is None:
         txns = normalized(txns)
     else:

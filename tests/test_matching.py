@@ -211,3 +211,27 @@ def test_useless_thresholds_are_refused_alike(spark, txns, threshold):
     for limit in (32, 0):
         with pytest.raises(ValueError, match="threshold"):
             match_keywords(rows, table, threshold, "edit", max_inline=limit)
+
+
+@pytest.mark.parametrize("limit", [200_000, 1])
+def test_containment_in_long_lists_with_and_without_automaton(spark, txns, monkeypatch, limit):
+    from coinsieve.operators import match
+
+    monkeypatch.setattr(match, "AUTOMATON_KEYWORDS", limit)
+    rng = random.Random(8)
+    table = {f"C{c}": ["".join(rng.choice("abc ") for _ in range(rng.randint(1, 4))) for _ in range(30)] for c in range(6)}
+    table["C3"] += ["é", "ab" * 20]
+    rows = [("".join(rng.choice("abcdé ") for _ in range(rng.randint(0, 9))), 1.0, None) for _ in range(300)] + [("", 1.0, None)]
+    got = found(match_keywords_exact(txns(rows), keyword_table(spark, table), max_inline=0), "keyword_match")
+
+    def plain(text):
+        return next(((c, "exact") for c, words in table.items() if any(w in normalized(text) or w in text.lower() for w in words)), None)
+
+    assert got == {i: plain(t) for i, (t, _, _) in enumerate(rows)}
+    empty = found(match_keywords_exact(txns(rows[:3]), keyword_table(spark, {"A": [""], "B": ["a"]}), max_inline=0), "keyword_match")
+    assert set(empty.values()) == {("A", "exact")}
+
+
+def test_no_shuffle_by_a_constant_for_blank_keywords(spark, txns):
+    plan = match_keywords(txns([("a b", 1.0, None)]), keyword_table(spark, {"A": [" "], "B": ["xyz"]}), matcher="edit", max_inline=0)
+    assert plan.first().keyword_match.category == "A"
