@@ -30,7 +30,8 @@ falls with every element. At a threshold of 0.9 all groups count.
 Cases: null and empty texts have an empty set, link with nothing and are their own
 component. Texts with fewer words than n form one element of all words. Equal sets
 are one key. Rows without doc_id link like others but never name a component.
-Repeated rows each come back. Other columns are not read. Keys are 64-bit hashes.
+Repeated rows each come back. Other columns are not read. Keys are 64-bit hashes: sets
+with one key count as equal.
 """
 
 from __future__ import annotations
@@ -313,7 +314,10 @@ def linked_by_differences(around: DataFrame, labels: DataFrame, num: int, den: i
     elements = rows.select("family", "b", F.explode("d").alias("e"))
     counted = elements.join(elements.groupBy("family", "e").agg(F.count(F.lit(1)).alias("n")), ["family", "e"])
     # The rarest first; one row holds the differences of one set.
-    ordered = counted.groupBy("family", "b").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "e"))), lambda x: x["e"]).alias("d"))
+    listed = F.array_sort(F.collect_list(F.struct("n", "e")))
+    ordered = counted.groupBy("family", "b").agg(
+        F.transform(listed, lambda x: x["e"]).alias("d"), F.count_if(F.col("n") > 1).alias("common")
+    )
     rows = stored(rows.drop("d").join(ordered, ["family", "b"]), "ordered")
     own = F.size("d")
     need_y = (own - r * (F.col("size_b") - F.col("size_a"))) / 2
@@ -322,9 +326,29 @@ def linked_by_differences(around: DataFrame, labels: DataFrame, num: int, den: i
     def prefix(need: Column) -> Column:
         return F.slice("d", F.lit(1), own - F.greatest(F.ceil(need - 1e-6), F.lit(1)).cast("int") + 1)
 
-    x = rows.filter("outside").select("family", F.col("b").alias("x"), F.col("label").alias("lx"), F.explode(prefix(need_x)).alias("e"))
-    y = rows.select("family", F.col("b").alias("y"), F.col("label").alias("ly"), F.explode(prefix(need_y)).alias("e"))
-    pairs = x.join(y, ["family", "e"]).filter("lx <> ly").select("family", "x", "y").distinct()
+    # A difference that no other member has is never shared, so |x ^ y| >= |dx| - room_y and the
+    # other way round. Room comes in steps of half a doubling, and x meets the steps that suffice.
+    asks = own - r * F.col("size_b")
+    room = 2 * F.col("common") - own + r * F.col("size_b")
+
+    def step(value: Column) -> Column:
+        return F.floor(2 * F.log2(F.greatest(value, F.lit(1.0)))).cast("int")
+
+    sides = rows.withColumns({"asks": asks, "room": room, "step": step(room + 1e-6)})
+    top = sides.groupBy("family").agg(F.max("step").alias("top"))
+    x = (
+        sides.filter("outside").join(top, "family").filter(step(F.col("asks")) <= F.col("top"))
+        .withColumn("step", F.explode(F.sequence(step(F.col("asks")), F.col("top"))))
+        .select("family", "step", F.col("b").alias("x"), F.col("label").alias("lx"), F.explode(prefix(need_x)).alias("e"),
+                F.col("asks").alias("asks_x"), F.col("room").alias("room_x"))
+    )
+    y = sides.select(
+        "family", "step", F.col("b").alias("y"), F.col("label").alias("ly"), F.explode(prefix(need_y)).alias("e"),
+        F.col("asks").alias("asks_y"), F.col("room").alias("room_y"),
+    )
+    same = [x[c] == y[c] for c in ("family", "step", "e")]
+    fits = (x["asks_x"] <= y["room_y"] + 1e-6) & (y["asks_y"] <= x["room_x"] + 1e-6) & (x["lx"] != y["ly"])
+    pairs = x.join(y, [*same, fits]).select(x["family"], "x", "y").distinct()
     # Compared by their differences, which are far fewer than their elements.
     sides = [
         rows.select("family", F.col("b").alias(k), F.col("d").alias(f"d{k}"), F.col("size_b").alias(f"size_{k}")) for k in "xy"

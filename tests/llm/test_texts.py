@@ -201,6 +201,36 @@ def test_components_equal_brute_force(spark, n, num, den):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute_components(docs, n, num, den))
 
 
+@pytest.mark.parametrize("n, num", [(3, 90), (5, 80)])
+def test_a_large_group_of_edited_copies(spark, monkeypatch, n, num):
+    """Copies of one text, most too far from it and from each other, some linked in pairs and chains."""
+    draw = random.Random(num)
+    base = [f"w{draw.randrange(500)}" for _ in range(140)]
+
+    def edited(words, times):
+        out = list(words)
+        for _ in range(times):
+            place, kind = draw.randrange(len(out)), draw.random()
+            if kind < 0.6:
+                out[place] = f"q{draw.randrange(100_000)}"
+            elif kind < 0.8:
+                del out[place]
+            else:
+                out.insert(place, base[draw.randrange(140)])
+        return out
+
+    texts = [edited(base, draw.choice([0, 1, 3, 6, 10, 14])) for _ in range(130)]
+    far = [edited(base, 12) for _ in range(8)]
+    texts += [edited(f, draw.randint(0, 2)) for f in far for _ in range(4)]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    reached = []
+    once = partenum.linked_by_differences
+    monkeypatch.setattr(partenum, "linked_by_differences", lambda *a: reached.append(1) or once(*a))
+    got = partenum.jaccard_components(table(spark, [t for _, t in docs]), n, num, 100).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute_components(docs, n, num, 100))
+    assert reached and len({r.component_id for r in got}) > 20
+
+
 def test_components_with_shared_and_missing_ids(spark):
     texts = ["a b c d", "A b C d", "a b c d", None, "", "x", "x"]
     ids = [4, 3, 4, 1, 1, None, None]
