@@ -1,17 +1,18 @@
 """Nearest neighbours by inner product: stable projections under a kd-tree.
 
-Vectors get one more coordinate that gives all the same length, so the largest inner
-product is the smallest distance. A few Gaussian (2-stable) projections of them are cut by
-a kd-tree, fitted on a bounded sample; every vector goes to its leaf, and the boxes of the
-leaves are taken from all vectors. A query visits leaves in the order of their projected
-distance and verifies their vectors on the original coordinates. The squared projected
-distance over the squared true one is chi-square distributed, so it stops at the
-first leaf whose projected distance makes a vector nearer than its k-th best unlikely
-(below 1 - ``CERTAINTY``). Visits are made in rounds that grow fourfold; between rounds
-the best are kept.
+A few Gaussian (2-stable) projections of the vectors are cut by a kd-tree, fitted on a bounded
+sample; every vector goes to its leaf, and the boxes of the leaves and their longest
+vectors are taken from all vectors. A vector x of a leaf with a product of w or more with the
+query q lies within |q|^2 + |x|^2 - 2 w of it, and the squared projected distance over the squared true
+one is chi-square distributed. So a query visits leaves in the order of their projected
+distance, less what their longest vector allows, verifies their vectors on the original coordinates,
+and stops at the first leaf whose projected distance is above the quantile of ``CERTAINTY`` for
+a vector as good as its k-th best. A leaf's box is nearer than its vectors are, so far more than
+that share is found. Visits are made in rounds that grow fourfold; between rounds the best are kept.
 
-Equal vectors are searched as one, with their k + 1 smallest numbers; so are queries
-with equal vectors. Leaves are cut into blocks and queries into parts of bounded size.
+Eight neighbouring leaves are a page: a query goes to a page once a round, with the leaves it
+wants there. Equal vectors are searched as one, with their k + 1 smallest numbers; so are queries
+with equal vectors. Pages are cut into blocks of bounded size, past which queries stream.
 
 Cases: vectors that are null, empty, zero, or hold null or non-finite components take no
 part, nor do those whose length is not the commonest one (the smaller of equals). Of rows
@@ -37,14 +38,18 @@ from coinsieve.llm.storage import stored
 PROJECTIONS = 10
 SEED = 20240229
 SAMPLE = 20_000  # vectors the tree is fitted on, at most
-LEAF = 512  # vectors to a leaf on average, while MOST_LEAVES allows
+LEAF = 64  # vectors to a leaf on average, while MOST_LEAVES allows
 MOST_LEAVES = 1 << 13
-BLOCK = 4096  # vectors to a block of a leaf, about
-QUERY_PART = 20_000  # queries to a part, about
-FIRST_LEAVES = 4
-CERTAINTY = 0.97
+PAGE = 3  # bits of a leaf's number within its page
+BLOCK = 4096  # vectors to a block of a page, about
+PAIRS = 1 << 15  # pairs scored exactly at once
+FIRST_LEAVES = 8
+CERTAINTY = 0.3
 
 HITS = "qid bigint, vec_id bigint, score double"
+# Vectors of a page (kind 0, ``place`` is their leaf) and queries that visit it (kind 1, bits of leaves).
+VISIT = "page int, block int, kind int, qid bigint, ids array<bigint>, v array<double>, place int, worst double"
+VISIT_NAMES = [part.split(" ")[0] for part in VISIT.split(", ")]
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -111,14 +116,11 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def projected(v: np.ndarray, longest: float, directions: np.ndarray, query: bool) -> np.ndarray:
-    """Projections with the added coordinate; a query's is 0."""
-    more = np.zeros(len(v)) if query else np.sqrt(np.maximum(longest - np.einsum("ij,ij->i", v, v), 0))
-    return v @ directions[:-1] + more[:, None] * directions[-1]
+def search(vectors: DataFrame, is_query, k: int = 20, statistics: dict | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score; ``is_query`` is a condition on vec_id.
 
-
-def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
-    """query_id, rank, vec_id, score; ``is_query`` is a condition on vec_id."""
+    ``statistics`` takes the number of leaves, of different queries, and of leaves ``read`` by all of them.
+    """
     spark = vectors.sparkSession
     context = spark.sparkContext
     rows = usable(vectors)
@@ -130,14 +132,13 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     classes = stored(first.join(asked, "v").withColumn("cid", F.col("ids")[0]), "classes")
     summary = classes.agg(
         F.count(F.lit(1)).alias("n"), F.sum("asked").alias("asked"),
-        F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("longest"), F.max(F.size("v")).alias("size"),
+        F.max(F.size("v")).alias("size"),
     ).first()
     if not summary.asked:
         return empty
-    longest, size = summary.longest, summary.size
-    directions = np.random.default_rng(SEED).standard_normal((size + 1, PROJECTIONS))
+    directions = np.random.default_rng(SEED).standard_normal((summary.size, PROJECTIONS))
     sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE).select("v").toArrow().column("v").combine_chunks()
-    points = projected(matrix(sample), longest, directions, False)
+    points = matrix(sample) @ directions
     leaves = min(MOST_LEAVES, max(1, summary.n // LEAF), max(1, len(points) // 2))
     tree = Tree(points, max(0, math.ceil(math.log2(leaves))))
 
@@ -145,88 +146,137 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            p = projected(matrix(batch.column(2)), longest, directions, False)
+            v = matrix(batch.column(2))
+            p = v @ directions
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in range(3)], pa.array(tree.leaf(p)), pa.array(list(p), pa.list_(pa.float64()))],
-                names=["cid", "ids", "v", "leaf", "p"],
+                [*batch.columns, pa.array(tree.leaf(p)), pa.array(list(p), pa.list_(pa.float64())), pa.array(np.einsum("ij,ij->i", v, v))],
+                names=["cid", "ids", "v", "leaf", "p", "length"],
             )
 
     placed = stored(
         classes.select("cid", "ids", "v").mapInArrow(
-            place_in_leaf, "cid bigint, ids array<bigint>, v array<double>, leaf bigint, p array<double>"
+            place_in_leaf, "cid bigint, ids array<bigint>, v array<double>, leaf bigint, p array<double>, length double"
         ),
         "leaves",
     )
     box = [f(F.col("p")[i]).alias(f"{n}{i}") for n, f in (("low", F.min), ("high", F.max)) for i in range(PROJECTIONS)]
-    boxes = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), *box).orderBy("leaf").collect()  # at most MOST_LEAVES rows
+    boxes = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("length"), *box).orderBy("leaf").collect()  # at most MOST_LEAVES rows
     names = np.array([b.leaf for b in boxes])
     low = np.array([[b[f"low{i}"] for i in range(PROJECTIONS)] for b in boxes])
     high = np.array([[b[f"high{i}"] for i in range(PROJECTIONS)] for b in boxes])
-    blocks_of = {b.leaf: max(1, math.ceil(b.n / BLOCK)) for b in boxes}
-    parts = max(1, math.ceil(summary.asked / QUERY_PART))
-    layout = context.broadcast((names, low, high, np.array([blocks_of[n] for n in names])))
-    most_blocks = F.element_at(F.create_map(*[F.lit(x) for n, b in blocks_of.items() if b > 1 for x in (n, b)]), F.col("leaf")) if max(blocks_of.values()) > 1 else F.lit(1)
-    stock = stored(
-        placed.withColumn("block", F.pmod(F.xxhash64("cid"), F.coalesce(most_blocks, F.lit(1))).cast("int"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        .select("leaf", "block", "part", "ids", "v"),
-        "stock",
+    pages = (names >> PAGE) if len(names) else names
+    sizes = np.bincount(pages, weights=[b.n for b in boxes], minlength=1)
+    blocks_of = np.maximum(1, np.ceil(sizes / BLOCK)).astype(np.int64)
+    layout = context.broadcast((names, low, high, np.array([b.length for b in boxes]), blocks_of))
+    if statistics is not None:
+        statistics |= {"leaves": len(names), "queries": summary.asked}
+    large = {int(page): int(n) for page, n in enumerate(blocks_of) if n > 1}
+    in_blocks = F.element_at(F.create_map(*[F.lit(x) for pair in large.items() for x in pair]), F.col("page")) if large else F.lit(1)
+    page = F.shiftright("leaf", PAGE).cast("int")
+    stock = (
+        placed.withColumn("page", page)
+        .withColumn("block", F.pmod(F.xxhash64("cid"), F.coalesce(in_blocks, F.lit(1))).cast("int"))
+        .select("page", "block", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("qid"), "ids", "v",
+                F.col("leaf").bitwiseAND(F.lit((1 << PAGE) - 1)).cast("int").alias("place"), F.lit(None).cast("double").alias("worst"))
     )
     queries = stored(classes.filter("asked = 1").select(F.col("cid").alias("qid"), F.col("v").alias("q")), "queries")
     quantile = chi_square_quantile(CERTAINTY, PROJECTIONS)
 
     def visits(begin: int, end: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            leaf, lows, highs, blocks = layout.value
+            leaf, lows, highs, lengths, blocks = layout.value
             for whole in batches:
                 for at in range(0, whole.num_rows, 256):
                     batch = whole.slice(at, 256)
                     q = matrix(batch.column(1))
-                    p = projected(q, longest, directions, True)
-                    off = np.maximum(np.maximum(lows[None] - p[:, None], p[:, None] - highs[None]), 0)
-                    off = np.einsum("ijk,ijk->ij", off, off)
+                    p = q @ directions
+                    off = np.zeros((len(p), len(lows)))
+                    for i in range(PROJECTIONS):
+                        off += np.maximum(np.maximum(lows[None, :, i] - p[:, i, None], p[:, i, None] - highs[None, :, i]), 0) ** 2
+                    off -= quantile * lengths
                     order = np.argsort(off, axis=1, kind="stable")[:, begin:end]
                     worst = batch.column(2).to_numpy(zero_copy_only=False).astype(float)  # nan: fewer than k + 1 found
-                    kth = np.maximum(longest + np.einsum("ij,ij->i", q, q) - 2 * worst, 0)
-                    go = ~(np.take_along_axis(off, order, axis=1) > quantile * kth[:, None])
+                    allowed = quantile * (np.einsum("ij,ij->i", q, q) - 2 * worst)
+                    go = ~(np.take_along_axis(off, order, axis=1) > allowed[:, None])
                     row, column = np.nonzero(go)
-                    chosen = order[row, column]
-                    count = blocks[chosen]
-                    row, chosen = np.repeat(row, count), np.repeat(chosen, count)
+                    chosen = leaf[order[row, column]]
+                    wanted = np.zeros((len(p), len(blocks)), np.int32)
+                    np.add.at(wanted, (row, chosen >> PAGE), 1 << (chosen & ((1 << PAGE) - 1)))
+                    row, page = np.nonzero(wanted)
+                    mask, count = wanted[row, page], blocks[page]
+                    row, page, mask = (np.repeat(x, count) for x in (row, page, mask))
                     block = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-                    ids = batch.column(0).take(pa.array(row))
+                    at_rows = pa.array(row)
+                    n = len(row)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(leaf[chosen]), pa.array(block.astype(np.int32)),
-                            pa.array((flat.mix(ids.to_numpy().view(np.uint64)) % np.uint64(parts)).astype(np.int32)), ids, batch.column(1).take(pa.array(row)),
-                            batch.column(2).take(pa.array(row)),
+                            pa.array(page.astype(np.int32)), pa.array(block.astype(np.int32)), pa.array(np.ones(n, np.int32)),
+                            batch.column(0).take(at_rows), pa.nulls(n, pa.list_(pa.int64())), batch.column(1).take(at_rows),
+                            pa.array(mask.astype(np.int32)), batch.column(2).take(at_rows),
                         ],
-                        names=["leaf", "block", "part", "qid", "q", "worst"],
+                        names=VISIT_NAMES,
                     )
 
         return run
 
-    def verify(asking: pa.Table, there: pa.Table) -> pa.Table:
-        found: list[list] = [[], [], []]
-        if asking.num_rows and there.num_rows:
-            x, ids = matrix(there.column("v").combine_chunks()), there.column("ids").to_pylist()
-            for at in range(0, asking.num_rows, 1024):
-                part = asking.slice(at, 1024)
-                q, qid = matrix(part.column("q").combine_chunks()), part.column("qid").to_pylist()
-                rough = q @ x.T
-                near = min(k + 12, len(x))
-                best = np.argpartition(-rough, near - 1, axis=1)[:, :near]
-                floor = [-math.inf if w is None else w for w in part.column("worst").to_pylist()]
-                for i, own in enumerate(qid):
-                    # Sums in order of components, so equal inputs give equal scores anywhere.
-                    exact = np.cumsum(x[best[i]] * q[i], axis=1)[:, -1].tolist()
-                    # Only what can still come into the k + 1 best goes on.
-                    good = [(s, c) for s, c in zip(exact, best[i].tolist(), strict=True) if s >= floor[i]]
-                    made = sorted((-s, v) for s, c in good for v in ids[c])[: k + 1]
-                    found[0] += [own] * len(made)
-                    found[1] += [v for _, v in made]
-                    found[2] += [-s for s, _ in made]
-        return pa.table({n: pa.array(c, t) for n, c, t in zip(("qid", "vec_id", "score"), found, (pa.int64(), pa.int64(), pa.float64()), strict=True)})
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of vectors, each followed by the queries that visit it."""
+        key, there, x, spot, ids = None, [], None, None, None
+        for batch in batches:
+            page, block, kind = (batch.column(i).to_numpy() for i in range(3))
+            code = (page.astype(np.int64) << 32) + block * 2 + kind
+            cuts = [0, *(np.flatnonzero(np.diff(code)) + 1).tolist(), batch.num_rows]
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                if start == end:
+                    continue
+                part = batch.slice(start, end - start)
+                if kind[start] == 0:
+                    if key != (page[start], block[start]):
+                        key, there, x = (page[start], block[start]), [], None
+                    there.append(part)
+                    continue
+                if key != (page[start], block[start]) or not there:
+                    continue  # a block without vectors
+                if x is None:
+                    rows = pa.Table.from_batches(there).combine_chunks()
+                    x, spot = matrix(rows.column("v").combine_chunks()), rows.column("place").to_numpy()
+                    ids = rows.column("ids").combine_chunks()
+                for at in range(0, part.num_rows, 512):
+                    yield nearest(part.slice(at, 512), x, spot, ids)
+
+    def nearest(asking: pa.RecordBatch, x: np.ndarray, spot: np.ndarray, ids: pa.ListArray) -> pa.RecordBatch:
+        """The k + 1 best vectors of a block for each query, ties to smaller numbers."""
+        q = matrix(asking.column(5))
+        mask = asking.column(6).to_numpy()
+        worst = asking.column(7).to_numpy(zero_copy_only=False).astype(float)
+        rough = np.where((mask[:, None] >> spot[None]) & 1 == 1, q @ x.T, -np.inf)
+        # What is within rounding of the cut may be among the best or tie with them.
+        length = np.sqrt(np.einsum("ij,ij->i", q, q)) * np.sqrt(np.einsum("ij,ij->i", x, x).max())
+        slack = 8 * x.shape[1] * np.finfo(float).eps * length
+        near = min(k + 1, len(x))
+        cut = np.partition(rough, len(x) - near, axis=1)[:, len(x) - near]
+        cut = np.maximum(cut, np.where(np.isnan(worst), -np.inf, worst)) - slack
+        row, column = np.nonzero((rough >= cut[:, None]) & (rough > -np.inf))
+        # Sums in order of components, so equal inputs give equal scores anywhere.
+        exact = np.empty(len(row))
+        for at in range(0, len(row), PAIRS):
+            r, c = row[at : at + PAIRS], column[at : at + PAIRS]
+            total = np.zeros(len(r))
+            for i in range(x.shape[1]):
+                total += x[c, i] * q[r, i]
+            exact[at : at + PAIRS] = total
+        good = ~(exact < worst[row])
+        row, column, exact = row[good], column[good], exact[good]
+        starts, count = ids.offsets.to_numpy()[column], np.diff(ids.offsets.to_numpy())[column]
+        flat_ids = ids.values.to_numpy()
+        row, exact, starts = (np.repeat(y, count) for y in (row, exact, starts))
+        vec = flat_ids[starts + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)]
+        order = np.lexsort((vec, -exact, row))
+        row, exact, vec = row[order], exact[order], vec[order]
+        first = np.searchsorted(row, np.arange(len(q)))
+        keep = np.arange(len(row)) - first[row] <= k
+        qid = asking.column(3).take(pa.array(row[keep]))
+        return pa.RecordBatch.from_arrays([qid, pa.array(vec[keep]), pa.array(exact[keep])], names=["qid", "vec_id", "score"])
 
     best = spark.createDataFrame([], HITS)
     order = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
@@ -234,13 +284,13 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     while begin < len(names):
         kth = best.groupBy("qid").agg(F.min("score").alias("worst"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > k)
         asking = queries.join(kth.select("qid", "worst"), "qid", "left").select("qid", "q", "worst")
-        visit = stored(
-            asking.mapInArrow(visits(begin, begin + step), "leaf bigint, block int, part int, qid bigint, q array<double>, worst double"), "visits"
-        )
+        visit = stored(asking.mapInArrow(visits(begin, begin + step), VISIT), "visits")
         if visit.isEmpty():
             break
-        keys = ["leaf", "block", "part"]
-        hits = visit.groupBy(*keys).cogroup(stock.groupBy(*keys)).applyInArrow(verify, HITS)
+        if statistics is not None:
+            statistics["read"] = statistics.get("read", 0) + visit.agg(F.sum(F.bit_count("place"))).first()[0]
+        both = stock.unionByName(visit).repartition("page", "block").sortWithinPartitions("page", "block", "kind")
+        hits = both.mapInArrow(verify, HITS)
         best = stored(
             best.unionByName(hits).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1).drop("place"), "best"
         )

@@ -58,6 +58,8 @@ BROADCAST_LABELS = 2_000_000
 
 WORD = re.compile(r"[^\W\d_]+")
 HINT = re.compile(r"[^\W\d_][0-9@$!|+(*#%€]|[0-9@$|+(*#%€][^\W\d_]")
+# Signs and digits without any letter: a sign inside, or two in a row.
+SIGNS_ALONE = re.compile(r"^[0-9@$!|+(*#%€]*(?:[0-9@$!|+(*#%€][@$!|+(*#%€][0-9@$!|+(*#%€]|[@$!|+(*#%€]{2})[0-9@$!|+(*#%€]*$")
 SIGN = re.compile(r"[0-9@$!|+(*#%€]")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 APART_HINT = re.compile(r"\s[\w@$!|+][ .\-_/*~,][\w@$!|+][ .\-_/*~,][\w@$!|+]")
@@ -154,7 +156,7 @@ class Restorer:
                     if apart and text and b:
                         ended = score + cost + NEW_WORD + self.model[a][b][0] + self.model[b][0][number]
                         offer((0, number), ended, f"{text} {letter}")
-            states = dict(sorted(following.items(), key=lambda x: -x[1][0])[:64])
+            states = following
         best = max(((s + self.model[a][b][0], t) for (a, b), (s, t) in states.items()), default=(0.0, ""))[1]
         if len(self.known) > 100_000:
             self.known = {}
@@ -170,7 +172,7 @@ class Restorer:
             for token in set(text.split()):
                 if SIGN.search(token):
                     core = ENDS.sub("", PILE.sub("", ENDS.sub("", token)))
-                    if not core.isalpha() and HINT.search(core):
+                    if not core.isalpha() and (HINT.search(core) or SIGNS_ALONE.search(core)):
                         restored.add(self.restore(core))
         if REPEATED.search(text):
             restored.update([self.restore(w) for w in found if REPEATED.search(w)])

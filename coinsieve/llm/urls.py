@@ -8,6 +8,10 @@ and so do rules that a shorter one covers. The others get the verdict of the str
 mined rule whose tokens they all have, found through an inverted index: each rule is
 listed under its rarest token only. Where no mined rule fits, the verdict is ``default``.
 
+Tokens that the labelled URLs have only together (the words of a path that many share)
+are one token while mining: their combinations, of which there are twice as many with
+each, say the same. A URL has that token if it has any of them. Rules are neither cut by number nor by length.
+
 Everything is DataFrame and SQL functions and Spark's own FP-growth.
 
 Cases: a URL that is null or has no ``://`` has an empty host and path; no listed rule fits
@@ -22,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coinsieve.llm.storage import stored
+from coinsieve.operators.skew import attach
 
 RULES = (
     ("org", "/", "allow"),
@@ -32,9 +37,6 @@ RULES = (
 )
 LEAST_SUPPORT = 0.01
 LEAST_CONFIDENCE = 0.8
-MOST_TOKENS = 3  # of a mined rule
-# Model size: the strongest mined rules by confidence, then support.
-MOST_RULES = 1000
 LABEL = "verdict="
 
 
@@ -77,34 +79,50 @@ def tokens(host: Column, path: Column, url: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(both, lambda x: ~x.isin("host:", "path:", "path:0"))))
 
 
+def token_classes(labelled: DataFrame) -> DataFrame:
+    """(token, name): tokens that are in the same labelled URLs, with the smallest of them; only
+    where that is another one."""
+    row = F.monotonically_increasing_id()
+    rows = stored(labelled.select("tokens", row.alias("row")), "labelled")
+    seen = rows.select(F.explode("tokens").alias("token"), *[F.xxhash64(F.lit(salt), "row").cast("decimal(38,0)").alias(f"h{salt}") for salt in (1, 2)])
+    # Two sums of 64-bit hashes tell sets of URLs apart.
+    sets = seen.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
+    names = sets.groupBy("n", "h1", "h2").agg(F.min("token").alias("name"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    return stored(sets.join(names, ["n", "h1", "h2"]).filter("token <> name").select("token", "name"), "classes")
+
+
+def renamed(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(tokens, named) for the distinct ``tokens`` of ``rows``: each token by its class."""
+    known = rows.select("tokens").distinct().withColumn("token", F.explode("tokens"))
+    named = attach(known, classes, "token", "tokens").withColumn("token", F.coalesce("name", "token"))
+    return named.groupBy("tokens").agg(F.array_sort(F.collect_set("token")).alias("named"))
+
+
 def mined_rules(labelled: DataFrame) -> DataFrame:
     """(key_token, needs, mined, confidence, support): from (tokens, verdict) rows."""
-    baskets = labelled.filter(F.size("tokens") > 0).select(
-        F.array_append("tokens", F.concat(F.lit(LABEL), F.col("verdict"))).alias("items")
-    )
+    labelled = labelled.filter(F.size("tokens") > 0)
+    baskets = labelled.select(F.array_append("tokens", F.concat(F.lit(LABEL), F.col("verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=LEAST_SUPPORT, minConfidence=LEAST_CONFIDENCE).fit(baskets)
     found = model.associationRules.filter(
-        F.col("consequent")[0].startswith(LABEL) & (F.size("antecedent") <= MOST_TOKENS)
-        & ~F.exists("antecedent", lambda x: x.startswith(LABEL))
+        F.col("consequent")[0].startswith(LABEL) & ~F.exists("antecedent", lambda x: x.startswith(LABEL))
     ).select(
         F.array_sort("antecedent").alias("needs"),
         F.substr(F.col("consequent")[0], F.lit(len(LABEL) + 1)).alias("mined"), "confidence", "support",
     )
-    found = stored(found.orderBy(F.desc("confidence"), F.desc("support"), "needs").limit(MOST_RULES), "mined")
+    common = labelled.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    pieces = found.withColumn("token", F.explode("needs")).join(common, "token")
+    keyed = pieces.groupBy("needs", "mined", "confidence", "support").agg(F.min_by("token", F.struct("n", "token")).alias("key_token"))
+    found = stored(keyed, "mined")
     # A rule goes if one of its parts is a rule with the same verdict and no less confidence.
-    shorter = found.select(F.col("needs").alias("part"), F.col("mined").alias("m"), F.col("confidence").alias("c"))
-    pieces = found.withColumn("one", F.explode("needs"))
+    shorter = found.select(F.col("key_token").alias("one"), F.col("needs").alias("part"), F.col("mined").alias("m"), F.col("confidence").alias("c"))
     covered = (
-        pieces.join(shorter.withColumn("one", F.explode("part")), "one")
+        found.withColumn("one", F.explode("needs")).join(shorter, "one")
         .filter("m = mined AND c >= confidence AND size(part) < size(needs)")
         .filter(F.size(F.array_except("part", "needs")) == 0)
         .select("needs", "mined")
         .distinct()
     )
-    kept = found.join(covered, ["needs", "mined"], "left_anti")
-    common = labelled.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    listed = kept.withColumn("token", F.explode("needs")).join(common, "token")
-    return listed.groupBy("needs", "mined", "confidence", "support").agg(F.min_by("token", F.struct("n", "token")).alias("key_token"))
+    return found.join(covered, ["needs", "mined"], "left_anti")
 
 
 def judge_urls(pages: DataFrame, rules: tuple = RULES, default: str = "allow") -> DataFrame:
@@ -118,12 +136,15 @@ def judge_urls(pages: DataFrame, rules: tuple = RULES, default: str = "allow") -
     open_tokens = rows.filter("listed IS NULL AND size(tokens) > 0").select("tokens").distinct()
     ends = labelled.agg(F.min("verdict").alias("a"), F.max("verdict").alias("b")).first()
     if ends.a != ends.b:
-        index = stored(mined_rules(labelled), "index")
-        # MOST_RULES bounds the index, so it goes to every task.
+        labelled = stored(labelled.filter(F.size("tokens") > 0), "decided")
+        classes = token_classes(labelled)
+        by_class = labelled.join(renamed(labelled, classes), "tokens").select(F.col("named").alias("tokens"), "verdict")
+        index = stored(mined_rules(by_class), "index")
+        asked = renamed(open_tokens, classes).withColumn("key_token", F.explode("named"))
+        # The index is broadcast where its measured size allows.
         hits = (
-            open_tokens.withColumn("key_token", F.explode("tokens"))
-            .join(F.broadcast(index), "key_token")
-            .filter(F.size(F.array_except("needs", "tokens")) == 0)
+            attach(asked, index, "key_token", "tokens", "inner")
+            .filter(F.size(F.array_except("needs", "named")) == 0)
             .groupBy("tokens")
             .agg(F.max_by("mined", F.struct("confidence", F.size("needs"), "support", "needs", "mined")).alias("mined"))
         )

@@ -192,6 +192,51 @@ def test_chi_square_quantiles():
         assert neighbours.chi_square_quantile(p, freedom) == pytest.approx(value, abs=1e-3)
 
 
+
+def stored_vectors(spark, tmp_path, vectors):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    flat = pa.array(np.ascontiguousarray(vectors, np.float64).ravel())
+    lists = pa.FixedSizeListArray.from_arrays(flat, vectors.shape[1]).cast(pa.list_(pa.float64()))
+    pq.write_table(pa.table({"vec_id": np.arange(len(vectors)), "embedding": lists}), tmp_path / "v.parquet")
+    return spark.read.parquet(str(tmp_path / "v.parquet"))
+
+
+def test_ties_go_to_smaller_numbers(spark, tmp_path):
+    """399 different vectors with a product of exactly 0.5, the other half free."""
+    draw = np.random.default_rng(3)
+    vectors = draw.standard_normal((8000, 16))
+    vectors /= 4 * np.linalg.norm(vectors, axis=1)[:, None]
+    vectors[0] = np.eye(16)[0]
+    equal = np.arange(27, 8000, 20)[:399]
+    vectors[equal, 0] = 0.5
+    got = neighbours.search(stored_vectors(spark, tmp_path, vectors), F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == equal[:20].tolist()
+    assert {r.score for r in got} == {0.5}
+
+
+def test_leaves_are_left_out_and_neighbours_are_not(spark, tmp_path):
+    """100,000 vectors in 1,000 clusters: at most a third of the leaves read, recall 0.9 or more."""
+    draw = np.random.default_rng(0)
+    centres = draw.standard_normal((1000, 64))
+    vectors = centres[draw.integers(0, 1000, 100_000)] + 0.3 * draw.standard_normal((100_000, 64))
+    seen = {}
+    hits = neighbours.search(stored_vectors(spark, tmp_path, vectors), F.col("vec_id") % 1000 == 0, statistics=seen).collect()
+    found = {}
+    for r in hits:
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    right = 0
+    for q in range(0, 100_000, 1000):
+        score = vectors @ vectors[q]
+        score[q] = -np.inf
+        right += len(found[q] & set(np.argsort(-score, kind="stable")[:20].tolist()))
+    share = seen["read"] / (seen["leaves"] * seen["queries"])
+    assert seen["leaves"] > 1000 and share <= 1 / 3, share
+    assert right / 2000 >= 0.9, right / 2000
+    print(f"leaves read {share:.3f}, recall {right / 2000:.4f}")
+
+
 # --- archives -------------------------------------------------------------------------------
 
 
@@ -290,6 +335,20 @@ def test_mined_rules_equal_counting(spark):
     assert not any(set(a) < set(b) and m == n and found[a, m].confidence >= found[b, n].confidence for a, m in found for b, n in found)
 
 
+def test_many_shared_tokens_do_not_multiply(spark):
+    """One host whose URLs share 20 path words: mined within a minute, and other rules stay."""
+    import time
+
+    shared = "/".join(f"word{chr(97 + i)}" for i in range(20))
+    listed = [f"http://a.com/de/{shared}/{i}" for i in range(300)] + [f"http://b.com/fr/news/{chr(97 + i % 26)}" for i in range(300)]
+    asked = [f"http://x.net/{shared}/9", "http://x.net/wordq", "http://y.net/news/k", "http://z.net/other"]
+    rows = spark.createDataFrame(list(enumerate([*listed, *asked])), "page_id bigint, url string")
+    start = time.monotonic()
+    got = {r.page_id: r.verdict for r in urls.judge_urls(rows, default="none").collect()}
+    assert time.monotonic() - start < 60
+    assert [got[len(listed) + i] for i in range(4)] == ["block", "block", "allow", "none"]
+
+
 def test_urls_without_labels(spark):
     pages = spark.createDataFrame([(1, "http://a.net/x"), (1, "http://a.net/x"), (2, None)], "page_id bigint, url string")
     assert [r.verdict for r in urls.judge_urls(pages, default="block").collect()] == ["block"] * 3

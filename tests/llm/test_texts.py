@@ -1,6 +1,7 @@
 """Tokens, fingerprints, repeats, near copies and toxicity against brute force."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -294,6 +295,57 @@ def test_fingerprints_and_next_documents(spark):
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
 
 
+MASK = (1 << 64) - 1
+
+
+def plain_numbers(text):
+    """Header and bucket codes of a text, counted byte by byte."""
+    data, counts = text.encode(), [0] * 256
+    for i in range(len(data)):
+        for salt, places in enumerate([(0, 1, 2), (0, 1, 3), (0, 2, 3)]):
+            if i + places[2] < len(data):
+                a, b, c = (data[i + k] for k in places)
+                h = (a * 0x9E3779B1 + b * 0x85EBCA6B + c * 0xC2B2AE35 + salt * 0x27D4EB2F + 1) % 2**32
+                h = (h ^ h >> 15) * 0x2C1B3C6D % 2**32
+                counts[h >> 24] += 1
+    q1, q2, q3 = (sorted(counts)[256 * k // 4 - 1] for k in (1, 2, 3))
+    total = sum((byte + 1) * (2 * i + 1) for i, byte in enumerate(data)) & MASK
+    total ^= total >> 31
+    total = total * 0x7FB5D329728EA185 & MASK
+    total ^= total >> 27
+    total = total * 0x81DADEF4BC2DD44D & MASK
+    total ^= total >> 33
+    length = min(int(math.log(len(data) + 1) / math.log(1.1) + 1e-12), 255)
+    codes = [(c > q1) + (c > q2) + (c > q3) for c in counts]
+    return [length, 15 * q1 // max(q3, 1), 15 * q2 // max(q3, 1), total >> 56, *codes]
+
+
+def plain_digest(n):
+    packed = [n[i] << 6 | n[i + 1] << 4 | n[i + 2] << 2 | n[i + 3] for i in range(4, 260, 4)]
+    return bytes([n[0], n[1] * 16 + n[2], n[3], *packed]).hex()
+
+
+def plain_likeness(a, b):
+    far = sum({0: 0, 1: 1, 2: 2, 3: 6}[abs(x - y)] for x, y in zip(a[4:], b[4:], strict=True))
+    far += 2 * abs(a[0] - b[0]) + 4 * (abs(a[1] - b[1]) + abs(a[2] - b[2])) + (a[3] != b[3])
+    return 1 - min(far, 512) / 512
+
+
+def test_fingerprints_equal_counting_by_hand(spark):
+    draw = random.Random(21)
+    texts = ["", "a", "abc", "abcd", None, "é" * 40, "the same text", "the same text"]
+    texts += ["".join(draw.choice("abcdefgh  \n") for _ in range(draw.randint(1, 900))) for _ in range(30)]
+    got = {r.doc_id: r for r in quartile.fingerprint_documents(table(spark, texts)).collect()}
+    whole = [t or "" for t in texts]
+    for i, text in enumerate(whole):
+        after = whole[(i + 1) % len(whole)]
+        edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        own, changed, following = (plain_numbers(t) for t in (text, edited, after))
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (plain_digest(own), plain_digest(changed))
+        assert got[i].near_edited == pytest.approx(plain_likeness(own, changed), abs=1e-12)
+        assert got[i].near_next == pytest.approx(plain_likeness(own, following), abs=1e-12)
+
+
 def test_fingerprints_of_few_rows(spark):
     assert quartile.fingerprint_documents(table(spark, [])).count() == 0
     (one,) = quartile.fingerprint_documents(table(spark, ["abcdef"])).collect()
@@ -351,6 +403,37 @@ def test_spellings_are_restored(spark):
     assert "idiot" in restorer.words("you 1d1ot!") and "river" in restorer.words("the river.")
 
 
+def test_decoding_equals_enumeration(spark):
+    """Every spelling of short tokens, scored one by one: none is likelier than the decoded one."""
+    import itertools
+
+    docs, _ = toxic_corpus(spark)
+    model = toxicity.character_model(docs)
+    restorer = toxicity.Restorer(model)
+    draw = random.Random(8)
+
+    def likelihood(letters, cost):
+        numbers = [0, 0, *[toxicity.letter_number(c) for c in letters], 0]
+        return cost + sum(float(model[a][b][c]) for a, b, c in zip(numbers, numbers[1:], numbers[2:], strict=False))
+
+    tokens = ["@$$", "5#17", "1d10t", "*#%*", "m00r0n", "(*+$|", "####1"]
+    tokens += ["".join(draw.choice("aiot@$!1*#0+") for _ in range(draw.randint(1, 5))) for _ in range(120)]
+    for token in tokens:
+        best = {}
+        for made in itertools.product(*[restorer.options(token, i, False) for i in range(len(token))]):
+            letters, cost = "".join(c for c, _ in made), sum(c for _, c in made)
+            best[letters] = max(best.get(letters, -1e9), likelihood(letters, cost))
+        assert best[restorer.restore(token)] == pytest.approx(max(best.values()), abs=1e-4), token
+
+
+def test_signs_without_letters_are_decoded(spark):
+    docs, _ = toxic_corpus(spark)
+    restorer = toxicity.Restorer(toxicity.character_model(docs))
+    for token, tried in (("@$$", True), ("5#17", True), ("$100", False), ("100%", False), ("2024", False), ("1+1", True)):
+        assert bool(toxicity.SIGNS_ALONE.match(token)) == tried
+    assert restorer.words("so !d!0+ they say") >= {"so", "they", "say"} and len(restorer.words("so @$# say")) == 3
+
+
 def test_scores_without_labels(spark):
     docs, labels = toxic_corpus(spark)
     for few in (labels.limit(0), labels.filter("toxic = 0"), labels.withColumn("toxic", F.lit(None).cast("int"))):
