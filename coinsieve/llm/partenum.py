@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from coinsieve.llm import flat
 from coinsieve.llm.membership import build_filter, maybe
-from coinsieve.llm.storage import checkpointed, stored
+from coinsieve.llm.storage import stored
 
 ENUMERATE_BELOW = 16
 FULL_GROUPS = 8
@@ -215,7 +215,7 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps; every step is an aggregate and a join,
     so a vertex with many edges is pre-aggregated and its join side can be split.
     """
-    edges = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
+    edges = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
     if edges.isEmpty():
         return edges.select(F.col("b").alias("key"), F.col("a").alias("label"))
     before = None
@@ -227,11 +227,12 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: a vertex and its smaller neighbours move to the smallest one.
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b")
-        edges = checkpointed(
+        edges = stored(
             small.select(F.col("m").alias("a"), F.col("a").alias("b"))
             .union(least.select(F.col("m").alias("a"), "b"))
             .filter("a <> b")
-            .distinct()
+            .distinct(),
+            "edges",
         )
         state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state == before:
@@ -252,9 +253,9 @@ def linked(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     bitmap = spark.sparkContext.broadcast(build_filter(shared, F.col("sig")))
     rows = signature_rows(docs, n, num, den, bitmap)
     members = stored(rows.join(shared, "sig").select("sig", "key", "low").distinct(), "members")
-    star = checkpointed(members.filter("key <> low").select(F.col("low").alias("a"), F.col("key").alias("b")).distinct())
+    star = stored(members.filter("key <> low").select(F.col("low").alias("a"), F.col("key").alias("b")).distinct(), "star")
     apart = F.size("left") + F.size("right") - 2 * F.col("both")
-    found = checkpointed(compared(docs, n, star, num, den).select("a", "b", "links", apart.alias("apart")))
+    found = stored(compared(docs, n, star, num, den).select("a", "b", "links", apart.alias("apart")), "found")
     edges = found.filter("links")
     labels = components(edges.select("a", "b"))
     # Signatures whose members lie in several components.
@@ -275,7 +276,7 @@ def linked(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     centre = family.select("family").distinct().join(nearest, "family", "left").select(
         "family", F.coalesce("near", "family").alias("a")
     )
-    pairs = checkpointed(family.join(centre, "family").filter("key <> a").select("family", "a", F.col("key").alias("b")))
+    pairs = stored(family.join(centre, "family").filter("key <> a").select("family", "a", F.col("key").alias("b")), "pairs")
     differences = F.concat(F.array_except("left", "right"), F.array_except("right", "left"))
     around = stored(
         compared(docs, n, pairs, num, den).select(
@@ -285,7 +286,7 @@ def linked(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     )
     known = labels.select(F.col("label").alias("a"), F.col("key").alias("b"))
     labels = components(known.union(around.filter("links").select("a", "b")))
-    more = checkpointed(linked_by_differences(around, labels, num, den))
+    more = stored(linked_by_differences(around, labels, num, den), "more")
     if more.isEmpty():
         return labels
     known = labels.select(F.col("label").alias("a"), F.col("key").alias("b"))
@@ -310,7 +311,7 @@ def linked_by_differences(around: DataFrame, labels: DataFrame, num: int, den: i
         .withColumn("outside", F.col("label") != F.coalesce("centre_label", "a"))
     )
     families = rows.groupBy("family").agg(F.max("outside").alias("any"), F.min(F.size("d")).alias("least")).filter("any")
-    rows = checkpointed(rows.join(families, "family"))
+    rows = stored(rows.join(families, "family"), "rows")
     elements = rows.select("family", "b", F.explode("d").alias("e"))
     counted = elements.join(elements.groupBy("family", "e").agg(F.count(F.lit(1)).alias("n")), ["family", "e"])
     # The rarest first; one row holds the differences of one set.
@@ -368,8 +369,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     labels = linked(docs, n, num, den)
     slim = stored(slim_rows(docs, n), "slim")
     grouped = slim.groupBy("key").agg(F.min("doc_id").alias("least")).filter("key IS NOT NULL")
-    labelled = checkpointed(
-        grouped.join(labels, "key", "left").select("key", "least", F.coalesce("label", "key").alias("label"))
+    labelled = stored(
+        grouped.join(labels, "key", "left").select("key", "least", F.coalesce("label", "key").alias("label")),
+        "labelled",
     )
     least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     named = labelled.join(least, "label").select("key", "component_id")
@@ -387,7 +389,7 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Data
     gone = made.filter("component_id < doc_id").select(F.col("doc_id").alias("_pe_id")).distinct()
     kept = docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_pe_id"), "left_anti")
     twice = made.groupBy(F.col("doc_id").alias("_pe_id")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_pe_id")
-    twice = checkpointed(twice)
+    twice = stored(twice, "twice")
     if twice.isEmpty():
         return kept
     same = F.col("doc_id").cast("bigint") == F.col("_pe_id")
