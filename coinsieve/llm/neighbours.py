@@ -10,7 +10,7 @@ and stops at the first leaf whose projected distance is above the quantile of ``
 a vector as good as its k-th best. A leaf's box is nearer than its vectors are, so far more than
 that share is found. Visits are made in rounds that grow fourfold; between rounds the best are kept.
 
-Eight neighbouring leaves are a page: a query goes to a page once a round, with the leaves it
+Sixteen neighbouring leaves are a page: a query goes to a page once a round, with the leaves it
 wants there. Equal vectors are searched as one, with their k + 1 smallest numbers; so are queries
 with equal vectors. Pages are cut into blocks of bounded size, past which queries stream.
 
@@ -38,13 +38,13 @@ from coinsieve.llm.storage import stored
 PROJECTIONS = 10
 SEED = 20240229
 SAMPLE = 20_000  # vectors the tree is fitted on, at most
-LEAF = 64  # vectors to a leaf on average, while MOST_LEAVES allows
+LEAF = 24  # vectors to a leaf on average, while MOST_LEAVES allows
 MOST_LEAVES = 1 << 13
-PAGE = 3  # bits of a leaf's number within its page
+PAGE = 4  # bits of a leaf's number within its page
 BLOCK = 4096  # vectors to a block of a page, about
 PAIRS = 1 << 15  # pairs scored exactly at once
-FIRST_LEAVES = 8
-CERTAINTY = 0.3
+FIRST_LEAVES = 32
+CERTAINTY = 0.9
 
 HITS = "qid bigint, vec_id bigint, score double"
 # Vectors of a page (kind 0, ``place`` is their leaf) and queries that visit it (kind 1, bits of leaves).
