@@ -324,16 +324,21 @@ def linked_by_differences(around: DataFrame, labels: DataFrame, num: int, den: i
     need_y = (own - r * (F.col("size_b") - F.col("size_a"))) / 2
     need_x = (own - r * (F.col("size_b") + F.col("size_a")) + (1 - r) * F.col("least")) / 2
 
+    # A difference that no other member has comes first, and is never shared: what is left of
+    # the prefix behind those is joined.
+    single = own - F.col("common")
+
     def prefix(need: Column) -> Column:
-        return F.slice("d", F.lit(1), own - F.greatest(F.ceil(need - 1e-6), F.lit(1)).cast("int") + 1)
+        left = own - F.greatest(F.ceil(need - 1e-6), F.lit(1)).cast("int") + 1 - single
+        return F.slice("d", (single + 1).cast("int"), F.greatest(left, F.lit(0)).cast("int"))
 
-    # A difference that no other member has is never shared, so |x ^ y| >= |dx| - room_y and the
-    # other way round. Room comes in steps of half a doubling, and x meets the steps that suffice.
+    # Besides, |x ^ y| >= |dx| - room_y and the other way round. Room comes in steps of two
+    # doublings, and x meets the steps that suffice.
     asks = own - r * F.col("size_b")
     room = 2 * F.col("common") - own + r * F.col("size_b")
 
     def step(value: Column) -> Column:
-        return F.floor(2 * F.log2(F.greatest(value, F.lit(1.0)))).cast("int")
+        return F.floor(F.log2(F.greatest(value, F.lit(1.0))) / 2).cast("int")
 
     sides = rows.withColumns({"asks": asks, "room": room, "step": step(room + 1e-6)})
     top = sides.groupBy("family").agg(F.max("step").alias("top"))
