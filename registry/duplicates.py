@@ -191,14 +191,14 @@ WITH {SCORED},
 told AS (
   SELECT category, seq, printf('%s $%.2f', description, amount) AS example,
          row_number() OVER (PARTITION BY category ORDER BY seq) AS r
-  FROM scored WHERE category IN ('Shopping', 'Travel') AND amount <> 0),
+  FROM scored WHERE amount <> 0),
 fixed AS (
   SELECT * FROM (VALUES ('Shopping', 1, 'shoes $1.00'), ('Shopping', 2, 'hat $2.00'), ('Shopping', 3, 'coat $3.00'),
     ('Shopping', 4, 'ring $4.00'), ('Travel', 1, 'bus $1.00'), ('Travel', 2, 'train $2.00'),
-    ('Rent', 1, 'flat $9.00')) v(category, r, example)),
+    ('Rent', 1, 'flat $9.00'), ('Entertainment', 1, 'film $7.00')) v(category, r, example)),
 pool AS (
   SELECT category, 0 AS tier, r, example FROM told t
-  WHERE r <= 5 - (SELECT count(*) FROM fixed f WHERE f.category = t.category)
+  WHERE category IN (SELECT category FROM fixed) AND r <= 5 - (SELECT count(*) FROM fixed f WHERE f.category = t.category)
   UNION ALL SELECT category, 1, r, example FROM fixed)
 SELECT category, CAST(row_number() OVER (PARTITION BY category ORDER BY tier, r) AS INTEGER) AS rank, example FROM pool
 QUALIFY row_number() OVER (PARTITION BY category ORDER BY tier, r) <= 3""")
@@ -206,12 +206,9 @@ def _(spark, sf):
     static = order.static_examples(
         spark,
         {"Shopping": ["shoes $1.00", "hat $2.00", "coat $3.00", "ring $4.00"],
-         "Travel": ["bus $1.00", "train $2.00"], "Rent": ["flat $9.00"]},
+         "Travel": ["bus $1.00", "train $2.00"], "Rent": ["flat $9.00"], "Entertainment": ["film $7.00"]},
     )
-    told = scored_events(spark, sf).filter("category IN ('Shopping', 'Travel')").withColumn(
-        "new_category", F.col("category")
-    )
-    return order.few_shot(static, told)
+    return order.few_shot(static, scored_events(spark, sf).withColumn("new_category", F.col("category")))
 
 
 @query("top_patterns", f"""
