@@ -10,7 +10,7 @@ and stops at the first leaf whose projected distance is above the quantile of ``
 a vector as good as its k-th best. A leaf's box is nearer than its vectors are, so far more than
 that share is found. Visits are made in rounds that grow fourfold; between rounds the best are kept.
 
-Sixteen neighbouring leaves are a page: a query goes to a page once a round, with the leaves it
+Sixty-four neighbouring leaves are a page: a query goes to a page once a round, with the leaves it
 wants there. Equal vectors are searched as one, with their k + 1 smallest numbers; so are queries
 with equal vectors. Pages are cut into blocks of bounded size, past which queries stream.
 
@@ -40,7 +40,7 @@ SEED = 20240229
 SAMPLE = 20_000  # vectors the tree is fitted on, at most
 LEAF = 24  # vectors to a leaf on average, while MOST_LEAVES allows
 MOST_LEAVES = 1 << 13
-PAGE = 4  # bits of a leaf's number within its page
+PAGE = 6  # bits of a leaf's number within its page
 BLOCK = 4096  # vectors to a block of a page, about
 PAIRS = 1 << 15  # pairs scored exactly at once
 FIRST_LEAVES = 32
@@ -48,7 +48,7 @@ CERTAINTY = 0.9
 
 HITS = "qid bigint, vec_id bigint, score double"
 # Vectors of a page (kind 0, ``place`` is their leaf) and queries that visit it (kind 1, bits of leaves).
-VISIT = "page int, block int, kind int, qid bigint, ids array<bigint>, v array<double>, place int, worst double"
+VISIT = "page int, block int, kind int, qid bigint, ids array<bigint>, v array<double>, place bigint, worst double"
 VISIT_NAMES = [part.split(" ")[0] for part in VISIT.split(", ")]
 
 
@@ -177,7 +177,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, statistics: dict | None =
         placed.withColumn("page", page)
         .withColumn("block", F.pmod(F.xxhash64("cid"), F.coalesce(in_blocks, F.lit(1))).cast("int"))
         .select("page", "block", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("qid"), "ids", "v",
-                F.col("leaf").bitwiseAND(F.lit((1 << PAGE) - 1)).cast("int").alias("place"), F.lit(None).cast("double").alias("worst"))
+                F.col("leaf").bitwiseAND(F.lit((1 << PAGE) - 1)).cast("bigint").alias("place"), F.lit(None).cast("double").alias("worst"))
     )
     queries = stored(classes.filter("asked = 1").select(F.col("cid").alias("qid"), F.col("v").alias("q")), "queries")
     quantile = chi_square_quantile(CERTAINTY, PROJECTIONS)
@@ -200,8 +200,9 @@ def search(vectors: DataFrame, is_query, k: int = 20, statistics: dict | None =
                     go = ~(np.take_along_axis(off, order, axis=1) > allowed[:, None])
                     row, column = np.nonzero(go)
                     chosen = leaf[order[row, column]]
-                    wanted = np.zeros((len(p), len(blocks)), np.int32)
-                    np.add.at(wanted, (row, chosen >> PAGE), 1 << (chosen & ((1 << PAGE) - 1)))
+                    wanted = np.zeros((len(p), len(blocks)), np.uint64)
+                    bit = np.uint64(1) << (chosen & ((1 << PAGE) - 1)).astype(np.uint64)
+                    np.bitwise_or.at(wanted, (row, chosen >> PAGE), bit)
                     row, page = np.nonzero(wanted)
                     mask, count = wanted[row, page], blocks[page]
                     row, page, mask = (np.repeat(x, count) for x in (row, page, mask))
@@ -212,7 +213,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, statistics: dict | None =
                         [
                             pa.array(page.astype(np.int32)), pa.array(block.astype(np.int32)), pa.array(np.ones(n, np.int32)),
                             batch.column(0).take(at_rows), pa.nulls(n, pa.list_(pa.int64())), batch.column(1).take(at_rows),
-                            pa.array(mask.astype(np.int32)), batch.column(2).take(at_rows),
+                            pa.array(mask.view(np.int64)), batch.column(2).take(at_rows),
                         ],
                         names=VISIT_NAMES,
                     )
