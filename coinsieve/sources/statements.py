@@ -25,6 +25,9 @@ ROW_ID = ["file", "block", "line_no"]
 FEW_FILES = 1000
 # How cells are quoted, in every reader: a doubled quote stands for one.
 QUOTING = {"quote": '"', "escape": '"'}
+# Lines are stitched by stretches of so many lines (a power of two), about so many lines to a task.
+STRETCH_BITS = 13
+LINES_PER_TASK = 500_000
 
 
 def apply_layout(df: DataFrame, layout: Layout, *keep: str | Column, net_credit: bool = False) -> DataFrame:
@@ -226,7 +229,7 @@ def csv_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([(f,) for f in csv_reader(spark, path).inputFiles()], "file string")
 
 
-def _inside(lines: DataFrame, keys: list[str], order: str) -> DataFrame:
+def _inside(lines: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Adds ``in0`` and ``in1``: whether a row starts inside a cell where its group starts
     outside (0) or inside (1) one, and ``out0``, ``out1`` for its end.
 
@@ -234,7 +237,7 @@ def _inside(lines: DataFrame, keys: list[str], order: str) -> DataFrame:
     keeps the side, changes it, or sets it; so the last one that sets it and the number
     of changes since then give the side.
     """
-    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     turns = F.coalesce(F.sum((F.col("shut") & ~F.col("open")).cast("long")).over(before), F.lit(0).cast("long"))
     sets = F.when(F.col("shut") == F.col("open"), F.struct(F.col("shut").alias("side"), "_turns"))
     since = F.pmod(F.col("_turns") - F.coalesce("_set._turns", F.lit(0)), F.lit(2)) == 1
@@ -250,35 +253,39 @@ def csv_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(file, block, line_no, value) of every non-blank record of the given lines, and the
     (file, problem) of files that end inside a cell.
 
-    Lines that a cell spans become one record. Where a line starts is found by block
-    of a file and then by one row per block, so no task holds a file. The lines are
-    written once, so all passes see the same places.
+    Lines that a cell spans become one record. Where a line starts is found by stretch of
+    a block and then by one row per stretch, so no task holds a file or a block; the number of
+    tasks follows from the number of lines. The lines are written once, so all passes see the
+    same places.
     """
     lines = materialize(lines)
-    ends = lines.withColumns({"shut": opens(F.col("value")), "open": opens(F.concat(F.lit('"'), "value"))})
-    sides = _inside(ends, ["file", "block"], "line_no").drop("shut", "open")
-    upto = Window.partitionBy("file", "block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    tasks = max(1, -(-lines.count() // LINES_PER_TASK))
+    stretch = ["file", "block", "stretch"]
+    cut = lines.withColumn("stretch", F.shiftright("line_no", STRETCH_BITS)).repartition(tasks, *stretch)
+    ends = cut.withColumns({"shut": opens(F.col("value")), "open": opens(F.concat(F.lit('"'), "value"))})
+    sides = _inside(ends, stretch, ["line_no"]).drop("shut", "open")
+    upto = Window.partitionBy(*stretch).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     for entry in (0, 1):
         start = F.when(~F.col(f"in{entry}"), F.struct("block", "line_no"))
         sides = sides.withColumn(f"start{entry}", F.last(start, ignorenulls=True).over(upto))
     sides = materialize(sides)
-    # One row per block of a file from here on.
+    # One row per stretch of a file from here on.
     last = F.max_by(F.struct(F.col("out0").alias("shut"), F.col("out1").alias("open"), "start0", "start1"), "line_no")
-    blocks = sides.groupBy("file", "block").agg(last.alias("x")).select("file", "block", "x.*")
-    blocks = _inside(blocks, ["file"], "block").withColumnRenamed("in0", "entry")
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    parts = sides.groupBy(*stretch).agg(last.alias("x")).select(*stretch, "x.*")
+    parts = _inside(parts, ["file"], ["block", "stretch"]).withColumnRenamed("in0", "entry")
+    earlier = Window.partitionBy("file").orderBy("block", "stretch").rowsBetween(Window.unboundedPreceding, -1)
     latest = F.when(F.col("entry"), F.col("start1")).otherwise(F.col("start0"))
-    blocks = materialize(
-        blocks.withColumn("earlier", F.last(latest, ignorenulls=True).over(earlier))
-        .withColumn("unclosed", F.max_by("out0", "block").over(Window.partitionBy("file")))
-        .select("file", "block", "entry", "earlier", "unclosed")
+    parts = materialize(
+        parts.withColumn("earlier", F.last(latest, ignorenulls=True).over(earlier))
+        .withColumn("unclosed", F.max_by("out0", F.struct("block", "stretch")).over(Window.partitionBy("file")))
+        .select(*stretch, "entry", "earlier", "unclosed")
     )
-    unclosed = blocks.filter("unclosed").select("file").distinct().withColumn("problem", F.lit("a quoted cell has no end"))
+    unclosed = parts.filter("unclosed").select("file").distinct().withColumn("problem", F.lit("a quoted cell has no end"))
 
     def side(name: str) -> Column:
         return F.when(F.col("entry"), F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
 
-    placed = attach(sides, blocks.filter("NOT unclosed"), ["file", "block"], ROW_ID, "inner")
+    placed = attach(sides, parts.filter("NOT unclosed"), stretch, ROW_ID, "inner")
     placed = placed.select(*lines.columns, (side("in") | side("out")).alias("part"), F.coalesce(side("start"), "earlier").alias("start"))
     joined = (
         placed.filter("part")

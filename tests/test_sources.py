@@ -130,6 +130,29 @@ def test_all_readers_agree_on_quoted_cells(spark, tmp_path):
             assert sorted((r.description, r.amount) for r in read(path).collect()) == sorted(TRICKY_ROWS)
 
 
+def test_a_block_is_stitched_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Cells over line ends, also over whole stretches, in one file of one block."""
+    from coinsieve.sources import statements
+
+    monkeypatch.setattr(statements, "STRETCH_BITS", 2)
+    monkeypatch.setattr(statements, "LINES_PER_TASK", 40)
+    held = []
+
+    def kept(df, materialize=statements.materialize):
+        out = materialize(df)
+        if "in1" in out.columns:
+            held.extend(r.n for r in out.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect())
+        return out
+
+    monkeypatch.setattr(statements, "materialize", kept)
+    want = [(f'n{i} "a", b' + "\n" * (i % 13), float(i)) for i in range(60)]
+    rows = "".join('01/05/2024,"' + text.replace('"', '""') + f'",{amount}\n' for text, amount in want)
+    (tmp_path / "amex.csv").write_text("Date,Description,Amount\n" + rows)
+    got = read_layout(spark, str(tmp_path / "amex.csv"), "amex").collect()
+    assert sorted((r.description, r.amount) for r in got) == sorted(want)
+    assert sum(held) == 1 + sum(1 + i % 13 for i in range(60)) and max(held) < sum(held) / 4
+
+
 def test_inch_marks_keep_their_rows(spark, tmp_path):
     import csv
 
