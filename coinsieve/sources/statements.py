@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import replace
 
 from py4j.protocol import Py4JError
@@ -119,12 +120,12 @@ def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     return combine(*[apply_layout(rows, layout, *source) for rows in parts])
 
 
-def _cells(line: Column, width: int) -> Column:
-    """The first ``width`` cells of a CSV line; missing ones are NULL."""
+def _cells(line: Column, width: int, places: Iterable[int] | None = None) -> Column:
+    """The first ``width`` cells of a CSV line, or those at ``places``; missing ones are NULL."""
     schema = ", ".join(f"c{i} string" for i in range(width))
     return let(
         F.from_csv(line, schema, {**QUOTING, "multiLine": "true"}),
-        lambda parsed: F.array(*[parsed[f"c{i}"] for i in range(width)]),
+        lambda parsed: F.array(*[parsed[f"c{i}"] for i in (range(width) if places is None else places)]),
     )
 
 
@@ -190,7 +191,10 @@ def csv_lines(found: DataFrame) -> DataFrame:
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_no"),
-        F.regexp_replace("value", "\r$|^\ufeff", "").alias("value"),
+        # Few lines have either sign, and a search for it is cheaper than the pattern.
+        F.when(
+            F.contains("value", F.lit("\r")) | F.startswith("value", F.lit("\ufeff")), F.regexp_replace("value", "\r$|^\ufeff", "")
+        ).otherwise(F.col("value")).alias("value"),
     )
 
 
@@ -352,14 +356,15 @@ def file_headers(heads: DataFrame, name_from_folder: bool = False) -> DataFrame:
     )
 
 
-def plain_cells(spark: SparkSession, path: str, but: list[str], width: int) -> DataFrame:
+def plain_cells(spark: SparkSession, path: str, but: list[str], width: int, places: list[int]) -> DataFrame:
     """(file, block, line_no, cells) of every row after the header of every CSV file, read
-    by Spark's own reader; right for files whose cells end on their line."""
+    by Spark's own reader, which parses only the cells at ``places``; right for files whose
+    cells end on their line."""
     schema = ", ".join(f"c{i} string" for i in range(width))
     found = csv_options(spark).options(header=True, **QUOTING).schema(schema).csv(path)
     return among(found, but).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line_no"), F.array(*[f"c{i}" for i in range(width)]).alias("cells"),
+        F.monotonically_increasing_id().alias("line_no"), F.array(*[f"c{i}" for i in places]).alias("cells"),
     )
 
 
@@ -394,21 +399,29 @@ def scan_statements(
         if first is not None:
             raise ValueError(f"{first.file}: {first.problem}")
     usable = headers.filter("problem IS NULL").select("file", "head_no", "names", "source", "layout")
-    # Lines are parsed as wide as the widest header, not wider.
+    # Lines are parsed as wide as the widest header, not wider, and of their cells only
+    # those that the layout of some file names.
     width = usable.agg(F.max(F.size("names")).alias("n")).first().n or 1
+    parts = ["date", "description", "amount", "debit", "credit"]
+    at = [F.nullif(F.array_position("names", F.col(f"layout.{p}")), F.lit(0)).cast("int") - 1 for p in parts]
+    named = usable.select(F.explode(F.array(*at)).alias("i")).filter("i IS NOT NULL").distinct()
+    places = sorted(r.i for r in named.collect()) or [0]
+    slot = F.create_map(*[F.lit(n) for pair in zip(places, range(len(places)), strict=True) for n in pair])
+    slots = F.struct(*[F.when(i.isNotNull(), F.try_element_at(slot, i)).alias(p) for p, i in zip(parts, at, strict=True)])
+    usable = materialize(usable.select("file", "head_no", "source", "layout", slots.alias("slots")))
     body = attach(
-        plain_cells(spark, path, bad, width), usable.filter("head_no IS NULL").drop("head_no"), "file", ROW_ID, "inner"
+        plain_cells(spark, path, bad, width, places), usable.filter("head_no IS NULL").drop("head_no"), "file", ROW_ID, "inner"
     )
     if records is not None:
         stitched = attach(records, usable.filter("head_no IS NOT NULL"), "file", ROW_ID, "inner")
-        stitched = stitched.filter("block > 0 OR line_no <> head_no").withColumn("cells", _cells(F.col("value"), width))
+        stitched = stitched.filter("block > 0 OR line_no <> head_no").withColumn("cells", _cells(F.col("value"), width, places))
         body = body.unionByName(stitched.select(*body.columns))
 
-    def cell(name: Column) -> Column:
-        return F.get(F.col("cells"), F.array_position(F.col("names"), name).cast("int") - 1)
+    def cell(part: str) -> Column:
+        return F.get(F.col("cells"), F.col(f"slots.{part}"))
 
     def money(part: str) -> Column:
-        return parse_amount(strip_currency(cell(F.col(f"layout.{part}"))))
+        return parse_amount(strip_currency(cell(part)))
 
     netted = F.when(
         F.col("layout.sign") == "debit", net_amount(money("debit"), money("credit"), "debit")
@@ -416,8 +429,8 @@ def scan_statements(
     return (
         body.select(
             "file", "block", "line_no", "source",
-            cell(F.col("layout.date")).alias("raw_date"),
-            cell(F.col("layout.description")).alias("description"),
+            cell("date").alias("raw_date"),
+            cell("description").alias("description"),
             F.when(F.col("layout.amount").isNotNull(), money("amount")).otherwise(netted).alias("amount"),
         ),
         rejected,

@@ -153,6 +153,24 @@ def test_a_block_is_stitched_by_many_tasks(spark, tmp_path, monkeypatch):
     assert sum(held) == 1 + sum(1 + i % 13 for i in range(60)) and max(held) < sum(held) / 4
 
 
+def test_a_scan_parses_only_named_cells(spark, tmp_path, capsys):
+    """A place that one file names may hold anything in the others."""
+    wide = ",".join(f"x{i}" for i in range(20))
+    (tmp_path / "amex.csv").write_text(f"{wide},Date,Description,Amount\n{','.join('9' * 20)},01/05/2024,a,1\n")
+    (tmp_path / "amex 2.csv").write_text("\ufeffAmount,Date,Other,Description\r\n2,01/06/2024,o,b\r\n")
+    (tmp_path / "sfcu.csv").write_text('Debit,Credit,Post Date,Description\n,3,01/07/2024,"c, ""d"""\n4\n')
+    (tmp_path / "sfcu 2.csv").write_text('Post Date,Description,x,Debit,Credit\n01/08/2024,"two\nlines",,5,\n')
+    rows, rejected = scan_statements(spark, str(tmp_path))
+    rows.explain()
+    read = capsys.readouterr().out
+    assert "c20" in read and not any(f"c{i}:string" in read for i in range(5, 20))
+    got = [(r.raw_date, r.description, r.amount) for r in rows.collect()]
+    assert sorted(got, key=str) == sorted([
+        ("01/05/2024", "a", 1.0), ("01/06/2024", "b", 2.0), ("01/07/2024", 'c, "d"', -3.0), (None, None, 4.0), ("01/08/2024", "two\nlines", 5.0),
+    ], key=str)
+    assert rejected.count() == 0
+
+
 def test_inch_marks_keep_their_rows(spark, tmp_path):
     import csv
 
