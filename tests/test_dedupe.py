@@ -173,6 +173,22 @@ def test_a_million_members_are_judged_whole_and_in_order(spark):
     assert int(largest) <= 10_000 and int(megabytes) < 1000
 
 
+def test_streaming_tasks_follow_from_the_groups(spark, monkeypatch):
+    """Calls are made per group, however many members there are."""
+    from coinsieve.operators import enrich as en
+
+    tasks, asked = [], en._asked
+    monkeypatch.setattr(en, "_asked", lambda df: tasks.append(df.rdd.getNumPartitions()) or asked(df))
+    rows = spark.range(6000).select(
+        F.col("id").cast("string").alias("txn_id"), F.col("id").alias("seq"), F.to_date(F.lit("2024-01-01")).alias("date"),
+        F.lit(4.0).alias("amount"), F.lit("x").alias("description"), F.concat(F.lit("tea "), F.col("id") % 40).alias("normalized_desc"),
+        F.lit("src").alias("source"), F.lit("f").alias("file"),
+    )
+    verdicts = adjudicate_streamed(group_members(rows), Counting, **FAST).collect()
+    assert tasks == [1] and len(verdicts) == 40
+    assert all(r.reasoning.split(" ")[:2] == ["150", "True"] for r in verdicts)
+
+
 def test_a_frame_that_fails_is_tried_again(rows):
     class Shaky(Counting):
         failed = False

@@ -235,6 +235,17 @@ def test_tasks_follow_from_the_rows_alone(spark, tmp_path):
     assert seen[0] == seen[1] and seen[0].count("(") >= 10
 
 
+def test_replies_of_many_tasks_are_read_by_few(spark):
+    from coinsieve.operators import enrich as en
+
+    df = spark.range(2000).select(F.concat(F.lit("t"), "id").alias("text_key"), F.lit("x").alias("description"))
+    replies = en.ask_rows(df, lambda rows: ["r"] * len(rows), ["text_key"], batch_size=5, **FAST)
+    assert replies.rdd.getNumPartitions() == 100
+    done = en._asked(replies)
+    assert done.rdd.getNumPartitions() == 7 and done.filter("reply = 'r'").count() == 2000
+    assert en._tasks(10**9, 50) == en.MOST_TASKS
+
+
 def test_rate_is_shared_by_all_tasks(spark):
     import time
 
