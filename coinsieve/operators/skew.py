@@ -5,14 +5,17 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from coinsieve.session import materialize
 
-# A key above this many rows is spread over several tasks.
-ROWS_PER_TASK = 2_000_000
+# A key above this many rows is spread in parts of as many.
+ROWS_PER_TASK = 50_000
+# Where a key is hot, a task gets about so many parts. Their number follows from the rows: equal
+# texts shrink to little in a shuffle, and tasks merged by size would hold, and later sort, millions.
+PARTS_PER_TASK = 4
 # At most this many keys count as hot, so the list of them (two integers each) stays
 # below two megabytes whatever the table holds.
 MAX_HOT_KEYS = 100_000
@@ -22,23 +25,30 @@ MAX_HOT_KEYS = 100_000
 MAX_BROADCAST_BYTES = 64 << 20
 
 
+def _frequencies(left: DataFrame, keys: list[str], counts: DataFrame | None) -> DataFrame:
+    """(_jk, _jn): hash and rows of every key; ``counts`` (keys, n) saves counting again."""
+    if counts is None:
+        return left.groupBy(F.xxhash64(*keys).alias("_jk")).agg(F.count(F.lit(1)).alias("_jn"))
+    return counts.select(F.xxhash64(*keys).alias("_jk"), F.col("n").alias("_jn"))
+
+
+def _hottest(freq: DataFrame, rows_per_task: int) -> dict[int, int]:
+    top = freq.filter(F.col("_jn") > rows_per_task).orderBy(F.desc("_jn"), "_jk").limit(MAX_HOT_KEYS)
+    hot: dict[int, int] = {}
+    for row in top.collect():
+        hot[row["_jk"]] = max(hot.get(row["_jk"], 0), -(-row["_jn"] // rows_per_task))
+    return hot
+
+
 def hot_keys(
     left: DataFrame, keys: list[str], rows_per_task: int, counts: DataFrame | None = None
 ) -> dict[int, int]:
-    """Hash and task count of every key with too many rows, the most frequent first
+    """Hash and part count of every key with too many rows, the most frequent first
     where there are more than MAX_HOT_KEYS.
 
     ``counts`` (keys, n) saves counting again where the caller has done so.
     """
-    if counts is None:
-        freq = left.groupBy(F.xxhash64(*keys).alias("_jk")).agg(F.count(F.lit(1)).alias("_jn"))
-    else:
-        freq = counts.select(F.xxhash64(*keys).alias("_jk"), F.col("n").alias("_jn"))
-    top = freq.filter(F.col("_jn") > rows_per_task).orderBy(F.desc("_jn"), "_jk").limit(MAX_HOT_KEYS)
-    hot: dict[int, int] = {}
-    for row in top.collect():
-        hot[row["_jk"]] = max(hot.get(row["_jk"], 0), -(-row["_jn"] // rows_per_task))
-    return hot
+    return _hottest(_frequencies(left, keys, counts), rows_per_task)
 
 
 def skew_join(
@@ -62,7 +72,10 @@ def skew_join(
     ids = [row_id] if isinstance(row_id, str) else list(row_id)
     types = {f.name: f.dataType for f in left.schema.fields}
     right = right.withColumns({k: F.col(k).cast(types[k]) for k in keys})
-    found = hot_keys(left, keys, rows_per_task, counts)
+    # The rows are added up in passing, so that the table is not read again for their number.
+    seen = Observation()
+    freq = _frequencies(left, keys, counts).observe(seen, F.sum("_jn").alias("rows"))
+    found = _hottest(freq, rows_per_task)
     if not found:
         if not null_safe:
             return left.join(right, keys, how)
@@ -96,7 +109,10 @@ def skew_join(
         .drop("_jk", "_js")
     )
     if not null_safe:
-        return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
+        # Fewer than the session's tasks would be dealt again by the join.
+        least = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(least, -(-seen.get["rows"] // (PARTS_PER_TASK * rows_per_task)))
+        return salted.repartition(tasks, *keys, "_salt").join(spread, [*keys, "_salt"], how).drop("_salt")
 
     renamed = spread.withColumnsRenamed({k: f"_r_{k}" for k in [*keys, "_salt"]})
     condition = F.col("_salt") == F.col("_r__salt")

@@ -66,6 +66,31 @@ def test_row_numbers_are_global(spark, partitions):
     assert {r.x: r.n for r in got} == want
 
 
+def test_hot_keys_leave_no_task_with_all_rows_of_a_key(spark):
+    """200,000 rows of two short keys; tasks are neither one per key nor merged by size."""
+    rows = spark.range(200_000).select("id", F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("key"))
+    names = spark.createDataFrame([("a", 1), ("b", 2)], "key string, value int")
+    got = skew_join(rows, names, "key", "id", "left")
+    per_task = got.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert sum(r.n for r in per_task) == 200_000
+    assert max(r.n for r in per_task) < 150_000
+    assert got.filter("value = if(key = 'a', 1, 2)").count() == 200_000
+
+
+def test_a_join_has_as_many_tasks_as_its_rows_ask_for(spark):
+    rows = spark.range(3000).select("id", (F.col("id") % 2).alias("key"))
+    names = spark.createDataFrame([(0, 1), (1, 2)], "key bigint, value int")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 2)
+    try:
+        got = skew_join(rows, names, "key", "id", "left", rows_per_task=50)
+        per_task = got.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(r.n for r in per_task) == 3000
+    assert len(per_task) > 4 and max(r.n for r in per_task) < 1500
+
+
 def test_row_numbers_of_an_empty_table(spark):
     assert with_row_number(spark.range(0), [F.col("id")]).count() == 0
 
