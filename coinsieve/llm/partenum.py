@@ -17,9 +17,10 @@ a signature that has more than one are compared with its smallest one, by exact
 intersection; components follow. Where members of a signature still lie in several
 components, they are compared with the centre c of the largest of them. A set x that
 does not link with c either can link with a member y only if x and y share enough of
-their differences from c, since |x ^ y| = |(x ^ c) ^ (y ^ c)|. So the rarest of these
-differences, as many as that bound leaves (prefix filter), are joined, and the pairs
-that share one are compared. No link is lost, and no group is compared pair by pair.
+their differences from c, since |x ^ y| = |(x ^ c) ^ (y ^ c)|. How many depends on both, so
+members are told apart in buckets by what they ask for. Towards each bucket the rarest
+differences, as many as the bound leaves (prefix filter), are joined, and the pairs that share
+one are compared. No link is lost, and no group is compared pair by pair.
 
 Where the threshold makes groups small (below 8 elements on average, k >= 16),
 groups with no element (with at most one, k >= 32) give no signature. A pair at the
@@ -40,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coinsieve.llm import flat
@@ -49,6 +50,8 @@ from coinsieve.llm.storage import stored
 
 ENUMERATE_BELOW = 16
 FULL_GROUPS = 8
+# What sets ask for is told apart by this part of the centre's size.
+BUCKETS = 32
 
 
 class Bands:
@@ -298,9 +301,9 @@ def linked_by_differences(around: DataFrame, labels: DataFrame, num: int, den: i
 
     ``around`` holds for each member b its differences d from the centre a. Let x be a
     member outside the centre's component and y another one; with t the threshold and
-    r = (1 - t) / (1 + t), they link if |x ^ y| <= r (|x| + |y|). As x does not link with
-    the centre c, they then share more than (|dy| - r (|y| - |c|)) / 2 differences, and at
-    least (|dx| - r (|x| + |c|) + (1 - r) |dy|) / 2.
+    r = (1 - t) / (1 + t), they link if |x ^ y| <= r (|x| + |y|), that is if they share
+    (asks_x + asks_y) / 2 differences or more, where asks = |d| - r size. As x does not link
+    with the centre c, asks_x > r |c| > -asks_y, so that is one at least.
     """
     r = (den - num) / (den + num)
     where = labels.select(F.col("key").alias("b"), F.col("label").alias("label"))
@@ -310,7 +313,7 @@ def linked_by_differences(around: DataFrame, labels: DataFrame, num: int, den: i
         .withColumn("label", F.coalesce("label", "b"))
         .withColumn("outside", F.col("label") != F.coalesce("centre_label", "a"))
     )
-    families = rows.groupBy("family").agg(F.max("outside").alias("any"), F.min(F.size("d")).alias("least")).filter("any")
+    families = rows.groupBy("family").agg(F.max("outside").alias("any")).filter("any")
     rows = stored(rows.join(families, "family"), "rows")
     elements = rows.select("family", "b", F.explode("d").alias("e"))
     counted = elements.join(elements.groupBy("family", "e").agg(F.count(F.lit(1)).alias("n")), ["family", "e"])
@@ -320,41 +323,7 @@ def linked_by_differences(around: DataFrame, labels: DataFrame, num: int, den: i
         F.transform(listed, lambda x: x["e"]).alias("d"), F.count_if(F.col("n") > 1).alias("common")
     )
     rows = stored(rows.drop("d").join(ordered, ["family", "b"]), "ordered")
-    own = F.size("d")
-    need_y = (own - r * (F.col("size_b") - F.col("size_a"))) / 2
-    need_x = (own - r * (F.col("size_b") + F.col("size_a")) + (1 - r) * F.col("least")) / 2
-
-    # A difference that no other member has comes first, and is never shared: what is left of
-    # the prefix behind those is joined.
-    single = own - F.col("common")
-
-    def prefix(need: Column) -> Column:
-        left = own - F.greatest(F.ceil(need - 1e-6), F.lit(1)).cast("int") + 1 - single
-        return F.slice("d", (single + 1).cast("int"), F.greatest(left, F.lit(0)).cast("int"))
-
-    # Besides, |x ^ y| >= |dx| - room_y and the other way round. Room comes in steps of two
-    # doublings, and x meets the steps that suffice.
-    asks = own - r * F.col("size_b")
-    room = 2 * F.col("common") - own + r * F.col("size_b")
-
-    def step(value: Column) -> Column:
-        return F.floor(F.log2(F.greatest(value, F.lit(1.0))) / 2).cast("int")
-
-    sides = rows.withColumns({"asks": asks, "room": room, "step": step(room + 1e-6)})
-    top = sides.groupBy("family").agg(F.max("step").alias("top"))
-    x = (
-        sides.filter("outside").join(top, "family").filter(step(F.col("asks")) <= F.col("top"))
-        .withColumn("step", F.explode(F.sequence(step(F.col("asks")), F.col("top"))))
-        .select("family", "step", F.col("b").alias("x"), F.col("label").alias("lx"), F.explode(prefix(need_x)).alias("e"),
-                F.col("asks").alias("asks_x"), F.col("room").alias("room_x"))
-    )
-    y = sides.select(
-        "family", "step", F.col("b").alias("y"), F.col("label").alias("ly"), F.explode(prefix(need_y)).alias("e"),
-        F.col("asks").alias("asks_y"), F.col("room").alias("room_y"),
-    )
-    same = [x[c] == y[c] for c in ("family", "step", "e")]
-    fits = (x["asks_x"] <= y["room_y"] + 1e-6) & (y["asks_y"] <= x["room_x"] + 1e-6) & (x["lx"] != y["ly"])
-    pairs = x.join(y, [*same, fits]).select(x["family"], "x", "y").distinct()
+    pairs = sharing(rows, r).distinct()
     # Compared by their differences, which are far fewer than their elements.
     sides = [
         rows.select("family", F.col("b").alias(k), F.col("d").alias(f"d{k}"), F.col("size_b").alias(f"size_{k}")) for k in "xy"
@@ -368,6 +337,50 @@ def linked_by_differences(around: DataFrame, labels: DataFrame, num: int, den: i
     )
 
 
+def sharing(rows: DataFrame, r: float) -> DataFrame:
+    """(family, x, y), once or more: members that may share as many differences as they must.
+
+    ``rows``: a member's differences d, the rarest first, and how many of them are ``common``.
+    """
+    # A difference that no other member has comes first, and is never shared: only those behind it
+    # count. |x ^ y| >= |dx| - room_y follows, and the other way round.
+    own, width = F.size("d"), F.greatest(F.col("size_a") / BUCKETS, F.lit(1.0))
+    sides = rows.withColumns({
+        "asks": own - r * F.col("size_b"), "room": 2 * F.col("common") - own + r * F.col("size_b"), "width": width,
+    }).withColumn("bucket", F.floor(F.col("asks") / F.col("width")).cast("int"))
+
+    def prefixes(members: DataFrame, others: DataFrame, side: str) -> DataFrame:
+        """For each bucket of ``others`` the rarest differences, one of which is shared with any
+        of its sets that links: as many as the least that a set of the bucket asks for leaves."""
+        best = others.groupBy("family", "bucket").agg(F.max("room").alias("best"))
+        best = best.groupBy("family").agg(F.collect_list(F.struct("bucket", "best")).alias("buckets"))
+        need = F.greatest(F.ceil((F.col("asks") + F.col("other.bucket") * F.col("width")) / 2 - 1e-6), F.lit(1)).cast("int")
+        return (
+            members.join(best, "family").withColumn("other", F.explode("buckets"))
+            .filter(F.col("asks") <= F.col("other.best") + 1e-6)
+            .withColumn("length", (F.col("common") - need + 1).cast("int")).filter("length > 0")
+            .withColumn("towards", F.col("other.bucket"))
+            .select(
+                *[F.col(c).alias(f"{c}_{side}") for c in ("family", "label", "outside", "asks", "common", "bucket", "towards")],
+                F.col("b").alias(side),
+                F.posexplode(F.slice("d", (own - F.col("common") + 1).cast("int"), F.col("length"))).alias(f"at_{side}", f"e_{side}"),
+            )
+        )
+
+    x, y = prefixes(sides.filter("outside"), sides, "x"), prefixes(sides, sides.filter("outside"), "y")
+    same = (
+        (F.col("family_x") == F.col("family_y")) & (F.col("e_x") == F.col("e_y"))
+        & (F.col("bucket_x") == F.col("towards_y")) & (F.col("towards_x") == F.col("bucket_y"))
+    )
+    # What a pair shares begins at its first shared difference: enough must be left there.
+    left = F.least(F.col("common_x") - F.col("at_x"), F.col("common_y") - F.col("at_y"))
+    fits = (
+        (left >= (F.col("asks_x") + F.col("asks_y")) / 2 - 1e-6) & (F.col("label_x") != F.col("label_y"))
+        & (~F.col("outside_y") | (F.col("x") < F.col("y")))
+    )
+    return x.join(y, same & fits).select(F.col("family_x").alias("family"), "x", "y")
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) for every row."""
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))

@@ -232,6 +232,40 @@ def test_a_large_group_of_edited_copies(spark, monkeypatch, n, num):
     assert reached and len({r.component_id for r in got}) > 20
 
 
+def test_edited_copies_are_joined_only_where_enough_can_be_shared(spark, monkeypatch):
+    """Edits at few places, so that many copies share some differences but few share enough."""
+    draw = random.Random(7)
+    around, sets = [], {}
+    for b in range(1, 401):
+        times = draw.choice([2, 4, 4, 4])
+        lost = {5 * place + i for place in draw.sample(range(12), times) for i in range(5)}
+        gained = {1000 + 5 * draw.randrange(30) + i for _ in range(times // 2) for i in range(5)}
+        own = {10_000 + 100 * b + i for i in range(5 * times // 2)}
+        sets[b] = set(range(146)) - lost | gained | own if b % 10 else sets[b - 1] - {min(sets[b - 1])}
+        d = sorted(sets[b] ^ set(range(146)))
+        around.append((0, 0, b, False, 146, len(sets[b]), d))
+    linked = [b for b, s in sets.items() if 100 * len(s & set(range(146))) >= 80 * len(s | set(range(146)))]
+    labels = spark.createDataFrame([(b, 0) for b in [0, *linked]], "key bigint, label bigint")
+    around = spark.createDataFrame(around, "family bigint, a bigint, b bigint, links boolean, size_a int, size_b int, d array<bigint>")
+    rows = []
+    once = partenum.sharing
+
+    def counted(*a):
+        joined = once(*a)
+        rows.append(joined.count())
+        return joined
+
+    monkeypatch.setattr(partenum, "sharing", counted)
+    got = {tuple(r) for r in partenum.linked_by_differences(around, labels, 80, 100).collect()}
+    inside = set(linked)
+    want = {
+        (x, y) for x in sets for y in sets
+        if x < y and not (x in inside and y in inside) and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])
+    }
+    assert got == want and want
+    assert rows[0] < 40_000
+
+
 def test_components_with_shared_and_missing_ids(spark):
     texts = ["a b c d", "A b C d", "a b c d", None, "", "x", "x"]
     ids = [4, 3, 4, 1, 1, None, None]
