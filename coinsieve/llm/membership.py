@@ -10,9 +10,17 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# 2**27 bits are 16 MB on the driver and in each Python worker, whatever the input.
+from coinsieve.llm.storage import tidy
+
+# At most: 2**27 bits are 16 MB on the driver and in each Python worker, whatever the input.
 FILTER_BITS = 27
 _PAGE = 15  # bits in the number of bits of one row of the bitmap
+_BITS_EACH = 64  # while that leaves the filter below its most bits
+
+
+def bits_for(rows: int) -> int:
+    """The ``bits`` of a filter of so many values: each worker and executor holds a copy."""
+    return min(FILTER_BITS, max(_PAGE, (max(rows, 1) * _BITS_EACH - 1).bit_length()))
 
 
 def build_filter(df: DataFrame, value: Column, bits: int = FILTER_BITS) -> np.ndarray:
@@ -25,7 +33,9 @@ def build_filter(df: DataFrame, value: Column, bits: int = FILTER_BITS) -> np.nd
     )
     out = np.zeros(1 << (bits - 3), np.uint8)
     size = 1 << (_PAGE - 3)
-    for row in rows.toLocalIterator():
+    with tidy(df.sparkSession):
+        pages = rows.collect()  # one job; toLocalIterator runs one for each partition
+    for row in pages:
         out[row.page * size : (row.page + 1) * size] = np.frombuffer(row.bitmap, np.uint8)
     return out
 

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coinsieve.llm import flat
-from coinsieve.llm.membership import build_filter, maybe
+from coinsieve.llm.membership import bits_for, build_filter, maybe
 from coinsieve.llm.storage import stored
 
 ENUMERATE_BELOW = 16
@@ -194,9 +194,11 @@ def wanted_sets(docs: DataFrame, n: int, wanted) -> DataFrame:
 
 def sets_of(docs: DataFrame, n: int, keys: DataFrame) -> DataFrame:
     """(key, elements) for every key of ``keys``, stored."""
-    wanted = docs.sparkSession.sparkContext.broadcast(build_filter(keys, F.col("key")))
+    wanted = docs.sparkSession.sparkContext.broadcast(build_filter(keys, F.col("key"), bits_for(keys.count())))
     rows = wanted_sets(docs, n, wanted).join(keys.distinct(), "key", "left_semi")
-    return stored(rows.dropDuplicates(["key"]), "sets")
+    out = stored(rows.dropDuplicates(["key"]), "sets")
+    wanted.unpersist()
+    return out
 
 
 def compared(docs: DataFrame, n: int, pairs: DataFrame, num: int, den: int) -> DataFrame:
@@ -253,9 +255,10 @@ def linked(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         .filter("low < high"),
         "signatures",
     )
-    bitmap = spark.sparkContext.broadcast(build_filter(shared, F.col("sig")))
+    bitmap = spark.sparkContext.broadcast(build_filter(shared, F.col("sig"), bits_for(shared.count())))
     rows = signature_rows(docs, n, num, den, bitmap)
     members = stored(rows.join(shared, "sig").select("sig", "key", "low").distinct(), "members")
+    bitmap.unpersist()
     star = stored(members.filter("key <> low").select(F.col("low").alias("a"), F.col("key").alias("b")).distinct(), "star")
     apart = F.size("left") + F.size("right") - 2 * F.col("both")
     found = stored(compared(docs, n, star, num, den).select("a", "b", "links", apart.alias("apart")), "found")
@@ -313,7 +316,8 @@ def linked_by_differences(around: DataFrame, labels: DataFrame, num: int, den: i
         .withColumn("label", F.coalesce("label", "b"))
         .withColumn("outside", F.col("label") != F.coalesce("centre_label", "a"))
     )
-    families = rows.groupBy("family").agg(F.max("outside").alias("any")).filter("any")
+    families = rows.groupBy("family").agg(F.max("outside").alias("any"), F.count(F.lit(1)).alias("n"))
+    families = families.filter("any AND n > 1").select("family", "any")
     rows = stored(rows.join(families, "family"), "rows")
     elements = rows.select("family", "b", F.explode("d").alias("e"))
     counted = elements.join(elements.groupBy("family", "e").agg(F.count(F.lit(1)).alias("n")), ["family", "e"])
@@ -354,11 +358,15 @@ def sharing(rows: DataFrame, r: float) -> DataFrame:
         of its sets that links: as many as the least that a set of the bucket asks for leaves."""
         best = others.groupBy("family", "bucket").agg(F.max("room").alias("best"))
         best = best.groupBy("family").agg(F.collect_list(F.struct("bucket", "best")).alias("buckets"))
-        need = F.greatest(F.ceil((F.col("asks") + F.col("other.bucket") * F.col("width")) / 2 - 1e-6), F.lit(1)).cast("int")
+
+        def length(other):
+            need = F.greatest(F.ceil((F.col("asks") + other["bucket"] * F.col("width")) / 2 - 1e-6), F.lit(1))
+            return (F.col("common") - need + 1).cast("int")
+
+        # Most members ask for more than most buckets can give: those get no row.
+        able = F.filter("buckets", lambda other: (F.col("asks") <= other["best"] + 1e-6) & (length(other) > 0))
         return (
-            members.join(best, "family").withColumn("other", F.explode("buckets"))
-            .filter(F.col("asks") <= F.col("other.best") + 1e-6)
-            .withColumn("length", (F.col("common") - need + 1).cast("int")).filter("length > 0")
+            members.join(best, "family").withColumn("other", F.explode(able)).withColumn("length", length(F.col("other")))
             .withColumn("towards", F.col("other.bucket"))
             .select(
                 *[F.col(c).alias(f"{c}_{side}") for c in ("family", "label", "outside", "asks", "common", "bucket", "towards")],

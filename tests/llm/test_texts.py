@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from coinsieve.llm import flat, partenum, pieces, quartile, recompress, toxicity
+from coinsieve.llm import flat, membership, partenum, pieces, quartile, recompress, toxicity
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -266,6 +266,40 @@ def test_edited_copies_are_joined_only_where_enough_can_be_shared(spark, monkeyp
     assert rows[0] < 40_000
 
 
+def rows_of_generates(plan):
+    """Rows that the Generate nodes of a plan that ran have made."""
+    name = plan.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        return rows_of_generates(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return rows_of_generates(plan.plan())
+    made = plan.metrics().apply("numOutputRows").value() if name == "Generate" else 0
+    children = plan.children()
+    return made + sum(rows_of_generates(children.apply(i)) for i in range(children.size()))
+
+
+def test_members_come_once_for_each_bucket_that_can_give_what_they_ask_for(spark):
+    """Members far from the centre that share two differences at most: nearly none is a candidate."""
+    rows = [(0, b, b, True, 146, 146, [1000 * b + i for i in range(16 + b % 60)] + [1, 2], 2) for b in range(1, 301)]
+    rows.append((0, 301, 301, True, 146, 146, [*range(5000, 5016), 1, 2], 2))
+    rows = spark.createDataFrame(
+        rows, "family bigint, b bigint, label bigint, outside boolean, size_a int, size_b int, d array<bigint>, common bigint"
+    )
+    joined = partenum.sharing(rows, 1 / 9)
+    # asks = |d| - 146 / 9; a pair that shares two may ask for two on average.
+    want = {(x, y) for x in [*range(60, 301, 60), 301] for y in [*range(60, 301, 60), 301] if x < y}
+    assert {(r.x, r.y) for r in joined.collect()} == want
+    assert rows_of_generates(joined._jdf.queryExecution().executedPlan()) < 300
+
+
+def test_a_filter_is_as_large_as_its_values_need(spark):
+    values = [random.Random(3).getrandbits(63) for _ in range(50)]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    bitmap = membership.build_filter(df, F.col("v"), membership.bits_for(len(values)))
+    assert membership.maybe(bitmap, np.array(values)).all() and len(bitmap) == 1 << 12
+    assert [membership.bits_for(n) for n in (0, 1, 2**20, 2**40)] == [15, 15, 26, 27]
+
+
 def test_components_with_shared_and_missing_ids(spark):
     texts = ["a b c d", "A b C d", "a b c d", None, "", "x", "x"]
     ids = [4, 3, 4, 1, 1, None, None]
