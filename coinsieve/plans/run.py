@@ -16,7 +16,7 @@ from coinsieve.operators.skew import attach, with_row_number
 from coinsieve.plans.categorize import RESULT, Model, cache_entries, categorize
 from coinsieve.plans.dedupe import dedupe
 from coinsieve.schema import CATEGORIZE_CACHE, ENRICHMENT, NORMALIZE_CACHE
-from coinsieve.session import materialize
+from coinsieve.session import materialize, release, shuffles_let_go
 from coinsieve.sources.cells import statement_rows
 from coinsieve.sources.manifest import scan_incremental
 from coinsieve.sources.sinks import write_combined, write_deduped, write_version
@@ -51,45 +51,50 @@ def run(
     among ``calls`` takes a row per call of any function. Publishes ``<output>/combined`` and
     ``<output>/deduplicated``; returns all rows, the deduplicated rows and the rejected files.
     """
-    if store is None:
-        scanned, rejected = scan_statements(spark, inputs, name_from_folder=name_from_folder)
-        files = csv_files(spark, inputs)
-    else:
-        scanned, rejected, files = scan_incremental(spark, inputs, store, name_from_folder)
-    if cells is not None:
-        scanned, files = combine(scanned, _extracted(cells)), files.unionByName(cells.select("file"))
-    # Every stage looks at the rows: they are parsed once.
-    txns = materialize(in_file_order(typed(scanned), files))
-    if normalizer is None:
-        txns = normalized(txns)
-    else:
-        path = f"{caches}/normalize"
-        cache = latest_cache(spark, path, NORMALIZE_CACHE) if caches else empty_cache(spark)
-        asked = txns
-        txns, entries = enrich(txns, normalizer, cache, **calls)
+    with shuffles_let_go(spark):
+        if store is None:
+            scanned, rejected = scan_statements(spark, inputs, name_from_folder=name_from_folder)
+            files = csv_files(spark, inputs)
+        else:
+            scanned, rejected, files = scan_incremental(spark, inputs, store, name_from_folder)
+        if cells is not None:
+            scanned, files = combine(scanned, _extracted(cells)), files.unionByName(cells.select("file"))
+        # Every stage looks at the rows: they are parsed once.
+        parsed = materialize(in_file_order(typed(scanned), files))
+        if normalizer is None:
+            txns = normalized(parsed)
+        else:
+            path = f"{caches}/normalize"
+            cache = latest_cache(spark, path, NORMALIZE_CACHE) if caches else empty_cache(spark)
+            asked = parsed
+            txns, entries = enrich(asked, normalizer, cache, **calls)
+            # So are the texts joined once, and one copy of the rows is there at a time.
+            txns = parsed = materialize(txns)
+            if caches:
+                write_version(count_hits(asked.withColumn("_key", description_key(F.col("description"))), entries, "_key"), path)
+            release(asked)
+        txns = ensure_columns(txns, ENRICHMENT)
+        if prior is not None:
+            txns = resume_from(txns, prior).drop("txn_key", "is_processed")
+        # Rows restored from an earlier run are not categorized again.
+        open_rows = pending(txns)
+        done = txns.filter("category IS NOT NULL AND confidence IS NOT NULL")
+        path = f"{caches}/categorize"
+        cache = latest_cache(spark, path, CATEGORIZE_CACHE) if caches else None
+        if model is not None and "log" in calls:
+            model = replace(model, calls={"log": calls["log"]} | model.calls)
+        fresh = categorize(open_rows.drop(*RESULT), rules, keywords, cache, model=model, matcher=matcher)
+        rows = materialize(done.withColumn("_fresh", F.lit(False)).unionByName(fresh.withColumn("_fresh", F.lit(True))))
+        release(parsed)
+        combined = rows.drop("_fresh")
         if caches:
-            write_version(count_hits(asked.withColumn("_key", description_key(F.col("description"))), entries, "_key"), path)
-    txns = ensure_columns(txns, ENRICHMENT)
-    if prior is not None:
-        txns = resume_from(txns, prior).drop("txn_key", "is_processed")
-    # Rows restored from an earlier run are not categorized again.
-    open_rows = pending(txns)
-    done = txns.filter("category IS NOT NULL AND confidence IS NOT NULL")
-    path = f"{caches}/categorize"
-    cache = latest_cache(spark, path, CATEGORIZE_CACHE) if caches else None
-    if model is not None and "log" in calls:
-        model = replace(model, calls={"log": calls["log"]} | model.calls)
-    fresh = categorize(open_rows.drop(*RESULT), rules, keywords, cache, model=model, matcher=matcher)
-    if caches:
-        # Only decided rows are kept: the others may fare better with a model or another rule.
-        fresh = materialize(fresh)
-        settled = fresh.filter(~is_uncategorized())
-        write_version(add_entries(cache, cache_entries(settled, rules, keywords)), path)
-    combined = materialize(done.unionByName(fresh))
-    write_combined(combined, f"{output}/combined")
-    kept = dedupe(combined, "adjudicated" if judge else "exact", judge, **(calls if judge else {}))
-    write_deduped(kept, f"{output}/deduplicated")
-    return combined, kept, rejected
+            # Only decided rows are kept: the others may fare better with a model or another rule.
+            settled = rows.filter("_fresh").drop("_fresh").filter(~is_uncategorized())
+            write_version(add_entries(cache, cache_entries(settled, rules, keywords)), path)
+        write_combined(combined, f"{output}/combined")
+        kept = dedupe(combined, "adjudicated" if judge else "exact", judge, **(calls if judge else {}))
+        write_deduped(kept, f"{output}/deduplicated")
+    return combined.select("*"), kept.select("*"), rejected
 
 
 def _extracted(cells: DataFrame) -> DataFrame:

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SHUFFLES_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "coinsieve", cpus: int | str = "*", **confs: str) -> SparkSession:
@@ -64,6 +67,30 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(df: DataFrame) -> None:
+    """Remove the files of a materialized table, or of columns picked from one, that nothing reads any
+    more: else they stay until the driver happens to collect its garbage."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.children().size() == 1:
+        plan = plan.children().head()
+    file = plan.rdd().getCheckpointFile()
+    if file.isDefined():
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def shuffles_let_go(spark: SparkSession) -> Iterator[None]:
+    """Within, the shuffle files of an action go when it has ended, not when the driver happens to
+    collect its garbage. A table that is handed on should be selected from anew outside."""
+    before = spark.conf.get(SHUFFLES_CONF)
+    spark.conf.set(SHUFFLES_CONF, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLES_CONF, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, in any file system that Spark reaches.
 

@@ -30,7 +30,8 @@ def final_columns(df: DataFrame) -> DataFrame:
 
 
 def _csv(df: DataFrame, path: str) -> None:
-    publish(df.sparkSession, path, df.write.options(header=True, escape='"').csv)
+    # Every line repeats a file's path and a few texts: plain, the reports are most of what a run leaves.
+    publish(df.sparkSession, path, df.write.options(header=True, escape='"', compression="gzip").csv)
 
 
 def write_combined(df: DataFrame, path: str) -> None:

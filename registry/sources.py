@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from coinsieve.operators.match import match_rules
 from coinsieve.plans.dedupe import dedupe
 from coinsieve.plans.run import prior_as_txns, run
-from coinsieve.session import scratch_path
+from coinsieve.session import release, scratch_path
 from coinsieve.sources import cells as ce
 from coinsieve.sources.layouts import LAYOUTS
 from coinsieve.sources.sinks import final_columns, write_combined, write_deduped, write_rules
@@ -457,7 +457,8 @@ def _(spark, sf):
     ).write.option("header", True).csv(f"{base}/chase.csv")
     keywords = keyword_table(spark, {"Low": ["low"], "Rush": ["urgent"]})
     options = {"keywords": keywords, "matcher": "edit", "name_from_folder": True, "caches": caches}
-    run(spark, base, f"{out}/1", normalizer=order_class, **options)
+    first, _, _ = run(spark, base, f"{out}/1", normalizer=order_class, **options)
+    release(first)
     rows, _, _ = run(spark, base, f"{out}/2", normalizer=no_calls, **options)
     return rows.select("date", "description", "normalized_desc", "category")
 

@@ -2,6 +2,7 @@
 
 import json
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from coinsieve.plans.learn import learn_rules
 from coinsieve.plans.run import prior_as_txns, run
 from coinsieve.plans.summary import summary
 from coinsieve.schema import FINAL_COLUMNS
+from coinsieve.session import SHUFFLES_CONF, release, shared_dir
 from coinsieve.sources.published import current, publish, versions
 from coinsieve.sources.sinks import write_deduped
 from coinsieve.sources.tables import DEDUPED_COLUMNS, keyword_table, load_prior, rules_table
@@ -107,6 +109,44 @@ def test_a_second_run_asks_for_new_texts_only(spark, tmp_path):
     assert latest_cache(spark, f"{caches}/none", NORMALIZE_CACHE).count() == 0
 
 
+# --- what a run leaves on disk ---------------------------------------------------------
+
+
+def test_a_run_leaves_no_copies_of_its_rows(spark, tmp_path):
+    """Two runs through the caches: of the rows one copy is left by each, reports are packed, and the
+    setting for shuffle files is as it was."""
+    base, caches = tmp_path / "inputs", str(tmp_path / "caches")
+    base.mkdir()
+    lines = "".join(f"01/{i % 28 + 1:02}/2024,Shop {i % 7},{i}.25\n" for i in range(20_000))
+    (base / "chase.csv").write_text(f"Transaction Date,Description,Amount\n{lines}")
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+
+    def sizes():
+        found = {}
+        for part in folder.glob("*/rdd-*/part-*"):
+            found[part.parent] = found.get(part.parent, 0) + part.stat().st_size
+        return found
+
+    options = {"keywords": keyword_table(spark, {"Odd": ["3", "5"]}), "matcher": "edit", "caches": caches}
+    before, setting = set(sizes()), spark.conf.get(SHUFFLES_CONF)
+    once, kept, _ = run(spark, str(base), str(tmp_path / "1"), normalizer=lambda t: "\n".join(t).lower(), **options)
+    again, _, _ = run(spark, str(base), str(tmp_path / "2"), normalizer=lambda t: "\n".join("x" for _ in t), **options)
+    assert spark.conf.get(SHUFFLES_CONF) == setting
+    large = {place: size for place, size in sizes().items() if place not in before and size > 100_000}
+    assert len(large) == 2
+    for out in ("1", "2"):
+        for report in ("combined", "deduplicated"):
+            parts = list((tmp_path / out / report).glob("version=1/part-*"))
+            assert sum(p.stat().st_size for p in parts) < 30 * 20_000
+            assert load_prior(spark, str(tmp_path / out / report), ["category"] if report == "combined" else None).count() == 20_000
+    # Rows that are handed on can be read as often as one likes.
+    assert kept.count() == 20_000 and len(kept.collect()) == len(kept.collect()) == 20_000
+    assert again.exceptAll(once).isEmpty() and once.filter("category = 'Odd'").count() > 0
+    release(once)
+    assert len({p for p in sizes() if p in large}) == 1
+    assert again.filter("normalized_desc LIKE 'shop _'").count() == 20_000
+
+
 # --- published results ---------------------------------------------------------------
 
 
